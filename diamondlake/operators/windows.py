@@ -54,29 +54,26 @@ def streaks(games: DataFrame, entity: str, order_col: str, hit_col: str, as_writ
             tiebreak: list[str] = ()) -> DataFrame:
     """W4 gaps-and-islands over one row per (entity, game).
 
-    ``as_written``: state flag = hit in game vs hit in previous game, island id
-    = running SUM of changes with the default RANGE frame (same-date games share
-    a sum), longest island of *any* state.  Otherwise: ROWS frame with a
-    tiebreak and only islands of games with a hit count.
-    Returns (entity, best_streak)."""
+    State flag = hit in this game; change flag = state differs from the
+    previous game's (no previous game counts as "no hit"); island id = running
+    SUM of change flags.  ``as_written`` keeps the default RANGE frame (games
+    on the same date share a sum) and measures islands of *any* state, as the
+    leaderboard SQL does; otherwise a ROWS frame with ``tiebreak`` and only
+    islands of games with a hit.  Returns (entity, best_streak)."""
     order = [F.col(order_col)] + [F.col(c) for c in tiebreak]
     w = Window.partitionBy(entity).orderBy(*order)
     flags = (games
-             .withColumn("__prev", F.lag(hit_col).over(w))
-             .withColumn("__before", F.when(F.col("__prev") > 0, 1).otherwise(0))
+             .withColumn("__before", F.when(F.lag(hit_col).over(w) > 0, 1).otherwise(0))
              .withColumn("__now", F.when(F.col(hit_col) > 0, 1).otherwise(0))
              .withColumn("__chg", F.when(F.col("__before") != F.col("__now"), 1).otherwise(0)))
     if as_written:
         run = Window.partitionBy(entity).orderBy(F.col(order_col)).rangeBetween(Window.unboundedPreceding, 0)
-        isl = flags.withColumn("__island", F.sum("__chg").over(run))
-        per_island = isl.groupBy(entity, "__island").agg(F.count(F.lit(1)).alias("__len"))
     else:
-        # a new island starts whenever the hit state differs from the previous game's
         run = w.rowsBetween(Window.unboundedPreceding, 0)
-        isl = flags.withColumn("__island", F.sum(F.when(F.col("__now") != F.coalesce(
-            F.when(F.col("__prev") > 0, 1).otherwise(0), F.lit(-1)), 1).otherwise(0)).over(run))
-        per_island = (isl.filter(F.col("__now") == 1)
-                      .groupBy(entity, "__island").agg(F.count(F.lit(1)).alias("__len")))
+    isl = flags.withColumn("__island", F.sum("__chg").over(run))
+    if not as_written:
+        isl = isl.filter(F.col("__now") == 1)
+    per_island = isl.groupBy(entity, "__island").agg(F.count(F.lit(1)).alias("__len"))
     return per_island.groupBy(entity).agg(F.max("__len").alias("best_streak"))
 
 
