@@ -82,3 +82,125 @@ def batting_counts_sql(col: str = "event_type") -> str:
         pred = f"{col} IS NOT NULL" if spec is NOT_NULL else sql_in(col, spec)
         parts.append(f"COUNT(*) FILTER (WHERE {pred}) AS {name}")
     return ",\n       ".join(parts)
+
+
+# ---------------------------------------------------------------- games (orders as games)
+# Order status -> game type (O regular season, F post-season, P spring training).
+GAME_TYPE = {"O": "R", "F": "F", "P": "S"}
+
+# Outs recorded per play event (event name -> outs).
+OUTS_BY_EVENT = {
+    "double": 0, "double_play": 2, "field_out": 1, "fielders_choice": 0, "fielders_choice_out": 1,
+    "force_out": 1, "grounded_into_double_play": 2, "hit_by_pitch": 0, "home_run": 0, "sac_bunt": 1,
+    "sac_bunt_double_play": 2, "sac_fly": 1, "sac_fly_double_play": 2, "single": 0, "strikeout": 1,
+    "strikeout_double_play": 2, "triple": 0, "triple_play": 3, "walk": 0, "catcher_interf": 0, "field_error": 0,
+}
+# Bases gained per hit kind (anything else is worth 0).
+HIT_VALUE = {"single": 1, "double": 2, "triple": 3, "home_run": 4}
+# stand-in event_type -> play event name
+EVENT_NAME = {"click": "single", "view": "double", "purchase": "home_run", "signup": "walk", "error": "field_out"}
+
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+
+
+def games_df(spark, d):
+    """One row per game: orders are games; home team = customer's nation, away
+    team = nation of the supplier of the game's first line; home/away score =
+    number of lines with return flag R / A; qty = quantity on those lines.
+    Lines are aggregated per order before joining (one row per order)."""
+    from pyspark.sql import functions as F
+    from diamondlake.sources.tables import load
+    li = load(spark, d, "lineitem").select(*LINE_ORDER, "l_orderkey", "l_returnflag")
+    sup = load(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    per = li.join(sup, li.l_suppkey == sup.s_suppkey).groupBy("l_orderkey").agg(
+        F.min_by("s_nationkey", F.struct(*LINE_ORDER)).alias("away_team"),
+        F.count_if(F.col("l_returnflag") == "R").alias("home_score"),
+        F.count_if(F.col("l_returnflag") == "A").alias("away_score"),
+        F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0)).alias("home_qty"),
+        F.sum(F.when(F.col("l_returnflag") == "A", F.col("l_quantity")).otherwise(0.0)).alias("away_qty"))
+    o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    cust = load(spark, d, "customer").select("c_custkey", "c_nationkey")
+    gtype = F.create_map(*[F.lit(x) for kv in GAME_TYPE.items() for x in kv])
+    g = o.join(cust, o.o_custkey == cust.c_custkey).join(per, o.o_orderkey == per.l_orderkey, "left")
+    return g.select(F.col("o_orderkey").alias("game_pk"), F.to_date("o_orderdate").alias("game_date"),
+                    F.year("o_orderdate").alias("game_year"), gtype[F.col("o_orderstatus")].alias("game_type"),
+                    F.col("c_nationkey").alias("home_team"), "away_team", "home_score", "away_score",
+                    "home_qty", "away_qty")
+
+
+GAMES_SQL = """
+lines AS (
+  SELECT l.l_orderkey, s.s_nationkey, l.l_returnflag, l.l_quantity,
+         ROW_NUMBER() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
+                            l.l_quantity, l.l_extendedprice, l.l_shipdate) AS rn
+  FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey),
+per AS (
+  SELECT l_orderkey, MAX(CASE WHEN rn = 1 THEN s_nationkey END) AS away_team,
+         COUNT(*) FILTER (WHERE l_returnflag = 'R') AS home_score, COUNT(*) FILTER (WHERE l_returnflag = 'A') AS away_score,
+         SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS home_qty,
+         SUM(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0.0 END) AS away_qty
+  FROM lines GROUP BY l_orderkey),
+games AS (
+  SELECT o.o_orderkey AS game_pk, CAST(o.o_orderdate AS DATE) AS game_date,
+         CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INTEGER) AS game_year,
+         CASE o.o_orderstatus WHEN 'O' THEN 'R' WHEN 'F' THEN 'F' WHEN 'P' THEN 'S' END AS game_type,
+         c.c_nationkey AS home_team, p.away_team, p.home_score, p.away_score, p.home_qty, p.away_qty
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN per p ON p.l_orderkey = o.o_orderkey)"""
+
+
+def map_sql(mapping: dict, expr: str, default="NULL") -> str:
+    """CASE rendering of a fixed lookup table for the SQL oracle."""
+    from diamondlake.functions.sqltext import lit
+    whens = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
+    return f"COALESCE(CASE {expr} {whens} END, {default})"
+
+
+# ---------------------------------------------------------------- raw pitch feed (lineitem as pitches)
+
+def pitch_feed_df(spark, d):
+    """Raw one-row-per-pitch feed: each line of an order is a pitch of that game.
+    pitch_number is the line's rank inside its game (a window per game, whose
+    size is bounded by the game length)."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from diamondlake.sources.tables import load
+    li = load(spark, d, "lineitem")
+    g = games_df(spark, d).select("game_pk", "game_date", "game_year", "game_type", "home_team", "away_team")
+    w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
+    ev = F.create_map(F.lit("R"), F.lit("single"), F.lit("A"), F.lit("field_out"))
+    f = li.join(g, li.l_orderkey == g.game_pk)
+    return f.select(
+        "game_pk", "game_date", "game_year", "game_type", "home_team", "away_team",
+        F.col("l_suppkey").alias("pitcher"), F.col("l_partkey").alias("batter"),
+        F.col("l_linenumber").alias("at_bat_number"), F.row_number().over(w).alias("pitch_number"),
+        F.col("l_linenumber").alias("inning"),
+        F.when(F.col("l_linestatus") == "O", "Top").otherwise("Bot").alias("inning_topbot"),
+        F.floor(F.col("l_discount") * 30).cast("int").alias("balls"),
+        F.floor(F.col("l_tax") * 25).cast("int").alias("strikes"),
+        F.floor(F.col("l_quantity") / 17).cast("int").alias("outs_when_up"),
+        ev[F.col("l_returnflag")].alias("events"),
+        F.when(F.col("l_returnflag") == "R", "X").when(F.col("l_returnflag") == "A", "S").otherwise("B").alias("type"),
+        F.when(F.col("l_quantity") > 25, F.col("l_partkey")).alias("on_1b"),
+        F.when(F.col("l_discount") > 0.05, F.col("l_suppkey")).alias("on_2b"),
+        F.when(F.col("l_tax") > 0.04, F.col("l_partkey")).alias("on_3b"),
+        F.col("l_quantity").alias("release_speed"), F.col("l_extendedprice").alias("release_spin_rate"),
+        F.col("l_linestatus").alias("pitch_type"), F.col("l_shipdate").alias("shipped"))
+
+
+FEED_SQL = GAMES_SQL + """,
+feed AS (
+  SELECT g.game_pk, g.game_date, g.game_year, g.game_type, g.home_team, g.away_team,
+         l.l_suppkey AS pitcher, l.l_partkey AS batter, l.l_linenumber AS at_bat_number,
+         ROW_NUMBER() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
+                            l.l_quantity, l.l_extendedprice, l.l_shipdate) AS pitch_number,
+         l.l_linenumber AS inning, CASE WHEN l.l_linestatus = 'O' THEN 'Top' ELSE 'Bot' END AS inning_topbot,
+         CAST(FLOOR(l.l_discount * 30) AS INTEGER) AS balls, CAST(FLOOR(l.l_tax * 25) AS INTEGER) AS strikes,
+         CAST(FLOOR(l.l_quantity / 17) AS INTEGER) AS outs_when_up,
+         CASE l.l_returnflag WHEN 'R' THEN 'single' WHEN 'A' THEN 'field_out' END AS events,
+         CASE l.l_returnflag WHEN 'R' THEN 'X' WHEN 'A' THEN 'S' ELSE 'B' END AS type,
+         CASE WHEN l.l_quantity > 25 THEN l.l_partkey END AS on_1b,
+         CASE WHEN l.l_discount > 0.05 THEN l.l_suppkey END AS on_2b,
+         CASE WHEN l.l_tax > 0.04 THEN l.l_partkey END AS on_3b,
+         l.l_quantity AS release_speed, l.l_extendedprice AS release_spin_rate, l.l_linestatus AS pitch_type,
+         l.l_shipdate AS shipped
+  FROM lineitem l JOIN games g ON g.game_pk = l.l_orderkey)"""
