@@ -116,22 +116,28 @@ def ema_columns(df: DataFrame, entity: str, order_col: str, cols: list[str], spa
                     *[F.element_at(F.col(f"__e_{c}"), F.col("__i") + 1).alias(c + suffix) for c in cols])
 
 
-def running_ratio(df: DataFrame, entity: str, order_col: str, num: str, den: str, name: str,
+def _as_list(x):
+    return [x] if isinstance(x, str) else list(x)
+
+
+def running_ratio(df: DataFrame, entity, order, num: str, den: str, name: str,
                   include_current: bool = True, digits: int = 4) -> DataFrame:
-    """W7 season-to-date rate: running SUM(num)/SUM(den) from the first row.
-    ``include_current=False`` stops at the previous row (no leakage)."""
+    """W7 season-to-date rate: running SUM(num)/SUM(den) from the first row of
+    the partition.  ``include_current=False`` stops at the previous row, so a
+    game's own result does not leak into its feature."""
     end = 0 if include_current else -1
-    w = Window.partitionBy(entity).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
+    w = Window.partitionBy(*_as_list(entity)).orderBy(*_as_list(order)).rowsBetween(Window.unboundedPreceding, end)
     return df.withColumn(name, round_half_up(F.try_divide(F.sum(num).over(w).cast("double"), F.sum(den).over(w)), digits))
 
 
-def trailing_days_ratio(df: DataFrame, entity: str, date_col: str, num: str, den: str, name: str,
+def trailing_days_ratio(df: DataFrame, entity, date_col: str, num: str, den: str, name: str,
                         days: int = 7, include_current: bool = True, digits: int = 4) -> DataFrame:
-    """W8 trailing window ``[d-days, d]`` on a date column (RANGE frame over
-    the day number); ``include_current=False`` gives ``[d-days, d-1]``."""
+    """W8 trailing window ``[d-days, d]`` on a date column (RANGE frame over the
+    day number, so all games of a day are in or out together);
+    ``include_current=False`` gives ``[d-days, d-1]``."""
     end = 0 if include_current else -1
-    dn = F.datediff(F.col(date_col), F.lit("1970-01-01"))
-    w = Window.partitionBy(entity).orderBy(dn).rangeBetween(-days, end)
+    dn = F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date"))
+    w = Window.partitionBy(*_as_list(entity)).orderBy(dn).rangeBetween(-days, end)
     return df.withColumn(name, round_half_up(F.try_divide(F.sum(num).over(w).cast("double"), F.sum(den).over(w)), digits))
 
 
@@ -155,7 +161,7 @@ def running_accuracy(df: DataFrame, date_col: str, tiebreak: str, correct_col: s
         "__n0", "__c0", "__ni", "__ci")
 
 
-def rolling_sum(df: DataFrame, entity: str, order: list[str], col: str, name: str, rows: int = 10) -> DataFrame:
+def rolling_sum(df: DataFrame, entity, order, col: str, name: str, rows: int = 10) -> DataFrame:
     """Rolling sum of the last ``rows`` rows, min_periods 1."""
-    w = Window.partitionBy(entity).orderBy(*order).rowsBetween(-(rows - 1), 0)
+    w = Window.partitionBy(*_as_list(entity)).orderBy(*_as_list(order)).rowsBetween(-(rows - 1), 0)
     return df.withColumn(name, F.sum(col).over(w))
