@@ -111,13 +111,15 @@ def games_df(spark, d):
     from pyspark.sql import functions as F
     from diamondlake.sources.tables import load
     li = load(spark, d, "lineitem").select(*LINE_ORDER, "l_orderkey", "l_returnflag")
-    sup = load(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    per = li.join(sup, li.l_suppkey == sup.s_suppkey).groupBy("l_orderkey").agg(
-        F.min_by("s_nationkey", F.struct(*LINE_ORDER)).alias("away_team"),
+    # aggregate lines per order first, then look up one supplier per order
+    per = li.groupBy("l_orderkey").agg(
+        F.min_by("l_suppkey", F.struct(*LINE_ORDER)).alias("first_suppkey"),
         F.count_if(F.col("l_returnflag") == "R").alias("home_score"),
         F.count_if(F.col("l_returnflag") == "A").alias("away_score"),
         F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0)).alias("home_qty"),
         F.sum(F.when(F.col("l_returnflag") == "A", F.col("l_quantity")).otherwise(0.0)).alias("away_qty"))
+    sup = load(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("away_team"))
+    per = per.join(sup, per.first_suppkey == sup.s_suppkey, "left").drop("first_suppkey", "s_suppkey")
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     cust = load(spark, d, "customer").select("c_custkey", "c_nationkey")
     gtype = F.create_map(*[F.lit(x) for kv in GAME_TYPE.items() for x in kv])
@@ -130,16 +132,17 @@ def games_df(spark, d):
 
 GAMES_SQL = """
 lines AS (
-  SELECT l.l_orderkey, s.s_nationkey, l.l_returnflag, l.l_quantity,
+  SELECT l.l_orderkey, l.l_suppkey, l.l_returnflag, l.l_quantity,
          ROW_NUMBER() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
                             l.l_quantity, l.l_extendedprice, l.l_shipdate) AS rn
-  FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey),
-per AS (
-  SELECT l_orderkey, MAX(CASE WHEN rn = 1 THEN s_nationkey END) AS away_team,
+  FROM lineitem l),
+per0 AS (
+  SELECT l_orderkey, MAX(CASE WHEN rn = 1 THEN l_suppkey END) AS first_suppkey,
          COUNT(*) FILTER (WHERE l_returnflag = 'R') AS home_score, COUNT(*) FILTER (WHERE l_returnflag = 'A') AS away_score,
          SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS home_qty,
          SUM(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0.0 END) AS away_qty
   FROM lines GROUP BY l_orderkey),
+per AS (SELECT per0.*, s.s_nationkey AS away_team FROM per0 LEFT JOIN supplier s ON s.s_suppkey = per0.first_suppkey),
 games AS (
   SELECT o.o_orderkey AS game_pk, CAST(o.o_orderdate AS DATE) AS game_date,
          CAST(EXTRACT(YEAR FROM o.o_orderdate) AS INTEGER) AS game_year,
