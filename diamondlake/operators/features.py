@@ -1,11 +1,10 @@
 """Team-game feature engineering (U3 consumers, W6-W10 compositions, J9).
 
-The exponential average (W6) is a strict left-to-right recurrence per team.
-It runs as a grouped pandas function (one Arrow batch per team, O(n)),
-because the only built-in expression for it, an ``aggregate`` fold over a
-collected array, rebuilds the output array at every step (O(n^2)).  A team's
-rows are its schedule (one row per game), so each group is bounded by the
-length of that schedule, not by the size of the feed."""
+The exponential average (W6) used by the plans is ``operators.scan.ema_scan``
+(range-partitioned parallel prefix scan, skew-safe).  ``ema_pandas`` below is
+the per-group reference implementation (whole group in one pandas frame) and
+is only meant for groups known to be small; the tests check that both agree
+with pandas ``ewm``."""
 
 from __future__ import annotations
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up_sql as R
 from diamondlake.operators import features as FT
+from diamondlake.operators.scan import ema_scan
 from diamondlake.plans import standins as S
 from diamondlake.plans.catalog import register
 from diamondlake.plans.windows_sort import TEAM_GAMES_SQL, TEAM_ORDER, team_games
@@ -69,7 +70,7 @@ def win_ema(spark, d):
     """Exponential moving average (span 28, adjust=False) of runs scored and
     allowed per team in game order."""
     tg = known_team_games(spark, d)
-    out = FT.ema_pandas(tg, "offense_team", TEAM_ORDER, ["runs_scored", "runs_allowed"], span=SPAN)
+    out = ema_scan(tg, "offense_team", TEAM_ORDER, ["runs_scored", "runs_allowed"], span=SPAN)
     return out.select("offense_team", "game_pk", "is_home", "runs_scored_ema", "runs_allowed_ema")
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from diamondlake.functions import scalars as FN
 from diamondlake.functions.scalars import round_half_up, round_half_up_sql as R
 from diamondlake.operators import models as M
-from diamondlake.operators.features import ema_pandas, join_matchup
+from diamondlake.operators.features import join_matchup
+from diamondlake.operators.scan import ema_scan
 from diamondlake.operators.ordering import split_hash
 from diamondlake.plans.catalog import register
 from diamondlake.plans.features import FEATURES, feature_table
@@ -71,7 +72,7 @@ def forecast_features(spark, d):
     """M5: roll every team's features forward ``HORIZON`` games with one random
     forest (100 trees, seed 42) per target, EMAs frozen."""
     ft = feature_table(spark, d).dropna(subset=FORECAST_TARGETS)
-    ema = ema_pandas(ft, "offense_team", TEAM_ORDER, FORECAST_TARGETS, span=28)
+    ema = ema_scan(ft, "offense_team", TEAM_ORDER, FORECAST_TARGETS, span=28)
     ema = ema.select("offense_team", *TEAM_ORDER, *[F.col(f"{t}_ema") for t in FORECAST_TARGETS])
     feats = ft.join(ema, ["offense_team", *TEAM_ORDER])
     return M.forecast_features(feats, "offense_team", TEAM_ORDER, FORECAST_TARGETS,

@@ -77,6 +77,11 @@ def test_ema_matches_pandas_both_paths(spark, vals):
     exp = _pandas_ewm(vals)
     got_p = [r["x_ema"] for r in FT.ema_pandas(df, "t", ["i"], ["x"], digits=None).orderBy("i").collect()]
     got_f = [r["x_ema"] for r in WN.ema_columns(df, "t", "i", ["x"]).orderBy("i").collect()]
+    from diamondlake.operators.scan import ema_scan
+    for parts in (1, 3):
+        got_s = [r["x_ema"] for r in ema_scan(df, "t", ["i"], ["x"], digits=None, num_partitions=parts).orderBy("i").collect()]
+        for e, v in zip(exp, got_s):
+            assert (v is None) if (e is None or math.isnan(e)) else abs(e - v) < 1e-12
     for e, a, b in zip(exp, got_p, got_f):
         if e is None or (isinstance(e, float) and math.isnan(e)):
             assert a is None or math.isnan(a)
@@ -280,3 +285,20 @@ def test_plans_avoid_cartesian_and_use_group_limit(spark):
             "BroadcastNestedLoopJoin BuildRight, Cross", ""), k
     top = O.topk_per_group_mean(spark.range(100).withColumn("g", F.col("id") % 3), "g", [F.desc("id")], 5, ["id"])
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ema_scan_hot_entity_spanning_partitions(spark):
+    import random
+    from diamondlake.operators.scan import ema_scan
+    rnd = random.Random(5)
+    data = [(t, i, None if rnd.random() < 0.2 else rnd.uniform(0, 10)) for t, n in ((1, 400), (2, 2), (3, 50))
+            for i in range(n)]
+    rnd.shuffle(data)
+    df = spark.createDataFrame(data, "t long, i long, x double")
+    pdf = pd.DataFrame(data, columns=["t", "i", "x"]).sort_values(["t", "i"])
+    exp = {(t, i): e for t, g in pdf.groupby("t")
+           for i, e in zip(g["i"], g["x"].astype(float).ewm(span=28, adjust=False).mean())}
+    for parts in (5, 11):
+        for r in ema_scan(df, "t", ["i"], ["x"], digits=None, num_partitions=parts).collect():
+            e = exp[(r["t"], r["i"])]
+            assert (r["x_ema"] is None) if math.isnan(e) else abs(r["x_ema"] - e) < 1e-9
