@@ -185,3 +185,67 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
              .otherwise(F.col(f"__r_{c}") * y1 + F.col(f"__s_{c}")))
         outs.append((round_half_up(y, digits) if digits is not None else y).alias(c + suffix))
     return j.select(*keep, *cols, *outs)
+
+
+def neighbor_scan(df: DataFrame, group: list[str], order: list[str], value: str, prev_name: str, next_name: str,
+                  num_partitions: int | None = None) -> DataFrame:
+    """Skew-safe LAG/LEAD by one row inside ``group`` in ``order`` (a total order).
+
+    Rows are range-partitioned on (group, order), so a hot group is spread over
+    several balanced partitions.  Each partition shifts locally; the only rows
+    whose neighbour lives in another partition are a partition's first and last
+    row, and those two rows per partition are resolved from a broadcast table
+    of partition edges (size bounded by the partition count)."""
+    spark = df.sparkSession
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = group + order
+    ordered = (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+               .withColumn("__pid", F.spark_partition_id()))
+    fields = [StructField(f.name, f.dataType, True) for f in ordered.schema.fields]
+    vtype = ordered.schema[value].dataType
+    out_schema = StructType(fields + [StructField(prev_name, vtype, True), StructField(next_name, vtype, True),
+                                      StructField("__edge", StringType(), True)])
+    names = [f.name for f in out_schema.fields]
+
+    def local(batches):
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        n = len(pdf)
+        gk = pd.Series(list(zip(*[pdf[c].tolist() for c in group])))
+        same_prev = np.r_[False, (gk.iloc[1:].to_numpy() == gk.iloc[:-1].to_numpy())]
+        same_next = np.r_[same_prev[1:], False]
+        v = pdf[value]
+        pdf[prev_name] = v.shift(1).astype(object).where(same_prev, None)
+        pdf[next_name] = v.shift(-1).astype(object).where(same_next, None)
+        edge = np.array([None] * n, dtype=object)
+        edge[0] = "first"
+        edge[-1] = "both" if n == 1 else "last"
+        pdf["__edge"] = edge
+        yield pdf[names]
+
+    from diamondlake.session import cut_lineage
+    loc = cut_lineage(ordered.mapInPandas(local, out_schema))
+    edges = loc.filter(F.col("__edge").isNotNull()).select("__pid", "__edge", *group, value)
+    firsts = edges.filter(F.col("__edge").isin("first", "both")).select(
+        "__pid", *[F.col(g).alias(f"__f_{g}") for g in group], F.col(value).alias("__f_v"))
+    lasts = edges.filter(F.col("__edge").isin("last", "both")).select(
+        "__pid", *[F.col(g).alias(f"__l_{g}") for g in group], F.col(value).alias("__l_v"))
+    from pyspark.sql import Window
+    w = Window.orderBy("__pid")           # over <= one row per partition
+    fl = firsts.join(lasts, "__pid")
+    fl = fl.select("__pid",
+                   *[F.lag(f"__l_{g}").over(w).alias(f"__pl_{g}") for g in group], F.lag("__l_v").over(w).alias("__pl_v"),
+                   *[F.lead(f"__f_{g}").over(w).alias(f"__nf_{g}") for g in group], F.lead("__f_v").over(w).alias("__nf_v"))
+    j = loc.join(F.broadcast(fl), "__pid", "left")
+    same_as_prev = F.lit(True)
+    same_as_next = F.lit(True)
+    for g in group:
+        same_as_prev = same_as_prev & (F.col(g) == F.col(f"__pl_{g}"))
+        same_as_next = same_as_next & (F.col(g) == F.col(f"__nf_{g}"))
+    is_first = F.col("__edge").isin("first", "both")
+    is_last = F.col("__edge").isin("last", "both")
+    prev = F.when(is_first & F.coalesce(same_as_prev, F.lit(False)), F.col("__pl_v")).otherwise(F.col(prev_name))
+    nxt = F.when(is_last & F.coalesce(same_as_next, F.lit(False)), F.col("__nf_v")).otherwise(F.col(next_name))
+    return j.select(*[c for c in df.columns], prev.alias(prev_name), nxt.alias(next_name))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import Window  # noqa: F401
 from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up, round_half_up_sql as R
@@ -264,12 +264,16 @@ FROM cnt c JOIN tot t ON t.user_id = c.user_id AND t.state = c.state"""
 
 
 def play_sequence(spark, d):
-    """Events in game order (game = player-day) with previous and next state."""
-    w = Window.partitionBy("user_id", "game_date").orderBy("ts", "event_id")
-    ev = load(spark, d, "events").withColumn("game_date", F.to_date("ts"))
-    return ev.select("user_id", "game_date", "ts", "event_id", F.col("event_type").alias("event"), "value",
-                     F.coalesce(F.lag("event_type").over(w), F.lit("start")).alias("state"),
-                     F.coalesce(F.lead("event_type").over(w), F.lit("end")).alias("next_state"))
+    """Events in game order (game = player-day) with the previous and next
+    event as states.  LAG/LEAD run as a skew-safe neighbour scan: a hot
+    player-day is split over range partitions instead of one window task."""
+    from diamondlake.operators.scan import neighbor_scan
+    ev = load(spark, d, "events").select("user_id", F.to_date("ts").alias("game_date"), "ts", "event_id",
+                                         "event_type", "value")
+    seq = neighbor_scan(ev, ["user_id", "game_date"], ["ts", "event_id"], "event_type", "__prev", "__next")
+    return seq.select("user_id", "game_date", "ts", "event_id", F.col("event_type").alias("event"), "value",
+                      F.coalesce("__prev", F.lit("start")).alias("state"),
+                      F.coalesce("__next", F.lit("end")).alias("next_state"))
 
 
 @register("transition_probs", TRANSITION_SQL)

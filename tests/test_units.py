@@ -302,3 +302,20 @@ def test_ema_scan_hot_entity_spanning_partitions(spark):
         for r in ema_scan(df, "t", ["i"], ["x"], digits=None, num_partitions=parts).collect():
             e = exp[(r["t"], r["i"])]
             assert (r["x_ema"] is None) if math.isnan(e) else abs(r["x_ema"] - e) < 1e-9
+
+
+def test_neighbor_scan_matches_pandas_shift(spark):
+    import random
+    from diamondlake.operators.scan import neighbor_scan
+    rnd = random.Random(2)
+    data = [(u, d, i, rnd.choice("abcde")) for u, n in ((1, 200), (2, 5), (3, 1)) for d in (1, 2) for i in range(n)]
+    rnd.shuffle(data)
+    df = spark.createDataFrame(data, "u long, d long, i long, e string")
+    pdf = pd.DataFrame(data, columns=list("udie")).sort_values(["u", "d", "i"])
+    pdf["p"] = pdf.groupby(["u", "d"])["e"].shift(1)
+    pdf["n"] = pdf.groupby(["u", "d"])["e"].shift(-1)
+    exp = {(r.u, r.d, r.i): (None if pd.isna(r.p) else r.p, None if pd.isna(r.n) else r.n) for r in pdf.itertuples()}
+    for parts in (1, 7):
+        got = neighbor_scan(df, ["u", "d"], ["i"], "e", "prev", "next", parts).collect()
+        assert len(got) == len(data)
+        assert all(exp[(r.u, r.d, r.i)] == (r.prev, r.next) for r in got)
