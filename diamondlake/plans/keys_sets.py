@@ -139,14 +139,18 @@ def _regular(f):
     return filter_not_in(f, "game_type", ["S", "E"])
 
 
+def _feed(spark, d, feed=None):
+    return feed if feed is not None else _regular(S.pitch_feed_df(spark, d))
+
+
 REG = "FROM feed WHERE (game_type NOT IN ('S', 'E') OR game_type IS NULL)"
 
 
 @register("q_star_game", W + f"""
 SELECT DISTINCT game_pk, game_date, game_type, home_team, away_team, game_year {REG}""")
-def q_star_game(spark, d):
+def q_star_game(spark, d, feed=None):
     """Q9 game dim: one row per game of the kept game types."""
-    f = _regular(S.pitch_feed_df(spark, d)).select("game_pk", "game_date", "game_type", "home_team", "away_team",
+    f = _feed(spark, d, feed).select("game_pk", "game_date", "game_type", "home_team", "away_team",
                                                    "game_year")
     return K.dedup_keep_first(f, ["game_pk"], ["game_date", "game_type", "home_team", "away_team", "game_year"])
 
@@ -154,9 +158,9 @@ def q_star_game(spark, d):
 @register("q_star_pitcher", W + f"""
 SELECT DISTINCT f.pitcher AS pitcher_id, s.s_name AS pitcher_name
 FROM (SELECT DISTINCT pitcher {REG}) f LEFT JOIN supplier s ON s.s_suppkey = f.pitcher""")
-def q_star_pitcher(spark, d):
+def q_star_pitcher(spark, d, feed=None):
     """Q9 pitcher dim."""
-    p = _regular(S.pitch_feed_df(spark, d)).select(F.col("pitcher").alias("pitcher_id")).distinct()
+    p = _feed(spark, d, feed).select(F.col("pitcher").alias("pitcher_id")).distinct()
     sup = load(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("pitcher_name"))
     return p.join(sup, p.pitcher_id == sup.s_suppkey, "left").select("pitcher_id", "pitcher_name")
 
@@ -164,9 +168,9 @@ def q_star_pitcher(spark, d):
 @register("q_star_hitter", W + f"""
 SELECT f.batter AS hitter_id, p.p_name AS hitter_name
 FROM (SELECT DISTINCT batter {REG}) f LEFT JOIN part p ON p.p_partkey = f.batter""")
-def q_star_hitter(spark, d):
+def q_star_hitter(spark, d, feed=None):
     """Q9 hitter dim."""
-    b = _regular(S.pitch_feed_df(spark, d)).select(F.col("batter").alias("hitter_id")).distinct()
+    b = _feed(spark, d, feed).select(F.col("batter").alias("hitter_id")).distinct()
     part = load(spark, d, "part").select("p_partkey", F.col("p_name").alias("hitter_name"))
     return b.join(part, b.hitter_id == part.p_partkey, "left").select("hitter_id", "hitter_name")
 
@@ -176,9 +180,9 @@ SELECT hit_id, game_pk, batter, launch_speed FROM (
   SELECT {_cat(HIT_KEY)} AS hit_id, game_pk, batter, release_speed AS launch_speed,
          ROW_NUMBER() OVER (PARTITION BY {_cat(HIT_KEY)} ORDER BY pitch_number, release_spin_rate) AS rn
   {REG} AND type = 'X') t WHERE rn = 1""")
-def q_star_hit(spark, d):
+def q_star_hit(spark, d, feed=None):
     """Q9 hit table: balls in play keyed by the conditional hit id, deduplicated."""
-    f = _regular(S.pitch_feed_df(spark, d)).filter(F.col("type") == "X").select(
+    f = _feed(spark, d, feed).filter(F.col("type") == "X").select(
         K.key_conditional(F.col("type") == "X", HIT_KEY).alias("hit_id"), "game_pk", "batter",
         F.col("release_speed").alias("launch_speed"), "pitch_number", "release_spin_rate")
     return K.dedup_keep_first(f, ["hit_id"], ["pitch_number", "release_spin_rate"]).select(
@@ -192,9 +196,9 @@ SELECT play_id, game_pk, events, bases, bases_after, outs_when_up FROM (
            outs_when_up, {BASES_SQL} AS bases,
            LEAD({BASES_SQL}) OVER (PARTITION BY game_pk ORDER BY at_bat_number, pitch_number) AS bases_after
     {REG}) a WHERE play_id IS NOT NULL) t WHERE rn = 1""")
-def q_star_play(spark, d):
+def q_star_play(spark, d, feed=None):
     """Q9 play table: plays with an event, base state before and after, dedup on play id."""
-    f = _regular(S.pitch_feed_df(spark, d)).withColumn(
+    f = _feed(spark, d, feed).withColumn(
         "bases", K.state_encode(["on_1b", "on_2b", "on_3b"], presence=True))
     f = lead_value(f, ["game_pk"], ["at_bat_number", "pitch_number"], "bases", "bases_after")
     f = f.withColumn("play_id", K.key_conditional(F.col("events").isNotNull(), PLAY_KEY)).filter(
@@ -211,9 +215,9 @@ SELECT pitch_id, game_id, pitcher_id, batter_id, play_id, hit_id, count_state, r
          {_cat(['balls', 'strikes'])} AS count_state, release_speed, pitch_type,
          ROW_NUMBER() OVER (PARTITION BY {_cat(PITCH_KEY)} ORDER BY release_spin_rate, shipped) AS rn
   {REG}) t WHERE rn = 1""")
-def q_star_pitch(spark, d):
+def q_star_pitch(spark, d, feed=None):
     """Q9 pitch fact keyed by the seven-part pitch id, with play/hit foreign keys."""
-    f = _regular(S.pitch_feed_df(spark, d)).select(
+    f = _feed(spark, d, feed).select(
         K.key_concat(PITCH_KEY).alias("pitch_id"), F.col("game_pk").alias("game_id"),
         F.col("pitcher").alias("pitcher_id"), F.col("batter").alias("batter_id"),
         K.key_conditional(F.col("events").isNotNull(), PLAY_KEY).alias("play_id"),
@@ -221,3 +225,19 @@ def q_star_pitch(spark, d):
         K.state_encode(["balls", "strikes"]).alias("count_state"), "release_speed", "pitch_type",
         "release_spin_rate", "shipped")
     return K.dedup_keep_first(f, ["pitch_id"], ["release_spin_rate", "shipped"]).drop("release_spin_rate", "shipped")
+
+
+def build_star_schema(spark, d, out_root: str) -> dict:
+    """Q9 as a load job: the raw feed is filtered and written once to the shared
+    store (the one cached input of the six transforms), then game, pitcher,
+    hitter, hit, play and pitch tables are derived from it and written."""
+    import os
+    from diamondlake.sources.files import cut_lineage_to
+    feed = cut_lineage_to(_regular(S.pitch_feed_df(spark, d)), os.path.join(out_root, "_feed"))
+    built = {}
+    for name, fn in (("game", q_star_game), ("pitcher", q_star_pitcher), ("hitter", q_star_hitter),
+                     ("hit", q_star_hit), ("play", q_star_play), ("pitch", q_star_pitch)):
+        path = os.path.join(out_root, name)
+        fn(spark, d, feed).write.mode("overwrite").parquet(path)
+        built[name] = path
+    return built

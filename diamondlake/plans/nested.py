@@ -47,19 +47,19 @@ BOX = (StructType()
 
 
 def box_scores(spark, d):
-    """One box score per region: home batters = its even-keyed nations, away =
-    odd-keyed; batting order = lineup slot + '0' for starters, '1' for
-    substitutes (names longer than 8 letters).  A region has a bounded number
-    of nations, so the per-region arrays are small."""
+    """One box score per region: home batters = its nations named A-L, away =
+    its nations named M-Z; batting order = lineup slot + '0' for starters, '1'
+    for substitutes (names longer than 8 letters).  A region has a bounded
+    number of nations, so the per-region arrays are small."""
     from pyspark.sql import Window
-    n = load(spark, d, "nation")
-    w = Window.partitionBy("n_regionkey", F.col("n_nationkey") % 2).orderBy("n_nationkey")
+    n = load(spark, d, "nation").withColumn("__home", F.col("n_name") < "M")
+    w = Window.partitionBy("n_regionkey", "__home").orderBy("n_nationkey")
     n = n.withColumn("slot", F.row_number().over(w)).withColumn(
         "battingOrder", F.concat(F.col("slot").cast("string"), F.when(F.length("n_name") > 8, "1").otherwise("0")))
     b = F.struct(F.col("n_nationkey").cast("long").alias("personId"), "battingOrder", F.col("n_name").alias("name"))
     per = n.groupBy("n_regionkey").agg(
-        F.sort_array(F.collect_list(F.when(F.col("n_nationkey") % 2 == 0, F.struct(F.col("n_nationkey"), b)))).alias("h"),
-        F.sort_array(F.collect_list(F.when(F.col("n_nationkey") % 2 == 1, F.struct(F.col("n_nationkey"), b)))).alias("a"))
+        F.sort_array(F.collect_list(F.when(F.col("__home"), F.struct(F.col("n_nationkey"), b)))).alias("h"),
+        F.sort_array(F.collect_list(F.when(~F.col("__home"), F.struct(F.col("n_nationkey"), b)))).alias("a"))
     r = load(spark, d, "region")
     j = per.join(r, per.n_regionkey == r.r_regionkey)
     doc = F.struct(
@@ -71,11 +71,11 @@ def box_scores(spark, d):
 
 
 @register("boxscore_lineups", """
-WITH n AS (SELECT n_nationkey, n_name, n_regionkey, n_nationkey % 2 AS side_bit,
-                  ROW_NUMBER() OVER (PARTITION BY n_regionkey, n_nationkey % 2 ORDER BY n_nationkey) AS slot
+WITH n AS (SELECT n_nationkey, n_name, n_regionkey, n_name < 'M' AS is_home,
+                  ROW_NUMBER() OVER (PARTITION BY n_regionkey, n_name < 'M' ORDER BY n_nationkey) AS slot
            FROM nation)
-SELECT r.r_regionkey AS game_pk, CASE WHEN side_bit = 0 THEN 'home' ELSE 'away' END AS side,
-       CASE WHEN side_bit = 0 THEN upper(substr(r.r_name, 1, 3)) ELSE lower(substr(r.r_name, 1, 3)) END AS team,
+SELECT r.r_regionkey AS game_pk, CASE WHEN is_home THEN 'home' ELSE 'away' END AS side,
+       CASE WHEN is_home THEN upper(substr(r.r_name, 1, 3)) ELSE lower(substr(r.r_name, 1, 3)) END AS team,
        CAST(n.n_nationkey AS BIGINT) AS person_id, n.n_name AS name, CAST(slot AS VARCHAR) AS slot
 FROM n JOIN region r ON r.r_regionkey = n.n_regionkey WHERE length(n.n_name) <= 8""")
 def boxscore_lineups(spark, d):

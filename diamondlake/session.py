@@ -52,14 +52,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
     tests) create a private scratch folder for it."""
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (a remote session has no SparkContext; the server owns the dir)
+        sc = None
+    configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
         return configured
-    local = tempfile.mkdtemp(prefix="diamondlake-ckpt-")
+    local = tempfile.mkdtemp(prefix="diamondlake-ckpt-")   # only when the cluster names none (tests)
     spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
