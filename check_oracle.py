@@ -2,7 +2,7 @@
 on Spark and its oracle SQL on DuckDB over the same parquet tables, compare
 row count, column names and order-insensitive values.
 
-usage: python check_oracle.py [SF_DIR] [key ...]
+usage: python check_oracle.py [--exact] [SF_DIR] [key ...]   (--exact: no float tolerance)
 """
 
 from __future__ import annotations
@@ -19,13 +19,16 @@ from diamondlake.session import build_session
 from diamondlake.sources.tables import TABLES, table_path
 
 
+EXACT = False
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "isoformat"):
         return str(pd.Timestamp(v))
     if isinstance(v, (list, tuple)):
@@ -65,6 +68,10 @@ def compare(spark, con, sf_dir, key, fn, sql):
 
 
 def main(argv):
+    global EXACT
+    if "--exact" in argv:
+        EXACT = True
+        argv = [a for a in argv if a != "--exact"]
     sf_dir = argv[0] if argv and argv[0].startswith("/") else "/root/testdata/sf0.01"
     keys = [a for a in argv if not a.startswith("/")]
     spark = build_session()
