@@ -33,6 +33,14 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, Str
 from diamondlake.functions.scalars import round_half_up
 
 
+def _range_partition(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataFrame:
+    """Range partitioning on the full sort key.  Without an explicit count the
+    shuffle uses ``spark.sql.shuffle.partitions`` and AQE may merge adjacent
+    small ranges; merged partitions stay contiguous and in key order, which is
+    all the scans rely on."""
+    return df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+
+
 def _local_fields(c: str) -> list[StructField]:
     return [StructField(f"__y0_{c}", DoubleType()), StructField(f"__r_{c}", DoubleType()),
             StructField(f"__s_{c}", DoubleType()), StructField(f"__pre_{c}", BooleanType()),
@@ -45,13 +53,11 @@ def _local_fields(c: str) -> list[StructField]:
 
 def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span: int = 28,
              suffix: str = "_ema", digits: int | None = 4, num_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
     alpha = 1.0 / (1.0 + (span - 1) / 2.0)     # pandas: com = (span - 1) / 2, alpha = 1 / (1 + com)
     a = 1.0 - alpha
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keep = [entity] + [c for c in order if c != entity]
     src = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols])
-    ordered = (src.repartitionByRange(parts, *keep).sortWithinPartitions(*keep)
+    ordered = (_range_partition(src, keep, num_partitions).sortWithinPartitions(*keep)
                .withColumn("__pid", F.spark_partition_id()))
     base_fields = [StructField(f.name, f.dataType, True) for f in ordered.schema.fields]  # summary rows leave them NULL
     out_schema = StructType(base_fields + [StructField("__kind", StringType()), StructField("__nrows", LongType()),
@@ -196,10 +202,8 @@ def neighbor_scan(df: DataFrame, group: list[str], order: list[str], value: str,
     whose neighbour lives in another partition are a partition's first and last
     row, and those two rows per partition are resolved from a broadcast table
     of partition edges (size bounded by the partition count)."""
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = group + order
-    ordered = (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    ordered = (_range_partition(df, keys, num_partitions).sortWithinPartitions(*keys)
                .withColumn("__pid", F.spark_partition_id()))
     fields = [StructField(f.name, f.dataType, True) for f in ordered.schema.fields]
     vtype = ordered.schema[value].dataType
