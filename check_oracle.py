@@ -2,7 +2,8 @@
 on Spark and its oracle SQL on DuckDB over the same parquet tables, compare
 row count, column names and order-insensitive values.
 
-usage: python check_oracle.py [--exact] [SF_DIR] [key ...]   (--exact: no float tolerance)
+usage: python check_oracle.py [--exact] [--types] [SF_DIR] [key ...]
+(--exact: no float tolerance; --types: column types must correspond too)
 """
 
 from __future__ import annotations
@@ -46,13 +47,34 @@ def _rows(pdf: pd.DataFrame):
     return cols, sorted(rows, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
-def compare(spark, con, sf_dir, key, fn, sql):
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "DateType": "DATE", "TimestampNTZType": "TIMESTAMP", "TimestampType": "TIMESTAMP WITH TIME ZONE",
+                 "BooleanType": "BOOLEAN", "FloatType": "FLOAT", "ShortType": "SMALLINT"}
+
+
+def type_diffs(sdf, con, sql):
+    """Column type differences between the Spark result and the oracle."""
+    duck = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({sql})").fetchall()}
+    out = []
+    for f in sdf.schema.fields:
+        st = SPARK_TO_DUCK.get(type(f.dataType).__name__, f.dataType.simpleString().upper())
+        dt = duck.get(f.name)
+        if dt is not None and st != dt:
+            out.append(f"{f.name}: spark {st} / duck {dt}")
+    return out
+
+
+def compare(spark, con, sf_dir, key, fn, sql, check_types=False):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     spdf = sdf.toPandas()
     t1 = time.time()
     if sql is None:
         return dict(key=key, rows=len(spdf), status="rows-only", spark_s=round(t1 - t0, 2))
+    if check_types:
+        td = type_diffs(sdf, con, sql)
+        if td:
+            return dict(key=key, rows=len(spdf), status=f"TYPES {td}", spark_s=round(t1 - t0, 2))
     dpdf = con.execute(sql).df()
     sc, sr = _rows(spdf)
     dc, dr = _rows(dpdf)
@@ -72,6 +94,8 @@ def main(argv):
     if "--exact" in argv:
         EXACT = True
         argv = [a for a in argv if a != "--exact"]
+    check_types = "--types" in argv
+    argv = [a for a in argv if a != "--types"]
     sf_dir = argv[0] if argv and argv[0].startswith("/") else "/root/testdata/sf0.01"
     keys = [a for a in argv if not a.startswith("/")]
     spark = build_session()
@@ -83,7 +107,7 @@ def main(argv):
     bad = 0
     for k in keys or sorted(qs):
         try:
-            r = compare(spark, con, sf_dir, k, qs[k], orc.get(k))
+            r = compare(spark, con, sf_dir, k, qs[k], orc.get(k), check_types)
         except Exception as e:  # noqa: BLE001
             r = dict(key=k, status=f"ERROR {type(e).__name__}: {str(e)[:300]}")
         bad += r["status"] not in ("ok", "rows-only")

@@ -39,7 +39,7 @@ SELECT offense_team, defense_team, game_pk, game_date, is_home, win,
   {R(f"CAST({_prior('SUM(runs_scored)', 'offense_team, season')} AS DOUBLE) / NULLIF({_prior('SUM(one)', 'offense_team, season')}, 0)", 4)} AS std_runs_pg,
   {R(f"CAST({_prior('SUM(runs_allowed)', 'offense_team, season')} AS DOUBLE) / NULLIF({_prior('SUM(one)', 'offense_team, season')}, 0)", 4)} AS std_runs_allowed_pg,
   {R("CAST(SUM(runs_scored) OVER w7 AS DOUBLE) / NULLIF(SUM(one) OVER w7, 0)", 4)} AS runs_7d,
-  SUM(win) OVER (PARTITION BY offense_team ORDER BY game_date, game_pk, is_home ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS wins_last_10
+  CAST(SUM(win) OVER (PARTITION BY offense_team ORDER BY game_date, game_pk, is_home ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS BIGINT) AS wins_last_10
 FROM k WINDOW w7 AS (PARTITION BY offense_team ORDER BY game_date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
 """
 

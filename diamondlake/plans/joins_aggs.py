@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window  # noqa: F401
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up, round_half_up_sql as R
@@ -128,7 +128,7 @@ def q_stat_usefulness(spark, d):
     over one row per predictor (bounded), so its single partition is tiny."""
     lr = linregress_many(spark, d)
     return lr.select("predictor", "r", "slope", "intercept", F.row_number().over(
-        Window.orderBy(F.desc("r"), "predictor")).alias("rank")).orderBy("rank")
+        Window.orderBy(F.desc("r"), "predictor")).cast("bigint").alias("rank")).orderBy("rank")
 
 
 CORR_COLS = ["runs", "n_orders", "n_lines", "qty", "n_returned", "acctbal", "max_price"]

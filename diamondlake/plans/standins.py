@@ -175,7 +175,7 @@ def pitch_feed_df(spark, d):
     return f.select(
         "game_pk", "game_date", "game_year", "game_type", "home_team", "away_team",
         F.col("l_suppkey").alias("pitcher"), F.col("l_partkey").alias("batter"),
-        F.col("l_linenumber").alias("at_bat_number"), F.row_number().over(w).alias("pitch_number"),
+        F.col("l_linenumber").alias("at_bat_number"), F.row_number().over(w).cast("bigint").alias("pitch_number"),
         F.col("l_linenumber").alias("inning"),
         F.when(F.col("l_linestatus") == "O", "Top").otherwise("Bot").alias("inning_topbot"),
         F.floor(F.col("l_discount") * 30).cast("int").alias("balls"),

@@ -55,7 +55,7 @@ def win_trailing_7d(spark, d):
 
 
 @register("win_rolling_10", TEAM_GAMES_SQL + f"""
-SELECT offense_team, game_pk, is_home, SUM(win) OVER ({TW} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS wins_last_10
+SELECT offense_team, game_pk, is_home, CAST(SUM(win) OVER ({TW} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS BIGINT) AS wins_last_10
 FROM tg""")
 def win_rolling_10(spark, d):
     """Rolling count of wins over the last ten games, min_periods 1."""
@@ -84,7 +84,7 @@ pr AS (SELECT g.game_pk, g.game_date, mv.predicted, g.home_score > g.away_score
 
 
 @register("win_running_accuracy", PRED_SQL + f"""
-SELECT game_pk, game_date, COUNT(*) OVER w AS games_so_far, SUM(CAST(correct AS INTEGER)) OVER w AS correct_so_far,
+SELECT game_pk, game_date, COUNT(*) OVER w AS games_so_far, CAST(SUM(CAST(correct AS INTEGER)) OVER w AS BIGINT) AS correct_so_far,
        {R('CAST(SUM(CAST(correct AS INTEGER)) OVER w AS DOUBLE) / COUNT(*) OVER w', 4)} AS running_accuracy
 FROM pr WINDOW w AS (ORDER BY game_date, game_pk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def win_running_accuracy(spark, d):

@@ -13,7 +13,7 @@ ORACLE = oracle_sql()
 
 @pytest.mark.parametrize("key", sorted(QS))
 def test_query_matches_oracle(spark, duck, key):
-    r = compare(spark, duck, SF_SMALL, key, QS[key], ORACLE.get(key))
+    r = compare(spark, duck, SF_SMALL, key, QS[key], ORACLE.get(key), check_types=True)
     assert r["status"] in ("ok", "rows-only"), r
 
 
