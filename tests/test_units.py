@@ -319,3 +319,13 @@ def test_neighbor_scan_matches_pandas_shift(spark):
         got = neighbor_scan(df, ["u", "d"], ["i"], "e", "prev", "next", parts).collect()
         assert len(got) == len(data)
         assert all(exp[(r.u, r.d, r.i)] == (r.prev, r.next) for r in got)
+
+
+def test_forecast_horizon_zero_is_last_observed_row(spark):
+    from diamondlake.operators import models as M
+    data = [(t, i, float(i % 5) + t, float(i) / 10 + t) for t in (1, 2) for i in range(30)]
+    df = spark.createDataFrame(data, "t long, i long, x double, e double")
+    last = M.forecast_features(df, "t", ["i"], ["x"], ["e"], horizon=0, num_trees=3).collect()
+    assert sorted((r["t"], r["x"], r["e"], r["horizon"]) for r in last) == [(1, 5.0, 3.9, 0), (2, 6.0, 4.9, 0)]
+    ahead = M.forecast_features(df, "t", ["i"], ["x"], ["e"], horizon=2, num_trees=3).collect()
+    assert len(ahead) == 2 and all(r["horizon"] == 2 and r["e"] in (3.9, 4.9) for r in ahead)
