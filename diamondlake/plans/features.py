@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from diamondlake.functions.scalars import round_half_up_sql as R
 from diamondlake.operators import features as FT
 from diamondlake.operators.scan import ema_scan
-from diamondlake.plans import standins as S
 from diamondlake.plans.catalog import register
 from diamondlake.plans.windows_sort import TEAM_GAMES_SQL, TEAM_ORDER, team_games
 
