@@ -39,23 +39,30 @@ def ema_pandas(df: DataFrame, entity: str, order: list[str], cols: list[str], sp
 
 
 def team_game_features(team_games: DataFrame, team: str, order: list[str], season: str, date_col: str,
-                       include_current: bool = False) -> DataFrame:
+                       include_current: bool = False, skew_safe: bool = True) -> DataFrame:
     """Q10 features per (team, game): season-to-date win rate and run rates,
     trailing 7-day runs per game, wins in the last ten games.
     ``include_current=False`` (default) uses only earlier games, so a game's
-    own result never leaks into its features."""
+    own result never leaks into its features.  With ``skew_safe`` the running
+    and rolling sums come from range-partitioned scans (one per grouping)
+    instead of per-team windows; the 7-day RANGE frame stays a window."""
     tg = team_games
-    tg = WN.running_ratio(tg, [team, season], order, "win", "one", "std_win_pct", include_current)
-    tg = WN.running_ratio(tg, [team, season], order, "runs_scored", "one", "std_runs_pg", include_current)
-    tg = WN.running_ratio(tg, [team, season], order, "runs_allowed", "one", "std_runs_allowed_pg", include_current)
-    tg = WN.trailing_days_ratio(tg, team, date_col, "runs_scored", "one", "runs_7d", 7, include_current)
-    if include_current:
-        tg = WN.rolling_sum(tg, team, order, "win", "wins_last_10", 10)
+    if skew_safe:
+        from diamondlake.operators.scan import cumulative_sums
+        cs = cumulative_sums(tg, [team, season], order, ["win", "runs_scored", "runs_allowed", "one"],
+                             rank_name="__rk_s", prefix="__c_")
+        sub = (lambda c: F.lit(0)) if include_current else (lambda c: F.coalesce(F.col(c), F.lit(0)))
+        den = F.col("__c_one") - sub("one")
+        for col, out in (("win", "std_win_pct"), ("runs_scored", "std_runs_pg"), ("runs_allowed", "std_runs_allowed_pg")):
+            cs = cs.withColumn(out, round_half_up(F.try_divide((F.col(f"__c_{col}") - sub(col)).cast("double"), den), 4))
+        tg = cs.drop(*[f"__c_{c}" for c in ("win", "runs_scored", "runs_allowed", "one")], "__rk_s")
+        tg = WN.rolling_sum(tg, team, order, "win", "wins_last_10", 10, include_current, skew_safe=True)
     else:
-        from pyspark.sql import Window
-        w = Window.partitionBy(team).orderBy(*order).rowsBetween(-10, -1)
-        tg = tg.withColumn("wins_last_10", F.sum("win").over(w))
-    return tg
+        tg = WN.running_ratio(tg, [team, season], order, "win", "one", "std_win_pct", include_current)
+        tg = WN.running_ratio(tg, [team, season], order, "runs_scored", "one", "std_runs_pg", include_current)
+        tg = WN.running_ratio(tg, [team, season], order, "runs_allowed", "one", "std_runs_allowed_pg", include_current)
+        tg = WN.rolling_sum(tg, team, order, "win", "wins_last_10", 10, include_current)
+    return WN.trailing_days_ratio(tg, team, date_col, "runs_scored", "one", "runs_7d", 7, include_current)
 
 
 def join_matchup(games: DataFrame, features: DataFrame, key: list[str], side_col: str, feature_cols: list[str],

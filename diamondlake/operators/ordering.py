@@ -53,9 +53,16 @@ def split_hash(df: DataFrame, key: list[str], train_fraction_hex: str = "cccd",
 
 
 def split_chronological(df: DataFrame, entity: str, order: list[str], train_fraction: float = 0.8,
-                        name: str = "split") -> DataFrame:
-    """First 80 % of each entity's rows in time order are train (per-entity
-    windows; an entity is one team's schedule)."""
-    w = Window.partitionBy(entity).orderBy(*order)
-    n = F.count(F.lit(1)).over(Window.partitionBy(entity))
-    return df.withColumn(name, F.when(F.row_number().over(w) <= F.floor(n * train_fraction), "train").otherwise("test"))
+                        name: str = "split", skew_safe: bool = False) -> DataFrame:
+    """First 80 % of each entity's rows in time order are train.  The
+    per-entity row count is an aggregate; the row rank is a window, or with
+    ``skew_safe`` the range-partitioned running count."""
+    n = df.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
+    if skew_safe:
+        from diamondlake.operators.scan import cumulative_sums
+        ranked = cumulative_sums(df, [entity], order, [], rank_name="__rk")
+    else:
+        ranked = df.withColumn("__rk", F.row_number().over(Window.partitionBy(entity).orderBy(*order)))
+    j = ranked.join(n, entity)
+    return j.withColumn(name, F.when(F.col("__rk") <= F.floor(F.col("__n") * train_fraction), "train")
+                        .otherwise("test")).drop("__rk", "__n")

@@ -253,3 +253,67 @@ def neighbor_scan(df: DataFrame, group: list[str], order: list[str], value: str,
     prev = F.when(is_first & F.coalesce(same_as_prev, F.lit(False)), F.col("__pl_v")).otherwise(F.col(prev_name))
     nxt = F.when(is_last & F.coalesce(same_as_next, F.lit(False)), F.col("__nf_v")).otherwise(F.col(next_name))
     return j.select(*[c for c in df.columns], prev.alias(prev_name), nxt.alias(next_name))
+
+
+def cumulative_sums(df: DataFrame, group: list[str], order: list[str], cols: list[str],
+                    rank_name: str = "__rank", prefix: str = "cum_", num_partitions: int | None = None) -> DataFrame:
+    """Skew-safe running SUM (inclusive) of ``cols`` and the running row number
+    per ``group`` in ``order`` (a total order).
+
+    Same two passes as ``ema_scan``: local cumulative sums inside balanced
+    range partitions, then per-group offsets from the partitions before it.
+    Only a partition's first entity segment can continue an earlier partition,
+    so offsets come from at most two summary rows per partition."""
+    keys = group + order
+    src = df
+    ordered = (_range_partition(src, keys, num_partitions).sortWithinPartitions(*keys)
+               .withColumn("__pid", F.spark_partition_id()))
+    fields = [StructField(f.name, f.dataType, True) for f in ordered.schema.fields]
+    cum_fields = [StructField(prefix + c, DoubleType() if not isinstance(ordered.schema[c].dataType, LongType)
+                              else LongType(), True) for c in cols]
+    out_schema = StructType(fields + cum_fields + [StructField(rank_name, LongType(), True),
+                                                   StructField("__seg", StringType(), True),
+                                                   StructField("__kind", StringType(), True)])
+    names = [f.name for f in out_schema.fields]
+    long_cols = {c for c in cols if isinstance(ordered.schema[c].dataType, LongType)}
+
+    def local(batches):
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        n = len(pdf)
+        gk = pd.Series(list(zip(*[pdf[c].tolist() for c in group])))
+        start = np.r_[True, gk.iloc[1:].to_numpy() != gk.iloc[:-1].to_numpy()]
+        seg = np.cumsum(start) - 1
+        nseg = int(seg[-1]) + 1
+        for c in cols:
+            v = pdf[c].fillna(0)
+            pdf[prefix + c] = v.groupby(seg).cumsum().astype("int64" if c in long_cols else "float64")
+        pdf[rank_name] = pd.Series(np.ones(n, dtype=np.int64)).groupby(seg).cumsum().to_numpy()
+        pdf["__seg"] = np.where(seg == 0, "first", np.where(seg == nseg - 1, "last", "mid"))
+        pdf["__kind"] = "row"
+        yield pdf[names]
+        ends = [nseg - 1] if nseg == 1 else [0, nseg - 1]
+        last_rows = np.r_[np.flatnonzero(start)[1:] - 1, n - 1]
+        summ = pdf.iloc[[int(last_rows[k]) for k in ends]].copy()
+        summ["__kind"] = "sum"
+        summ["__seg"] = ["first" if (k == 0 and nseg > 1) else ("last" if nseg > 1 else "only") for k in ends]
+        yield summ[names]
+
+    from diamondlake.session import cut_lineage
+    loc = cut_lineage(ordered.mapInPandas(local, out_schema))
+    from pyspark.sql import Window
+    sums = loc.filter(F.col("__kind") == "sum")
+    w = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*group, "__pid",
+                          *[F.coalesce(F.sum(prefix + c).over(w), F.lit(0)).alias(f"__off_{c}") for c in cols],
+                          F.coalesce(F.sum(rank_name).over(w), F.lit(0)).alias("__off_rank"))
+    offsets = offsets.filter(F.col("__off_rank") > 0)       # only segments that continue an earlier partition
+    rows = loc.filter((F.col("__kind") == "row"))
+    j = rows.join(F.broadcast(offsets), [*group, "__pid"], "left")   # <= 2 rows per partition
+    out = [F.col(c) for c in df.columns]
+    out += [(F.col(prefix + c) + F.coalesce(F.col(f"__off_{c}"), F.lit(0))).cast(
+        "bigint" if c in long_cols else "double").alias(prefix + c) for c in cols]
+    out.append((F.col(rank_name) + F.coalesce(F.col("__off_rank"), F.lit(0))).cast("bigint").alias(rank_name))
+    return j.select(*out)

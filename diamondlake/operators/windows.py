@@ -121,10 +121,19 @@ def _as_list(x):
 
 
 def running_ratio(df: DataFrame, entity, order, num: str, den: str, name: str,
-                  include_current: bool = True, digits: int = 4) -> DataFrame:
+                  include_current: bool = True, digits: int = 4, skew_safe: bool = False) -> DataFrame:
     """W7 season-to-date rate: running SUM(num)/SUM(den) from the first row of
     the partition.  ``include_current=False`` stops at the previous row, so a
-    game's own result does not leak into its feature."""
+    game's own result does not leak into its feature.  ``skew_safe`` computes
+    the running sums with the range-partitioned scan instead of a window, so a
+    hot entity is not processed by one task."""
+    if skew_safe:
+        from diamondlake.operators.scan import cumulative_sums
+        cs = cumulative_sums(df, _as_list(entity), _as_list(order), [num, den], rank_name="__rk", prefix="__cum_")
+        n = F.col(f"__cum_{num}") - (F.lit(0) if include_current else F.coalesce(F.col(num), F.lit(0)))
+        d = F.col(f"__cum_{den}") - (F.lit(0) if include_current else F.coalesce(F.col(den), F.lit(0)))
+        return cs.withColumn(name, round_half_up(F.try_divide(n.cast("double"), d), digits)).drop(
+            f"__cum_{num}", f"__cum_{den}", "__rk")
     end = 0 if include_current else -1
     w = Window.partitionBy(*_as_list(entity)).orderBy(*_as_list(order)).rowsBetween(Window.unboundedPreceding, end)
     return df.withColumn(name, round_half_up(F.try_divide(F.sum(num).over(w).cast("double"), F.sum(den).over(w)), digits))
@@ -161,7 +170,27 @@ def running_accuracy(df: DataFrame, date_col: str, tiebreak: str, correct_col: s
         "__n0", "__c0", "__ni", "__ci")
 
 
-def rolling_sum(df: DataFrame, entity, order, col: str, name: str, rows: int = 10) -> DataFrame:
-    """Rolling sum of the last ``rows`` rows, min_periods 1."""
-    w = Window.partitionBy(*_as_list(entity)).orderBy(*_as_list(order)).rowsBetween(-(rows - 1), 0)
+def rolling_sum(df: DataFrame, entity, order, col: str, name: str, rows: int = 10,
+                include_current: bool = True, skew_safe: bool = False) -> DataFrame:
+    """Rolling sum of the last ``rows`` rows (min_periods 1); with
+    ``include_current=False`` the ``rows`` rows before the current one (NULL
+    for an entity's first row).  ``skew_safe``: S(t) - S(t-rows) from the
+    range-partitioned running sum, the lagged S fetched by a join on
+    (entity, rank) -- unique keys, so a hot entity's rows hash-spread evenly."""
+    ent = _as_list(entity)
+    if skew_safe:
+        from diamondlake.operators.scan import cumulative_sums
+        cs = cumulative_sums(df, ent, _as_list(order), [col], rank_name="__rk", prefix="__cum_")
+        back = rows if include_current else rows + 1
+        lagged = cs.select(*[F.col(e).alias(f"__l_{e}") for e in ent], (F.col("__rk") + back).alias("__l_rk"),
+                           F.col(f"__cum_{col}").alias("__l_cum"))
+        cond = [cs[e] == lagged[f"__l_{e}"] for e in ent] + [cs["__rk"] == lagged["__l_rk"]]
+        j = cs.join(lagged, cond, "left")
+        upto = F.col(f"__cum_{col}") - (F.lit(0) if include_current else F.coalesce(F.col(col), F.lit(0)))
+        val = upto - F.coalesce(F.col("__l_cum"), F.lit(0))
+        if not include_current:
+            val = F.when(F.col("__rk") > 1, val)
+        return j.withColumn(name, val).drop(f"__cum_{col}", "__rk", *[f"__l_{e}" for e in ent], "__l_rk", "__l_cum")
+    frame = (-(rows - 1), 0) if include_current else (-rows, -1)
+    w = Window.partitionBy(*ent).orderBy(*_as_list(order)).rowsBetween(*frame)
     return df.withColumn(name, F.sum(col).over(w))

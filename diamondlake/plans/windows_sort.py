@@ -39,7 +39,7 @@ FROM tg""")
 def win_season_to_date(spark, d):
     """Season-to-date win rate per team (as written: includes the game itself)."""
     tg = team_games(spark, d)
-    out = WN.running_ratio(tg, ["offense_team", "season"], TEAM_ORDER, "win", "one", "std_win_pct")
+    out = WN.running_ratio(tg, ["offense_team", "season"], TEAM_ORDER, "win", "one", "std_win_pct", skew_safe=True)
     return out.select("offense_team", "game_pk", "is_home", "game_date", "std_win_pct")
 
 
@@ -59,7 +59,8 @@ SELECT offense_team, game_pk, is_home, CAST(SUM(win) OVER ({TW} ROWS BETWEEN 9 P
 FROM tg""")
 def win_rolling_10(spark, d):
     """Rolling count of wins over the last ten games, min_periods 1."""
-    out = WN.rolling_sum(team_games(spark, d), "offense_team", TEAM_ORDER, "win", "wins_last_10", rows=10)
+    out = WN.rolling_sum(team_games(spark, d), "offense_team", TEAM_ORDER, "win", "wins_last_10", rows=10,
+                         skew_safe=True)
     return out.select("offense_team", "game_pk", "is_home", F.col("wins_last_10").cast("bigint").alias("wins_last_10"))
 
 
@@ -184,5 +185,5 @@ SELECT offense_team, game_pk, is_home,
 FROM tg""")
 def split_chronological(spark, d):
     """Chronological 80/20 split per team."""
-    out = O.split_chronological(team_games(spark, d), "offense_team", TEAM_ORDER)
+    out = O.split_chronological(team_games(spark, d), "offense_team", TEAM_ORDER, skew_safe=True)
     return out.select("offense_team", "game_pk", "is_home", "split")

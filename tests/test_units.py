@@ -329,3 +329,27 @@ def test_forecast_horizon_zero_is_last_observed_row(spark):
     assert sorted((r["t"], r["x"], r["e"], r["horizon"]) for r in last) == [(1, 5.0, 3.9, 0), (2, 6.0, 4.9, 0)]
     ahead = M.forecast_features(df, "t", ["i"], ["x"], ["e"], horizon=2, num_trees=3).collect()
     assert len(ahead) == 2 and all(r["horizon"] == 2 and r["e"] in (3.9, 4.9) for r in ahead)
+
+
+def test_cumulative_sums_and_skew_safe_windows_match_windows(spark):
+    import random
+    from diamondlake.operators.scan import cumulative_sums
+    rnd = random.Random(4)
+    data = [(t, s, i, rnd.randint(0, 3), 1) for t, n in ((1, 150), (2, 3), (3, 1)) for s in (1, 2) for i in range(n)]
+    rnd.shuffle(data)
+    df = spark.createDataFrame(data, "t long, s int, i long, w long, one int")
+    pdf = pd.DataFrame(data, columns=["t", "s", "i", "w", "one"]).sort_values(["t", "s", "i"])
+    exp = dict(zip(zip(pdf.t, pdf.s, pdf.i), pdf.groupby(["t", "s"])["w"].cumsum()))
+    for parts in (1, 6):
+        got = cumulative_sums(df, ["t", "s"], ["i"], ["w"], rank_name="rk", num_partitions=parts).collect()
+        assert all(exp[(r.t, r.s, r.i)] == r.cum_w for r in got)
+    for inc in (True, False):
+        a = rows(WN.running_ratio(df, ["t", "s"], ["i"], "w", "one", "x", inc), "t", "s", "i", "x")
+        b = rows(WN.running_ratio(df, ["t", "s"], ["i"], "w", "one", "x", inc, skew_safe=True), "t", "s", "i", "x")
+        assert a == b
+        a = rows(WN.rolling_sum(df, "t", ["s", "i"], "w", "r", 10, inc), "t", "s", "i", "r")
+        b = rows(WN.rolling_sum(df, "t", ["s", "i"], "w", "r", 10, inc, skew_safe=True), "t", "s", "i", "r")
+        assert a == b
+    a = rows(O.split_chronological(df, "t", ["s", "i"]), "t", "s", "i", "split")
+    b = rows(O.split_chronological(df, "t", ["s", "i"], skew_safe=True), "t", "s", "i", "split")
+    assert a == b
