@@ -48,15 +48,26 @@ def team_game_features(team_games: DataFrame, team: str, order: list[str], seaso
     instead of per-team windows; the 7-day RANGE frame stays a window."""
     tg = team_games
     if skew_safe:
+        # one running-sum scan per team; season-to-date sums subtract the team's
+        # running total just before the season's first game (a per-(team, season)
+        # aggregate), and the last-ten sum is S(t-1) - S(t-11) via a rank join.
         from diamondlake.operators.scan import cumulative_sums
-        cs = cumulative_sums(tg, [team, season], order, ["win", "runs_scored", "runs_allowed", "one"],
-                             rank_name="__rk_s", prefix="__c_")
+        cols = ["win", "runs_scored", "runs_allowed", "one"]
+        cs = cumulative_sums(tg, [team], order, cols, rank_name="__rk", prefix="__c_")
+        before = cs.groupBy(team, season).agg(F.min_by(F.struct(*[
+            (F.col(f"__c_{c}") - F.coalesce(F.col(c), F.lit(0))).alias(f"__o_{c}") for c in cols]), F.col("__rk")).alias("__o"))
+        cs = cs.join(before.select(team, season, "__o.*"), [team, season])
         sub = (lambda c: F.lit(0)) if include_current else (lambda c: F.coalesce(F.col(c), F.lit(0)))
-        den = F.col("__c_one") - sub("one")
+        std = {c: F.col(f"__c_{c}") - F.col(f"__o_{c}") - sub(c) for c in cols}
         for col, out in (("win", "std_win_pct"), ("runs_scored", "std_runs_pg"), ("runs_allowed", "std_runs_allowed_pg")):
-            cs = cs.withColumn(out, round_half_up(F.try_divide((F.col(f"__c_{col}") - sub(col)).cast("double"), den), 4))
-        tg = cs.drop(*[f"__c_{c}" for c in ("win", "runs_scored", "runs_allowed", "one")], "__rk_s")
-        tg = WN.rolling_sum(tg, team, order, "win", "wins_last_10", 10, include_current, skew_safe=True)
+            cs = cs.withColumn(out, round_half_up(F.try_divide(std[col].cast("double"), std["one"]), 4))
+        back = 10 if include_current else 11
+        lag = cs.select(F.col(team).alias("__l_team"), (F.col("__rk") + back).alias("__l_rk"),
+                        F.col("__c_win").alias("__l_win"))
+        cs = cs.join(lag, (cs[team] == lag["__l_team"]) & (cs["__rk"] == lag["__l_rk"]), "left")
+        last10 = F.col("__c_win") - sub("win") - F.coalesce(F.col("__l_win"), F.lit(0))
+        cs = cs.withColumn("wins_last_10", last10 if include_current else F.when(F.col("__rk") > 1, last10))
+        tg = cs.drop(*[f"__c_{c}" for c in cols], *[f"__o_{c}" for c in cols], "__rk", "__l_team", "__l_rk", "__l_win")
     else:
         tg = WN.running_ratio(tg, [team, season], order, "win", "one", "std_win_pct", include_current)
         tg = WN.running_ratio(tg, [team, season], order, "runs_scored", "one", "std_runs_pg", include_current)

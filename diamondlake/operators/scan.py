@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from diamondlake.functions.scalars import round_half_up
+from diamondlake.session import cut_lineage
 
 
 def _range_partition(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataFrame:
@@ -144,8 +145,7 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
         yield sdf
 
     local_df = ordered.mapInPandas(local, out_schema)
-    # materialise once: both the rows and the boundary summaries come from the same partition ids
-    from diamondlake.session import cut_lineage
+    # materialise once: the row fix-up and the edge summaries must see the same partition ids
     local_df = cut_lineage(local_df)
 
     summaries = local_df.filter(F.col("__kind") == "sum").select(
@@ -229,7 +229,6 @@ def neighbor_scan(df: DataFrame, group: list[str], order: list[str], value: str,
         pdf["__edge"] = edge
         yield pdf[names]
 
-    from diamondlake.session import cut_lineage
     loc = cut_lineage(ordered.mapInPandas(local, out_schema))
     edges = loc.filter(F.col("__edge").isNotNull()).select("__pid", "__edge", *group, value)
     firsts = edges.filter(F.col("__edge").isin("first", "both")).select(
@@ -301,7 +300,6 @@ def cumulative_sums(df: DataFrame, group: list[str], order: list[str], cols: lis
         summ["__seg"] = ["first" if (k == 0 and nseg > 1) else ("last" if nseg > 1 else "only") for k in ends]
         yield summ[names]
 
-    from diamondlake.session import cut_lineage
     loc = cut_lineage(ordered.mapInPandas(local, out_schema))
     from pyspark.sql import Window
     sums = loc.filter(F.col("__kind") == "sum")
