@@ -141,13 +141,21 @@ def running_ratio(df: DataFrame, entity, order, num: str, den: str, name: str,
 
 def trailing_days_ratio(df: DataFrame, entity, date_col: str, num: str, den: str, name: str,
                         days: int = 7, include_current: bool = True, digits: int = 4) -> DataFrame:
-    """W8 trailing window ``[d-days, d]`` on a date column (RANGE frame over the
-    day number, so all games of a day are in or out together);
-    ``include_current=False`` gives ``[d-days, d-1]``."""
+    """W8 trailing window ``[d-days, d]`` on a date column (all games of a day
+    are in or out together); ``include_current=False`` gives ``[d-days, d-1]``.
+
+    The sums are first aggregated to one row per (entity, day), the RANGE
+    window runs over those daily rows (at most one per calendar day per
+    entity, whatever the entity's volume), and the ratio is joined back on
+    (entity, day)."""
+    ent = _as_list(entity)
     end = 0 if include_current else -1
+    daily = df.groupBy(*ent, date_col).agg(F.sum(num).alias("__dn"), F.sum(den).alias("__dd"))
     dn = F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date"))
-    w = Window.partitionBy(*_as_list(entity)).orderBy(dn).rangeBetween(-days, end)
-    return df.withColumn(name, round_half_up(F.try_divide(F.sum(num).over(w).cast("double"), F.sum(den).over(w)), digits))
+    w = Window.partitionBy(*ent).orderBy(dn).rangeBetween(-days, end)
+    daily = daily.select(*ent, date_col, round_half_up(
+        F.try_divide(F.sum("__dn").over(w).cast("double"), F.sum("__dd").over(w)), digits).alias(name))
+    return df.join(daily, [*ent, date_col], "left")
 
 
 def running_accuracy(df: DataFrame, date_col: str, tiebreak: str, correct_col: str,
