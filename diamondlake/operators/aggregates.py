@@ -81,20 +81,27 @@ def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def describe_columns(df: DataFrame, cols: list[str], exact: bool = True, digits: int = 4) -> DataFrame:
     """count/mean/std/min/25%/50%/75%/max per column (pandas ``describe``).
 
-    ``exact`` uses ``percentile`` (linear interpolation, as pandas) whose state is a
-    value->count map, i.e. memory grows with the number of distinct values; for
-    high-cardinality columns pass ``exact=False`` (``percentile_approx``)."""
-    def q(c, p):
-        return (F.percentile(F.col(c), p) if exact else F.percentile_approx(F.col(c), p, 10000))
-
+    Columns are unpivoted to (column_name, v) rows.  The moments are one
+    aggregation; exact quartiles come from ``exact_quantiles`` (rank scan +
+    pick of the order statistics, nothing per group held in memory);
+    ``exact=False`` uses ``percentile_approx`` in the same aggregation."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
     ).select("s.*")
     r = lambda e: round_half_up(e, digits)
-    return long.groupBy("column_name").agg(
-        F.count("v").alias("count"), r(F.avg("v")).alias("mean"), r(F.stddev_samp("v")).alias("std"),
-        F.min("v").alias("min"), r(q("v", 0.25)).alias("p25"), r(q("v", 0.5)).alias("p50"),
-        r(q("v", 0.75)).alias("p75"), F.max("v").alias("max"))
+    probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    moments = [F.count("v").alias("count"), r(F.avg("v")).alias("mean"), r(F.stddev_samp("v")).alias("std"),
+               F.min("v").alias("min"), F.max("v").alias("max")]
+    if not exact:
+        return long.groupBy("column_name").agg(*moments, *[r(F.percentile_approx("v", p, 10000)).alias(k)
+                                                           for k, p in probs.items()]).select(
+            "column_name", "count", "mean", "std", "min", *probs, "max")
+    from diamondlake.operators.scan import exact_quantiles
+    q = exact_quantiles(long, "column_name", "v", list(probs.values()))
+    wide = q.groupBy("column_name").agg(*[r(F.max(F.when(F.col("p") == p, F.col("q")))).alias(k)
+                                          for k, p in probs.items()])
+    m = long.groupBy("column_name").agg(*moments)
+    return m.join(wide, "column_name", "left").select("column_name", "count", "mean", "std", "min", *probs, "max")
 
 
 def _ratio(num: Column, den: Column, digits: int) -> Column:

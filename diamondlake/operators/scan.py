@@ -315,3 +315,25 @@ def cumulative_sums(df: DataFrame, group: list[str], order: list[str], cols: lis
         "bigint" if c in long_cols else "double").alias(prefix + c) for c in cols]
     out.append((F.col(rank_name) + F.coalesce(F.col("__off_rank"), F.lit(0))).cast("bigint").alias(rank_name))
     return j.select(*out)
+
+
+def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float],
+                    num_partitions: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles (pandas / ``quantile_cont``) per
+    group without holding a group's values in one task: values are ranked by
+    the range-partitioned scan, and only the two order statistics around each
+    requested position are picked by a join on (group, rank).
+
+    Returns (group, p, q)."""
+    vals = long_df.select(group, value).filter(F.col(value).isNotNull())
+    n = vals.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
+    pos = n.select(group, "__n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    pos = pos.withColumn("__h", (F.col("__n") - 1) * F.col("p")).withColumn("__lo", F.floor("__h") + 1) \
+             .withColumn("__hi", F.least(F.col("__lo") + 1, F.col("__n"))).withColumn("__frac", F.col("__h") - F.floor("__h"))
+    ranked = cumulative_sums(vals, [group], [value], [], rank_name="__rk", num_partitions=num_partitions)
+    need = pos.select(group, F.explode(F.array("__lo", "__hi")).alias("__rk")).distinct()
+    picked = ranked.join(F.broadcast(need), [group, "__rk"])   # groups x probs x 2 rows
+    lo = picked.select(group, F.col("__rk").alias("__lo"), F.col(value).alias("__vlo"))
+    hi = picked.select(group, F.col("__rk").alias("__hi"), F.col(value).alias("__vhi"))
+    j = pos.join(lo, [group, "__lo"]).join(hi, [group, "__hi"])
+    return j.select(group, "p", (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")).alias("q"))

@@ -353,3 +353,19 @@ def test_cumulative_sums_and_skew_safe_windows_match_windows(spark):
     a = rows(O.split_chronological(df, "t", ["s", "i"]), "t", "s", "i", "split")
     b = rows(O.split_chronological(df, "t", ["s", "i"], skew_safe=True), "t", "s", "i", "split")
     assert a == b
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import random
+    from diamondlake.operators.scan import exact_quantiles
+    rnd = random.Random(9)
+    data = [("hot", float(rnd.randint(0, 40))) for _ in range(500)] + [("one", 3.5)] + \
+           [("small", v) for v in (1.0, None, 2.0, 10.0)]
+    df = spark.createDataFrame(data, "g string, v double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    for parts in (1, 7):
+        got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(df, "g", "v", probs, num_partitions=parts).collect()}
+        for g in ("hot", "one", "small"):
+            vals = [v for gg, v in data if gg == g and v is not None]
+            for p in probs:
+                assert abs(got[(g, p)] - float(np.percentile(vals, p * 100))) < 1e-9
