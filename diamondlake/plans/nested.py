@@ -9,17 +9,17 @@ from diamondlake.plans.catalog import register
 from diamondlake.sources import nested as N
 from diamondlake.sources.tables import load
 
-PLAYER_ITEM = (StructType().add("xMLBAMID", LongType()).add("Name", StringType())
+PLAYER_ITEM = (StructType().add("playerid", LongType()).add("Name", StringType())
                .add("PA", LongType()).add("WAR", DoubleType()))
 
 
 def player_day_payloads(spark, d):
-    """One API-style payload per play: ``{"data":[{xMLBAMID, Name, PA, WAR}]}``;
+    """One API-style payload per play: ``{"data":[{playerid, Name, PA, WAR}]}``;
     plays of type 'error' return a payload without ``data``."""
     e = load(spark, d, "events").select("event_id", "user_id", "event_type", "value", "props")
     c = load(spark, d, "customer").select("c_custkey", "c_name")
     j = e.join(c, e.user_id == c.c_custkey, "left")
-    item = F.struct(F.col("user_id").alias("xMLBAMID"),
+    item = F.struct(F.col("user_id").alias("playerid"),
                     F.concat(F.lit('<a href="/p/'), F.col("user_id").cast("string"), F.lit('">'),
                              F.col("c_name"), F.lit("</a>")).alias("Name"),
                     F.get_json_object("props", "$.k").cast("long").alias("PA"), F.col("value").alias("WAR"))
@@ -35,7 +35,7 @@ FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id WHERE e.event_type
 def json_rows(spark, d):
     """JSON ``data[]`` rows projected to named fields; missing ``data`` -> no rows."""
     rows = N.json_rows(player_day_payloads(spark, d), "payload", PLAYER_ITEM,
-                       {"player_id": "xMLBAMID", "name_html": "Name", "pa": "PA", "war": "WAR"}, keep=["event_id"])
+                       {"player_id": "playerid", "name_html": "Name", "pa": "PA", "war": "WAR"}, keep=["event_id"])
     return rows.select("event_id", "player_id", N.anchor_text("name_html").alias("name"), "pa", "war")
 
 
