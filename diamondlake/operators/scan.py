@@ -317,12 +317,37 @@ def cumulative_sums(df: DataFrame, group: list[str], order: list[str], cols: lis
     return j.select(*out)
 
 
+def group_rank(df: DataFrame, group: list[str], order: list[str], rank_name: str = "__rk",
+               num_partitions: int | None = None) -> DataFrame:
+    """1-based row number per ``group`` in ``order`` without a per-group task and
+    without Python: after range partitioning and a sort inside each partition,
+    ``monotonically_increasing_id`` encodes (partition, position); partition
+    sizes (one row per partition) give each partition's global offset, and the
+    group's first global position (a map-side-combined MIN) is subtracted."""
+    keys = group + order
+    ordered = _range_partition(df, keys, num_partitions).sortWithinPartitions(*keys) \
+        .withColumn("__mid", F.monotonically_increasing_id())
+    ordered = cut_lineage(ordered)          # freeze the ids for the three readers below
+    pid = F.shiftright(F.col("__mid"), 33)
+    local = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ordered.groupBy(pid.alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
+    from pyspark.sql import Window
+    offs = sizes.select("__p", F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))      # <= one row per partition
+    g = ordered.join(F.broadcast(offs), pid == F.col("__p")).withColumn("__g", F.col("__off") + local)
+    first = g.groupBy(*group).agg(F.min("__g").alias("__g0"))
+    out = g.join(first, group).withColumn(rank_name, (F.col("__g") - F.col("__g0") + 1).cast("bigint"))
+    return out.drop("__mid", "__p", "__off", "__g", "__g0")
+
+
 def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float],
                     num_partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas / ``quantile_cont``) per
     group without holding a group's values in one task: values are ranked by
-    the range-partitioned scan, and only the two order statistics around each
-    requested position are picked by a join on (group, rank).
+    ``group_rank`` (range partitions, JVM only), and only the two order
+    statistics around each requested position are picked by a join on
+    (group, rank); equal values make the rank among them arbitrary but not the
+    value at a rank.
 
     Returns (group, p, q)."""
     vals = long_df.select(group, value).filter(F.col(value).isNotNull())
@@ -330,7 +355,7 @@ def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[floa
     pos = n.select(group, "__n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
     pos = pos.withColumn("__h", (F.col("__n") - 1) * F.col("p")).withColumn("__lo", F.floor("__h") + 1) \
              .withColumn("__hi", F.least(F.col("__lo") + 1, F.col("__n"))).withColumn("__frac", F.col("__h") - F.floor("__h"))
-    ranked = cumulative_sums(vals, [group], [value], [], rank_name="__rk", num_partitions=num_partitions)
+    ranked = group_rank(vals, [group], [value], "__rk", num_partitions)
     need = pos.select(group, F.explode(F.array("__lo", "__hi")).alias("__rk")).distinct()
     picked = ranked.join(F.broadcast(need), [group, "__rk"])   # groups x probs x 2 rows
     lo = picked.select(group, F.col("__rk").alias("__lo"), F.col(value).alias("__vlo"))
