@@ -385,3 +385,17 @@ def test_stream_upsert_replay_and_new_file(spark, tmp_path):
     spark.createDataFrame([(1, 10.0)], schema).coalesce(1).write.mode("append").parquet(landing)
     third = stream_upsert(spark, landing, spark.createDataFrame([], schema).schema, base, ckpt, ["k"])
     assert rows(spark.read.parquet(third)) == [(1, 10.0), (2, 20.0), (3, 30.0)]
+
+
+def test_plans_push_filters_prune_columns_and_broadcast_bounded_dims(spark):
+    from diamondlake.plans.catalog import queries
+    from tests.conftest import SF_SMALL
+    qs = queries()
+    plan = qs["q_weighted_leaders"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-01" in plan and "LessThan(ts,2024-02-01" in plan
+    assert "GreaterThanOrEqual(o_orderdate,1995-01-01" in plan
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
+    star = qs["join_star_left"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert star.count("BroadcastExchange") >= 2        # nation and region (bounded dims)
+    season = qs["warehouse_roundtrip"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season" in season and "(season#" in season
