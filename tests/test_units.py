@@ -399,3 +399,24 @@ def test_plans_push_filters_prune_columns_and_broadcast_bounded_dims(spark):
     assert star.count("BroadcastExchange") >= 2        # nation and region (bounded dims)
     season = qs["warehouse_roundtrip"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(season" in season and "(season#" in season
+
+
+def test_nested_sources_edge_cases(spark):
+    from pyspark.sql.types import LongType, StringType, StructType
+    from diamondlake.sources import nested as N
+    item = StructType().add("id", LongType()).add("name", StringType())
+    df = spark.createDataFrame([(1, '{"data":[{"id":7,"name":"a"},{"id":8,"name":"b"}]}'), (2, '{"status":"none"}'),
+                                (3, "not json"), (4, None)], "k long, j string")
+    got = rows(N.json_rows(df, "j", item, {"pid": "id", "nm": "name"}, keep=["k"]))
+    assert got == [(1, 7, "a"), (1, 8, "b")]
+    box = ('{"teamInfo":{"home":{"abbreviation":"H"},"away":{"abbreviation":"A"}},'
+           '"homeBatters":[{"personId":1,"battingOrder":"100","name":"x"},{"personId":2,"battingOrder":"101","name":"y"}],'
+           '"awayBatters":[{"personId":3,"battingOrder":"200","name":"z"}]}')
+    from diamondlake.plans.nested import BOX
+    b = rows(N.boxscore_lineups(spark.createDataFrame([(9, box)], "g long, b string"), "b", BOX, keep=["g"]))
+    assert b == [(9, "away", "A", 3, "z", "2"), (9, "home", "H", 1, "x", "1")]
+    html = "<ul><li>Header</li><li><a href=\"/p1\">One</a></li><li><a href=\"/p2\"> 2.5 </a></li></ul>"
+    r = N.html_rows(spark.createDataFrame([(1, html)], "id long, h string"), "h", r"<li>(.*?)</li>", keep=["id"])
+    cells = r.select("id", "row_idx", N.html_cells(F.col("row_html"), r'(?:href="|>)([^"<>]+)').alias("c"))
+    typed = N.cells_typed(cells, "c", {"link": (0, "string"), "label": (1, "string"), "num": (1, "double")})
+    assert rows(typed) == [(1, 1, "/p1", "One", None), (1, 2, "/p2", "2.5", 2.5)]
