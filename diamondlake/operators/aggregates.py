@@ -146,10 +146,11 @@ def majority_vote(trials: DataFrame, game_col: str, home_col: str, away_col: str
 def transition_probs(df: DataFrame, entity: str, state: str, event: str, next_state: str,
                      runs: str, digits: int = 4) -> DataFrame:
     """Empirical P(event, next state | entity, state) and mean runs.
-    Two aggregations; the second normaliser is a groupBy + join (skew-safe)."""
+    One pass over the plays; the per-state totals are re-aggregated from the
+    (much smaller) transition counts and joined back."""
     cnt = df.groupBy(entity, state, event, next_state).agg(
         F.count(F.lit(1)).alias("n"), F.avg(runs).alias("avg_runs"))
-    tot = df.groupBy(entity, state).agg(F.count(F.lit(1)).alias("n_state"))
+    tot = cnt.groupBy(entity, state).agg(F.sum("n").alias("n_state"))
     j = cnt.join(tot, [entity, state])
     return j.select(entity, state, event, next_state, "n",
                     round_half_up(F.col("n") / F.col("n_state"), digits).alias("prob"),
