@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
+from diamondlake.plans import standins as S
 from diamondlake.plans.catalog import register
 from diamondlake.sources import nested as N
 from diamondlake.sources.tables import load
@@ -47,37 +48,50 @@ BOX = (StructType()
 
 
 def box_scores(spark, d):
-    """One box score per region: home batters = its nations named A-L, away =
-    its nations named M-Z; batting order = lineup slot + '0' for starters, '1'
-    for substitutes (names longer than 8 letters).  A region has a bounded
-    number of nations, so the per-region arrays are small."""
+    """One box score per game (order): its lines with return flag R bat for the
+    home team, A for the away team; person = part key, name = part name; the
+    batting order is the line's slot on its side + '0' for a starter or '1' for
+    a substitute (quantity over 40).  Team abbreviations are the first three
+    letters of the teams' nation names.  A game's lineup arrays are bounded by
+    the game's number of lines."""
     from pyspark.sql import Window
-    n = load(spark, d, "nation").withColumn("__home", F.col("n_name") < "M")
-    w = Window.partitionBy("n_regionkey", "__home").orderBy("n_nationkey")
-    n = n.withColumn("slot", F.row_number().over(w)).withColumn(
-        "battingOrder", F.concat(F.col("slot").cast("string"), F.when(F.length("n_name") > 8, "1").otherwise("0")))
-    b = F.struct(F.col("n_nationkey").cast("long").alias("personId"), "battingOrder", F.col("n_name").alias("name"))
-    per = n.groupBy("n_regionkey").agg(
-        F.sort_array(F.collect_list(F.when(F.col("__home"), F.struct(F.col("n_nationkey"), b)))).alias("h"),
-        F.sort_array(F.collect_list(F.when(~F.col("__home"), F.struct(F.col("n_nationkey"), b)))).alias("a"))
-    r = load(spark, d, "region")
-    j = per.join(r, per.n_regionkey == r.r_regionkey)
+
+    li = load(spark, d, "lineitem").filter(F.col("l_returnflag").isin("R", "A"))
+    part = load(spark, d, "part").select("p_partkey", "p_name")
+    li = li.join(part, li.l_partkey == part.p_partkey, "left")
+    w = Window.partitionBy("l_orderkey", "l_returnflag").orderBy(*S.LINE_ORDER)
+    li = li.withColumn("slot", F.row_number().over(w)).withColumn(
+        "battingOrder", F.concat(F.col("slot").cast("string"), F.when(F.col("l_quantity") > 40, "1").otherwise("0")))
+    b = F.struct(F.col("l_partkey").alias("personId"), "battingOrder", F.col("p_name").alias("name"))
+    per = li.groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.when(F.col("l_returnflag") == "R", F.struct("slot", b)))).alias("h"),
+        F.sort_array(F.collect_list(F.when(F.col("l_returnflag") == "A", F.struct("slot", b)))).alias("a"))
+    nation = F.broadcast(load(spark, d, "nation").select("n_nationkey", "n_name"))   # team dim: bounded
+    g = S.games_df(spark, d).select("game_pk", "home_team", "away_team")
+    g = (g.join(nation.select(F.col("n_nationkey").alias("home_team"), F.col("n_name").alias("home_name")), "home_team", "left")
+          .join(nation.select(F.col("n_nationkey").alias("away_team"), F.col("n_name").alias("away_name")), "away_team", "left"))
+    j = per.join(g, per.l_orderkey == g.game_pk)
     doc = F.struct(
-        F.struct(F.struct(F.upper(F.substring("r_name", 1, 3)).alias("abbreviation")).alias("home"),
-                 F.struct(F.lower(F.substring("r_name", 1, 3)).alias("abbreviation")).alias("away")).alias("teamInfo"),
+        F.struct(F.struct(F.upper(F.substring("home_name", 1, 3)).alias("abbreviation")).alias("home"),
+                 F.struct(F.upper(F.substring("away_name", 1, 3)).alias("abbreviation")).alias("away")).alias("teamInfo"),
         F.transform("h", lambda x: x.getField("col2")).alias("homeBatters"),
         F.transform("a", lambda x: x.getField("col2")).alias("awayBatters"))
-    return j.select(F.col("r_regionkey").alias("game_pk"), F.to_json(doc).alias("box"))
-
-
-@register("boxscore_lineups", """
-WITH n AS (SELECT n_nationkey, n_name, n_regionkey, n_name < 'M' AS is_home,
-                  ROW_NUMBER() OVER (PARTITION BY n_regionkey, n_name < 'M' ORDER BY n_nationkey) AS slot
-           FROM nation)
-SELECT r.r_regionkey AS game_pk, CASE WHEN is_home THEN 'home' ELSE 'away' END AS side,
-       CASE WHEN is_home THEN upper(substr(r.r_name, 1, 3)) ELSE lower(substr(r.r_name, 1, 3)) END AS team,
-       CAST(n.n_nationkey AS BIGINT) AS person_id, n.n_name AS name, CAST(slot AS VARCHAR) AS slot
-FROM n JOIN region r ON r.r_regionkey = n.n_regionkey WHERE length(n.n_name) <= 8""")
+    return j.select("game_pk", F.to_json(doc).alias("box"))
+
+
+@register("boxscore_lineups", f"""
+WITH {S.GAMES_SQL.strip()},
+li AS (
+  SELECT l.l_orderkey, l.l_returnflag, l.l_partkey, p.p_name, l.l_quantity,
+         ROW_NUMBER() OVER (PARTITION BY l.l_orderkey, l.l_returnflag ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
+                            l.l_quantity, l.l_extendedprice, l.l_shipdate) AS slot
+  FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey WHERE l.l_returnflag IN ('R', 'A'))
+SELECT g.game_pk, CASE WHEN li.l_returnflag = 'R' THEN 'home' ELSE 'away' END AS side,
+       CASE WHEN li.l_returnflag = 'R' THEN upper(substr(hn.n_name, 1, 3)) ELSE upper(substr(an.n_name, 1, 3)) END AS team,
+       li.l_partkey AS person_id, li.p_name AS name, CAST(li.slot AS VARCHAR) AS slot
+FROM li JOIN games g ON g.game_pk = li.l_orderkey
+LEFT JOIN nation hn ON hn.n_nationkey = g.home_team LEFT JOIN nation an ON an.n_nationkey = g.away_team
+WHERE li.l_quantity <= 40""")
 def boxscore_lineups(spark, d):
     """Starting lineups (slot, side, team) from box-score JSON."""
     return N.boxscore_lineups(box_scores(spark, d), "box", BOX, keep=["game_pk"])
