@@ -159,10 +159,19 @@ def trailing_days_ratio(df: DataFrame, entity, date_col: str, num: str, den: str
 
 
 def running_accuracy(df: DataFrame, date_col: str, tiebreak: str, correct_col: str,
-                     digits: int = 4) -> DataFrame:
+                     digits: int = 4, skew_safe: bool = False) -> DataFrame:
     """W9 running accuracy over all rows in (date, tiebreak) order without one
-    global sort: per-date totals (small: one row per date) give the offset of
-    each date, and a window partitioned by date ranks rows inside it."""
+    global sort task.  Default: per-date totals (one row per date) give each
+    date's offset and a window partitioned by date ranks rows inside it.
+    ``skew_safe``: one global running count/sum from the range-partitioned scan,
+    so even a date holding most of the games is spread over partitions."""
+    if skew_safe:
+        from diamondlake.operators.scan import cumulative_sums
+        src = df.withColumn("__all", F.lit(0)).withColumn("__ok", F.col(correct_col).cast("long"))
+        cs = cumulative_sums(src, ["__all"], [date_col, tiebreak], ["__ok"], rank_name="games_so_far", prefix="__cum")
+        return cs.withColumn("correct_so_far", F.col("__cum__ok")).withColumn(
+            "running_accuracy", round_half_up(F.col("correct_so_far") / F.col("games_so_far"), digits)).drop(
+            "__all", "__ok", "__cum__ok")
     per_date = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("__n"),
                                        F.sum(F.col(correct_col).cast("int")).alias("__c"))
     wd = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
@@ -171,7 +180,7 @@ def running_accuracy(df: DataFrame, date_col: str, tiebreak: str, correct_col: s
     wi = Window.partitionBy(date_col).orderBy(tiebreak).rowsBetween(Window.unboundedPreceding, 0)
     inner = df.withColumn("__ni", F.count(F.lit(1)).over(wi)).withColumn(
         "__ci", F.sum(F.col(correct_col).cast("int")).over(wi))
-    j = inner.join(F.broadcast(offsets), date_col)
+    j = inner.join(F.broadcast(offsets), date_col)      # one row per date
     return j.withColumn("games_so_far", F.col("__n0") + F.col("__ni")).withColumn(
         "correct_so_far", F.col("__c0") + F.col("__ci")).withColumn(
         "running_accuracy", round_half_up(F.col("correct_so_far") / F.col("games_so_far"), digits)).drop(

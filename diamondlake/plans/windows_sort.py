@@ -90,7 +90,7 @@ SELECT game_pk, game_date, COUNT(*) OVER w AS games_so_far, CAST(SUM(CAST(correc
 FROM pr WINDOW w AS (ORDER BY game_date, game_pk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def win_running_accuracy(spark, d):
     """Running backtest accuracy in game order without one global sort."""
-    out = WN.running_accuracy(predictions_vs_results(spark, d), "game_date", "game_pk", "correct")
+    out = WN.running_accuracy(predictions_vs_results(spark, d), "game_date", "game_pk", "correct", skew_safe=True)
     return out.select("game_pk", "game_date", F.col("games_so_far").cast("bigint").alias("games_so_far"),
                       F.col("correct_so_far").cast("bigint").alias("correct_so_far"), "running_accuracy")
 

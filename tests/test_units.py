@@ -265,10 +265,11 @@ def test_quality_checks(spark):
     assert rows(Q.dq_foreign_key(df, "k", dim, "id"), "k") == [(2,)]
 
 
-def test_running_accuracy_matches_global_order(spark):
+@pytest.mark.parametrize("skew_safe", [False, True])
+def test_running_accuracy_matches_global_order(spark, skew_safe):
     data = [(dt.date(2024, 1, 1 + i // 3), i, i % 2 == 0) for i in range(12)]
     df = spark.createDataFrame(data[::-1], "d date, g long, c boolean")
-    out = WN.running_accuracy(df, "d", "g", "c").orderBy("d", "g").collect()
+    out = WN.running_accuracy(df, "d", "g", "c", skew_safe=skew_safe).orderBy("d", "g").collect()
     corr = 0
     for i, r in enumerate(out):
         corr += int(data[i][2])
