@@ -50,14 +50,17 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
 
 
 def minmax_scale(df: DataFrame, cols: list[str], keep: list[str], digits: int = 4) -> DataFrame:
-    """(x - min) / (max - min) per column; a constant column maps to 0
-    (the one-row min/max aggregate is broadcast)."""
-    mm = df.agg(*[F.min(c).alias(f"__min_{c}") for c in cols], *[F.max(c).alias(f"__max_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(mm))
-    scaled = [F.when(F.col(f"__max_{c}") == F.col(f"__min_{c}"), F.lit(0.0)).otherwise(
-        round_half_up((F.col(c) - F.col(f"__min_{c}")) / (F.col(f"__max_{c}") - F.col(f"__min_{c}")), digits)
-    ).alias(c) for c in cols]
-    return j.select(*keep, *scaled)
+    """(x - min) / (max - min) per column; a constant column maps to 0.
+    All minima and maxima come from one aggregation used as a scalar
+    subquery (a one-row struct), so there is no join."""
+    mm = df.agg(F.struct(*[F.min(c).alias(f"mn_{c}") for c in cols],
+                         *[F.max(c).alias(f"mx_{c}") for c in cols]).alias("s")).scalar()
+    scaled = []
+    for c in cols:
+        mn, mx = mm.getField(f"mn_{c}"), mm.getField(f"mx_{c}")
+        scaled.append(F.when(mx == mn, F.lit(0.0)).otherwise(
+            round_half_up((F.col(c) - mn) / (mx - mn), digits)).alias(c))
+    return df.select(*keep, *scaled)
 
 
 def classification_metrics(df: DataFrame, label: str, prediction: str, by: list[str] = (),

@@ -153,10 +153,18 @@ def corr_matrix(spark, d):
 SCALE_COLS = ["n_orders", "n_lines", "qty", "acctbal", "max_price"]
 
 
-@register("minmax_scale", CUSTOMER_STATS_SQL + ",\nmm AS (SELECT " + ", ".join(
-    f"MIN({c}) AS mn_{c}, MAX({c}) AS mx_{c}" for c in SCALE_COLS) + " FROM cs)\nSELECT custkey, " + ", ".join(
-    f"CASE WHEN mx_{c} = mn_{c} THEN 0.0 ELSE {R(f'({c} - mn_{c}) / (mx_{c} - mn_{c})', 4)} END AS {c}"
-    for c in SCALE_COLS) + "\nFROM cs, mm")
+def _minmax_sql() -> str:
+    def mn(c):
+        return f"(SELECT MIN({c}) FROM cs)"
+
+    def mx(c):
+        return f"(SELECT MAX({c}) FROM cs)"
+    cols = ", ".join(f"CASE WHEN {mx(c)} = {mn(c)} THEN 0.0 ELSE {R(f'({c} - {mn(c)}) / ({mx(c)} - {mn(c)})', 4)} END AS {c}"
+                     for c in SCALE_COLS)
+    return CUSTOMER_STATS_SQL + f"\nSELECT custkey, {cols}\nFROM cs"
+
+
+@register("minmax_scale", _minmax_sql())
 def minmax_scale(spark, d):
     """Min-max scaling of feature columns to [0, 1]."""
     return ST.minmax_scale(customer_stats(spark, d), SCALE_COLS, ["custkey"])
