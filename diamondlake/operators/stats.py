@@ -88,4 +88,4 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, digits: int =
     g = df.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"), F.sum(e * e).alias("sse"),
                (F.var_pop(F.col(label).cast("double")) * F.count(F.col(label))).alias("sst"))
     return g.select(round_half_up("mae", digits).alias("mae"), round_half_up("mse", digits).alias("mse"),
-                    round_half_up(F.lit(1.0) - F.col("sse") / F.col("sst"), digits).alias("r2"))
+                    round_half_up(F.lit(1.0) - F.try_divide(F.col("sse"), F.col("sst")), digits).alias("r2"))

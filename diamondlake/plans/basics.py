@@ -243,14 +243,14 @@ def fn_dates(spark, d):
 
 @register("fn_round_coalesce", f"""
 SELECT o_orderkey, {R('o_totalprice / 1000', 2)} AS price_k, COALESCE(o_orderpriority, 'unknown') AS priority,
-       CAST(o_custkey AS INTEGER) AS custkey, CAST(EXTRACT(MONTH FROM o_orderdate) AS INTEGER) AS month
+       TRY_CAST(o_custkey AS INTEGER) AS custkey, CAST(EXTRACT(MONTH FROM o_orderdate) AS INTEGER) AS month
 FROM orders""")
 def fn_round_coalesce(spark, d):
     """ROUND / COALESCE / CAST / EXTRACT."""
     o = load(spark, d, "orders")
     return o.select("o_orderkey", round_half_up(F.col("o_totalprice") / 1000, 2).alias("price_k"),
                     F.coalesce("o_orderpriority", F.lit("unknown")).alias("priority"),
-                    F.col("o_custkey").cast("int").alias("custkey"), F.month("o_orderdate").alias("month"))
+                    F.col("o_custkey").try_cast("int").alias("custkey"), F.month("o_orderdate").alias("month"))
 
 
 @register("winner_tiebreak", f"""

@@ -74,7 +74,7 @@ def customer_stats(spark, d):
     out = per.join(cust, per.o_custkey == cust.c_custkey)
     return out.select(F.col("o_custkey").alias("custkey"), "n_orders", "n_urgent", "n_fulfilled", "n_priority_low",
                       "n_lines", "qty", "n_returned", "acctbal", "max_price",
-                      (F.col("disc") / F.col("n_lines")).alias("avg_discount"),
+                      F.try_divide(F.col("disc"), F.col("n_lines")).alias("avg_discount"),
                       round_half_up(F.col("price") / 1000, 2).alias("runs"))
 
 

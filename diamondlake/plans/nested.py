@@ -23,7 +23,7 @@ def player_day_payloads(spark, d):
     item = F.struct(F.col("user_id").alias("playerid"),
                     F.concat(F.lit('<a href="/p/'), F.col("user_id").cast("string"), F.lit('">'),
                              F.col("c_name"), F.lit("</a>")).alias("Name"),
-                    F.get_json_object("props", "$.k").cast("long").alias("PA"), F.col("value").alias("WAR"))
+                    F.get_json_object("props", "$.k").try_cast("long").alias("PA"), F.col("value").alias("WAR"))
     payload = F.when(F.col("event_type") == "error", F.to_json(F.struct(F.lit("no games").alias("status")))) \
                .otherwise(F.to_json(F.struct(F.array(item).alias("data"))))
     return j.select("event_id", payload.alias("payload"))

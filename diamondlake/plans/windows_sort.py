@@ -105,7 +105,7 @@ def backtest_accuracy(spark, d):
     from diamondlake.functions.scalars import round_half_up
     pr = predictions_vs_results(spark, d)
     return pr.agg(F.count(F.lit(1)).alias("games"), F.count_if("correct").alias("correct_games"),
-                  round_half_up(F.count_if("correct") / F.count(F.lit(1)), 4).alias("accuracy"),
+                  round_half_up(F.try_divide(F.count_if("correct"), F.count(F.lit(1))), 4).alias("accuracy"),
                   F.count_if(F.col("predicted") & F.col("actual")).alias("tp"),
                   F.count_if(F.col("predicted") & ~F.col("actual")).alias("fp"))
 
