@@ -421,3 +421,20 @@ def test_nested_sources_edge_cases(spark):
     cells = r.select("id", "row_idx", N.html_cells(F.col("row_html"), r'(?:href="|>)([^"<>]+)').alias("c"))
     typed = N.cells_typed(cells, "c", {"link": (0, "string"), "label": (1, "string"), "num": (1, "double")})
     assert rows(typed) == [(1, 1, "/p1", "One", None), (1, 2, "/p2", "2.5", 2.5)]
+
+
+def test_stream_upsert_partitioned_rewrites_only_touched_partitions(spark, tmp_path):
+    import glob
+    from diamondlake.streaming.upsert_stream import stream_upsert_partitioned
+    root = str(tmp_path)
+    table, landing, ckpt = f"{root}/t", f"{root}/landing", f"{root}/_ckpt"
+    schema = "season int, k long, v double"
+    spark.createDataFrame([(2023, 1, 1.0), (2023, 2, 2.0), (2024, 1, 5.0)], schema).write.partitionBy(
+        "season").parquet(table)
+    before_2023 = sorted(glob.glob(f"{table}/season=2023/*.parquet"))
+    spark.createDataFrame([(2024, 1, 50.0), (2024, 3, 30.0)], schema).coalesce(1).write.parquet(landing)
+    stream_upsert_partitioned(spark, landing, spark.createDataFrame([], schema).schema, table, ckpt,
+                              ["season", "k"], "season", ["v"])
+    got = sorted(tuple(r) for r in spark.read.parquet(table).select("season", "k", "v").collect())
+    assert got == [(2023, 1, 1.0), (2023, 2, 2.0), (2024, 1, 50.0), (2024, 3, 30.0)]
+    assert sorted(glob.glob(f"{table}/season=2023/*.parquet")) == before_2023     # untouched partition kept
