@@ -49,6 +49,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def partitions_for_bytes(total_bytes: int, target_bytes: int = 256 << 20, minimum: int = 8) -> int:
+    """Initial shuffle partition count for a job that shuffles ``total_bytes``:
+    about ``target_bytes`` per task (AQE then merges small ones and splits
+    skewed join partitions).  E.g. a 100 TB shuffle -> ~400k partitions."""
+    return max(minimum, -(-int(total_bytes) // int(target_bytes)))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
     tests) create a private scratch folder for it."""
