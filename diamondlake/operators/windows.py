@@ -37,8 +37,14 @@ def latest_row(df: DataFrame, key: str, order_cols: list[str], value_cols: list[
 
 
 def lag_value(df: DataFrame, partition: list[str], order: list[str], col: str, name: str,
-              offset: int = 1) -> DataFrame:
-    """Previous value within the partition."""
+              offset: int = 1, skew_safe: bool = False) -> DataFrame:
+    """Previous value within the partition (``skew_safe``: neighbour scan,
+    offset 1, total order required)."""
+    if skew_safe:
+        if offset != 1:
+            raise ValueError("the skew-safe lag supports offset 1")
+        from diamondlake.operators.scan import neighbor_scan
+        return neighbor_scan(df, list(partition), list(order), col, name, "__next_unused").drop("__next_unused")
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(name, F.lag(col, offset).over(w))
 
@@ -51,7 +57,7 @@ def lead_value(df: DataFrame, partition: list[str], order: list[str], col: str,
 
 
 def streaks(games: DataFrame, entity: str, order_col: str, hit_col: str, as_written: bool = True,
-            tiebreak: list[str] = ()) -> DataFrame:
+            tiebreak: list[str] = (), skew_safe: bool = False) -> DataFrame:
     """W4 gaps-and-islands over one row per (entity, game).
 
     State flag = hit in this game; change flag = state differs from the
@@ -59,18 +65,31 @@ def streaks(games: DataFrame, entity: str, order_col: str, hit_col: str, as_writ
     SUM of change flags.  ``as_written`` keeps the default RANGE frame (games
     on the same date share a sum) and measures islands of *any* state, as the
     leaderboard SQL does; otherwise a ROWS frame with ``tiebreak`` and only
-    islands of games with a hit.  Returns (entity, best_streak)."""
-    order = [F.col(order_col)] + [F.col(c) for c in tiebreak]
-    w = Window.partitionBy(entity).orderBy(*order)
-    flags = (games
-             .withColumn("__before", F.when(F.lag(hit_col).over(w) > 0, 1).otherwise(0))
-             .withColumn("__now", F.when(F.col(hit_col) > 0, 1).otherwise(0))
-             .withColumn("__chg", F.when(F.col("__before") != F.col("__now"), 1).otherwise(0)))
-    if as_written:
-        run = Window.partitionBy(entity).orderBy(F.col(order_col)).rangeBetween(Window.unboundedPreceding, 0)
+    islands of games with a hit.  ``skew_safe`` takes the previous game from the
+    neighbour scan and the island id from the running-sum scan (a total order
+    (order_col + tiebreak) is then required; with one game per date it equals
+    the RANGE form).  Returns (entity, best_streak)."""
+    if skew_safe:
+        from diamondlake.operators.scan import cumulative_sums, neighbor_scan
+        order = [order_col, *tiebreak]
+        seq = neighbor_scan(games.select(entity, *order, hit_col), [entity], order, hit_col, "__prev", "__next")
+        flags = (seq.withColumn("__before", F.when(F.col("__prev") > 0, 1).otherwise(0))
+                 .withColumn("__now", F.when(F.col(hit_col) > 0, 1).otherwise(0))
+                 .withColumn("__chg", F.when(F.col("__before") != F.col("__now"), 1).otherwise(0).cast("long")))
+        isl = cumulative_sums(flags, [entity], order, ["__chg"], rank_name="__rk", prefix="__isl")
+        isl = isl.withColumnRenamed("__isl__chg", "__island")
     else:
-        run = w.rowsBetween(Window.unboundedPreceding, 0)
-    isl = flags.withColumn("__island", F.sum("__chg").over(run))
+        order = [F.col(order_col)] + [F.col(c) for c in tiebreak]
+        w = Window.partitionBy(entity).orderBy(*order)
+        flags = (games
+                 .withColumn("__before", F.when(F.lag(hit_col).over(w) > 0, 1).otherwise(0))
+                 .withColumn("__now", F.when(F.col(hit_col) > 0, 1).otherwise(0))
+                 .withColumn("__chg", F.when(F.col("__before") != F.col("__now"), 1).otherwise(0)))
+        if as_written:
+            run = Window.partitionBy(entity).orderBy(F.col(order_col)).rangeBetween(Window.unboundedPreceding, 0)
+        else:
+            run = w.rowsBetween(Window.unboundedPreceding, 0)
+        isl = flags.withColumn("__island", F.sum("__chg").over(run))
     if not as_written:
         isl = isl.filter(F.col("__now") == 1)
     per_island = isl.groupBy(entity, "__island").agg(F.count(F.lit(1)).alias("__len"))

@@ -46,12 +46,13 @@ def test_round_half_up_is_ieee_deterministic(spark):
     assert got[3] == math.floor(1.0005 * 100 + 0.5) / 100
 
 
-def test_streak_variants(spark):
+@pytest.mark.parametrize("skew_safe", [False, True])
+def test_streak_variants(spark, skew_safe):
     d = [dt.date(2024, 1, i) for i in range(1, 8)]
     hits = [1, 2, 0, 0, 0, 3, 1]          # hit, hit, none x3, hit, hit
     df = spark.createDataFrame([(7, d[i], hits[i]) for i in range(7)][::-1], "p long, g date, h long")
-    any_state = WN.streaks(df, "p", "g", "h", as_written=True).collect()[0]["best_streak"]
-    hits_only = WN.streaks(df, "p", "g", "h", as_written=False).collect()[0]["best_streak"]
+    any_state = WN.streaks(df, "p", "g", "h", as_written=True, skew_safe=skew_safe).collect()[0]["best_streak"]
+    hits_only = WN.streaks(df, "p", "g", "h", as_written=False, skew_safe=skew_safe).collect()[0]["best_streak"]
     assert (any_state, hits_only) == (3, 2)
 
 
