@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.operators.windows import latest_row
@@ -55,11 +55,13 @@ def forecast_features(feats: DataFrame, team: str, order: list[str], targets: li
     the team's next value from (current values, frozen EMAs), pooled over
     teams; the last observed row of every team is then rolled forward
     ``horizon`` steps.  ``horizon <= 0`` returns the last observed row."""
+    from diamondlake.operators.scan import neighbor_scan
+    from diamondlake.session import cut_lineage
     inputs = targets + ema_cols
-    w = Window.partitionBy(team).orderBy(*order)
-    train = feats
-    for t in targets:
-        train = train.withColumn(f"__next_{t}", F.lead(t).over(w))
+    train = feats.select(team, *order, *inputs)
+    for t in targets:   # next value per team: skew-safe LEAD (range-partitioned neighbour scan)
+        train = neighbor_scan(train, [team], order, t, f"__prev_{t}", f"__next_{t}").drop(f"__prev_{t}")
+    train = cut_lineage(train)     # read once per forest
     assembler = VectorAssembler(inputCols=inputs, outputCol="__x", handleInvalid="skip")
     models = {}
     for t in targets:

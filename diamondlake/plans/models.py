@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from diamondlake.functions import scalars as FN
 from diamondlake.functions.scalars import round_half_up, round_half_up_sql as R
 from diamondlake.operators import models as M
-from diamondlake.operators.features import join_matchup
 from diamondlake.operators.scan import ema_scan
 from diamondlake.operators.ordering import split_hash
 from diamondlake.plans.catalog import register
 from diamondlake.plans.features import FEATURES, feature_table
 from diamondlake.plans.joins_aggs import CUSTOMER_STATS_SQL, customer_stats
 from diamondlake.plans.windows_sort import TEAM_ORDER
+from diamondlake.session import cut_lineage
 from diamondlake.sources.files import shared_path
 from diamondlake.sources.tables import load
 
@@ -72,25 +72,51 @@ def forecast_features(spark, d):
     """M5: roll every team's features forward ``HORIZON`` games with one random
     forest (100 trees, seed 42) per target, EMAs frozen."""
     ft = feature_table(spark, d).dropna(subset=FORECAST_TARGETS)
-    ema = ema_scan(ft, "offense_team", TEAM_ORDER, FORECAST_TARGETS, span=28)
-    ema = ema.select("offense_team", *TEAM_ORDER, *[F.col(f"{t}_ema") for t in FORECAST_TARGETS])
-    feats = ft.join(ema, ["offense_team", *TEAM_ORDER])
-    return M.forecast_features(feats, "offense_team", TEAM_ORDER, FORECAST_TARGETS,
+    return M.forecast_features(_with_ema(ft, FORECAST_TARGETS), "offense_team", TEAM_ORDER, FORECAST_TARGETS,
                                [f"{t}_ema" for t in FORECAST_TARGETS], HORIZON)
 
 
+UPCOMING_DAYS = 7
+
+
+def _with_ema(ft, targets):
+    ema = ema_scan(ft, "offense_team", TEAM_ORDER, targets, span=28)
+    ema = ema.select("offense_team", *TEAM_ORDER, *[F.col(f"{t}_ema") for t in targets])
+    return ft.join(ema, ["offense_team", *TEAM_ORDER])
+
+
 @register("predict_games")
 def predict_games(spark, d):
-    """M6: per hold-out game, score home and away feature rows with the win
-    model and the runs model; higher win score wins, tie -> higher runs score."""
-    model, rows = _win_model(spark, d)
-    runs = M.fit_ols(rows.filter(F.col("split") == "train").withColumn("runs_target", F.col("std_runs_pg")),
-                     "runs_target", prediction="runs_score")
-    scored = runs.transform(model.transform(rows.filter(F.col("split") == "test")))
-    games = scored.select("game_pk").distinct()
-    m = join_matchup(games, scored, ["game_pk"], "is_home", ["offense_team", "score", "runs_score"])
-    return m.select("game_pk", FN.winner_tiebreak("home_offense_team", "away_offense_team", "home_score", "away_score",
-                                                  "home_runs_score", "away_runs_score").alias("team_winner"))
+    """M6: predict the last week's games from the history before it.  Every
+    team's features are forecast one game ahead (EMA W6 -> forest M5); the home
+    and away forecasts of each game are joined (J9) and scored with the win
+    model and the runs model trained on the history (M4); the higher win score
+    wins, a tie goes to the higher runs score, else NULL (F10)."""
+    # the feature table feeds five jobs (cutoff, two fits, forecast, schedule): materialise it once
+    ft = cut_lineage(feature_table(spark, d).dropna(subset=FORECAST_TARGETS))
+    cutoff = ft.agg(F.date_sub(F.max("game_date"), UPCOMING_DAYS)).scalar()
+    hist = ft.filter(F.col("game_date") < cutoff)
+    upcoming = ft.filter(F.col("game_date") >= cutoff)
+    games = (upcoming.filter(F.col("is_home")).select("game_pk", F.col("offense_team").alias("home_team"))
+             .join(upcoming.filter(~F.col("is_home")).select("game_pk", F.col("offense_team").alias("away_team")),
+                   "game_pk"))
+    train = M.assemble(hist, FORECAST_TARGETS)
+    win_model = M.fit_ridge_classifier(train, "win")
+    runs_model = M.fit_ols(train.withColumn("runs_label", F.col("runs_scored").cast("double")), "runs_label",
+                           prediction="runs_score")
+    emas = [f"{t}_ema" for t in FORECAST_TARGETS]
+    nxt = M.forecast_features(_with_ema(hist, FORECAST_TARGETS), "offense_team", TEAM_ORDER, FORECAST_TARGETS,
+                              emas, horizon=1)
+    scored = runs_model.transform(win_model.transform(M.assemble(nxt, FORECAST_TARGETS))).select(
+        F.col("offense_team").alias("team"), "score", "runs_score")      # one row per team
+    home = scored.select(F.col("team").alias("home_team"), F.col("score").alias("home_score"),
+                         F.col("runs_score").alias("home_runs"))
+    away = scored.select(F.col("team").alias("away_team"), F.col("score").alias("away_score"),
+                         F.col("runs_score").alias("away_runs"))
+    m = games.join(home, "home_team").join(away, "away_team")
+    return m.select("game_pk", "home_team", "away_team",
+                    FN.winner_tiebreak("home_team", "away_team", "home_score", "away_score", "home_runs",
+                                       "away_runs").alias("team_winner"))
 
 
 @register("model_roundtrip", CUSTOMER_STATS_SQL + f"""
