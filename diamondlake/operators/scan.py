@@ -34,6 +34,15 @@ from diamondlake.functions.scalars import round_half_up
 from diamondlake.session import cut_lineage
 
 
+def _segment_starts(pdf: pd.DataFrame, group: list[str]) -> np.ndarray:
+    """True where a new group starts in rows sorted by group (NULL/NaN keys
+    compare equal, as in a window's PARTITION BY)."""
+    codes = pdf.groupby(group, dropna=False, sort=False).ngroup().to_numpy()
+    start = np.ones(len(pdf), dtype=bool)
+    start[1:] = codes[1:] != codes[:-1]
+    return start
+
+
 def _range_partition(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataFrame:
     """Range partitioning on the full sort key.  Without an explicit count the
     shuffle uses ``spark.sql.shuffle.partitions`` and AQE may merge adjacent
@@ -73,9 +82,7 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
             return
         pdf = pd.concat(frames, ignore_index=True)
         n = len(pdf)
-        ent = pdf[entity].astype("object").to_numpy()
-        start = np.ones(n, dtype=bool)
-        start[1:] = ent[1:] != ent[:-1]
+        start = _segment_starts(pdf, [entity])
         seg = np.cumsum(start) - 1
         nseg = int(seg[-1]) + 1
         pos = np.arange(n)
@@ -180,7 +187,9 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
 
     carry = summaries.groupBy(entity).applyInPandas(resolve, carry_schema)
     rows = local_df.filter(F.col("__kind") == "row")
-    j = rows.join(F.broadcast(carry), [entity, "__pid"], "left")   # <= 2 rows per partition
+    carry = carry.withColumnRenamed(entity, "__ce").withColumnRenamed("__pid", "__cp")
+    j = rows.join(F.broadcast(carry), rows[entity].eqNullSafe(carry["__ce"]) & (rows["__pid"] == carry["__cp"]),
+                  "left")   # <= 2 rows per partition; NULL entities are one group, as in a window
     outs = []
     for c in cols:
         din = F.coalesce(F.col(f"__din_{c}"), F.lit(False))
@@ -217,8 +226,7 @@ def neighbor_scan(df: DataFrame, group: list[str], order: list[str], value: str,
             return
         pdf = pd.concat(frames, ignore_index=True)
         n = len(pdf)
-        gk = pd.Series(list(zip(*[pdf[c].tolist() for c in group])))
-        same_prev = np.r_[False, (gk.iloc[1:].to_numpy() == gk.iloc[:-1].to_numpy())]
+        same_prev = ~_segment_starts(pdf, group)
         same_next = np.r_[same_prev[1:], False]
         v = pdf[value]
         pdf[prev_name] = v.shift(1).astype(object).where(same_prev, None)
@@ -245,8 +253,8 @@ def neighbor_scan(df: DataFrame, group: list[str], order: list[str], value: str,
     same_as_prev = F.lit(True)
     same_as_next = F.lit(True)
     for g in group:
-        same_as_prev = same_as_prev & (F.col(g) == F.col(f"__pl_{g}"))
-        same_as_next = same_as_next & (F.col(g) == F.col(f"__nf_{g}"))
+        same_as_prev = same_as_prev & F.col(g).eqNullSafe(F.col(f"__pl_{g}"))
+        same_as_next = same_as_next & F.col(g).eqNullSafe(F.col(f"__nf_{g}"))
     is_first = F.col("__edge").isin("first", "both")
     is_last = F.col("__edge").isin("last", "both")
     prev = F.when(is_first & F.coalesce(same_as_prev, F.lit(False)), F.col("__pl_v")).otherwise(F.col(prev_name))
@@ -282,8 +290,7 @@ def cumulative_sums(df: DataFrame, group: list[str], order: list[str], cols: lis
             return
         pdf = pd.concat(frames, ignore_index=True)
         n = len(pdf)
-        gk = pd.Series(list(zip(*[pdf[c].tolist() for c in group])))
-        start = np.r_[True, gk.iloc[1:].to_numpy() != gk.iloc[:-1].to_numpy()]
+        start = _segment_starts(pdf, group)
         seg = np.cumsum(start) - 1
         nseg = int(seg[-1]) + 1
         for c in cols:
@@ -309,7 +316,12 @@ def cumulative_sums(df: DataFrame, group: list[str], order: list[str], cols: lis
                           F.coalesce(F.sum(rank_name).over(w), F.lit(0)).alias("__off_rank"))
     offsets = offsets.filter(F.col("__off_rank") > 0)       # only segments that continue an earlier partition
     rows = loc.filter((F.col("__kind") == "row"))
-    j = rows.join(F.broadcast(offsets), [*group, "__pid"], "left")   # <= 2 rows per partition
+    offsets = offsets.select(*[F.col(g).alias(f"__og_{g}") for g in group], F.col("__pid").alias("__op"),
+                             *[c for c in offsets.columns if c.startswith("__off")])
+    cond = rows["__pid"] == offsets["__op"]
+    for g in group:   # NULL keys form one group, as in a window
+        cond = cond & rows[g].eqNullSafe(offsets[f"__og_{g}"])
+    j = rows.join(F.broadcast(offsets), cond, "left")   # <= 2 rows per partition
     out = [F.col(c) for c in df.columns]
     out += [(F.col(prefix + c) + F.coalesce(F.col(f"__off_{c}"), F.lit(0))).cast(
         "bigint" if c in long_cols else "double").alias(prefix + c) for c in cols]

@@ -439,3 +439,20 @@ def test_stream_upsert_partitioned_rewrites_only_touched_partitions(spark, tmp_p
     got = sorted(tuple(r) for r in spark.read.parquet(table).select("season", "k", "v").collect())
     assert got == [(2023, 1, 1.0), (2023, 2, 2.0), (2024, 1, 50.0), (2024, 3, 30.0)]
     assert sorted(glob.glob(f"{table}/season=2023/*.parquet")) == before_2023     # untouched partition kept
+
+
+def test_scans_treat_null_entity_as_one_group(spark):
+    from diamondlake.operators.scan import cumulative_sums, ema_scan, neighbor_scan
+    data = [(None if i < 30 else 1, i, float(i % 4), "abc"[i % 3]) for i in range(40)]
+    df = spark.createDataFrame(data, "t long, i long, x double, e string")
+    pdf = pd.DataFrame(data, columns=["t", "i", "x", "e"])
+    pdf["grp"] = pdf["t"].fillna(-1)
+    pdf = pdf.sort_values(["grp", "i"])
+    cs = {(r["t"], r["i"]): r["cum_x"] for r in cumulative_sums(df, ["t"], ["i"], ["x"], num_partitions=6).collect()}
+    em = {(r["t"], r["i"]): r["x_ema"] for r in ema_scan(df, "t", ["i"], ["x"], digits=None, num_partitions=6).collect()}
+    nb = {(r["t"], r["i"]): r["p"] for r in neighbor_scan(df, ["t"], ["i"], "e", "p", "n", num_partitions=6).collect()}
+    for g, grp in pdf.groupby("grp"):
+        t = None if g == -1 else int(g)
+        for i, c, e, p in zip(grp["i"], grp["x"].cumsum(), grp["x"].ewm(span=28, adjust=False).mean(), grp["e"].shift(1)):
+            assert cs[(t, i)] == c and abs(em[(t, i)] - e) < 1e-12
+            assert nb[(t, i)] == (None if pd.isna(p) else p)
