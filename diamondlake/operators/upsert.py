@@ -53,10 +53,16 @@ def _keep_last(df: DataFrame, keys: list[str], order: list[str], rest: list[str]
         *keys, *[F.col(f"__r.{c}") for c in rest])
 
 
-def incremental_append(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of the batch whose key is not stored yet (distinct within the
-    batch too); appending them is idempotent on re-run."""
-    return batch.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+def incremental_append(existing: DataFrame, batch: DataFrame, keys: list[str],
+                       order: list[str] | None = None) -> DataFrame:
+    """Rows of the batch whose key is not stored yet; duplicate keys inside
+    the batch keep the first row by ``order`` (default: the other columns), so
+    a retried run appends exactly the same rows.  Appending the result is
+    idempotent on re-run."""
+    from diamondlake.operators.keys import dedup_keep_first
+    rest = [c for c in batch.columns if c not in keys]
+    first = dedup_keep_first(batch, keys, order or rest) if rest else batch.select(*keys).distinct()
+    return first.select(*batch.columns).join(existing.select(*keys), keys, "left_anti")
 
 
 def pending_dates(calendar: DataFrame, loaded: DataFrame, date_col: str) -> DataFrame:
