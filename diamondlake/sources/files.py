@@ -26,7 +26,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # noqa: BLE001  (remote session: fall back to trying the read)
+        try:
+            spark.read.text(path).limit(1).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
