@@ -456,3 +456,14 @@ def test_scans_treat_null_entity_as_one_group(spark):
         for i, c, e, p in zip(grp["i"], grp["x"].cumsum(), grp["x"].ewm(span=28, adjust=False).mean(), grp["e"].shift(1)):
             assert cs[(t, i)] == c and abs(em[(t, i)] - e) < 1e-12
             assert nb[(t, i)] == (None if pd.isna(p) else p)
+
+
+def test_model_save_load_predictions_equal(spark, tmp_path):
+    from diamondlake.operators import models as M
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1.0 + (i % 3) * 0.1) for i in range(50)], "x double, y double")
+    data = M.assemble(df, ["x"])
+    model = M.fit_ols(data, "y")
+    path = M.save_model(model, str(tmp_path / "m"))
+    before = [r["prediction"] for r in model.transform(data).orderBy("x").collect()]
+    after = [r["prediction"] for r in M.load_linear_model(path).transform(data).orderBy("x").collect()]
+    assert before == after
