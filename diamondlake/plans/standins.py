@@ -88,15 +88,8 @@ def batting_counts_sql(col: str = "event_type") -> str:
 # Order status -> game type (O regular season, F post-season, P spring training).
 GAME_TYPE = {"O": "R", "F": "F", "P": "S"}
 
-# Outs recorded per play event (event name -> outs).
-OUTS_BY_EVENT = {
-    "double": 0, "double_play": 2, "field_out": 1, "fielders_choice": 0, "fielders_choice_out": 1,
-    "force_out": 1, "grounded_into_double_play": 2, "hit_by_pitch": 0, "home_run": 0, "sac_bunt": 1,
-    "sac_bunt_double_play": 2, "sac_fly": 1, "sac_fly_double_play": 2, "single": 0, "strikeout": 1,
-    "strikeout_double_play": 2, "triple": 0, "triple_play": 3, "walk": 0, "catcher_interf": 0, "field_error": 0,
-}
-# Bases gained per hit kind (anything else is worth 0).
-HIT_VALUE = {"single": 1, "double": 2, "triple": 3, "home_run": 4}
+from diamondlake.functions.vocab import HIT_VALUE, OUTS_BY_EVENT  # noqa: E402,F401  (fixed tables)
+
 # stand-in event_type -> play event name
 EVENT_NAME = {"click": "single", "view": "double", "purchase": "home_run", "signup": "walk", "error": "field_out"}
 

@@ -467,3 +467,14 @@ def test_model_save_load_predictions_equal(spark, tmp_path):
     before = [r["prediction"] for r in model.transform(data).orderBy("x").collect()]
     after = [r["prediction"] for r in M.load_linear_model(path).transform(data).orderBy("x").collect()]
     assert before == after
+
+
+def test_real_vocabulary_rate_stats(spark):
+    from diamondlake.functions.vocab import batting_categories
+    ev = ["single", "double", "home_run", "strikeout", "walk", "sac_fly", "field_out", None, "hit_by_pitch", "triple"]
+    df = spark.createDataFrame([(1, e) for e in ev], "batter long, events string")
+    c = A.conditional_counts(df, ["batter"], "events", batting_categories())
+    r = A.rate_stats(c, extra_walks=None).collect()[0]
+    # hits 4 (1B 2B 3B HR), at bats 6 (+K, field out), on base 6 (+BB, HBP), walks 2, sac fly 1, PA 9
+    assert (r["hit_count"], r["total_ab"], r["num_obp"], r["walks"], r["sf"], r["num_pa"]) == (4, 6, 6, 2, 1, 9)
+    assert (r["ba"], r["slg"], r["obp"]) == (0.6667, round((1 + 2 + 3 + 4) / 6, 4), round(6 / 9, 4))
