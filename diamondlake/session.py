@@ -27,6 +27,16 @@ DEFAULT_CONF = {
 }
 
 
+def _driver_memory() -> str:
+    """Local-mode heap: 60 % of physical memory, between 2 and 16 GB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gb = int(total * 0.6 / (1 << 30))
+    return f"{max(2, min(16, gb))}g"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "diamondlake", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
@@ -38,7 +48,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name).master(master or f"local[{cpus}]")
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf.setdefault("spark.driver.memory", "16g")
+    conf.setdefault("spark.driver.memory", _driver_memory())
     if extra:
         conf.update(extra)
     for k, v in conf.items():
