@@ -34,15 +34,6 @@ from diamondlake.functions.scalars import round_half_up
 from diamondlake.session import cut_lineage
 
 
-def _segment_starts(pdf: pd.DataFrame, group: list[str]) -> np.ndarray:
-    """True where a new group starts in rows sorted by group (NULL/NaN keys
-    compare equal, as in a window's PARTITION BY)."""
-    codes = pdf.groupby(group, dropna=False, sort=False).ngroup().to_numpy()
-    start = np.ones(len(pdf), dtype=bool)
-    start[1:] = codes[1:] != codes[:-1]
-    return start
-
-
 def _range_partition(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataFrame:
     """Range partitioning on the full sort key.  Without an explicit count the
     shuffle uses ``spark.sql.shuffle.partitions`` and AQE may merge adjacent
@@ -82,7 +73,9 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
             return
         pdf = pd.concat(frames, ignore_index=True)
         n = len(pdf)
-        start = _segment_starts(pdf, [entity])
+        codes = pdf.groupby([entity], dropna=False, sort=False).ngroup().to_numpy()   # NULL keys: one group
+        start = np.ones(n, dtype=bool)
+        start[1:] = codes[1:] != codes[:-1]
         seg = np.cumsum(start) - 1
         nseg = int(seg[-1]) + 1
         pos = np.arange(n)
@@ -226,7 +219,8 @@ def neighbor_scan(df: DataFrame, group: list[str], order: list[str], value: str,
             return
         pdf = pd.concat(frames, ignore_index=True)
         n = len(pdf)
-        same_prev = ~_segment_starts(pdf, group)
+        codes = pdf.groupby(group, dropna=False, sort=False).ngroup().to_numpy()     # NULL keys: one group
+        same_prev = np.r_[False, codes[1:] == codes[:-1]]
         same_next = np.r_[same_prev[1:], False]
         v = pdf[value]
         pdf[prev_name] = v.shift(1).astype(object).where(same_prev, None)
@@ -290,7 +284,8 @@ def cumulative_sums(df: DataFrame, group: list[str], order: list[str], cols: lis
             return
         pdf = pd.concat(frames, ignore_index=True)
         n = len(pdf)
-        start = _segment_starts(pdf, group)
+        codes = pdf.groupby(group, dropna=False, sort=False).ngroup().to_numpy()     # NULL keys: one group
+        start = np.r_[True, codes[1:] != codes[:-1]]
         seg = np.cumsum(start) - 1
         nseg = int(seg[-1]) + 1
         for c in cols:

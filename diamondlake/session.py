@@ -56,6 +56,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -86,6 +87,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> str | None:
+    """Make ``diamondlake`` importable in the Python workers (pandas functions
+    in the scans run there): zip the package once per application and
+    ``addPyFile`` it, which distributes it to every executor."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (remote session: ship with the session's own artifact mechanism)
+        return None
+    if sc.applicationId in _SHIPPED:
+        return None
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="diamondlake-pkg-"), "diamondlake.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+    return out
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint dir (survives executor
     loss, unlike a local checkpoint)."""
