@@ -478,3 +478,19 @@ def test_real_vocabulary_rate_stats(spark):
     # hits 4 (1B 2B 3B HR), at bats 6 (+K, field out), on base 6 (+BB, HBP), walks 2, sac fly 1, PA 9
     assert (r["hit_count"], r["total_ab"], r["num_obp"], r["walks"], r["sf"], r["num_pa"]) == (4, 6, 6, 2, 1, 9)
     assert (r["ba"], r["slg"], r["obp"]) == (0.6667, round((1 + 2 + 3 + 4) / 6, 4), round(6 / 9, 4))
+
+
+def test_sql_entry_point_with_named_parameters(spark):
+    from diamondlake.plans.catalog import queries
+    from diamondlake.sources.sql_api import run_sql
+    from tests.conftest import SF_SMALL
+    text = """
+    SELECT user_id AS batter_id, CAST(ts AS DATE) AS game_date,
+           COUNT_IF(event_type = 'click') AS num_singles, COUNT_IF(event_type = 'view') AS num_doubles,
+           COUNT_IF(event_type = 'signup') AS num_triples, COUNT_IF(event_type = 'purchase') AS num_hrs
+    FROM events WHERE ts >= :start AND ts < :stop
+    GROUP BY user_id, CAST(ts AS DATE)
+    HAVING num_singles > 0 AND num_doubles > 0 AND num_triples > 0 AND num_hrs > 0"""
+    got = run_sql(spark, SF_SMALL, text, start=dt.datetime(2024, 1, 1), stop=dt.datetime(2024, 2, 1))
+    ref = queries()["agg_all_categories"](spark, SF_SMALL)
+    assert rows(got) == rows(ref)
