@@ -45,16 +45,28 @@ def init_snapshot(df: DataFrame, base: str) -> str:
     return path
 
 
+def upsert_snapshot(spark: SparkSession, base: str, batch: DataFrame, keys: list[str],
+                    update_cols: list[str] | None = None, version: int | None = None) -> str:
+    """S6 as a batch job: merge ``batch`` into the latest committed snapshot
+    below ``version`` and write the result as snapshot ``version`` (default:
+    next).  Readers keep using the previous snapshot until the new one has its
+    ``_SUCCESS`` marker; rerunning the same version rewrites it identically."""
+    committed = _versions(spark, base)
+    version = version if version is not None else (committed[-1] + 1 if committed else 1)
+    prior = [v for v in committed if v < version]
+    target = spark.read.parquet(os.path.join(base, f"v{prior[-1]}"))
+    merged = upsert_by_key(target, batch, keys, update_cols)
+    path = os.path.join(base, f"v{version}")
+    merged.write.mode("overwrite").parquet(path)
+    return path
+
+
 def stream_upsert(spark: SparkSession, landing: str, schema, base: str, checkpoint: str, keys: list[str],
                   update_cols: list[str] | None = None, files_per_trigger: int = 1) -> str:
     """Run the landing-folder stream to completion (``availableNow``) and return
     the path of the final snapshot."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        prior = [v for v in _versions(spark, base) if v < version]
-        target = spark.read.parquet(os.path.join(base, f"v{prior[-1]}"))
-        merged = upsert_by_key(target, batch, keys, update_cols)
-        merged.write.mode("overwrite").parquet(os.path.join(base, f"v{version}"))
+        upsert_snapshot(spark, base, batch, keys, update_cols, version=batch_id + 1)
 
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
          .writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -494,3 +494,13 @@ def test_sql_entry_point_with_named_parameters(spark):
     got = run_sql(spark, SF_SMALL, text, start=dt.datetime(2024, 1, 1), stop=dt.datetime(2024, 2, 1))
     ref = queries()["agg_all_categories"](spark, SF_SMALL)
     assert rows(got) == rows(ref)
+
+
+def test_upsert_snapshot_versions(spark, tmp_path):
+    from diamondlake.streaming.upsert_stream import current_snapshot, init_snapshot, upsert_snapshot
+    base = str(tmp_path / "dim")
+    init_snapshot(spark.createDataFrame([(1, 1.0), (2, 2.0)], "k long, v double"), base)
+    p1 = upsert_snapshot(spark, base, spark.createDataFrame([(2, 9.0), (3, 3.0)], "k long, v double"), ["k"])
+    assert p1.endswith("v1") and current_snapshot(spark, base) == p1
+    assert rows(spark.read.parquet(p1)) == [(1, 1.0), (2, 9.0), (3, 3.0)]
+    assert rows(spark.read.parquet(f"{base}/v0")) == [(1, 1.0), (2, 2.0)]       # previous snapshot untouched
