@@ -1,10 +1,12 @@
 """Window operators.
 
-Ordered windows are only used over rows already aggregated to one row per
-(entity, game/day), so a partition holds at most one row per calendar slot of
-one entity, however hot the entity is in the raw feed.  Unordered "per group"
-values (W1) and "latest row" (W2) are written as aggregates, which are
-partially aggregated map-side and therefore skew-safe.
+Unordered "per group" values (W1) and "latest row" (W2) are aggregates,
+partially aggregated map-side and therefore skew-safe.  Ordered operators
+(lag, streaks, running and rolling sums, running accuracy) take
+``skew_safe=True`` to run on the range-partitioned scans of ``scan.py``
+instead of one window partition per entity; the plain window form is for
+groups known to be small (e.g. one game's pitches).  The trailing-days ratio
+always windows over daily totals (at most one row per entity and day).
 """
 
 from __future__ import annotations
