@@ -504,3 +504,12 @@ def test_upsert_snapshot_versions(spark, tmp_path):
     assert p1.endswith("v1") and current_snapshot(spark, base) == p1
     assert rows(spark.read.parquet(p1)) == [(1, 1.0), (2, 9.0), (3, 3.0)]
     assert rows(spark.read.parquet(f"{base}/v0")) == [(1, 1.0), (2, 2.0)]       # previous snapshot untouched
+
+
+def test_lag_lead_skew_safe_match_windows(spark):
+    data = [(g, i, f"s{(g * 7 + i) % 5}") for g in (1, 2, 3) for i in range(25 if g == 1 else 4)]
+    df = spark.createDataFrame(data, "g long, i long, v string")
+    for fn in (WN.lag_value, WN.lead_value):
+        a = rows(fn(df, ["g"], ["i"], "v", "x"), "g", "i", "x")
+        b = rows(fn(df, ["g"], ["i"], "v", "x", skew_safe=True), "g", "i", "x")
+        assert a == b
