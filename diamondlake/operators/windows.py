@@ -52,8 +52,15 @@ def lag_value(df: DataFrame, partition: list[str], order: list[str], col: str, n
 
 
 def lead_value(df: DataFrame, partition: list[str], order: list[str], col: str, name: str,
-               offset: int = 1) -> DataFrame:
-    """Next value within the partition (e.g. bases after the pitch)."""
+               offset: int = 1, skew_safe: bool = False) -> DataFrame:
+    """Next value within the partition (e.g. bases after the pitch).  The
+    registered query partitions by game, which is bounded by the game's length;
+    ``skew_safe`` uses the neighbour scan (offset 1, total order required)."""
+    if skew_safe:
+        if offset != 1:
+            raise ValueError("the skew-safe lead supports offset 1")
+        from diamondlake.operators.scan import neighbor_scan
+        return neighbor_scan(df, list(partition), list(order), col, "__prev_unused", name).drop("__prev_unused")
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(name, F.lead(col, offset).over(w))
 
