@@ -73,3 +73,33 @@ def test_streaks_match_brute_force(spark, hits):
         assert any_state == max(_runs(states))
         got = WN.streaks(df, "p", "g", "h", as_written=False, skew_safe=skew_safe).collect()
         assert (got[0]["best_streak"] if got else 0) == (max(hit_runs) if hit_runs else 0)
+
+
+@SETTINGS
+@given(vals=st.lists(st.tuples(st.sampled_from("abc"), st.integers(-50, 50)), min_size=1, max_size=40),
+       parts=st.integers(1, 6))
+def test_exact_quantiles_match_numpy(spark, vals, parts):
+    import numpy as np
+    from diamondlake.operators.scan import exact_quantiles
+    df = spark.createDataFrame([(g, float(v)) for g, v in vals], "g string, v double")
+    got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(df, "g", "v", [0.1, 0.5, 0.9], parts).collect()}
+    for g in {g for g, _ in vals}:
+        xs = [float(v) for gg, v in vals if gg == g]
+        for p in (0.1, 0.5, 0.9):
+            assert abs(got[(g, p)] - float(np.percentile(xs, p * 100))) < 1e-9
+
+
+@SETTINGS
+@given(vals=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9)), min_size=1, max_size=40),
+       parts=st.integers(1, 6))
+def test_cumulative_sums_match_python(spark, vals, parts):
+    from diamondlake.operators.scan import cumulative_sums
+    rows = [(g, i, v) for i, (g, v) in enumerate(vals)]
+    df = spark.createDataFrame(rows, "g long, i long, v long")
+    got = {(r["g"], r["i"]): (r["cum_v"], r["rk"]) for r in
+           cumulative_sums(df, ["g"], ["i"], ["v"], rank_name="rk", num_partitions=parts).collect()}
+    run, cnt = {}, {}
+    for g, i, v in rows:
+        run[g] = run.get(g, 0) + v
+        cnt[g] = cnt.get(g, 0) + 1
+        assert got[(g, i)] == (run[g], cnt[g])
