@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, sharding, simhash_dedup
-from .common import table
+from . import mixing, quality_rules, sharding, simhash_dedup, toxicity
+from .common import held_out, table
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,13 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", simhash_dedup.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
@@ -31,7 +38,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_simhash_dedup, op7_mixing, op8_quality_rules, op10_sharding)
+    f.__name__: f for f in (op3_simhash_dedup, op4_toxicity, op7_mixing, op8_quality_rules, op10_sharding)
 }
 
 
