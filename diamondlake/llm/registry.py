@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, sharding, simhash_dedup, toxicity
+from . import decontamination, mixing, quality_rules, sharding, simhash_dedup, toxicity
 from .common import held_out, table
 
 
@@ -33,12 +33,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents")).select("doc_id", "slot", "shard")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_simhash_dedup, op4_toxicity, op7_mixing, op8_quality_rules, op10_sharding)
+    f.__name__: f for f in (op3_simhash_dedup, op4_toxicity, op7_mixing, op8_quality_rules, op9_decontamination, op10_sharding)
 }
 
 
