@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, quality_rules, sharding, simhash_dedup, toxicity
+from . import decontamination, html_extraction, license_scan, mixing, pu_quality, quality_rules, sharding, simhash_dedup, toxicity, url_filters
 from .common import held_out, table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return near.select("doc_id", simhash_dedup.hex16(F.col("fp")).alias("fingerprint"), "component_id")
@@ -23,6 +31,15 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pu_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
@@ -42,7 +59,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_simhash_dedup, op4_toxicity, op7_mixing, op8_quality_rules, op9_decontamination, op10_sharding)
+    f.__name__: f for f in (op1_html_extraction, op2_url_filters, op3_simhash_dedup, op4_toxicity, op5_pu_quality, op6_license_scan, op7_mixing, op8_quality_rules, op9_decontamination, op10_sharding)
 }
 
 
