@@ -6,7 +6,7 @@ minimises the non-negative unbiased risk
 
     prior * E_pos[loss(+)] + max(0, E_all[loss(-)] - prior * E_pos[loss(-)])
 
-by full-batch steps. Features are worked out once and written to the shared
+by Newton steps. Features are worked out once and written to the shared
 checkpoint folder; each step is one Spark aggregation over all documents, of which
 one row of sums reaches the driver. The class prior is the smoothed share of
 positives among training labels; a last link fits the logits to a bounded sample of
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint, is_training
 
-STEPS, RATE, RIDGE = 40, 0.3, 1e-3
+#: Passes over the documents at most, ridge, and the largest change of a weight in one pass.
+STEPS, RIDGE, MAX_STEP = 12, 1e-3, 2.0
 SAMPLE = 4000
 PRIOR_RANGE = (0.05, 0.95)
 THRESHOLD = 0.5
@@ -91,13 +92,14 @@ def with_features(docs: DataFrame, labels: DataFrame, label: str, id_col: str, t
     return checkpoint(rows.join(y, "id", "left"))
 
 
-def risk_gradient(total: np.ndarray, n_all: float, n_pos: float, prior: float, k: int) -> np.ndarray:
-    """Direction of descent from the sums (loss of all as bad, of positives as
-    bad, then the gradients of all as bad, positives as bad, positives as good).
-    Where the risk of the bad part is negative, the step raises that part."""
-    neg = total[0] / n_all - prior * total[1] / n_pos
-    g_neg = total[2:2 + k] / n_all - prior * total[2 + k:2 + 2 * k] / n_pos
-    return -g_neg if neg < 0 else prior * total[2 + 2 * k:] / n_pos + g_neg
+def newton_step(w: np.ndarray, sums: Sums, n_all: float, n_pos: float, prior: float) -> tuple[float, np.ndarray]:
+    """Risk of the bad part, and the Newton step of the whole risk. With the
+    logistic loss, loss(+) - loss(-) is minus the logit: the risk is convex."""
+    bad_part = sums.bad_all / n_all - prior * sums.bad_pos / n_pos
+    ridge = np.r_[0, np.full(len(w) - 1, RIDGE)]
+    grad = sums.grad_all / n_all - prior * sums.x_pos / n_pos + ridge * w
+    step = np.linalg.solve(sums.hess_all / n_all + np.diag(ridge + 1e-6), grad)
+    return bad_part, step * min(1.0, MAX_STEP / max(np.abs(step).max(), 1e-12))
 
 
 def train(rows: DataFrame) -> Model:
@@ -113,34 +115,59 @@ def train(rows: DataFrame) -> Model:
     w[0] = math.log(prior / (1 - prior))
     if not pos:
         return Model(tuple(mean), tuple(scale), tuple(w), (0.0, 1.0), prior)
-    k = d + 1
-    m1, m2 = np.zeros(k), np.zeros(k)
-    for step in range(1, STEPS + 1):
-        total = _sums(rows, w, mean, scale)
-        g = risk_gradient(total, n, pos, prior, k) + RIDGE * np.r_[0, w[1:]]
-        m1, m2 = 0.9 * m1 + 0.1 * g, 0.95 * m2 + 0.05 * g * g
-        w = w - RATE / math.sqrt(step) * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.95 ** step)) + 1e-8)
+    last = w
+    for _ in range(STEPS):
+        bad_part, step = newton_step(w, _sums(rows, w, mean, scale), n, pos, prior)
+        if bad_part < 0:  # non-negative risk: back towards the last weights that kept to it
+            w = (w + last) / 2
+            continue
+        last, w = w, w - step
+        if np.abs(step).max() < 1e-4:
+            break
     model = Model(tuple(mean), tuple(scale), tuple(w), (0.0, 1.0), prior)
     return Model(model.mean, model.scale, model.weights, _link(rows, model), prior)
 
 
-def _sums(rows: DataFrame, w: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Sums:
+    """Sums over documents at some weights: losses as bad of all and of the
+    positives, gradient of the former, features of the positives, curvature of the former."""
+
+    bad_all: float
+    bad_pos: float
+    grad_all: np.ndarray
+    x_pos: np.ndarray
+    hess_all: np.ndarray
+
+    @staticmethod
+    def of(x: np.ndarray, positive: np.ndarray, w: np.ndarray) -> Sums:
+        z = np.clip(x @ w, -30, 30)
+        p, loss = 1 / (1 + np.exp(-z)), np.logaddexp(0, z)
+        return Sums(loss.sum(), loss[positive].sum(), x.T @ p, x[positive].sum(axis=0), (x * (p * (1 - p))[:, None]).T @ x)
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([[self.bad_all, self.bad_pos], self.grad_all, self.x_pos, self.hess_all.ravel()])
+
+    @staticmethod
+    def of_flat(v: np.ndarray, k: int) -> Sums:
+        return Sums(v[0], v[1], v[2:2 + k], v[2 + k:2 + 2 * k], v[2 + 2 * k:].reshape(k, k))
+
+
+def _sums(rows: DataFrame, w: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> Sums:
     k = len(w)
+    size = 2 + 2 * k + k * k
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(2 + 3 * k)
+        total = np.zeros(size)
         for pdf in batches:
             if len(pdf):
                 x = np.column_stack([np.ones(len(pdf)), (np.stack(pdf["x"].to_numpy()) - mean) / scale])
-                z, p = np.clip(x @ w, -30, 30), pdf["y"].to_numpy(float) == 1
-                bad = 1 / (1 + np.exp(-z))
-                loss = np.logaddexp(0, z)
-                total += np.concatenate([[loss.sum(), loss[p].sum()], x.T @ bad, x[p].T @ bad[p], x[p].T @ (bad[p] - 1)])
-        yield pd.DataFrame([total], columns=[f"t{i}" for i in range(len(total))])
-
-    names = [f"t{i}" for i in range(2 + 3 * k)]
-    parts = rows.select("x", "y").mapInPandas(part, ", ".join(f"{c} double" for c in names))
-    return np.array(parts.agg(*(F.sum(c).alias(c) for c in names)).first(), dtype=float)
+                total += Sums.of(x, pdf["y"].to_numpy(float) == 1, w).flat()
+        yield pd.DataFrame({"i": range(size), "v": total})
+
+    parts = rows.select("x", "y").mapInPandas(part, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
+    found = dict(parts.collect())  # one number per entry, whatever the number of documents
+    return Sums.of_flat(np.array([found.get(i, 0.0) for i in range(size)]), k)
 
 
 def _link(rows: DataFrame, model: Model) -> tuple[float, float]:
