@@ -126,15 +126,16 @@ class Lexicon:
             return self.cache[word]
         drop1, drop0 = label == 1, label == 0
         scale = max(self.toxic - drop1, 1) / max(self.clean - drop0, 1)
-        rate, known, found = 0.5, False, word in SEED_INSULTS and not self.toxic
+        # Both shares are kept: one minus a share near 1 would round to zero.
+        bad, good, known, found = 0.5, 0.5, False, word in SEED_INSULTS and not self.toxic
         for node in nodes_of(word):
             n = self.counts.get(node)
             if n is None:
                 continue
             known = known or node in self.accepted
             n1, n0 = max(n[0] - drop1, 0), max(n[1] - drop0, 0) * scale
-            rate = (n1 + self.strength * rate) / (n1 + n0 + self.strength)
-        w = math.log(rate / (1 - rate)) if known else SEED_WEIGHT if found else 0.0
+            bad, good = ((n + self.strength * share) / (n1 + n0 + self.strength) for n, share in ((n1, bad), (n0, good)))
+        w = math.log(bad) - math.log(good) if known else SEED_WEIGHT if found else 0.0
         w = max(w, 0.0)
         if label is None and len(self.cache) < 200_000:
             self.cache[word] = w

@@ -192,6 +192,14 @@ def test_grammar_prefers_aimed_over_denied():
     assert aimed > denied > 0 and aimed > quoted > 0
 
 
+def test_lexicon_weight_of_a_frequent_toxic_word():
+    word = "idiotically"
+    lexicon = toxicity.Lexicon({n: (4000, 0) for n in toxicity.nodes_of(word)}, frozenset({word}), 4000, 4000)
+    assert 20 < lexicon.weight(word) < 100 and 20 < lexicon.weight(word, 1) < 100
+    clean = toxicity.Lexicon({n: (0, 4000) for n in toxicity.nodes_of(word)}, frozenset({word}), 4000, 4000)
+    assert clean.weight(word) == 0
+
+
 def test_non_negative_risk_and_prior():
     import numpy as np
     rng = np.random.default_rng(1)
