@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -45,10 +46,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     128 MB on a cluster); AQE coalesces small ones away at runtime.
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app_name).master(master or f"local[{cpus}]")
+    if "PYSPARK_GATEWAY_PORT" in os.environ:    # started by spark-submit: its JVM holds the settings
+        SparkContext._ensure_initialized()
+    given = SparkConf()
+    local = master is None and not given.contains("spark.master")
+    builder = SparkSession.builder.appName(app_name)
+    if local:
+        master = f"local[{cpus}]"
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf.setdefault("spark.driver.memory", _driver_memory())
+    if shuffle_partitions or local:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+    if (master or given.get("spark.master")).startswith("local") and not given.contains("spark.driver.memory"):
+        conf["spark.driver.memory"] = _driver_memory()
     if extra:
         conf.update(extra)
     for k, v in conf.items():
@@ -67,6 +78,11 @@ def partitions_for_bytes(total_bytes: int, target_bytes: int = 256 << 20, minimu
     return max(minimum, -(-int(total_bytes) // int(target_bytes)))
 
 
+def _one_machine(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[...]``; ``local-cluster`` isn't)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
     tests) create a private scratch folder for it."""
@@ -80,6 +96,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(configured)
         return configured
+    if sc is not None and not _one_machine(sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="diamondlake-ckpt-")   # only when the cluster names none (tests)
     spark.conf.set("spark.checkpoint.dir", local)
     if sc is not None:

@@ -513,3 +513,9 @@ def test_lag_lead_skew_safe_match_windows(spark):
         a = rows(fn(df, ["g"], ["i"], "v", "x"), "g", "i", "x")
         b = rows(fn(df, ["g"], ["i"], "v", "x", skew_safe=True), "g", "i", "x")
         assert a == b
+
+
+def test_checkpoint_dir_is_required_on_a_cluster():
+    from diamondlake import session
+    assert session._one_machine("local") and session._one_machine("local[4]")
+    assert not session._one_machine("local-cluster[2,1,1024]") and not session._one_machine("yarn")
