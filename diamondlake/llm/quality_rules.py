@@ -63,8 +63,22 @@ def _removed(text: Column, chars: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
 
 
+def _left(text: Column, removed: str) -> Column:
+    """Characters of ``text`` that stay when runs of ``removed`` go."""
+    return F.length(F.regexp_replace(text, removed, "")).cast("long")
+
+
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE_RE), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACE_RE), "")
+
+
+def _either(words: list[str]) -> str:
+    """Pattern of any of ``words``, which branches at each letter once."""
+    heads = dict.fromkeys(w[0] for w in words if w)
+    branches = [h + _either([w[1:] for w in words if w[:1] == h]) for h in heads]
+    if not branches:
+        return ""
+    return "(?:" + "|".join(branches) + ")" + ("?" if "" in words else "")
 
 
 def repeated_words(words: Column, n: int = WINDOW) -> Column:
@@ -77,12 +91,12 @@ def repeated_words(words: Column, n: int = WINDOW) -> Column:
 
     def covered(h: Column) -> Column:
         # Equal windows stand side by side after the sort; their starts in order, each covers up to the next start.
-        order = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        order = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
 
         def twice(o: Column) -> Column:
             last = F.size(o) - 1
             return F.filter(o, lambda x, j: ((j > 0) & (F.get(o, j - 1)["h"] == x["h"])) | ((j < last) & (F.get(o, j + 1)["h"] == x["h"])))
-        at = _let(_let(order, twice), lambda t: F.array_sort(F.transform(t, lambda x: x["i"])))
+        at = _let(_let(order, twice), lambda t: F.sort_array(F.transform(t, lambda x: x["i"])))
         return _let(at, lambda a: F.aggregate(F.transform(a, lambda x, j: F.least(F.lit(n), F.coalesce(F.get(a, j + 1) - x, F.lit(n)))), F.lit(0), lambda s, x: s + x))
 
     some = _let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
@@ -111,10 +125,10 @@ def measures(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[s
         "n_dup_lines": n_lines - F.size(F.array_distinct(ln)),
         "n_repeat_words": repeated_words(w),
         "n_lines": n_lines,
-        "n_stop": F.regexp_count(t, F.lit(r"(?i)(?<![\p{L}])(?:" + "|".join(dict.fromkeys(STOP_WORDS)) + r")(?![\p{L}])")).cast("long"),
+        "n_stop": F.regexp_count(F.lower(t), F.lit(r"(?<!\p{L})" + _either(list(dict.fromkeys(STOP_WORDS))) + r"(?!\p{L})")).cast("long"),
         "n_letter_words": F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*")).cast("long"),
         "n_upper": F.regexp_count(t, F.lit(r"\p{Lu}")).cast("long"),
-        "n_letters": F.regexp_count(t, F.lit(r"\p{L}")).cast("long"),
+        "n_letters": _left(t, r"\P{L}+"),
         "n_bang": _removed(t, "!?"),
         "n_bullet": F.size(F.filter(ln, lambda x: x.rlike(r"^\s*[-*•·–]"))).cast("long"),
         "n_ellipsis": F.size(F.filter(ln, lambda x: x.rlike(r"(?:\.\.\.|…)\s*$"))).cast("long"),
