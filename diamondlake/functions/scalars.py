@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 # Accent folding table for F3 (Latin-1 and Latin Extended-A letters
 # that occur in the feeds), letters and their unaccented forms, same positions.
-ACCENTED = "ÀÁÂÃÄÅàáâãäåÈÉÊËèéêëÌÍÎÏìíîïÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿÑñÇçŠšŽž"
-UNACCENTED = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuYyyNnCcSsZz"
+ACCENTED = "ÀÁÂÃÄÅàáâãäåÈÉÊËèéêëÌÍÎÏìíîïÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿÑñÇçŠšŽžØøŁłĐđ"
+UNACCENTED = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuYyyNnCcSsZzOoLlDd"
+
+# Letters that fold to two.
+TWO_LETTERS = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE"}
 
 
 def _c(c) -> Column:
@@ -32,17 +35,25 @@ def anchor_text(c) -> Column:
     return F.nullif(F.regexp_extract(_c(c), r">(.*?)<", 1), F.lit(""))
 
 
+def link_text(c) -> Column:
+    """F1 on a whole page: text of the first ``<a>`` element, NULL when absent or empty."""
+    return F.nullif(F.regexp_extract(_c(c), r"(?s)<a(\s[^>]*)?>(.*?)</a>", 2), F.lit(""))
+
+
 def swap_name(c) -> Column:
     """"Last, First" -> "First Last" (split at the first comma); no comma -> unchanged."""
     col = _c(c)
     before = F.substring_index(col, ",", 1)
-    rest = F.substring(col, F.instr(col, ",") + 1, 1 << 30)
+    rest = F.substr(col, F.instr(col, ",") + 1)
     return F.when(F.instr(col, ",") > 0, F.concat_ws(" ", F.trim(rest), F.trim(before))).otherwise(col)
 
 
 def strip_accents(c) -> Column:
     """fold accented Latin letters to ASCII by a fixed translation table."""
-    return F.translate(_c(c), ACCENTED, UNACCENTED)
+    out = F.translate(_c(c), ACCENTED, UNACCENTED)
+    for letter, two in TWO_LETTERS.items():
+        out = F.replace(out, F.lit(letter), F.lit(two))
+    return out
 
 
 def first_two_words(c) -> Column:

@@ -27,8 +27,8 @@ OUTS_BY_EVENT = {
     "strikeout_double_play": 2, "triple": 0, "triple_play": 3, "walk": 0, "catcher_interf": 0, "field_error": 0,
 }
 
-# Bases gained per hit kind (anything else is worth 0).
-HIT_VALUE = {"single": 1, "double": 2, "triple": 3, "home_run": 4}
+# Worth of a way on base (anything else is worth 0).
+HIT_VALUE = {"single": 1.0, "double": 2.0, "triple": 3.0, "home_run": 4.0, "walk": 0.5, "hit_by_pitch": 0.5}
 
 
 def batting_categories() -> dict:

@@ -1,7 +1,8 @@
 """Aggregations.
 
-All of these are hash aggregates with map-side partial aggregation, so a hot
-group key costs one partial row per input partition, not a skewed task.
+All of these aggregate partially on the map side, so a hot group key costs
+one partial row per input partition, not a skewed task.  ``min_by``/``max_by``
+over structs are planned as sort aggregates, the rest as hash aggregates.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up
+from diamondlake.operators.nullsafe import join_null_safe
 
 NOT_NULL = object()  # category spec: "any non-NULL value" (num_pa in the leaderboards)
 
@@ -151,7 +153,7 @@ def transition_probs(df: DataFrame, entity: str, state: str, event: str, next_st
     cnt = df.groupBy(entity, state, event, next_state).agg(
         F.count(F.lit(1)).alias("n"), F.avg(runs).alias("avg_runs"))
     tot = cnt.groupBy(entity, state).agg(F.sum("n").alias("n_state"))
-    j = cnt.join(tot, [entity, state])
+    j = join_null_safe(cnt, tot, [entity, state])
     return j.select(entity, state, event, next_state, "n",
                     round_half_up(F.col("n") / F.col("n_state"), digits).alias("prob"),
                     round_half_up("avg_runs", digits).alias("avg_runs"))

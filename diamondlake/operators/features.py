@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up
 from diamondlake.operators import windows as WN
+from diamondlake.operators.nullsafe import join_null_safe
 
 
 def team_game_features(team_games: DataFrame, team: str, order: list[str], season: str, date_col: str,
@@ -30,7 +31,7 @@ def team_game_features(team_games: DataFrame, team: str, order: list[str], seaso
         cs = cumulative_sums(tg, [team], order, cols, rank_name="__rk", prefix="__c_")
         before = cs.groupBy(team, season).agg(F.min_by(F.struct(*[
             (F.col(f"__c_{c}") - F.coalesce(F.col(c), F.lit(0))).alias(f"__o_{c}") for c in cols]), F.col("__rk")).alias("__o"))
-        cs = cs.join(before.select(team, season, "__o.*"), [team, season])
+        cs = join_null_safe(cs, before.select(team, season, "__o.*"), [team, season])
         sub = (lambda c: F.lit(0)) if include_current else (lambda c: F.coalesce(F.col(c), F.lit(0)))
         std = {c: F.col(f"__c_{c}") - F.col(f"__o_{c}") - sub(c) for c in cols}
         for col, out in (("win", "std_win_pct"), ("runs_scored", "std_runs_pg"), ("runs_allowed", "std_runs_allowed_pg")):
@@ -38,7 +39,7 @@ def team_game_features(team_games: DataFrame, team: str, order: list[str], seaso
         back = 10 if include_current else 11
         lag = cs.select(F.col(team).alias("__l_team"), (F.col("__rk") + back).alias("__l_rk"),
                         F.col("__c_win").alias("__l_win"))
-        cs = cs.join(lag, (cs[team] == lag["__l_team"]) & (cs["__rk"] == lag["__l_rk"]), "left")
+        cs = cs.join(lag, cs[team].eqNullSafe(lag["__l_team"]) & (cs["__rk"] == lag["__l_rk"]), "left")
         last10 = F.col("__c_win") - sub("win") - F.coalesce(F.col("__l_win"), F.lit(0))
         cs = cs.withColumn("wins_last_10", last10 if include_current else F.when(F.col("__rk") > 1, last10))
         tg = cs.drop(*[f"__c_{c}" for c in cols], *[f"__o_{c}" for c in cols], "__rk", "__l_team", "__l_rk", "__l_win")

@@ -13,9 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Text of a NULL key part.
+NULL_PART = "\\N"
+
+
+def _part(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit(NULL_PART))
+
+
 def key_concat(cols: list[str], sep: str = "-") -> Column:
-    """K1: composite natural key as text; ``sep=''`` reproduces undelimited keys."""
-    return F.concat_ws(sep, *[F.col(c).cast("string") for c in cols])
+    """K1: composite natural key as text; ``sep=''`` reproduces undelimited keys.
+    A NULL part is written as ``NULL_PART``, so it keeps its place in the key."""
+    return F.concat_ws(sep, *[_part(c) for c in cols])
 
 
 def key_conditional(cond: Column, cols: list[str], sep: str = "-") -> Column:
@@ -25,7 +34,7 @@ def key_conditional(cond: Column, cols: list[str], sep: str = "-") -> Column:
 
 def state_encode(cols: list[str], presence: bool = False, sep: str = "-") -> Column:
     """K3: encoded state string, values ('3-2') or occupancy flags ('1-0-1')."""
-    parts = [F.col(c).isNotNull().cast("int").cast("string") if presence else F.col(c).cast("string") for c in cols]
+    parts = [F.col(c).isNotNull().cast("int").cast("string") if presence else _part(c) for c in cols]
     return F.concat_ws(sep, *parts)
 
 

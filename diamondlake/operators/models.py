@@ -6,17 +6,25 @@ statistics / tree histograms via treeAggregate); scoring is a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.operators.windows import latest_row
 
 
-def assemble(df: DataFrame, cols: list[str], out: str = "features", handle_invalid: str = "skip") -> DataFrame:
-    """M1: feature vector from named columns (rows with NULL/NaN inputs skipped)."""
+def complete(cols: list[str]) -> Column:
+    """Whether a row has a value in each of ``cols``."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols])
+
+
+def assemble(df: DataFrame, cols: list[str], out: str = "features", handle_invalid: str = "keep") -> DataFrame:
+    """M1: feature vector from named columns.  By default every row stays, missing
+    inputs are NaN in the vector; fit on the rows that are ``complete``."""
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid=handle_invalid).transform(df)
 
 
@@ -68,7 +76,14 @@ def forecast_features(feats: DataFrame, team: str, order: list[str], targets: li
         data = assembler.transform(train.dropna(subset=[f"__next_{t}"] + inputs))
         models[t] = RandomForestRegressor(featuresCol="__x", labelCol=f"__next_{t}", numTrees=num_trees, seed=seed,
                                           maxDepth=max_depth, predictionCol=f"__p_{t}").fit(data)
-    state = latest_row(feats.dropna(subset=inputs), team, order, inputs).select(team, *inputs)
+    # Every team's last row; a missing value stands at the team's average, then at the average of all teams.
+    state = latest_row(feats, team, order, inputs)
+    means = train.agg(*[F.avg(c).alias(c) for c in inputs])
+    mean = {c: means.select(c).scalar() for c in inputs}
+    frozen = [F.coalesce(F.col(e), mean[e], F.lit(0.0)).alias(e) for e in ema_cols]
+    emas = dict(zip(targets, ema_cols, strict=False))
+    state = state.select(team, *[F.coalesce(F.col(t), F.col(emas[t]) if t in emas else mean[t], mean[t], F.lit(0.0)).alias(t)
+                                 for t in targets], *frozen)
     for _ in range(max(horizon, 0)):
         x = assembler.transform(state)
         for t in targets:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from diamondlake.operators.nullsafe import join_null_safe
+
 
 def sort_nulls(df: DataFrame, col: str, tiebreak: list[str], nulls_first_desc: bool = True) -> DataFrame:
     """O1: ORDER BY col DESC with NULLs first (the SQL-warehouse default) and a
@@ -63,6 +65,6 @@ def split_chronological(df: DataFrame, entity: str, order: list[str], train_frac
         ranked = cumulative_sums(df, [entity], order, [], rank_name="__rk")
     else:
         ranked = df.withColumn("__rk", F.row_number().over(Window.partitionBy(entity).orderBy(*order)))
-    j = ranked.join(n, entity)
+    j = join_null_safe(ranked, n, [entity])
     return j.withColumn(name, F.when(F.col("__rk") <= F.floor(F.col("__n") * train_fraction), "train")
                         .otherwise("test")).drop("__rk", "__n")

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from diamondlake.functions.scalars import round_half_up
+from diamondlake.operators.nullsafe import join_null_safe
 from diamondlake.session import cut_lineage
 
 
@@ -343,7 +344,7 @@ def group_rank(df: DataFrame, group: list[str], order: list[str], rank_name: str
         Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))      # <= one row per partition
     g = ordered.join(F.broadcast(offs), pid == F.col("__p")).withColumn("__g", F.col("__off") + local)
     first = g.groupBy(*group).agg(F.min("__g").alias("__g0"))
-    out = g.join(first, group).withColumn(rank_name, (F.col("__g") - F.col("__g0") + 1).cast("bigint"))
+    out = join_null_safe(g, first, group).withColumn(rank_name, (F.col("__g") - F.col("__g0") + 1).cast("bigint"))
     return out.drop("__mid", "__p", "__off", "__g", "__g0")
 
 

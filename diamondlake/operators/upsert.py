@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 def upsert_by_key(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str] | None = None,
                   source_order: list[str] | None = None, audit: bool = False) -> DataFrame:
-    """Insert new keys; on key conflict overwrite ``update_cols`` from the
-    source and keep the target's other columns.  Duplicate keys inside the
+    """Insert new keys with all columns that the source has; on key conflict
+    overwrite ``update_cols`` and keep the target's other columns.  Duplicate keys inside the
     batch keep the last by ``source_order`` (late duplicates).  With ``audit``
     the target's ``created_at`` is kept and ``updated_at`` is set (D5)."""
     if source_order:
@@ -35,7 +35,8 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: list[str], update_
         if c in update_cols:
             out_cols.append(F.col(c).alias(c))
         else:
-            out_cols.append(F.col(f"__t_{c}").alias(c))
+            kept = F.col(f"__t_{c}")
+            out_cols.append((F.when(F.col("__hit"), kept).otherwise(F.col(c)) if c in source.columns else kept).alias(c))
     if audit:
         now = F.current_timestamp()
         tc = "__t_created_at" if "created_at" in target.columns else None

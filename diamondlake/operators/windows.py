@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up
+from diamondlake.operators.nullsafe import join_null_safe
 
 
 def partition_avg_max(df: DataFrame, key: str, value: str, avg_name: str, max_name: str,
@@ -25,7 +26,7 @@ def partition_avg_max(df: DataFrame, key: str, value: str, avg_name: str, max_na
     avg = F.avg(value)
     per_key = df.groupBy(key).agg((round_half_up(avg, digits) if digits is not None else avg).alias(avg_name),
                                   F.max(value).alias(max_name))
-    return df.join(per_key, key, "left")
+    return join_null_safe(df, per_key, [key], "left")
 
 
 def latest_row(df: DataFrame, key: str, order_cols: list[str], value_cols: list[str],
@@ -144,7 +145,7 @@ def trailing_days_ratio(df: DataFrame, entity, date_col: str, num: str, den: str
     w = Window.partitionBy(*ent).orderBy(dn).rangeBetween(-days, end)
     daily = daily.select(*ent, date_col, round_half_up(
         F.try_divide(F.sum("__dn").over(w).cast("double"), F.sum("__dd").over(w)), digits).alias(name))
-    return df.join(daily, [*ent, date_col], "left")
+    return join_null_safe(df, daily, [*ent, date_col], "left")
 
 
 def running_accuracy(df: DataFrame, date_col: str, tiebreak: str, correct_col: str,
@@ -190,7 +191,7 @@ def rolling_sum(df: DataFrame, entity, order, col: str, name: str, rows: int = 1
         back = rows if include_current else rows + 1
         lagged = cs.select(*[F.col(e).alias(f"__l_{e}") for e in ent], (F.col("__rk") + back).alias("__l_rk"),
                            F.col(f"__cum_{col}").alias("__l_cum"))
-        cond = [cs[e] == lagged[f"__l_{e}"] for e in ent] + [cs["__rk"] == lagged["__l_rk"]]
+        cond = [cs[e].eqNullSafe(lagged[f"__l_{e}"]) for e in ent] + [cs["__rk"] == lagged["__l_rk"]]
         j = cs.join(lagged, cond, "left")
         upto = F.col(f"__cum_{col}") - (F.lit(0) if include_current else F.coalesce(F.col(col), F.lit(0)))
         val = upto - F.coalesce(F.col("__l_cum"), F.lit(0))

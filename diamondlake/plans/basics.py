@@ -136,13 +136,13 @@ def guarded_ratio(spark, d):
 @register("map_lookup_default", f"""
 SELECT event_id, {S.map_sql(S.EVENT_NAME, 'event_type')} AS event_name,
        {S.map_sql(S.OUTS_BY_EVENT, S.map_sql(S.EVENT_NAME, 'event_type'), '0')} AS outs,
-       {S.map_sql(S.HIT_VALUE, S.map_sql(S.EVENT_NAME, 'event_type'), '0')} AS hit_value
+       CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 4 WHEN 'signup' THEN 0.5 ELSE 0 END AS DOUBLE) AS hit_value
 FROM events""")
 def map_lookup_default(spark, d):
     """Dictionary lookups with defaults (event -> outs, event -> hit value)."""
     e = load(spark, d, "events").withColumn("event_name", P.map_lookup("event_type", S.EVENT_NAME))
     return e.select("event_id", "event_name", P.map_lookup("event_name", S.OUTS_BY_EVENT, 0).alias("outs"),
-                    P.map_lookup("event_name", S.HIT_VALUE, 0).alias("hit_value"))
+                    P.map_lookup("event_name", S.HIT_VALUE, 0.0).alias("hit_value"))
 
 
 @register("bool_flags", f"""
@@ -189,10 +189,11 @@ def distinct_dropna(spark, d):
 
 # ---------------------------------------------------------------- scalar functions
 
-@register("fn_anchor_text", "SELECT page_id, NULLIF(regexp_extract(html, '>(.*?)<', 1), '') AS anchor FROM pages")
+@register("fn_anchor_text", r"""
+SELECT page_id, NULLIF(regexp_extract(html, '(?s)<a(\s[^>]*)?>(.*?)</a>', 2), '') AS anchor FROM pages""")
 def fn_anchor_text(spark, d):
-    """first anchor-like text span of the whole page."""
-    return load(spark, d, "pages").select("page_id", FN.anchor_text("html").alias("anchor"))
+    """text of the first link of the whole page."""
+    return load(spark, d, "pages").select("page_id", FN.link_text("html").alias("anchor"))
 
 
 @register("fn_swap_name", """
@@ -205,7 +206,8 @@ def fn_swap_name(spark, d):
 
 
 @register("fn_strip_accents", f"""
-SELECT doc_id, translate(text, '{FN.ACCENTED}', '{FN.UNACCENTED}') AS folded FROM documents""")
+SELECT doc_id, replace(replace(replace(replace(replace(translate(text, '{FN.ACCENTED}', '{FN.UNACCENTED}'),
+  'ß', 'ss'), 'æ', 'ae'), 'Æ', 'AE'), 'œ', 'oe'), 'Œ', 'OE') AS folded FROM documents""")
 def fn_strip_accents(spark, d):
     """accent folding of whole documents."""
     return load(spark, d, "documents").select("doc_id", FN.strip_accents("text").alias("folded"))

@@ -18,7 +18,7 @@ W = f"WITH {S.FEED_SQL.strip()}\n"
 
 
 def _cat(cols, sep="-"):
-    return f"concat_ws('{sep}', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
+    return f"concat_ws('{sep}', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in cols) + ")"
 
 
 @register("key_concat", W + f"SELECT game_pk, pitch_number, {_cat(PITCH_KEY)} AS pitch_id FROM feed")

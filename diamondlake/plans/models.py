@@ -11,6 +11,7 @@ from diamondlake.operators.scan import ema_scan
 from diamondlake.operators.ordering import split_hash
 from diamondlake.plans.catalog import register
 from diamondlake.plans.features import FEATURES, feature_table
+from diamondlake.plans.standins import games_df
 from diamondlake.plans.joins_aggs import CUSTOMER_STATS_SQL, customer_stats
 from diamondlake.plans.windows_sort import TEAM_ORDER
 from diamondlake.session import cut_lineage
@@ -25,14 +26,15 @@ def _model_rows(spark, d):
 
 @register("features_assemble")
 def features_assemble(spark, d):
-    """M1: feature vectors (as arrays) per team-game row."""
-    rows = _model_rows(spark, d)
-    return M.features_array(rows).select("game_pk", "is_home", "offense_team", "features", "win")
+    """M1: feature vectors (as arrays) per team-game row, NULL where a feature is missing."""
+    rows = M.features_array(_model_rows(spark, d))
+    return rows.select("game_pk", "is_home", "offense_team", F.when(M.complete(FEATURES), F.col("features")).alias("features"),
+                       "win")
 
 
 def _win_model(spark, d):
     rows = split_hash(_model_rows(spark, d), ["game_pk"])
-    model = M.fit_ridge_classifier(rows.filter(F.col("split") == "train"), "win")
+    model = M.fit_ridge_classifier(rows.filter((F.col("split") == "train") & M.complete(FEATURES)), "win")
     return model, rows
 
 
@@ -41,7 +43,7 @@ def model_ridge_classify(spark, d):
     """M2: ridge classifier of the win flag, trained on the hash-split train part,
     predictions for the test part."""
     model, rows = _win_model(spark, d)
-    test = rows.filter(F.col("split") == "test")
+    test = rows.filter((F.col("split") == "test") & M.complete(FEATURES))
     return M.predict_sign(model, test).select("game_pk", "is_home", "win", "predicted",
                                               round_half_up("score", 6).alias("score"))
 
@@ -58,9 +60,10 @@ def model_ols(spark, d):
 
 @register("model_score")
 def model_score(spark, d):
-    """M4: score every team-game row (both perspectives) with the fitted model."""
+    """M4: score every team-game row (both perspectives) with the fitted model; NULL
+    where a feature is missing."""
     model, rows = _win_model(spark, d)
-    return model.transform(rows).select("game_pk", "is_home", "offense_team", round_half_up("score", 6).alias("score"))
+    return model.transform(rows).select("game_pk", "is_home", "offense_team", F.when(M.complete(FEATURES), round_half_up("score", 6)).alias("score"))
 
 
 HORIZON = 3
@@ -71,7 +74,7 @@ FORECAST_TARGETS = ["std_win_pct", "runs_7d"]
 def forecast_features(spark, d):
     """M5: roll every team's features forward ``HORIZON`` games with one random
     forest (100 trees, seed 42) per target, EMAs frozen."""
-    ft = feature_table(spark, d).dropna(subset=FORECAST_TARGETS)
+    ft = feature_table(spark, d)
     return M.forecast_features(_with_ema(ft, FORECAST_TARGETS), "offense_team", TEAM_ORDER, FORECAST_TARGETS,
                                [f"{t}_ema" for t in FORECAST_TARGETS], HORIZON)
 
@@ -92,15 +95,14 @@ def predict_games(spark, d):
     and away forecasts of each game are joined (J9) and scored with the win
     model and the runs model trained on the history (M4); the higher win score
     wins, a tie goes to the higher runs score, else NULL (F10)."""
-    # the feature table feeds five jobs (cutoff, two fits, forecast, schedule): materialise it once
-    ft = cut_lineage(feature_table(spark, d).dropna(subset=FORECAST_TARGETS))
-    cutoff = ft.agg(F.date_sub(F.max("game_date"), UPCOMING_DAYS)).scalar()
+    # the feature table feeds four jobs (cutoff, two fits, forecast): materialise it once
+    ft = cut_lineage(feature_table(spark, d))
+    schedule = games_df(spark, d).select("game_pk", "game_date", "home_team", "away_team")
+    cutoff = schedule.agg(F.date_sub(F.max("game_date"), UPCOMING_DAYS)).scalar()
     hist = ft.filter(F.col("game_date") < cutoff)
-    upcoming = ft.filter(F.col("game_date") >= cutoff)
-    games = (upcoming.filter(F.col("is_home")).select("game_pk", F.col("offense_team").alias("home_team"))
-             .join(upcoming.filter(~F.col("is_home")).select("game_pk", F.col("offense_team").alias("away_team")),
-                   "game_pk"))
-    train = M.assemble(hist, FORECAST_TARGETS)
+    # the schedule knows no results: every game with both teams known is predicted
+    games = schedule.filter((F.col("game_date") >= cutoff) & F.col("home_team").isNotNull() & F.col("away_team").isNotNull())
+    train = M.assemble(hist.filter(M.complete(FORECAST_TARGETS)), FORECAST_TARGETS)
     win_model = M.fit_ridge_classifier(train, "win")
     runs_model = M.fit_ols(train.withColumn("runs_label", F.col("runs_scored").cast("double")), "runs_label",
                            prediction="runs_score")
@@ -113,7 +115,7 @@ def predict_games(spark, d):
                          F.col("runs_score").alias("home_runs"))
     away = scored.select(F.col("team").alias("away_team"), F.col("score").alias("away_score"),
                          F.col("runs_score").alias("away_runs"))
-    m = games.join(home, "home_team").join(away, "away_team")
+    m = games.join(home, "home_team", "left").join(away, "away_team", "left")
     return m.select("game_pk", "home_team", "away_team",
                     FN.winner_tiebreak("home_team", "away_team", "home_score", "away_score", "home_runs",
                                        "away_runs").alias("team_winner"))

@@ -50,8 +50,8 @@ BOX = (StructType()
 def box_scores(spark, d):
     """One box score per game (order): its lines with return flag R bat for the
     home team, A for the away team; person = part key, name = part name; the
-    batting order is the line's slot on its side + '0' for a starter or '1' for
-    a substitute (quantity over 40).  Team abbreviations are the first three
+    batting order is a hundred times the line's slot on its side, plus 1 for a
+    substitute (quantity over 40).  Team abbreviations are the first three
     letters of the teams' nation names.  A game's lineup arrays are bounded by
     the game's number of lines."""
     from pyspark.sql import Window
@@ -61,7 +61,7 @@ def box_scores(spark, d):
     li = li.join(part, li.l_partkey == part.p_partkey, "left")
     w = Window.partitionBy("l_orderkey", "l_returnflag").orderBy(*S.LINE_ORDER)
     li = li.withColumn("slot", F.row_number().over(w)).withColumn(
-        "battingOrder", F.concat(F.col("slot").cast("string"), F.when(F.col("l_quantity") > 40, "1").otherwise("0")))
+        "battingOrder", (F.col("slot") * 100 + F.when(F.col("l_quantity") > 40, 1).otherwise(0)).cast("string"))
     b = F.struct(F.col("l_partkey").alias("personId"), "battingOrder", F.col("p_name").alias("name"))
     per = li.groupBy("l_orderkey").agg(
         F.sort_array(F.collect_list(F.when(F.col("l_returnflag") == "R", F.struct("slot", b)))).alias("h"),

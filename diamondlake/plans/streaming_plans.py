@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from diamondlake.plans.catalog import register
 from diamondlake.plans.warehouse import UPSERT_SQL, _customer_snapshots
 from diamondlake.sources.files import shared_path
@@ -18,7 +20,11 @@ def stream_upsert_q(spark, d):
     target, batch = _customer_snapshots(spark, d)
     root = shared_path(spark, "stream-upsert")
     landing, base, ckpt = (os.path.join(root, x) for x in ("landing", "table", "_checkpoint"))
+    # every key comes twice in its file: an outdated row, then the valid one
+    old = batch.withColumn("seq", F.lit(0)).withColumn("c_name", F.lit("outdated"))
+    batch = old.unionByName(batch.withColumn("seq", F.lit(1)))
     batch.repartition(4, "c_custkey").write.parquet(landing)
     init_snapshot(target, base)
-    final = stream_upsert(spark, landing, batch.schema, base, ckpt, ["c_custkey"], ["c_name", "c_acctbal"])
+    final = stream_upsert(spark, landing, batch.schema, base, ckpt, ["c_custkey"], ["c_name", "c_acctbal"],
+                          source_order=["seq"])
     return spark.read.parquet(final)

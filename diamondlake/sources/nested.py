@@ -27,7 +27,7 @@ def json_rows(df: DataFrame, json_col: str, item_schema: StructType, fields: dic
 def boxscore_lineups(df: DataFrame, json_col: str, schema: StructType, keep: list[str] = (),
                      starters_suffix: str = "0") -> DataFrame:
     """Box score JSON -> one row per starting batter of either side with
-    side, team abbreviation and lineup slot (first character of the order)."""
+    side, team abbreviation and lineup slot (hundreds of the order)."""
     j = df.select(*keep, F.from_json(F.col(json_col), schema).alias("__b"))
     sides = F.array(
         F.struct(F.lit("home").alias("side"), F.col("__b.teamInfo.home.abbreviation").alias("team"),
@@ -38,7 +38,7 @@ def boxscore_lineups(df: DataFrame, json_col: str, schema: StructType, keep: lis
     b = per_side.select(*keep, "__s.side", "__s.team", F.explode("__s.batters").alias("__p"))
     b = b.filter(F.col("__p.battingOrder").endswith(starters_suffix))
     return b.select(*keep, "side", "team", F.col("__p.personId").alias("person_id"), F.col("__p.name").alias("name"),
-                    F.substring(F.col("__p.battingOrder"), 1, 1).alias("slot"))
+                    F.floor(F.col("__p.battingOrder").try_cast("int") / 100).cast("string").alias("slot"))
 
 
 def html_rows(df: DataFrame, html_col: str, row_pattern: str, keep: list[str] = (), skip_header: bool = True) -> DataFrame:

@@ -31,6 +31,11 @@ def _versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(out)
 
 
+def _any_order(batch: DataFrame, keys: list[str]) -> list[str] | None:
+    """Order for duplicate keys when none is given: all other columns, so that a replay keeps the same row."""
+    return [c for c in batch.columns if c not in keys] or None
+
+
 def current_snapshot(spark: SparkSession, base: str) -> str:
     v = _versions(spark, base)
     if not v:
@@ -46,7 +51,8 @@ def init_snapshot(df: DataFrame, base: str) -> str:
 
 
 def upsert_snapshot(spark: SparkSession, base: str, batch: DataFrame, keys: list[str],
-                    update_cols: list[str] | None = None, version: int | None = None) -> str:
+                    update_cols: list[str] | None = None, version: int | None = None,
+                    source_order: list[str] | None = None) -> str:
     """S6 as a batch job: merge ``batch`` into the latest committed snapshot
     below ``version`` and write the result as snapshot ``version`` (default:
     next).  Readers keep using the previous snapshot until the new one has its
@@ -55,18 +61,20 @@ def upsert_snapshot(spark: SparkSession, base: str, batch: DataFrame, keys: list
     version = version if version is not None else (committed[-1] + 1 if committed else 1)
     prior = [v for v in committed if v < version]
     target = spark.read.parquet(os.path.join(base, f"v{prior[-1]}"))
-    merged = upsert_by_key(target, batch, keys, update_cols)
+    merged = upsert_by_key(target, batch, keys, update_cols, source_order or _any_order(batch, keys))
     path = os.path.join(base, f"v{version}")
     merged.write.mode("overwrite").parquet(path)
     return path
 
 
 def stream_upsert(spark: SparkSession, landing: str, schema, base: str, checkpoint: str, keys: list[str],
-                  update_cols: list[str] | None = None, files_per_trigger: int = 1) -> str:
+                  update_cols: list[str] | None = None, files_per_trigger: int = 1,
+                  source_order: list[str] | None = None) -> str:
     """Run the landing-folder stream to completion (``availableNow``) and return
-    the path of the final snapshot."""
+    the path of the final snapshot.  A key that a micro-batch holds more than once
+    keeps its last row by ``source_order``."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert_snapshot(spark, base, batch, keys, update_cols, version=batch_id + 1)
+        upsert_snapshot(spark, base, batch, keys, update_cols, batch_id + 1, source_order)
 
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
          .writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -77,7 +85,7 @@ def stream_upsert(spark: SparkSession, landing: str, schema, base: str, checkpoi
 
 def stream_upsert_partitioned(spark: SparkSession, landing: str, schema, table: str, checkpoint: str,
                               keys: list[str], partition_col: str, update_cols: list[str] | None = None,
-                              files_per_trigger: int = 1) -> str:
+                              files_per_trigger: int = 1, source_order: list[str] | None = None) -> str:
     """Streaming upsert into a table partitioned by ``partition_col`` (e.g.
     season) that rewrites only the partitions a micro-batch touches.
 
@@ -96,7 +104,8 @@ def stream_upsert_partitioned(spark: SparkSession, landing: str, schema, table:
     def apply(batch: DataFrame, batch_id: int) -> None:
         touched = [r[0] for r in batch.select(partition_col).distinct().collect()]   # bounded: partition values
         current = spark.read.parquet(table).filter(F.col(partition_col).isin(touched))
-        merged = upsert_by_key(current, batch.select(*current.columns), keys, update_cols)
+        rows = batch.select(*current.columns, *(c for c in source_order or () if c not in current.columns))
+        merged = upsert_by_key(current, rows, keys, update_cols, source_order or _any_order(rows, keys))
         staged = cut_lineage_to(merged, shared_path(spark, f"upsert-stage-{batch_id}"))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(table))
