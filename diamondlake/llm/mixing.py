@@ -115,7 +115,8 @@ def _balanced(units: DataFrame, block: int) -> DataFrame:
         # No sums to keep between levels but the blocks' own: each block's flight keeps its totals exactly.
         spread = open_.join(counts, "src").withColumn("block", F.pmod(F.xxhash64("mark", "th", F.lit(level)), blocks)).withColumn("level", F.lit(level))
         last = (counts.agg(F.max("n_src")).first()[0] or 0) <= block
-        flown = spread.select(*keys, "p", "block", "level").groupBy("src", "block").applyInPandas(_block_flight(last), schema)
+        # Dealt anew: Spark would take the join's exchange on src for grouped enough, and put a hot source into one task.
+        flown = spread.select(*keys, "p", "block", "level").repartition("src", "block").groupBy("src", "block").applyInPandas(_block_flight(last), schema)
         flown = checkpoint(flown.select(*keys, "p"))
         decided = flown.where((F.col("p") <= EPS) | (F.col("p") >= 1 - EPS))
         done = decided if done is None else done.unionByName(decided)
