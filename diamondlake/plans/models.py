@@ -43,9 +43,10 @@ def model_ridge_classify(spark, d):
     """M2: ridge classifier of the win flag, trained on the hash-split train part,
     predictions for the test part."""
     model, rows = _win_model(spark, d)
-    test = rows.filter((F.col("split") == "test") & M.complete(FEATURES))
-    return M.predict_sign(model, test).select("game_pk", "is_home", "win", "predicted",
-                                              round_half_up("score", 6).alias("score"))
+    test = rows.filter(F.col("split") == "test")
+    return M.predict_sign(model, test).select(
+        "game_pk", "is_home", "win", F.when(M.complete(FEATURES), F.col("predicted")).alias("predicted"),
+        F.when(M.complete(FEATURES), round_half_up("score", 6)).alias("score"))
 
 
 @register("model_ols", CUSTOMER_STATS_SQL + f"""
