@@ -8,15 +8,22 @@ diagonals lies in one band; bands that reach a passage's bound are verified by
 banded alignment (edit distance of the passage against any part of the
 region).
 
+An item is searched for whole (in overlapping windows if it is long) and in short
+pieces at a small stride, one of which decides: any part of an item of
+``SHORT + STEP - 1`` characters holds a whole short piece, so that a leak of a part
+is found wherever it starts. Items too short for q-grams are searched word for word.
+
 The benchmark is searched in blocks of ``BLOCK_CHARS`` characters. A block
 travels to the workers in the task; a larger benchmark takes more passes over the
 documents, so nothing that grows is broadcast. Documents aren't shuffled."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,7 +34,9 @@ from .common import fresh
 Q, EDIT_RATE = 10, 0.06
 #: Passages are pieces of an item: the whole item, or if it is longer, overlapping pieces of this many characters.
 PIECE, STRIDE = 256, 128
-#: Items of fewer characters (white space collapsed) prove nothing and aren't searched for.
+#: Besides, an item's parts: pieces of this many characters, one at each STEP characters.
+SHORT, STEP = 48, 16
+#: Items of fewer characters (white space collapsed) are searched without edits, between word borders.
 MIN_CHARS = 24
 BLOCK_CHARS = 4 << 20
 #: Characters of a text that are scanned at once; scans overlap by more than a match can span.
@@ -36,6 +45,9 @@ SCAN = 1 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 
+#: Letters and digits of scripts that put spaces between words.
+_WORD = re.compile(r"(?![\u0e00-\U0010ffff])[^\W_]")
+
 FOUND = "array<struct<item_id: bigint, start: bigint, end: bigint, edits: int, piece: bigint>>"
 
 
@@ -70,6 +82,11 @@ def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
         return (whole ^ (whole >> np.uint64(29))) * _MULT
 
 
+def starts(size: int, piece: int, step: int) -> list[int]:
+    """Starts of the pieces of ``size`` characters, the last of which ends with them."""
+    return [0] if size <= piece else sorted({*range(0, size - piece, step), size - piece})
+
+
 def band_distance(piece: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int, int] | None:
     """Fewest edits that turn ``piece`` into some part of ``text`` along the
     diagonals ``low`` to ``high`` (text position less piece position), and that
@@ -112,12 +129,23 @@ class Index:
 
     def __post_init__(self) -> None:
         self.pieces: list[tuple[int, int, np.ndarray]] = []  # item, start, characters
+        self.part: list[bool] = []  # a short piece, which counts where no long one of its item is found
+        exact: dict[str, list[int]] = {}
         for n, (_, text) in enumerate(self.items):
-            codes = _codes(normal(text))
+            codes = _codes(whole := normal(text))
             if len(codes) < MIN_CHARS:
+                exact.setdefault(whole, []).append(n)
                 continue
-            starts = [0] if len(codes) <= PIECE else sorted({*range(0, len(codes) - PIECE, STRIDE), len(codes) - PIECE})
-            self.pieces += [(n, s, codes[s:s + PIECE]) for s in starts]
+            long = [(n, s, codes[s:s + PIECE]) for s in starts(len(codes), PIECE, STRIDE)]
+            short = [(n, s, codes[s:s + SHORT]) for s in starts(len(codes), SHORT, STEP)] if len(codes) > SHORT else []
+            self.pieces += long + short
+            self.part += [False] * len(long) + [True] * len(short)
+        exact.pop("", None)
+        self.words = ahocorasick.Automaton() if exact else None
+        for whole, users in exact.items():
+            self.words.add_word(whole, (len(whole), users))
+        if exact:
+            self.words.make_automaton()
         self.exact = [p[2].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass") for p in self.pieces]
         sizes = np.array([len(p[2]) for p in self.pieces], dtype=np.int64)
         # Fewer edits for short pieces, where the lemma's bound would vanish.
@@ -161,16 +189,17 @@ class Index:
 
     def search(self, text: str | None) -> list[tuple[int | None, int, int, int, int]]:
         """Leaks of a whole text, one for each item: (item id, start, end,
-        edits, start in the item), in characters of the normal form."""
-        best: dict[int, tuple[int, int, int, int]] = {}
+        edits, start in the item), in characters of the normal form; of a leaked
+        part, one piece."""
+        best: dict[int, tuple[bool, int, int, int, int]] = {}
         whole = normal(text)
         overlap = PIECE + 4 * self.half
         for base in range(0, max(1, len(whole) - overlap), SCAN):
             codes = _codes(whole[base:base + SCAN + overlap])
             for p, low in self.bands(codes):
                 item, start, chars = self.pieces[p]
-                most = int(self.edits[p])
-                if item in best and best[item][0] == 0:
+                most, part = int(self.edits[p]), self.part[p]
+                if item in best and best[item] < (part, 1):  # as long, without edits, or longer
                     continue
                 low, high = low - most, low + 2 * self.half - 1 + most
                 exact = whole.find(self.exact[p], max(0, base + low), max(0, base + high) + len(chars))
@@ -179,9 +208,14 @@ class Index:
                 elif found := band_distance(chars, codes, low, high, most):
                     found = (found[0], base + found[1], base + found[2])
                 if found:
-                    hit = (*found, start)
+                    hit = (part, *found, start)
                     best[item] = min(best.get(item, hit), hit)
-        return [(self.items[i][0], s, e, k, at) for i, (k, s, e, at) in sorted(best.items())]
+        for end, (length, users) in self.words.iter(whole) if self.words else ():
+            s, e = end + 1 - length, end + 1
+            if not (s and _WORD.match(whole[s - 1]) and _WORD.match(whole[s]) or e < len(whole) and _WORD.match(whole[e - 1]) and _WORD.match(whole[e])):
+                for item in users:
+                    best.setdefault(item, (False, 0, s, e, 0))
+        return [(self.items[i][0], s, e, k, at) for i, (_, k, s, e, at) in sorted(best.items())]
 
 
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:

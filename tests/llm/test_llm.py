@@ -307,6 +307,31 @@ def test_leaks(spark):
     assert decontamination.decontaminate(df, spark.createDataFrame(items).limit(0)).count() == 6
 
 
+def test_leaks_of_parts_and_short_items():
+    rng = random.Random(8)
+
+    def say(n):
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=n))
+    least = decontamination.SHORT + decontamination.STEP - 1
+    item = decontamination.normal(say(900))
+    index = decontamination.Index([(1, item), (2, "What is 6 times 7?"), (3, "  "), (4, item[:233])])
+    for _ in range(60):
+        n = rng.choice([least, 64, 150, 240, 350])
+        at = rng.randrange(1, len(item) - n)
+        part = item[at:at + n]
+        if part != part.strip():
+            continue
+        assert 1 in {x[0] for x in index.search(f"{say(300)} #{part}# {say(300)}")}
+    edited = item[100:200]
+    edited = edited[:20] + "#" + edited[21:70] + edited[72:]
+    assert 1 in {x[0] for x in index.search(say(200) + edited + say(200))}
+    assert {1, 4} == {x[0] for x in index.search(say(200) + item[:210] + say(200))}  # nine tenths of an item
+    assert [x[0] for x in index.search("so: what  is 6 TIMES 7? Yes")] == [2]
+    assert index.search("somewhat is 6 times 7?") == index.search("") == index.search(say(3000)) == []
+    whole, = decontamination.Index([(1, item[:200])]).search("lead in " + item[:200])
+    assert whole[:4] == (1, 8, 208, 0)
+
+
 # pipeline --------------------------------------------------------------------
 
 def test_pipeline_and_registry(spark):
