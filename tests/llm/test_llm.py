@@ -57,6 +57,20 @@ def test_html_wrapper_and_roles(spark):
     assert html_extraction.extract(df.limit(0)).count() == 0
 
 
+def test_html_role_names():
+    def text(html):
+        return html_extraction.content(html_extraction.parse(html))
+    story = "<p>one story</p><p>that goes on</p>"
+    for name in ("content has-sidebar", "layout with-sidebar", "post no-comments", "main-content side-by-side", "article-legal-news", "sidebar"):
+        page_ = f"<body><div class='ad'>buy</div><div class='{name}'><article><h1>T</h1>{story}</article></div><div id='comments'>nice</div></body>"
+        assert text(page_) == "T\none story\nthat goes on"
+    assert text(f"<body><form><div class='ad'>buy</div><div>{story}</div><select><option>x</select></form></body>") == "one story\nthat goes on"
+    assert text(f"<h1>T</h1><div class=widget>{story * 3}</div>").count("\n") == 6      # the bulk of the page
+    assert text(f"<div class='post has-ads'>{story}</div><span class=share>tell</span>") == "one story\nthat goes on"
+    assert text(f"<p>{'long story ' * 60}</p><div class='cookie-notice'>we use</div><form>mail <input></form><p>a <b class=promo>buy</b> b") == ("long story " * 60).strip() + "\na b"
+    assert "nice" not in text(f"<article>{'long story ' * 60}<div id=comments>{'nice ' * 600}</div></article>")
+
+
 def brute_match(a, b, i=0, j=0):
     if a.label[i] != b.label[j]:
         return 0
