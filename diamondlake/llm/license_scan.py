@@ -97,7 +97,7 @@ class Scanner:
         words = WORD.findall((text or "").translate(_LOWER))
         line = f" {' '.join(words)} "
         places: set[tuple[int, int]] = set()
-        regions: dict[int, list[tuple[int, int]]] = {}
+        windows: set[tuple[int, int, int]] = set()
         for end, (length, users) in self.machine.iter(line):
             start = end + 1 - length
             for exact, k, at in users:
@@ -107,27 +107,23 @@ class Scanner:
                     n = self.notices[k]
                     lo = max(0, start - at - n.edits)
                     hi = min(len(line), start - at + len(n.text) + n.edits)
-                    found = regions.setdefault(k, [])
-                    if found and lo <= found[-1][1]:
-                        found[-1] = (min(found[-1][0], lo), max(found[-1][1], hi))
-                    else:
-                        found.append((lo, hi))
-        spans = []
-        for k, found in regions.items():
+                    windows.add((k, lo, hi))
+        # Each seed hit is verified in its own window: of two neighbours, neither hides the other.
+        spans = set()
+        for k, lo, hi in windows:
             n = self.notices[k]
-            for lo, hi in found:
-                for m in n.pattern.finditer(line, lo, hi):
-                    spans.append((m.start(), m.end(), n.label, sum(m.fuzzy_counts), n.edits))
-        # Of overlapping matches, those with the fewest edits.
-        spans.sort(key=lambda m: (m[3], m[0], m[1], m[2]))
-        best: list[tuple[int, int, str, int, int]] = []
-        taken: dict[int, list[tuple[int, int, int]]] = {}
+            if m := n.pattern.search(line, lo, hi):
+                spans.add((m.start(), m.end(), n.label, sum(m.fuzzy_counts), n.edits, k))
+        # Of overlapping matches (two may share a border space), those with the fewest edits, of one notice the first.
+        spans = sorted(spans, key=lambda m: (m[3], m[0], m[1], m[2], m[5]))
+        best: list[tuple[int, int, str, int, int, int]] = []
+        taken: dict[int, list[tuple[int, int, int, int]]] = {}
         for m in spans:
             cells = range(m[0] // 64, m[1] // 64 + 1)
-            if all(e <= m[0] + 1 or s >= m[1] - 1 or d == m[3] for c in cells for s, e, d in taken.get(c, ())):
+            if all(e <= m[0] + 1 or s >= m[1] - 1 or d == m[3] and k != m[5] for c in cells for s, e, d, k in taken.get(c, ())):
                 best.append(m)
                 for c in cells:
-                    taken.setdefault(c, []).append((m[0], m[1], m[3]))
+                    taken.setdefault(c, []).append((m[0], m[1], m[3], m[5]))
         spans = best
         # Word numbers, by one walk over the starts in order.
         marks = sorted({s for s, _ in places} | {x for s, e, *_ in spans for x in (s, max(s, e - 2))})
@@ -138,7 +134,7 @@ class Scanner:
         return {
             "n_words": len(words),
             "places": sorted((number[s], self.base[k][1]) for s, k in places),
-            "matches": sorted((label, number[s], number[max(s, e - 2)], edits, 1 - edits / (limit + 1)) for s, e, label, edits, limit in spans),
+            "matches": sorted((label, number[s], number[max(s, e - 2)], edits, 1 - edits / (limit + 1)) for s, e, label, edits, limit, _ in spans),
         }
 
 

@@ -256,6 +256,28 @@ def test_license_fuzzy_against_brute_force():
                 assert n.label in found
 
 
+def test_license_neighbouring_notices():
+    scanner = license_scan.Scanner()
+
+    def found(text, label):
+        return [m[1:4] for m in scanner.scan(text)["matches"] if m[0] == label]
+    assert found("mozila public license or mozilla public license", "mpl") == [(0, 2, 1), (4, 6, 0)]
+    bad, good = "all rights reservd c ", "all rights reserved "
+    for text, edits in ((bad * 10 + good, [1] * 10 + [0]), (good + "c " + bad * 10, [0] + [1] * 10), (good * 50, [0] * 50), ((good + bad) * 9, [0, 1] * 9)):
+        got = found(text, "all-rights-reserved")
+        assert [m[2] for m in got] == edits and all(b - a == 2 for a, b, _ in got) and len(set(got)) == len(edits)
+    rng = random.Random(6)
+    for _ in range(30):
+        picked = rng.choices(scanner.notices, k=30)
+        got = scanner.scan("".join(n.text for n in picked))["matches"]
+        ends, at = set(), 0
+        for n in picked:
+            size = len(n.text.split())
+            ends.add((n.label, at, at + size - 1, 0))
+            at += size
+        assert ends <= {m[:4] for m in got}
+
+
 def test_license_spans_and_edges(docs, no_docs):
     r = license_scan.Scanner().scan("The MIT License. mit license mit license; Mozila Public License")
     assert r["places"] == [(1, "mit"), (3, "mit"), (5, "mit")] and [m[:4] for m in r["matches"] if m[0] == "mpl"] == [("mpl", 7, 9, 1)]
