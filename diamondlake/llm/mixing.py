@@ -92,16 +92,15 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-def _block_flight(land: bool):
-    """Function of one block's rows: its flight, and with ``land`` its landing."""
-    def fly(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["mark", "th", "occ"], kind="stable", ignore_index=True)
-        rng = np.random.default_rng([int(pdf[c].iloc[0]) for c in ("src", "block", "level")])
-        size, p = pdf["size"].to_numpy(float), pdf["p"].to_numpy(float)
-        kept = LANDING if land else 0  # these stay for the landing
-        p[kept:] = flight(p[kept:], size[kept:], rng)
-        return pdf.assign(p=landing(p, size) if land else p)
-    return fly
+def fly(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Flight of one block's rows, and their landing if it is its source's only block."""
+    pdf = pdf.sort_values(["mark", "th", "occ"], kind="stable", ignore_index=True)
+    rng = np.random.default_rng([int(pdf[c].iloc[0]) for c in ("src", "block", "level")])
+    size, p = pdf["size"].to_numpy(float), pdf["p"].to_numpy(float)
+    land = bool(pdf["land"].iloc[0])
+    kept = LANDING if land else 0  # these stay for the landing
+    p[kept:] = flight(p[kept:], size[kept:], rng)
+    return pdf.drop(columns="land").assign(p=landing(p, size) if land else p)
 
 
 def _balanced(units: DataFrame, block: int) -> DataFrame:
@@ -114,9 +113,11 @@ def _balanced(units: DataFrame, block: int) -> DataFrame:
         blocks = F.greatest(F.lit(1), F.ceil(F.col("n_src") / block)).cast("long")
         # No sums to keep between levels but the blocks' own: each block's flight keeps its totals exactly.
         spread = open_.join(counts, "src").withColumn("block", F.pmod(F.xxhash64("mark", "th", F.lit(level)), blocks)).withColumn("level", F.lit(level))
+        # A source lands in the level in which it has one block, whatever the others still do.
+        spread = spread.withColumn("land", blocks == 1)
         last = (counts.agg(F.max("n_src")).first()[0] or 0) <= block
         # Dealt anew: Spark would take the join's exchange on src for grouped enough, and put a hot source into one task.
-        flown = spread.select(*keys, "p", "block", "level").repartition("src", "block").groupBy("src", "block").applyInPandas(_block_flight(last), schema)
+        flown = spread.select(*keys, "p", "block", "level", "land").repartition("src", "block").groupBy("src", "block").applyInPandas(fly, schema)
         flown = checkpoint(flown.select(*keys, "p"))
         decided = flown.where((F.col("p") <= EPS) | (F.col("p") >= 1 - EPS))
         done = decided if done is None else done.unionByName(decided)

@@ -299,6 +299,26 @@ def test_mix(spark):
     assert got.sort_values("doc_id").taken.tolist() == again.sort_values("doc_id").taken.tolist()
 
 
+def test_mix_small_source_beside_a_hot_one(spark):
+    rng = random.Random(12)
+
+    def units(src, n):
+        return [(src, max(1, int(rng.lognormvariate(4, 1))), rng.getrandbits(40), src * 10_000 + k, False, rng.getrandbits(40), 1, rng.uniform(0.05, 0.95)) for k in range(n)]
+    schema = "src long, size long, mark long, id0 long, no_id boolean, th long, occ int, p double"
+    hot, small = units(0, 400), [units(s, 40) for s in range(1, 5)]
+
+    def drawn(rows):
+        return {r["id0"]: r["drawn"] for r in mixing._balanced(spark.createDataFrame(rows, schema), 64).collect()}
+    both = drawn(hot + [u for s in small for u in s])
+    assert len(both) == 560
+    for rows in small:
+        alone = drawn(rows)
+        assert alone == {u[3]: both[u[3]] for u in rows}        # a hot source elsewhere changes nothing
+        sizes = [u[1] for u in rows]
+        miss = abs(sum(both[u[3]] * u[1] for u in rows) - sum(u[7] * u[1] for u in rows))
+        assert miss <= 0.2 * sum(sizes) / len(sizes)
+
+
 def test_mix_edges(spark):
     rows = [(1, "a b", "s"), (1, "a b", "s"), (None, "x y z", None), (2, None, "s"), (3, "", "t")]
     df = spark.createDataFrame([(i, t, s, 7) for i, t, s in rows], "doc_id long, text string, source string, size int")
