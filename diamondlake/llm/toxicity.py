@@ -31,8 +31,6 @@ from .common import checkpoint, is_training
 
 #: Labelled documents of each class that the lexicon and the link are learned from.
 SAMPLE = 4000
-#: Accepted word beginnings and words, and nodes below them, at most: the lexicon's size is bounded.
-ACCEPTED, NODES = 3000, 20_000
 PREFIX = range(3, 9)
 THRESHOLD = 0.7
 
@@ -205,8 +203,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
     """Document counts of words and word beginnings by class, summed by Spark;
-    the accepted nodes and those below them come to the driver (``ACCEPTED``,
-    ``NODES`` at most)."""
+    the accepted nodes and all that share their first letters and occur in two
+    documents at least come to the driver: the sample bounds them."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             n = (Counter(), Counter())
@@ -224,11 +222,11 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     odds = F.log((F.col("n1") + 0.5) / (toxic + 1)) - F.log((F.col("n0") + 0.5) / (clean + 1))
     sure = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
     good = counts.withColumn("odds", odds).withColumn("sure", sure).where("n1 >= 3 AND odds > 1.5 AND sure > 3.5")
-    accepted = [r["node"] for r in good.orderBy(F.col("sure").desc(), "node").limit(ACCEPTED).collect()]
+    accepted = [r["node"] for r in good.select("node").collect()]
     if not accepted:
         return Lexicon(toxic=toxic, clean=clean)
-    heads = sorted({n.rstrip("*")[:3] for n in accepted})
-    below = counts.where(F.substring("node", 1, 3).isin(heads)).orderBy((F.col("n1") + F.col("n0")).desc(), "node").limit(NODES).collect()
+    head = F.substring("node", 1, 3).alias("head")
+    below = counts.select("*", head).join(good.select(head).distinct(), "head", "left_semi").collect()
     return Lexicon({r["node"]: (r["n1"], r["n0"]) for r in below}, frozenset(accepted), toxic, clean)
 
 

@@ -214,6 +214,17 @@ def test_lexicon_weight_of_a_frequent_toxic_word():
     assert clean.weight(word) == 0
 
 
+def test_lexicon_takes_all_nodes(spark):
+    import itertools
+    words = ["tox" + "".join(x) for x in itertools.product("abcdefghijklm", repeat=4)]
+    bad, seen = words[:3500], words[3500:26000]
+    rows = [(" ".join(bad), 1)] * 20 + [(" ".join(seen), 0)] * 2 + [("fine", 0)] * 398
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, y int"))
+    assert set(bad) <= lexicon.accepted and all(lexicon.counts[w] == (20, 0) for w in bad)
+    assert all(lexicon.counts[w] == (0, 2) for w in seen)
+    assert lexicon.counts["tox*"] == (20, 2) and 0 < lexicon.weight(seen[-1]) < lexicon.weight("toxzzzz") < lexicon.weight(bad[0])
+
+
 def test_non_negative_risk_and_prior():
     import numpy as np
     rng = np.random.default_rng(1)
