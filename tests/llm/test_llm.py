@@ -71,6 +71,15 @@ def test_html_role_names():
     assert "nice" not in text(f"<article>{'long story ' * 60}<div id=comments>{'nice ' * 600}</div></article>")
 
 
+def test_html_layouts_and_long_pages(spark):
+    pages = [(k, "http://h.org/a", f"<div><p>Old line</p><p>story {k}</p><p>Old end</p></div>") for k in range(6)]
+    pages += [(10 + k, "http://h.org/b", f"<table><tr><td>New line<td>tale {k}<td>New end</table>") for k in range(6)]
+    pages += [(20 + n, "http://l.org/", "".join(f"<p>{t}</p>" for t in ["Top", *(f"{n} {k}" for k in range(n)), "Close"])) for n in (5, 600, 650, 700, 720)]
+    got = {r["page_id"]: r["text"].split("\n") for r in html_extraction.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == [f"story {k}"] and got[10 + k] == [f"tale {k}"] for k in range(6))
+    assert all(got[20 + n] == [f"{n} {k}" for k in range(n)] for n in (5, 600, 650, 700, 720))
+
+
 def brute_match(a, b, i=0, j=0):
     if a.label[i] != b.label[j]:
         return 0
