@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extraction, license_scan, mixing, pu_quality, quality_rules, sharding, simhash_dedup, toxicity, url_filters
+from . import conversation_repair, decontamination, hard_negatives, html_extraction, license_scan, mixing, ngram_join, pu_quality, quality_rules, sharding, simhash_dedup, toxicity, url_filters
 from .common import held_out, table
 
 
@@ -58,8 +58,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents")).select("doc_id", "slot", "shard")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row whose id is divisible by 100 against all rows; every seventh id has its label moved on."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label_col=label)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_all(conversation_repair.damage(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents")).withColumnRenamed("n", "n_shingles")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_url_filters, op3_simhash_dedup, op4_toxicity, op5_pu_quality, op6_license_scan, op7_mixing, op8_quality_rules, op9_decontamination, op10_sharding)
+    f.__name__: f for f in (op1_html_extraction, op2_url_filters, op3_simhash_dedup, op4_toxicity, op5_pu_quality, op6_license_scan, op7_mixing, op8_quality_rules, op9_decontamination, op10_sharding, op11_hard_negatives, op12_conversation_repair, op13_ngram_join)
 }
 
 
