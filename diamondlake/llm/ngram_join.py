@@ -12,7 +12,7 @@ at least t * max(n, m) of them. The join goes in three steps, all exact:
    global order. Classes whose prefixes in that order share a gram are
    candidates. Each bucket first offers its most central class as partner for
    all others; pairs within a component that these links join aren't looked at
-   any more. All other pairs of a bucket follow.
+   any more. Others are found by what distinguishes them from their centre.
 3. Partial overlaps. The global order is cut into fragments of equal load, each
    set into a segment for each fragment. A candidate pair's segments meet
    fragment by fragment, and the partial overlaps are summed per pair.
@@ -94,6 +94,28 @@ def _whole(size: int):
     return of
 
 
+#: Frequencies from here on share a level of the global order.
+LEVELS = 32767
+
+
+def place(g: Column) -> Column:
+    """A gram's place (struct of df and gram) in the global order, as a long: level of frequency, then hash."""
+    return F.shiftleft(F.least(g["df"], F.lit(LEVELS).cast("long")), 48) + F.shiftrightunsigned(g["gram"], 16)
+
+
+def cuts(often: DataFrame) -> list[int]:
+    """Places that cut the global order into fragments of equal load. Hashes are
+    even within a level, so the levels' loads (at most ``LEVELS`` rows) are enough."""
+    loads = sorted(often.groupBy(F.least("df", F.lit(LEVELS)).alias("level")).agg(F.sum("df")).collect())
+    total, sofar, out = sum(x[1] for x in loads), 0, []
+    for level, load in loads:
+        while len(out) + 1 < FRAGMENTS and (len(out) + 1) * total <= (sofar + load) * FRAGMENTS:
+            share = ((len(out) + 1) * total / FRAGMENTS - sofar) / load
+            out.append((level << 48) + min(int(share * (1 << 48)), (1 << 48) - 1))
+        sofar += load
+    return out
+
+
 class Join:
     """One join: sets of at least ``num`` / ``den`` Jaccard similarity are linked."""
 
@@ -115,58 +137,85 @@ class Join:
 
     def promising(self, classes: DataFrame) -> DataFrame:
         """Set ids of the classes with enough prefix grams that stand in other prefixes (column cls is their hash)."""
-        grams = classes.select("cls", "least", F.explode("head").alias("gram"))
+        grams = classes.select("cls", F.explode("head").alias("gram"))
         often = grams.groupBy("gram").count().where("count > 1").select("gram")
-        return grams.join(often, "gram", "left_semi").groupBy("cls", "least").count().where("count >= least").select("cls")
+        shared = grams.join(often, "gram", "left_semi").groupBy("cls").count()
+        return shared.join(classes.select("cls", "least"), "cls").where("count >= least").select("cls").distinct()
 
     def ordered(self, sets: DataFrame) -> DataFrame:
-        """s, n, u and the grams of each set in the global order, without the u grams that no other set has."""
-        grams = sets.select("s", "n", F.explode("grams").alias("gram"))
-        often = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-        order = grams.join(often, "gram").groupBy("s", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("grams"))
-        return order.withColumn("u", F.col("n") - F.size("grams")).where(F.size("grams") >= self.need(F.col("n")))
+        """s, n, u (grams that no other set has), prefix and parts: the other grams of
+        each set in the global order, its beginning and its segments by fragment."""
+        grams = sets.select("s", F.explode("grams").alias("gram"))
+        often = checkpoint(grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1"))
+        bounds = [None, *cuts(often), None]
+        order = grams.join(often, "gram").groupBy("s").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("order"))
+        order = order.join(sets.select("s", "n"), "s").where(F.size("order") >= self.need(F.col("n"))).withColumn("u", F.col("n") - F.size("order"))
+        prefix = F.slice("order", 1, (F.col("n") - self.need(F.col("n")) + 1 - F.col("u")).cast("int"))
+
+        def part(lo: int | None, hi: int | None) -> Column:
+            def inside(g: Column) -> Column:
+                return (F.lit(True) if lo is None else place(g) >= lo) & (F.lit(True) if hi is None else place(g) < hi)
+            return F.transform(F.filter("order", inside), lambda g: g["gram"])
+        parts = F.array(*(part(lo, hi) for lo, hi in zip(bounds, bounds[1:], strict=False)))
+        return order.select("s", "n", "u", F.transform(prefix, lambda g: g["gram"]).alias("prefix"), parts.alias("parts"))
 
     def buckets(self, order: DataFrame) -> DataFrame:
-        """gram, s, n, u for each set under the grams of its prefix in the global order; ``level`` is the class of its size."""
-        prefix = F.slice("grams", 1, (F.col("n") - self.need(F.col("n")) + 1 - F.col("u")).cast("int"))
+        """gram, s, n, u for each set under the grams of its prefix; ``level`` is the class of its size."""
         level = F.floor(F.log(F.col("n").cast("double")) / np.log(self.den / self.num)).cast("int")
-        return order.select("s", "n", "u", level.alias("level"), F.explode(prefix).alias("g")).select(F.col("g.gram").alias("gram"), "s", "n", "u", "level")
+        return order.select(F.explode("prefix").alias("gram"), "s", "n", "u", level.alias("level"))
 
-    def to_centres(self, buckets: DataFrame) -> DataFrame:
-        """Pairs (a, b) of each set with the most central ones of its size and of the next smaller in its buckets."""
+    def centred(self, order: DataFrame) -> DataFrame:
+        """Each set (s, n, u) with its centres (b, m, v): in each bucket the most central
+        set of its size and that of the next smaller one. Alike sets share a centre."""
+        buckets = self.buckets(order)
         centre = buckets.groupBy("gram", "level").agg(F.min(F.struct((F.col("u") / F.col("n")).alias("far"), "s", "n", "u")).alias("c"))
         centre = centre.select("gram", F.col("level").alias("at"), F.col("c.s").alias("b"), F.col("c.n").alias("m"), F.col("c.u").alias("v"))
-        seen = buckets.withColumn("at", F.explode(F.array("level", F.col("level") - 1)))
-        return self.possible(seen.join(centre, ["gram", "at"]).where("s <> b")).select(F.least("s", "b").alias("a"), F.greatest("s", "b").alias("b")).distinct()
-
-    def rest(self, buckets: DataFrame, found: DataFrame) -> DataFrame:
-        """All pairs (a, b) that share a bucket and are in different components of ``found``."""
-        part = buckets.join(found.withColumnRenamed("node", "s"), "s", "left").withColumn("c", F.coalesce("component", "s")).drop("component")
-        sizes = part.groupBy("gram", "c").count()
-        main = sizes.groupBy("gram").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("count", "c")).alias("main")).where("parts > 1").select("gram", "main")
-        part = checkpoint(part.join(main, "gram"))
-        # Within the largest component of a bucket no pair is left; all others meet it and each other.
-        few = part.where("c <> main").drop("main", "level")
-        many = part.select("gram", F.col("s").alias("b"), F.col("n").alias("m"), F.col("u").alias("v"), F.col("c").alias("d"), (F.col("c") == F.col("main")).alias("in_main"))
-        met = few.join(many, (few["gram"] == many["gram"]) & (F.col("c") != F.col("d")) & (F.col("in_main") | (F.col("s") < F.col("b"))))
-        return self.possible(met).select(F.least("s", "b").alias("a"), F.greatest("s", "b").alias("b")).distinct()
-
-    def segments(self, order: DataFrame) -> DataFrame:
-        """s, n, fragment and its grams. The cuts are quantiles of the global order by load."""
-        place = F.expr("shiftleft(least(g.df, 32767L), 48) + shiftrightunsigned(g.gram, 16)")
-        cuts = order.select(F.explode("grams").alias("g")).select(F.percentile_approx(place, [k / FRAGMENTS for k in range(1, FRAGMENTS)], 1000)).first()[0] or []
-        bounds = [None, *sorted(set(cuts)), None]
-
-        def part(lo: int | None, hi: int | None) -> Column:
-            def inside(g: Column) -> Column:
-                at = F.shiftleft(F.least(g["df"], F.lit(32767).cast("long")), 48) + F.shiftrightunsigned(g["gram"], 16)
-                return (F.lit(True) if lo is None else at >= lo) & (F.lit(True) if hi is None else at < hi)
-            return F.transform(F.filter("grams", inside), lambda g: g["gram"])
-        parts = F.array(*(part(lo, hi) for lo, hi in zip(bounds, bounds[1:], strict=False)))
-        return order.select("s", "n", F.posexplode(parts).alias("fragment", "part")).where(F.size("part") > 0)
-
-    def verified(self, pairs: DataFrame, segments: DataFrame) -> DataFrame:
-        """The pairs whose partial overlaps sum up to enough."""
+        seen = buckets.withColumn("at", F.explode(F.array("level", F.col("level") - 1))).drop("level")
+        return seen.join(centre, ["gram", "at"]).where("s <> b").select("s", "n", "u", "b", "m", "v").distinct()
+
+    def to_centres(self, centred: DataFrame) -> DataFrame:
+        """Pairs (a, b) of sets and centres that can be alike."""
+        return self.possible(centred).select(F.least("s", "b").alias("a"), F.greatest("s", "b").alias("b")).distinct()
+
+    def rest(self, centred: DataFrame, links: DataFrame, found: DataFrame, order: DataFrame) -> DataFrame:
+        """All other pairs (a, b) that can be alike, of sets with a common centre and in
+        different components of ``found``.
+
+        Sets are compared through what distinguishes them from the centre c: the
+        difference of x and y is that of D(x) = x - c + (c - x) and D(y), so alike sets
+        need |D(x) & D(y)| >= (|D(x)| + |D(y)| - d) / 2, d being the difference
+        that their sizes allow. At least one of a pair isn't linked to c and has
+        more than d in D. So D is searched like the sets, by the prefixes that must
+        share a gram; sets that need share none are held against all of their centre."""
+        near = links.select(F.col("a").alias("s"), "b").unionByName(links.select(F.col("b").alias("s"), F.col("a").alias("b"))).withColumn("linked", F.lit(True))
+        part = centred.join(found.withColumnRenamed("node", "s"), "s", "left").withColumn("comp", F.coalesce("component", "s")).drop("component")
+        mixed = part.groupBy("b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("b")
+        part = part.join(mixed, "b").join(near, ["s", "b"], "left").withColumn("few", F.col("linked").isNull()).drop("linked")
+        segments = order.select("s", F.posexplode("parts").alias("fragment", "part"))
+        both = part.join(segments, "s").join(segments.withColumnsRenamed({"s": "b", "part": "other"}), ["b", "fragment"])
+        own = F.array_union(F.array_except("part", "other"), F.array_except("other", "part"))
+        parts = both.select("b", "s", "n", "u", "m", "v", "comp", "few", F.struct("fragment", F.sort_array(own).alias("own")).alias("own"))
+        delta = parts.groupBy("b", "s", "n", "u", "m", "v", "comp", "few").agg(F.sort_array(F.collect_list("own")).alias("own"))
+        delta = delta.withColumn("own", F.flatten(F.transform("own", lambda x: x["own"]))).withColumn("d", F.size("own") + F.col("u"))
+        slack = (self.den - self.num) / (self.den + self.num)
+        most = F.floor((F.col("n") + F.floor(F.col("n") * self.den / self.num)) * slack)
+        least = F.when(F.col("few"), F.col("d") + F.greatest(F.lit(0), F.col("d") - most) - most).otherwise(F.col("d") + F.floor((F.col("m") - F.col("n")) * slack) - 1 - F.col("v"))
+        delta = checkpoint(delta.withColumn("share", F.ceil(least / 2)).drop("m", "v"))
+        other = delta.withColumnsRenamed({"s": "t", "n": "m", "u": "v", "d": "e", "comp": "comp2", "few": "few2", "own": "own2", "share": "share2"})
+        allowed = F.col("n") + F.col("m") - 2 * F.ceil((F.col("n") + F.col("m")) * self.num / (self.num + self.den))
+        can = (F.col("comp") != F.col("comp2")) & (~F.col("few2") | (F.col("s") < F.col("t"))) & (2 * F.least(F.col("d") - F.col("u"), F.col("e") - F.col("v")) >= F.col("d") + F.col("e") - allowed)
+
+        def prefix(own: str, d: str, u: str, share: str) -> Column:
+            return F.explode(F.slice(own, 1, F.greatest(F.lit(0), F.col(d) - F.col(share) + 1 - F.col(u)).cast("int"))).alias("gram")
+        left = delta.where("few AND share > 0").select("b", "s", "n", "u", "d", "comp", prefix("own", "d", "u", "share"))
+        right = other.where("share2 > 0").select("b", "t", "m", "v", "e", "comp2", "few2", prefix("own2", "e", "v", "share2"))
+        met = left.join(right, ["b", "gram"]).where(can).select("s", "t", "n", "u", "m", "v")
+        loose = delta.where("few").drop("own").join(other.drop("own2"), "b").where(((F.col("share") <= 0) | (F.col("share2") <= 0)) & can).select("s", "t", "n", "u", "m", "v")
+        return self.possible(met.unionByName(loose)).select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
+
+    def verified(self, pairs: DataFrame, order: DataFrame) -> DataFrame:
+        """The pairs whose partial overlaps, counted fragment by fragment, sum up to enough."""
+        segments = order.select("s", "n", F.posexplode("parts").alias("fragment", "part")).where(F.size("part") > 0)
         left = pairs.join(segments.withColumnsRenamed({"s": "a", "part": "x"}), "a")
         both = left.join(segments.withColumnsRenamed({"s": "b", "n": "m", "part": "y"}), ["b", "fragment"])
         partial = both.select("a", "b", "n", "m", F.size(F.array_intersect("x", "y")).alias("overlap"))
@@ -214,10 +263,10 @@ def _links(join: Join, given: DataFrame, picks: DataFrame) -> tuple[DataFrame, D
     sets = sets.groupBy("set_id").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
     sets = checkpoint(sets.withColumn("s", F.monotonically_increasing_id()))
     order = checkpoint(join.ordered(sets))
-    buckets, segments = checkpoint(join.buckets(order)), checkpoint(join.segments(order))
-    first = checkpoint(join.verified(join.to_centres(buckets), segments))
-    more = join.rest(buckets, components(first.select("a", "b")))
-    links = checkpoint(first.unionByName(join.verified(more, segments)).distinct())
+    centred = checkpoint(join.centred(order))
+    first = checkpoint(join.verified(join.to_centres(centred), order))
+    more = join.rest(centred, first.select("a", "b"), components(first.select("a", "b")), order)
+    links = checkpoint(first.unionByName(join.verified(more, order)).distinct())
     return links, sets.select("s", "set_id")
 
 
