@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from diamondlake.operators.windows import latest_row
-
 
 def complete(cols: list[str]) -> Column:
     """Whether a row has a value in each of ``cols``."""
@@ -39,11 +38,15 @@ def fit_ridge_classifier(df: DataFrame, label: str, features: str = "features",
     ``standardization=False`` (MLlib scales the label by its std internally)."""
     y = (F.col(label).cast("double") * 2.0 - 1.0)
     data = df.withColumn("__y", y)
-    stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("__y").alias("sd")).first()
+    return ridge(data, "__y", alpha, features).fit(data)
+
+
+def ridge(data: DataFrame, label: str, alpha: float = 1.0, features: str = "features") -> LinearRegression:
+    """Ridge regression of ``label`` (its penalty needs the number and deviation of the labels)."""
+    stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
     reg = alpha * float(stats["sd"] or 0.0) / max(int(stats["n"]), 1)
-    lr = LinearRegression(featuresCol=features, labelCol="__y", regParam=reg, elasticNetParam=0.0,
-                          standardization=False, solver="normal", predictionCol="score")
-    return lr.fit(data)
+    return LinearRegression(featuresCol=features, labelCol=label, regParam=reg, elasticNetParam=0.0,
+                            standardization=False, solver="normal", predictionCol="score")
 
 
 def predict_sign(model, df: DataFrame, out: str = "predicted") -> DataFrame:
@@ -57,39 +60,13 @@ def fit_ols(df: DataFrame, label: str, features: str = "features", prediction: s
                             predictionCol=prediction).fit(df)
 
 
-def forecast_features(feats: DataFrame, team: str, order: list[str], targets: list[str], ema_cols: list[str],
-                      horizon: int, num_trees: int = 100, seed: int = 42, max_depth: int = 5) -> DataFrame:
-    """M5: per-team feature forecast.  For each target a random forest learns
-    the team's next value from (current values, frozen EMAs), pooled over
-    teams; the last observed row of every team is then rolled forward
-    ``horizon`` steps.  ``horizon <= 0`` returns the last observed row."""
-    from diamondlake.operators.scan import neighbor_scan
-    from diamondlake.session import cut_lineage
-    inputs = targets + ema_cols
-    train = feats.select(team, *order, *inputs)
-    for t in targets:   # next value per team: skew-safe LEAD (range-partitioned neighbour scan)
-        train = neighbor_scan(train, [team], order, t, f"__prev_{t}", f"__next_{t}").drop(f"__prev_{t}")
-    train = cut_lineage(train)     # read once per forest
-    assembler = VectorAssembler(inputCols=inputs, outputCol="__x", handleInvalid="skip")
-    models = {}
-    for t in targets:
-        data = assembler.transform(train.dropna(subset=[f"__next_{t}"] + inputs))
-        models[t] = RandomForestRegressor(featuresCol="__x", labelCol=f"__next_{t}", numTrees=num_trees, seed=seed,
-                                          maxDepth=max_depth, predictionCol=f"__p_{t}").fit(data)
-    # Every team's last row; a missing value stands at the team's average, then at the average of all teams.
-    state = latest_row(feats, team, order, inputs)
-    means = train.agg(*[F.avg(c).alias(c) for c in inputs])
-    mean = {c: means.select(c).scalar() for c in inputs}
-    frozen = [F.coalesce(F.col(e), mean[e], F.lit(0.0)).alias(e) for e in ema_cols]
-    emas = dict(zip(targets, ema_cols, strict=False))
-    state = state.select(team, *[F.coalesce(F.col(t), F.col(emas[t]) if t in emas else mean[t], mean[t], F.lit(0.0)).alias(t)
-                                 for t in targets], *frozen)
-    for _ in range(max(horizon, 0)):
-        x = assembler.transform(state)
-        for t in targets:
-            x = models[t].transform(x)
-        state = x.select(team, *[F.col(f"__p_{t}").alias(t) for t in targets], *ema_cols)
-    return state.withColumn("horizon", F.lit(max(horizon, 0)))
+def fit_game_models(train: DataFrame, cols: list[str], win: str, runs: str, alpha: float = 1.0) -> PipelineModel:
+    """One pipeline that assembles ``cols`` and carries both game models: the ridge
+    classifier of the win (column ``score``) and the OLS model of the runs
+    (``runs_score``). Rows that lack a value are left out of the fit."""
+    data = train.where(complete(cols)).withColumn("__y", F.col(win).cast("double") * 2.0 - 1.0).withColumn("__r", F.col(runs).cast("double"))
+    win_model, runs_model = ridge(data, "__y", alpha), LinearRegression(featuresCol="features", labelCol="__r", regParam=0.0, solver="normal", predictionCol="runs_score")
+    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep"), win_model, runs_model]).fit(data)
 
 
 def save_model(model, path: str) -> str:

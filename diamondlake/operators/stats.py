@@ -6,6 +6,10 @@ changes the row count, not the number of scans."""
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,18 +39,19 @@ def linregress_many(df: DataFrame, y: str, predictors: list[str], digits: int =
 
 
 def corr_matrix(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
-    """Pearson correlation of every pair of columns (long form, both
-    orders and the diagonal), one aggregation with one ``corr`` per pair."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("corr")))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"), F.col(f"c{i}").alias("corr")))
-    out = wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
-    return out.withColumn("corr", round_half_up("corr", digits))
+    """Pearson correlation of every pair of columns (long form, both orders and
+    the diagonal) over the rows that have them all. One vector aggregation sums
+    the cross products, so the number of columns adds no pass and no expression;
+    its result is one matrix. A constant column gives NULL."""
+    known = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    rows = VectorAssembler(inputCols=cols, outputCol="x").transform(known).select("x")
+    spark = df.sparkSession
+    schema = "feature_a string, feature_b string, corr double"
+    if len(rows.take(2)) < 2:
+        return spark.createDataFrame([(a, b, None) for a in cols for b in cols], schema)
+    matrix = Correlation.corr(rows, "x").first()[0].toArray()
+    cells = [(a, b, None if math.isnan(v) else float(v)) for a, line in zip(cols, matrix, strict=True) for b, v in zip(cols, line, strict=True)]
+    return spark.createDataFrame(cells, schema).withColumn("corr", round_half_up("corr", digits))
 
 
 def minmax_scale(df: DataFrame, cols: list[str], keep: list[str], digits: int = 4) -> DataFrame:

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up_sql as R
 from diamondlake.operators import features as FT
+from diamondlake.operators import stats as ST
+from diamondlake.operators import team_features as TF
 from diamondlake.operators.scan import ema_scan
+from diamondlake.plans import team_table as TT
 from diamondlake.plans.catalog import register
 from diamondlake.plans.windows_sort import TEAM_GAMES_SQL, TEAM_ORDER, team_games
 
 SPAN = 28
-FEATURES = ["std_win_pct", "std_runs_pg", "std_runs_allowed_pg", "runs_7d", "wins_last_10"]
 
 
 def known_team_games(spark, d):
@@ -43,12 +45,30 @@ FROM k WINDOW w7 AS (PARTITION BY offense_team ORDER BY game_date RANGE BETWEEN
 """
 
 
-@register("q_team_game_features", FEATURE_SQL + "SELECT * FROM ft")
+TEAM_TABLE = f"""game_pk, day AS game_date, season, offense_team, defense_team, is_home, total_games, total_runs,
+       {', '.join(TF.FEATURES)}, runs_scored, win"""
+
+
+@register("q_team_game_features", TT.TABLE_SQL + f"SELECT {TEAM_TABLE} FROM ft")
 def q_team_game_features(spark, d):
-    """Q10: per team and game, features from earlier games only, plus the win target."""
-    ft = feature_table(spark, d)
-    return ft.select("offense_team", "defense_team", "game_pk", "game_date", "is_home", "win", *FEATURES[:4],
-                     F.col("wins_last_10").cast("bigint").alias("wins_last_10"))
+    """Q10: per team and game, 23 hitting features of the team and 13 pitching features of
+    its opponent from earlier days only, plus the runs and the win."""
+    return TT.feature_table(spark, d).withColumnRenamed("day", "game_date")
+
+
+def _corr_sql():
+    cols = [*TF.FEATURES, "win"]
+    known = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    cells = ", ".join(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS c{i}_{j}" for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j)
+    rows = " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, c{min(i, j)}_{max(i, j)} AS c FROM one" for i, a in enumerate(cols) for j, b in enumerate(cols))
+    return TT.TABLE_SQL + f""", one AS MATERIALIZED (SELECT {cells} FROM ft WHERE {known})
+SELECT feature_a, feature_b, {R('CASE WHEN NOT isnan(c) THEN c END', 4)} AS corr FROM ({rows})"""
+
+
+@register("corr_matrix", _corr_sql())
+def corr_matrix(spark, d):
+    """Correlation matrix (long form) of the 36 features and the win, over complete rows."""
+    return ST.corr_matrix(TT.feature_table(spark, d), [*TF.FEATURES, "win"])
 
 
 ALPHA = 1.0 / (1.0 + (SPAN - 1) / 2.0)

@@ -131,25 +131,6 @@ def q_stat_usefulness(spark, d):
         Window.orderBy(F.desc("r"), "predictor")).cast("bigint").alias("rank")).orderBy("rank")
 
 
-CORR_COLS = ["runs", "n_orders", "n_lines", "qty", "n_returned", "acctbal", "max_price"]
-
-
-def _corr_sql():
-    parts = []
-    for i, a in enumerate(CORR_COLS):
-        for b in CORR_COLS[i:]:
-            parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {R(f'corr({a}, {b})', 4)} AS corr FROM cs")
-            if a != b:
-                parts.append(f"SELECT '{b}' AS feature_a, '{a}' AS feature_b, {R(f'corr({a}, {b})', 4)} AS corr FROM cs")
-    return CUSTOMER_STATS_SQL + "\n" + "\nUNION ALL ".join(parts)
-
-
-@register("corr_matrix", _corr_sql())
-def corr_matrix(spark, d):
-    """Correlation matrix (long form) of the customer-level stats."""
-    return ST.corr_matrix(customer_stats(spark, d), CORR_COLS)
-
-
 SCALE_COLS = ["n_orders", "n_lines", "qty", "acctbal", "max_price"]
 
 

@@ -6,30 +6,35 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions import scalars as FN
 from diamondlake.functions.scalars import round_half_up, round_half_up_sql as R
+from diamondlake.operators import forecast as FC
 from diamondlake.operators import models as M
-from diamondlake.operators.scan import ema_scan
+from diamondlake.operators import team_features as TF
 from diamondlake.operators.ordering import split_hash
 from diamondlake.plans.catalog import register
-from diamondlake.plans.features import FEATURES, feature_table
+from diamondlake.plans import team_table as TT
 from diamondlake.plans.standins import games_df
 from diamondlake.plans.joins_aggs import CUSTOMER_STATS_SQL, customer_stats
-from diamondlake.plans.windows_sort import TEAM_ORDER
 from diamondlake.session import cut_lineage
 from diamondlake.sources.files import shared_path
 from diamondlake.sources.tables import load
 
+FEATURES = TF.FEATURES
+
 
 def _model_rows(spark, d):
-    ft = feature_table(spark, d).withColumn("wins_last_10", F.col("wins_last_10").cast("double"))
-    return M.assemble(ft, FEATURES)
+    return M.assemble(TT.feature_table(spark, d), FEATURES)
+
+
+PLACES = [f"x{k + 1:02d}" for k in range(len(FEATURES))]
 
 
-@register("features_assemble")
+@register("features_assemble", TT.TABLE_SQL + f"""
+SELECT game_pk, is_home, offense_team, {', '.join(f'{c} AS {x}' for c, x in zip(FEATURES, PLACES, strict=True))}, win FROM ft""")
 def features_assemble(spark, d):
-    """M1: feature vectors (as arrays) per team-game row, NULL where a feature is missing."""
+    """M1: the 36-feature vector per team-game row, read back place by place (NULL where it lacks a value)."""
     rows = M.features_array(_model_rows(spark, d))
-    return rows.select("game_pk", "is_home", "offense_team", F.when(M.complete(FEATURES), F.col("features")).alias("features"),
-                       "win")
+    at = [F.element_at("features", k + 1) for k in range(len(FEATURES))]
+    return rows.select("game_pk", "is_home", "offense_team", *[F.when(~F.isnan(v), v).alias(x) for v, x in zip(at, PLACES, strict=True)], "win")
 
 
 def _win_model(spark, d):
@@ -40,8 +45,8 @@ def _win_model(spark, d):
 
 @register("model_ridge_classify")
 def model_ridge_classify(spark, d):
-    """M2: ridge classifier of the win flag, trained on the hash-split train part,
-    predictions for the test part."""
+    """M2: ridge classifier of the win flag on the 36 features, trained on the hash-split
+    train part, predictions for the test part."""
     model, rows = _win_model(spark, d)
     test = rows.filter(F.col("split") == "test")
     return M.predict_sign(model, test).select(
@@ -49,6 +54,17 @@ def model_ridge_classify(spark, d):
         F.when(M.complete(FEATURES), round_half_up("score", 6)).alias("score"))
 
 
+@register("model_ridge_single", TT.TABLE_SQL + f""", f AS (
+  SELECT regr_sxy(2.0 * win - 1.0, obp) / (regr_sxx(2.0 * win - 1.0, obp) + 1.0) AS w, AVG(2.0 * win - 1.0) AS y0, AVG(obp) AS x0
+  FROM ft WHERE obp IS NOT NULL)
+SELECT game_pk, is_home, CAST(y0 + w * (obp - x0) > 0 AS INTEGER) AS predicted, {R('y0 + w * (obp - x0)', 6)} AS score
+FROM ft, f WHERE obp IS NOT NULL""")
+def model_ridge_single(spark, d):
+    """M2/M4 with one feature, where ridge has a closed form: fitted on all rows, which it then scores."""
+    rows = M.assemble(TT.feature_table(spark, d).where("obp IS NOT NULL"), ["obp"])
+    return M.predict_sign(M.fit_ridge_classifier(rows, "win"), rows).select("game_pk", "is_home", "predicted", round_half_up("score", 6).alias("score"))
+
+
 @register("model_ols", CUSTOMER_STATS_SQL + f"""
 SELECT {R('regr_slope(runs, n_orders)', 4)} AS slope, {R('regr_intercept(runs, n_orders)', 4)} AS intercept FROM cs""")
 def model_ols(spark, d):
@@ -67,59 +83,68 @@ def model_score(spark, d):
     return model.transform(rows).select("game_pk", "is_home", "offense_team", F.when(M.complete(FEATURES), round_half_up("score", 6)).alias("score"))
 
 
-HORIZON = 3
-FORECAST_TARGETS = ["std_win_pct", "runs_7d"]
+UPCOMING_DAYS = 7
+TREES = 100
+
+
+def _upcoming(spark, d):
+    """The last week's games as schedule, and the feature tables of the days before it."""
+    schedule = games_df(spark, d).select("game_pk", F.col("game_date").alias("day"), "home_team", "away_team")
+    cutoff = schedule.agg(F.date_sub(F.max("day"), UPCOMING_DAYS)).scalar()
+    games = schedule.filter((F.col("day") >= cutoff) & F.col("home_team").isNotNull() & F.col("away_team").isNotNull())
+    decided, seen = TT.decided_games(spark, d).filter(F.col("day") < cutoff), TT.appearances(spark, d).filter(F.col("day") < cutoff)
+    return cut_lineage(games), TF.team_game_table(decided, seen), TF.team_day_table(decided, seen)
+
+
+def _forecast(games, days):
+    """One row per team of each game: game_pk, team, ahead (days from its last day to the game) and the forecast features."""
+    history = cut_lineage(FC.ema_by_day(days, "team", "day", FEATURES))
+    unit = cut_lineage(FC.scales(history))
+    model = FC.fit(history, unit, num_trees=TREES, statistics=len(FEATURES))
+    playing = games.select("game_pk", "day", F.explode(F.array("home_team", "away_team")).alias("team"))
+    last = FC.latest(history, "team", "day").withColumnRenamed("day", "last_day")
+    state = playing.join(last, "team").withColumn("ahead", F.greatest(F.datediff("day", "last_day"), F.lit(0)))
+    state = cut_lineage(state.select("game_pk", "team", "target", "value", "ema", "ahead"))
+    furthest = state.agg(F.max("ahead")).first()[0] or 0
+    moved = FC.roll_forward(model, unit, state, furthest)
+    wide = FC.wide_form(moved, ["game_pk", "team"], FEATURES).join(moved.groupBy("game_pk", "team").agg(F.max("ahead").alias("ahead")), ["game_pk", "team"])
+    # A team or a statistic without history stands at the mean of all teams (one number per statistic).
+    mean = {int(r["target"]): r["mean"] for r in unit.collect()}
+    filled = [F.coalesce(F.col(c), F.lit(mean.get(k, 0.0))).alias(c) for k, c in enumerate(FEATURES)]
+    return playing.join(wide, ["game_pk", "team"], "left").select("game_pk", "team", F.coalesce("ahead", F.lit(0)).alias("ahead"), *filled)
 
 
 @register("forecast_features")
 def forecast_features(spark, d):
-    """M5: roll every team's features forward ``HORIZON`` games with one random
-    forest (100 trees, seed 42) per target, EMAs frozen."""
-    ft = feature_table(spark, d)
-    return M.forecast_features(_with_ema(ft, FORECAST_TARGETS), "offense_team", TEAM_ORDER, FORECAST_TARGETS,
-                               [f"{t}_ema" for t in FORECAST_TARGETS], HORIZON)
-
-
-UPCOMING_DAYS = 7
+    """M5: the 36 statistics of both teams of every upcoming game, rolled forward day by day
+    from the team's last playing day to the game, EMAs frozen."""
+    games, _, days = _upcoming(spark, d)
+    return _forecast(games, days)
 
 
-def _with_ema(ft, targets):
-    ema = ema_scan(ft, "offense_team", TEAM_ORDER, targets, span=28)
-    ema = ema.select("offense_team", *TEAM_ORDER, *[F.col(f"{t}_ema") for t in targets])
-    return ft.join(ema, ["offense_team", *TEAM_ORDER])
+def matchup_scores(model, games, forecast):
+    """Both sides of each game scored by both models: a side's hitting against the other
+    side's pitching. game_pk, home_score, home_runs, away_score, away_runs."""
+    def side(team, other, name):
+        hit = forecast.select("game_pk", F.col("team").alias(team), *TF.HIT_FEATURES)
+        pitch = forecast.select("game_pk", F.col("team").alias(other), *TF.PITCH_FEATURES)
+        row = games.select("game_pk", team, other).join(hit, ["game_pk", team]).join(pitch, ["game_pk", other])
+        return model.transform(row).select("game_pk", F.col("score").alias(f"{name}_score"), F.col("runs_score").alias(f"{name}_runs"))
+    return side("home_team", "away_team", "home").join(side("away_team", "home_team", "away"), "game_pk")
 
 
 @register("predict_games")
 def predict_games(spark, d):
-    """M6: predict the last week's games from the history before it.  Every
-    team's features are forecast one game ahead (EMA W6 -> forest M5); the home
-    and away forecasts of each game are joined (J9) and scored with the win
-    model and the runs model trained on the history (M4); the higher win score
-    wins, a tie goes to the higher runs score, else NULL (F10)."""
-    # the feature table feeds four jobs (cutoff, two fits, forecast): materialise it once
-    ft = cut_lineage(feature_table(spark, d))
-    schedule = games_df(spark, d).select("game_pk", "game_date", "home_team", "away_team")
-    cutoff = schedule.agg(F.date_sub(F.max("game_date"), UPCOMING_DAYS)).scalar()
-    hist = ft.filter(F.col("game_date") < cutoff)
-    # the schedule knows no results: every game with both teams known is predicted
-    games = schedule.filter((F.col("game_date") >= cutoff) & F.col("home_team").isNotNull() & F.col("away_team").isNotNull())
-    train = M.assemble(hist.filter(M.complete(FORECAST_TARGETS)), FORECAST_TARGETS)
-    win_model = M.fit_ridge_classifier(train, "win")
-    runs_model = M.fit_ols(train.withColumn("runs_label", F.col("runs_scored").cast("double")), "runs_label",
-                           prediction="runs_score")
-    emas = [f"{t}_ema" for t in FORECAST_TARGETS]
-    nxt = M.forecast_features(_with_ema(hist, FORECAST_TARGETS), "offense_team", TEAM_ORDER, FORECAST_TARGETS,
-                              emas, horizon=1)
-    scored = runs_model.transform(win_model.transform(M.assemble(nxt, FORECAST_TARGETS))).select(
-        F.col("offense_team").alias("team"), "score", "runs_score")      # one row per team
-    home = scored.select(F.col("team").alias("home_team"), F.col("score").alias("home_score"),
-                         F.col("runs_score").alias("home_runs"))
-    away = scored.select(F.col("team").alias("away_team"), F.col("score").alias("away_score"),
-                         F.col("runs_score").alias("away_runs"))
-    m = games.join(home, "home_team", "left").join(away, "away_team", "left")
-    return m.select("game_pk", "home_team", "away_team",
-                    FN.winner_tiebreak("home_team", "away_team", "home_score", "away_score", "home_runs",
-                                       "away_runs").alias("team_winner"))
+    """M6: predict the last week's games from the history before it. Every team's statistics
+    are forecast to the day of its game (EMA W6 -> forest M5); home hitting meets away
+    pitching and the reverse (J9), both scored by the win and the runs model of one
+    pipeline (M4); the higher win score wins, a tie goes to the higher runs score, else NULL (F10)."""
+    games, table, days = _upcoming(spark, d)
+    model = M.fit_game_models(cut_lineage(table), FEATURES, "win", "runs_scored")
+    forecast = cut_lineage(_forecast(games, days).dropDuplicates(["game_pk", "team"]))
+    m = games.join(matchup_scores(model, games, forecast), "game_pk", "left")
+    return m.select("game_pk", "home_team", "away_team", round_half_up("home_score", 6).alias("home_score"), round_half_up("away_score", 6).alias("away_score"),
+                    FN.winner_tiebreak("home_team", "away_team", "home_score", "away_score", "home_runs", "away_runs").alias("team_winner"))
 
 
 @register("model_roundtrip", CUSTOMER_STATS_SQL + f"""

@@ -399,8 +399,18 @@ def test_plans_push_filters_prune_columns_and_broadcast_bounded_dims(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
     star = qs["join_star_left"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert star.count("BroadcastExchange") >= 2        # nation and region (bounded dims)
-    season = qs["warehouse_roundtrip"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(season" in season and "(season#" in season
+
+
+def test_reading_one_season_prunes_the_others(spark):
+    from diamondlake.sources import files as IO
+    from tests.conftest import SF_SMALL
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", F.year("o_orderdate").alias("season"))
+    path = IO.shared_path(spark, "one-season")
+    IO.write_warehouse(orders, path, ["season"])
+    one = spark.read.parquet(path).where("season = 1996")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season" in plan and "(season#" in plan
+    assert one.count() == orders.where("season = 1996").count() > 0
 
 
 def test_nested_sources_edge_cases(spark):
