@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from diamondlake.functions.scalars import round_half_up
 from diamondlake.operators import windows as WN
 from diamondlake.operators.nullsafe import join_null_safe
+from diamondlake.operators.prefix import cumulative_sums
 
 
 def team_game_features(team_games: DataFrame, team: str, order: list[str], season: str, date_col: str,
@@ -19,14 +20,12 @@ def team_game_features(team_games: DataFrame, team: str, order: list[str], seaso
     trailing 7-day runs per game, wins in the last ten games.
     ``include_current=False`` (default) uses only earlier games, so a game's
     own result never leaks into its features.  With ``skew_safe`` the running
-    and rolling sums come from range-partitioned scans (one per grouping)
-    instead of per-team windows; the 7-day RANGE frame stays a window."""
+    and rolling sums come from two-level windows instead of per-team windows; the 7-day RANGE frame stays a window."""
     tg = team_games
     if skew_safe:
         # one running-sum scan per team; season-to-date sums subtract the team's
         # running total just before the season's first game (a per-(team, season)
         # aggregate), and the last-ten sum is S(t-1) - S(t-11) via a rank join.
-        from diamondlake.operators.scan import cumulative_sums
         cols = ["win", "runs_scored", "runs_allowed", "one"]
         cs = cumulative_sums(tg, [team], order, cols, rank_name="__rk", prefix="__c_")
         before = cs.groupBy(team, season).agg(F.min_by(F.struct(*[

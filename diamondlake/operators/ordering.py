@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from diamondlake.operators.nullsafe import join_null_safe
+from diamondlake.operators.prefix import cumulative_sums
 
 
 def sort_nulls(df: DataFrame, col: str, tiebreak: list[str], nulls_first_desc: bool = True) -> DataFrame:
@@ -58,10 +59,9 @@ def split_chronological(df: DataFrame, entity: str, order: list[str], train_frac
                         name: str = "split", skew_safe: bool = False) -> DataFrame:
     """First 80 % of each entity's rows in time order are train.  The
     per-entity row count is an aggregate; the row rank is a window, or with
-    ``skew_safe`` the range-partitioned running count."""
+    ``skew_safe`` the two-level running count."""
     n = df.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
     if skew_safe:
-        from diamondlake.operators.scan import cumulative_sums
         ranked = cumulative_sums(df, [entity], order, [], rank_name="__rk")
     else:
         ranked = df.withColumn("__rk", F.row_number().over(Window.partitionBy(entity).orderBy(*order)))

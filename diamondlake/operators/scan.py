@@ -196,135 +196,6 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
     return j.select(*keep, *cols, *outs)
 
 
-def neighbor_scan(df: DataFrame, group: list[str], order: list[str], value: str, prev_name: str, next_name: str,
-                  num_partitions: int | None = None) -> DataFrame:
-    """Skew-safe LAG/LEAD by one row inside ``group`` in ``order`` (a total order).
-
-    Rows are range-partitioned on (group, order), so a hot group is spread over
-    several balanced partitions.  Each partition shifts locally; the only rows
-    whose neighbour lives in another partition are a partition's first and last
-    row, and those two rows per partition are resolved from a broadcast table
-    of partition edges (size bounded by the partition count)."""
-    keys = group + order
-    ordered = (_range_partition(df, keys, num_partitions).sortWithinPartitions(*keys)
-               .withColumn("__pid", F.spark_partition_id()))
-    fields = [StructField(f.name, f.dataType, True) for f in ordered.schema.fields]
-    vtype = ordered.schema[value].dataType
-    out_schema = StructType(fields + [StructField(prev_name, vtype, True), StructField(next_name, vtype, True),
-                                      StructField("__edge", StringType(), True)])
-    names = [f.name for f in out_schema.fields]
-
-    def local(batches):
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        n = len(pdf)
-        codes = pdf.groupby(group, dropna=False, sort=False).ngroup().to_numpy()     # NULL keys: one group
-        same_prev = np.r_[False, codes[1:] == codes[:-1]]
-        same_next = np.r_[same_prev[1:], False]
-        v = pdf[value]
-        pdf[prev_name] = v.shift(1).astype(object).where(same_prev, None)
-        pdf[next_name] = v.shift(-1).astype(object).where(same_next, None)
-        edge = np.array([None] * n, dtype=object)
-        edge[0] = "first"
-        edge[-1] = "both" if n == 1 else "last"
-        pdf["__edge"] = edge
-        yield pdf[names]
-
-    loc = cut_lineage(ordered.mapInPandas(local, out_schema))
-    edges = loc.filter(F.col("__edge").isNotNull()).select("__pid", "__edge", *group, value)
-    firsts = edges.filter(F.col("__edge").isin("first", "both")).select(
-        "__pid", *[F.col(g).alias(f"__f_{g}") for g in group], F.col(value).alias("__f_v"))
-    lasts = edges.filter(F.col("__edge").isin("last", "both")).select(
-        "__pid", *[F.col(g).alias(f"__l_{g}") for g in group], F.col(value).alias("__l_v"))
-    from pyspark.sql import Window
-    w = Window.orderBy("__pid")           # over <= one row per partition
-    fl = firsts.join(lasts, "__pid")
-    fl = fl.select("__pid",
-                   *[F.lag(f"__l_{g}").over(w).alias(f"__pl_{g}") for g in group], F.lag("__l_v").over(w).alias("__pl_v"),
-                   *[F.lead(f"__f_{g}").over(w).alias(f"__nf_{g}") for g in group], F.lead("__f_v").over(w).alias("__nf_v"))
-    j = loc.join(F.broadcast(fl), "__pid", "left")
-    same_as_prev = F.lit(True)
-    same_as_next = F.lit(True)
-    for g in group:
-        same_as_prev = same_as_prev & F.col(g).eqNullSafe(F.col(f"__pl_{g}"))
-        same_as_next = same_as_next & F.col(g).eqNullSafe(F.col(f"__nf_{g}"))
-    is_first = F.col("__edge").isin("first", "both")
-    is_last = F.col("__edge").isin("last", "both")
-    prev = F.when(is_first & F.coalesce(same_as_prev, F.lit(False)), F.col("__pl_v")).otherwise(F.col(prev_name))
-    nxt = F.when(is_last & F.coalesce(same_as_next, F.lit(False)), F.col("__nf_v")).otherwise(F.col(next_name))
-    return j.select(*[c for c in df.columns], prev.alias(prev_name), nxt.alias(next_name))
-
-
-def cumulative_sums(df: DataFrame, group: list[str], order: list[str], cols: list[str],
-                    rank_name: str = "__rank", prefix: str = "cum_", num_partitions: int | None = None) -> DataFrame:
-    """Skew-safe running SUM (inclusive) of ``cols`` and the running row number
-    per ``group`` in ``order`` (a total order).
-
-    Same two passes as ``ema_scan``: local cumulative sums inside balanced
-    range partitions, then per-group offsets from the partitions before it.
-    Only a partition's first entity segment can continue an earlier partition,
-    so offsets come from at most two summary rows per partition."""
-    keys = group + order
-    src = df
-    ordered = (_range_partition(src, keys, num_partitions).sortWithinPartitions(*keys)
-               .withColumn("__pid", F.spark_partition_id()))
-    fields = [StructField(f.name, f.dataType, True) for f in ordered.schema.fields]
-    cum_fields = [StructField(prefix + c, DoubleType() if not isinstance(ordered.schema[c].dataType, LongType)
-                              else LongType(), True) for c in cols]
-    out_schema = StructType(fields + cum_fields + [StructField(rank_name, LongType(), True),
-                                                   StructField("__seg", StringType(), True),
-                                                   StructField("__kind", StringType(), True)])
-    names = [f.name for f in out_schema.fields]
-    long_cols = {c for c in cols if isinstance(ordered.schema[c].dataType, LongType)}
-
-    def local(batches):
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        n = len(pdf)
-        codes = pdf.groupby(group, dropna=False, sort=False).ngroup().to_numpy()     # NULL keys: one group
-        start = np.r_[True, codes[1:] != codes[:-1]]
-        seg = np.cumsum(start) - 1
-        nseg = int(seg[-1]) + 1
-        for c in cols:
-            v = pdf[c].fillna(0)
-            pdf[prefix + c] = v.groupby(seg).cumsum().astype("int64" if c in long_cols else "float64")
-        pdf[rank_name] = pd.Series(np.ones(n, dtype=np.int64)).groupby(seg).cumsum().to_numpy()
-        pdf["__seg"] = np.where(seg == 0, "first", np.where(seg == nseg - 1, "last", "mid"))
-        pdf["__kind"] = "row"
-        yield pdf[names]
-        ends = [nseg - 1] if nseg == 1 else [0, nseg - 1]
-        last_rows = np.r_[np.flatnonzero(start)[1:] - 1, n - 1]
-        summ = pdf.iloc[[int(last_rows[k]) for k in ends]].copy()
-        summ["__kind"] = "sum"
-        summ["__seg"] = ["first" if (k == 0 and nseg > 1) else ("last" if nseg > 1 else "only") for k in ends]
-        yield summ[names]
-
-    loc = cut_lineage(ordered.mapInPandas(local, out_schema))
-    from pyspark.sql import Window
-    sums = loc.filter(F.col("__kind") == "sum")
-    w = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*group, "__pid",
-                          *[F.coalesce(F.sum(prefix + c).over(w), F.lit(0)).alias(f"__off_{c}") for c in cols],
-                          F.coalesce(F.sum(rank_name).over(w), F.lit(0)).alias("__off_rank"))
-    offsets = offsets.filter(F.col("__off_rank") > 0)       # only segments that continue an earlier partition
-    rows = loc.filter((F.col("__kind") == "row"))
-    offsets = offsets.select(*[F.col(g).alias(f"__og_{g}") for g in group], F.col("__pid").alias("__op"),
-                             *[c for c in offsets.columns if c.startswith("__off")])
-    cond = rows["__pid"] == offsets["__op"]
-    for g in group:   # NULL keys form one group, as in a window
-        cond = cond & rows[g].eqNullSafe(offsets[f"__og_{g}"])
-    j = rows.join(F.broadcast(offsets), cond, "left")   # <= 2 rows per partition
-    out = [F.col(c) for c in df.columns]
-    out += [(F.col(prefix + c) + F.coalesce(F.col(f"__off_{c}"), F.lit(0))).cast(
-        "bigint" if c in long_cols else "double").alias(prefix + c) for c in cols]
-    out.append((F.col(rank_name) + F.coalesce(F.col("__off_rank"), F.lit(0))).cast("bigint").alias(rank_name))
-    return j.select(*out)
-
-
 def group_rank(df: DataFrame, group: list[str], order: list[str], rank_name: str = "__rk",
                num_partitions: int | None = None) -> DataFrame:
     """1-based row number per ``group`` in ``order`` without a per-group task and

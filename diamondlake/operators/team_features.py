@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up
+from diamondlake.session import cut_lineage
 
 HIT_COUNTERS = ["pa", "ab", "h", "d2", "d3", "hr", "bb", "so", "sf", "sb", "rbi"]
 PITCH_COUNTERS = ["outs", "p_so", "p_bb", "p_hr", "er"]
@@ -86,10 +87,11 @@ def _top_mean(players: DataFrame, rates: dict[str, str], names: list[str], activ
 def _side(appearances: DataFrame, team: str, player: str, cols: list[str], rates: dict[str, str], week: list[str], spine: DataFrame, active: str) -> DataFrame:
     """Per (team, day) of ``spine``: rates of the season to date, of the week, and of the week's most active players."""
     play = appearances.select(F.col(team).alias("team"), F.col(player).alias("player"), "season", "day", *cols)
-    player_day = play.groupBy("team", "player", "season", "day").agg(*_sums(cols))
+    # The one table of size; all that follows reads it several times.
+    player_day = cut_lineage(play.groupBy("team", "player", "season", "day").agg(*_sums(cols)))
     team_day = player_day.groupBy("team", "season", "day").agg(*_sums(cols))
     zero = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in cols]
-    team_day = spine.select("team", "season", "day").join(team_day, ["team", "season", "day"], "left").select("team", "season", "day", *zero)
+    team_day = cut_lineage(spine.select("team", "season", "day").join(team_day, ["team", "season", "day"], "left").select("team", "season", "day", *zero))
     league = team_day.groupBy("season", "day").agg(*_sums(cols))
     so_far = Window.partitionBy("season").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     own = Window.partitionBy("team", "season").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
@@ -110,8 +112,8 @@ def _spine(games: DataFrame) -> DataFrame:
     mine = games.select(F.col("offense_team").alias("team"), "season", "day", "runs_scored")
     per_day = mine.where("team IS NOT NULL").groupBy("team", "season", "day").agg(F.count("*").alias("games"), F.sum("runs_scored").alias("runs"))
     own = Window.partitionBy("team", "season").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    return per_day.select("team", "season", "day", F.coalesce(F.sum("games").over(own), F.lit(0)).alias("total_games"),
-                          F.coalesce(F.sum("runs").over(own), F.lit(0)).cast("long").alias("total_runs"))
+    return cut_lineage(per_day.select("team", "season", "day", F.coalesce(F.sum("games").over(own), F.lit(0)).alias("total_games"),
+                                      F.coalesce(F.sum("runs").over(own), F.lit(0)).cast("long").alias("total_runs")))
 
 
 def _hitting(spine: DataFrame, appearances: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 Unordered "per group" values (W1) and "latest row" (W2) are aggregates,
 partially aggregated map-side and therefore skew-safe.  Ordered operators
 (lag, streaks, running and rolling sums, running accuracy) take
-``skew_safe=True`` to run on the range-partitioned scans of ``scan.py``
+``skew_safe=True`` to run on the two-level windows of ``prefix.py``
 instead of one window partition per entity; the plain window form is for
 groups known to be small (e.g. one game's pitches).  The trailing-days ratio
 always windows over daily totals (at most one row per entity and day).
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up
 from diamondlake.operators.nullsafe import join_null_safe
+from diamondlake.operators.prefix import cumulative_sums, neighbours
 
 
 def partition_avg_max(df: DataFrame, key: str, value: str, avg_name: str, max_name: str,
@@ -41,13 +42,12 @@ def latest_row(df: DataFrame, key: str, order_cols: list[str], value_cols: list[
 
 def lag_value(df: DataFrame, partition: list[str], order: list[str], col: str, name: str,
               offset: int = 1, skew_safe: bool = False) -> DataFrame:
-    """Previous value within the partition (``skew_safe``: neighbour scan,
+    """Previous value within the partition (``skew_safe``: two-level windows,
     offset 1, total order required)."""
     if skew_safe:
         if offset != 1:
             raise ValueError("the skew-safe lag supports offset 1")
-        from diamondlake.operators.scan import neighbor_scan
-        return neighbor_scan(df, list(partition), list(order), col, name, "__next_unused").drop("__next_unused")
+        return neighbours(df, list(partition), list(order), col, name, "__next_unused").drop("__next_unused")
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(name, F.lag(col, offset).over(w))
 
@@ -56,12 +56,11 @@ def lead_value(df: DataFrame, partition: list[str], order: list[str], col: str,
                offset: int = 1, skew_safe: bool = False) -> DataFrame:
     """Next value within the partition (e.g. bases after the pitch).  The
     registered query partitions by game, which is bounded by the game's length;
-    ``skew_safe`` uses the neighbour scan (offset 1, total order required)."""
+    ``skew_safe`` uses two-level windows (offset 1, total order required)."""
     if skew_safe:
         if offset != 1:
             raise ValueError("the skew-safe lead supports offset 1")
-        from diamondlake.operators.scan import neighbor_scan
-        return neighbor_scan(df, list(partition), list(order), col, "__prev_unused", name).drop("__prev_unused")
+        return neighbours(df, list(partition), list(order), col, "__prev_unused", name).drop("__prev_unused")
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(name, F.lead(col, offset).over(w))
 
@@ -75,14 +74,13 @@ def streaks(games: DataFrame, entity: str, order_col: str, hit_col: str, as_writ
     SUM of change flags.  ``as_written`` keeps the default RANGE frame (games
     on the same date share a sum) and measures islands of *any* state, as the
     leaderboard SQL does; otherwise a ROWS frame with ``tiebreak`` and only
-    islands of games with a hit.  ``skew_safe`` takes the previous game from the
-    neighbour scan and the island id from the running-sum scan (a total order
+    islands of games with a hit.  ``skew_safe`` takes the previous game and the
+    island id from two-level windows (a total order
     (order_col + tiebreak) is then required; with one game per date it equals
     the RANGE form).  Returns (entity, best_streak)."""
     if skew_safe:
-        from diamondlake.operators.scan import cumulative_sums, neighbor_scan
         order = [order_col, *tiebreak]
-        seq = neighbor_scan(games.select(entity, *order, hit_col), [entity], order, hit_col, "__prev", "__next")
+        seq = neighbours(games.select(entity, *order, hit_col), [entity], order, hit_col, "__prev", "__next")
         flags = (seq.withColumn("__before", F.when(F.col("__prev") > 0, 1).otherwise(0))
                  .withColumn("__now", F.when(F.col(hit_col) > 0, 1).otherwise(0))
                  .withColumn("__chg", F.when(F.col("__before") != F.col("__now"), 1).otherwise(0).cast("long")))
@@ -115,10 +113,9 @@ def running_ratio(df: DataFrame, entity, order, num: str, den: str, name: str,
     """W7 season-to-date rate: running SUM(num)/SUM(den) from the first row of
     the partition.  ``include_current=False`` stops at the previous row, so a
     game's own result does not leak into its feature.  ``skew_safe`` computes
-    the running sums with the range-partitioned scan instead of a window, so a
-    hot entity is not processed by one task."""
+    the running sums in two levels of windows, so a hot entity is not processed
+    by one task."""
     if skew_safe:
-        from diamondlake.operators.scan import cumulative_sums
         cs = cumulative_sums(df, _as_list(entity), _as_list(order), [num, den], rank_name="__rk", prefix="__cum_")
         n = F.col(f"__cum_{num}") - (F.lit(0) if include_current else F.coalesce(F.col(num), F.lit(0)))
         d = F.col(f"__cum_{den}") - (F.lit(0) if include_current else F.coalesce(F.col(den), F.lit(0)))
@@ -153,12 +150,10 @@ def running_accuracy(df: DataFrame, date_col: str, tiebreak: str, correct_col: s
     """W9 running accuracy over all rows in (date, tiebreak) order without one
     global sort task.  Default: per-date totals (one row per date) give each
     date's offset and a window partitioned by date ranks rows inside it.
-    ``skew_safe``: one global running count/sum from the range-partitioned scan,
-    so even a date holding most of the games is spread over partitions."""
+    ``skew_safe``: the same in the general two-level form."""
     if skew_safe:
-        from diamondlake.operators.scan import cumulative_sums
         src = df.withColumn("__all", F.lit(0)).withColumn("__ok", F.col(correct_col).cast("long"))
-        cs = cumulative_sums(src, ["__all"], [date_col, tiebreak], ["__ok"], rank_name="games_so_far", prefix="__cum")
+        cs = cumulative_sums(src, ["__all"], [date_col, tiebreak], ["__ok"], rank_name="games_so_far", prefix="__cum", bucket=F.col(date_col))
         return cs.withColumn("correct_so_far", F.col("__cum__ok")).withColumn(
             "running_accuracy", round_half_up(F.col("correct_so_far") / F.col("games_so_far"), digits)).drop(
             "__all", "__ok", "__cum__ok")
@@ -182,11 +177,10 @@ def rolling_sum(df: DataFrame, entity, order, col: str, name: str, rows: int = 1
     """Rolling sum of the last ``rows`` rows (min_periods 1); with
     ``include_current=False`` the ``rows`` rows before the current one (NULL
     for an entity's first row).  ``skew_safe``: S(t) - S(t-rows) from the
-    range-partitioned running sum, the lagged S fetched by a join on
+    two-level running sum, the lagged S fetched by a join on
     (entity, rank) -- unique keys, so a hot entity's rows hash-spread evenly."""
     ent = _as_list(entity)
     if skew_safe:
-        from diamondlake.operators.scan import cumulative_sums
         cs = cumulative_sums(df, ent, _as_list(order), [col], rank_name="__rk", prefix="__cum_")
         back = rows if include_current else rows + 1
         lagged = cs.select(*[F.col(e).alias(f"__l_{e}") for e in ent], (F.col("__rk") + back).alias("__l_rk"),

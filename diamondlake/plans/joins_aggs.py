@@ -256,10 +256,10 @@ def play_sequence(spark, d):
     """Events in game order (game = player-day) with the previous and next
     event as states.  LAG/LEAD run as a skew-safe neighbour scan: a hot
     player-day is split over range partitions instead of one window task."""
-    from diamondlake.operators.scan import neighbor_scan
+    from diamondlake.operators.prefix import neighbours
     ev = load(spark, d, "events").select("user_id", F.to_date("ts").alias("game_date"), "ts", "event_id",
                                          "event_type", "value")
-    seq = neighbor_scan(ev, ["user_id", "game_date"], ["ts", "event_id"], "event_type", "__prev", "__next")
+    seq = neighbours(ev, ["user_id", "game_date"], ["ts", "event_id"], "event_type", "__prev", "__next", bucket=F.date_trunc("hour", "ts"))
     return seq.select("user_id", "game_date", "ts", "event_id", F.col("event_type").alias("event"), "value",
                       F.coalesce("__prev", F.lit("start")).alias("state"),
                       F.coalesce("__next", F.lit("end")).alias("next_state"))

@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -91,13 +92,13 @@ def test_exact_quantiles_match_numpy(spark, vals, parts):
 
 @SETTINGS
 @given(vals=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9)), min_size=1, max_size=40),
-       parts=st.integers(1, 6))
-def test_cumulative_sums_match_python(spark, vals, parts):
-    from diamondlake.operators.scan import cumulative_sums
+       size=st.integers(1, 6))
+def test_cumulative_sums_match_python(spark, vals, size):
+    from diamondlake.operators.prefix import cumulative_sums
     rows = [(g, i, v) for i, (g, v) in enumerate(vals)]
     df = spark.createDataFrame(rows, "g long, i long, v long")
     got = {(r["g"], r["i"]): (r["cum_v"], r["rk"]) for r in
-           cumulative_sums(df, ["g"], ["i"], ["v"], rank_name="rk", num_partitions=parts).collect()}
+           cumulative_sums(df, ["g"], ["i"], ["v"], rank_name="rk", bucket=F.floor(F.col("i") / size)).collect()}
     run, cnt = {}, {}
     for g, i, v in rows:
         run[g] = run.get(g, 0) + v

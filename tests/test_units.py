@@ -306,44 +306,34 @@ def test_ema_scan_hot_entity_spanning_partitions(spark):
             assert (r["x_ema"] is None) if math.isnan(e) else abs(r["x_ema"] - e) < 1e-9
 
 
-def test_neighbor_scan_matches_pandas_shift(spark):
+def test_neighbours_match_pandas_shift(spark):
     import random
-    from diamondlake.operators.scan import neighbor_scan
+    from diamondlake.operators.prefix import neighbours
     rnd = random.Random(2)
-    data = [(u, d, i, rnd.choice("abcde")) for u, n in ((1, 200), (2, 5), (3, 1)) for d in (1, 2) for i in range(n)]
+    data = [(u, d, i, rnd.choice(["a", "b", None])) for u, n in ((1, 200), (2, 5), (3, 1)) for d in (1, 2) for i in range(n)]
     rnd.shuffle(data)
     df = spark.createDataFrame(data, "u long, d long, i long, e string")
     pdf = pd.DataFrame(data, columns=list("udie")).sort_values(["u", "d", "i"])
     pdf["p"] = pdf.groupby(["u", "d"])["e"].shift(1)
     pdf["n"] = pdf.groupby(["u", "d"])["e"].shift(-1)
     exp = {(r.u, r.d, r.i): (None if pd.isna(r.p) else r.p, None if pd.isna(r.n) else r.n) for r in pdf.itertuples()}
-    for parts in (1, 7):
-        got = neighbor_scan(df, ["u", "d"], ["i"], "e", "prev", "next", parts).collect()
+    for size in (1, 7, 1000):
+        got = neighbours(df, ["u", "d"], ["i"], "e", "prev", "next", bucket=F.floor(F.col("i") / size)).collect()
         assert len(got) == len(data)
         assert all(exp[(r.u, r.d, r.i)] == (r.prev, r.next) for r in got)
 
 
-def test_forecast_horizon_zero_is_last_observed_row(spark):
-    from diamondlake.operators import models as M
-    data = [(t, i, float(i % 5) + t, float(i) / 10 + t) for t in (1, 2) for i in range(30)]
-    df = spark.createDataFrame(data, "t long, i long, x double, e double")
-    last = M.forecast_features(df, "t", ["i"], ["x"], ["e"], horizon=0, num_trees=3).collect()
-    assert sorted((r["t"], r["x"], r["e"], r["horizon"]) for r in last) == [(1, 5.0, 3.9, 0), (2, 6.0, 4.9, 0)]
-    ahead = M.forecast_features(df, "t", ["i"], ["x"], ["e"], horizon=2, num_trees=3).collect()
-    assert len(ahead) == 2 and all(r["horizon"] == 2 and r["e"] in (3.9, 4.9) for r in ahead)
-
-
 def test_cumulative_sums_and_skew_safe_windows_match_windows(spark):
     import random
-    from diamondlake.operators.scan import cumulative_sums
+    from diamondlake.operators.prefix import cumulative_sums
     rnd = random.Random(4)
     data = [(t, s, i, rnd.randint(0, 3), 1) for t, n in ((1, 150), (2, 3), (3, 1)) for s in (1, 2) for i in range(n)]
     rnd.shuffle(data)
     df = spark.createDataFrame(data, "t long, s int, i long, w long, one int")
     pdf = pd.DataFrame(data, columns=["t", "s", "i", "w", "one"]).sort_values(["t", "s", "i"])
     exp = dict(zip(zip(pdf.t, pdf.s, pdf.i), pdf.groupby(["t", "s"])["w"].cumsum()))
-    for parts in (1, 6):
-        got = cumulative_sums(df, ["t", "s"], ["i"], ["w"], rank_name="rk", num_partitions=parts).collect()
+    for size in (1, 6, 1000):
+        got = cumulative_sums(df, ["t", "s"], ["i"], ["w"], rank_name="rk", bucket=F.floor(F.col("i") / size)).collect()
         assert all(exp[(r.t, r.s, r.i)] == r.cum_w for r in got)
     for inc in (True, False):
         a = rows(WN.running_ratio(df, ["t", "s"], ["i"], "w", "one", "x", inc), "t", "s", "i", "x")
@@ -452,15 +442,16 @@ def test_stream_upsert_partitioned_rewrites_only_touched_partitions(spark, tmp_p
 
 
 def test_scans_treat_null_entity_as_one_group(spark):
-    from diamondlake.operators.scan import cumulative_sums, ema_scan, neighbor_scan
+    from diamondlake.operators.prefix import cumulative_sums, neighbours
+    from diamondlake.operators.scan import ema_scan
     data = [(None if i < 30 else 1, i, float(i % 4), "abc"[i % 3]) for i in range(40)]
     df = spark.createDataFrame(data, "t long, i long, x double, e string")
     pdf = pd.DataFrame(data, columns=["t", "i", "x", "e"])
     pdf["grp"] = pdf["t"].fillna(-1)
     pdf = pdf.sort_values(["grp", "i"])
-    cs = {(r["t"], r["i"]): r["cum_x"] for r in cumulative_sums(df, ["t"], ["i"], ["x"], num_partitions=6).collect()}
+    cs = {(r["t"], r["i"]): r["cum_x"] for r in cumulative_sums(df, ["t"], ["i"], ["x"], bucket=F.floor(F.col("i") / 6)).collect()}
     em = {(r["t"], r["i"]): r["x_ema"] for r in ema_scan(df, "t", ["i"], ["x"], digits=None, num_partitions=6).collect()}
-    nb = {(r["t"], r["i"]): r["p"] for r in neighbor_scan(df, ["t"], ["i"], "e", "p", "n", num_partitions=6).collect()}
+    nb = {(r["t"], r["i"]): r["p"] for r in neighbours(df, ["t"], ["i"], "e", "p", "n", bucket=F.floor(F.col("i") / 6)).collect()}
     for g, grp in pdf.groupby("grp"):
         t = None if g == -1 else int(g)
         for i, c, e, p in zip(grp["i"], grp["x"].cumsum(), grp["x"].ewm(span=28, adjust=False).mean(), grp["e"].shift(1)):
