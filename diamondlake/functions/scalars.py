@@ -3,16 +3,35 @@ every computed ratio.  All are built-in Spark expressions (codegen, no UDF)."""
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accent folding table for F3 (Latin-1 and Latin Extended-A letters
-# that occur in the feeds), letters and their unaccented forms, same positions.
-ACCENTED = "ÀÁÂÃÄÅàáâãäåÈÉÊËèéêëÌÍÎÏìíîïÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿÑñÇçŠšŽžØøŁłĐđ"
-UNACCENTED = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuYyyNnCcSsZzOoLlDd"
+# Letters without a decomposition and their ASCII forms, same positions; letters that fold to two.
+PLAIN_LETTERS, PLAIN_FORMS = "øØłŁđĐðÐħĦŧŦıſ", "oOlLdDdDhHtTis"
+TWO_LETTERS = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th", "ĳ": "ij", "Ĳ": "IJ"}
+
+
+def _folded() -> dict[str, str]:
+    """Every letter below U+2000 with a canonical decomposition and its base letter
+    (Latin, Greek, Cyrillic); combining marks and nothing else for the marks themselves."""
+    plain = dict(zip(PLAIN_LETTERS, PLAIN_FORMS, strict=True))
+    out = {}
+    for code in range(0xC0, 0x2000):
+        letter = chr(code)
+        parts = unicodedata.normalize("NFD", letter)
+        base = "".join(c for c in parts if not unicodedata.combining(c))
+        if unicodedata.category(letter)[0] == "L" and len(base) == 1:
+            base = plain.get(base, base)
+            if base != letter:
+                out[letter] = base
+    return out
+
 
-# Letters that fold to two.
-TWO_LETTERS = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE"}
+FOLDED = _folded()
+#: Combining marks of decomposed text.
+MARKS = "".join(map(chr, range(0x300, 0x370)))
 
 
 def _c(c) -> Column:
@@ -49,11 +68,15 @@ def swap_name(c) -> Column:
 
 
 def strip_accents(c) -> Column:
-    """fold accented Latin letters to ASCII by a fixed translation table."""
-    out = F.translate(_c(c), ACCENTED, UNACCENTED)
-    for letter, two in TWO_LETTERS.items():
-        out = F.replace(out, F.lit(letter), F.lit(two))
-    return out
+    """accented letters become their base letters by a table made from the
+    Unicode decompositions, marks of decomposed text go, and letters that fold to
+    two are replaced where a text has one. Texts without a letter beyond ASCII stay as they are."""
+    text = _c(c)
+    one = two = F.translate(text, "".join(FOLDED) + MARKS, "".join(FOLDED.values()))
+    for letter, pair in TWO_LETTERS.items():
+        two = F.replace(two, F.lit(letter), F.lit(pair))
+    any_two = text.rlike(f"[{''.join(TWO_LETTERS)}ǢǣǼǽ]")
+    return F.when(any_two, two).when(text.rlike("[^\\x00-\\x7F]"), one).otherwise(text)
 
 
 def first_two_words(c) -> Column:

@@ -9,13 +9,13 @@ forward day by day with frozen averages, each by its own number of days."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from diamondlake.operators.scan import ema_scan
-from diamondlake.session import cut_lineage
 
 
 def wide_form(df: DataFrame, keep: list[str], targets: list[str], value: str = "value") -> DataFrame:
@@ -53,18 +53,52 @@ def _scaled(df: DataFrame, unit: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=["target", "v", "e"], outputCol="x").transform(scaled)
 
 
-def roll_forward(model: RandomForestRegressionModel, unit: DataFrame, state: DataFrame, days: int, every: int = 8) -> DataFrame:
-    """``state`` (target, value, ema, ahead and any keys) with each value moved on by its
-    row's ``ahead`` days, ``days`` at most. A row that has arrived stays as it is;
-    the lineage is cut every few days."""
-    keep = state.columns
-    for k in range(1, days + 1):
-        x = model.transform(_scaled(state, unit))
-        moved = F.when(F.col("ahead") >= k, F.col("next") * F.col("sd") + F.col("mean")).otherwise(F.col("value"))
-        state = x.withColumn("value", moved).select(*keep)
-        if k % every == 0:
-            state = cut_lineage(state)
-    return state
+def tree_nodes(model: RandomForestRegressionModel, path: str) -> list[np.ndarray]:
+    """Each tree's nodes as rows (feature or -1, threshold, left, right, prediction), read
+    from the saved model; the number of trees and their depth bound them."""
+    model.write().overwrite().save(path)
+    spark = SparkSession.getActiveSession()
+    node = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    cells = node.select("treeID", "id", "split.featureIndex", F.try_element_at("split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"), "leftChild", "rightChild", "prediction")
+    trees: dict[int, dict[int, tuple]] = {}
+    for r in cells.collect():
+        inner = r["leftChild"] >= 0
+        trees.setdefault(r["treeID"], {})[r["id"]] = (r["featureIndex"] if inner else -1, r["threshold"] if inner else 0.0, r["leftChild"], r["rightChild"], r["prediction"])
+    return [np.array([tree[k] for k in sorted(tree)], dtype=float) for _, tree in sorted(trees.items())]
+
+
+def predict(trees: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The forest's mean prediction for the rows of ``x``."""
+    total = np.zeros(len(x))
+    for tree in trees:
+        at = np.zeros(len(x), dtype=int)
+        while True:
+            feature = tree[at, 0].astype(int)
+            inner = feature >= 0
+            if not inner.any():
+                break
+            left = x[np.arange(len(x)), np.maximum(feature, 0)] <= tree[at, 1]
+            at = np.where(inner, np.where(left, tree[at, 2], tree[at, 3]).astype(int), at)
+        total += tree[at, 4]
+    return total / max(len(trees), 1)
+
+
+def roll_forward(model: RandomForestRegressionModel, unit: DataFrame, state: DataFrame, path: str) -> DataFrame:
+    """``state`` (target, value, ema, ahead and any keys) with each value moved on day by
+    day by its row's ``ahead`` days; a row that has arrived stays as it is. The
+    days of all rows pass inside one task per partition; ``path`` holds the model."""
+    trees, names = tree_nodes(model, path), state.columns
+
+    def moved(batches):
+        for b in batches:
+            value, mean, sd = (b[c].to_numpy(dtype=float).copy() for c in ("value", "mean", "sd"))
+            ahead, average = b["ahead"].to_numpy(), (b["ema"].to_numpy(dtype=float) - mean) / sd
+            for day in range(1, int(ahead.max(initial=0)) + 1):
+                on = np.flatnonzero(ahead >= day)
+                x = np.column_stack([b["target"].to_numpy()[on], (value[on] - mean[on]) / sd[on], average[on]])
+                value[on] = predict(trees, x) * sd[on] + mean[on]
+            yield b.assign(value=value)[names]
+    return state.join(F.broadcast(unit), "target").mapInPandas(moved, state.schema)        # one row per statistic
 
 
 def latest(history: DataFrame, team: str, day: str) -> DataFrame:

@@ -205,9 +205,11 @@ def fn_swap_name(spark, d):
     return load(spark, d, "conversations").select("conv_id", "turn", FN.swap_name("text").alias("swapped"))
 
 
-@register("fn_strip_accents", f"""
-SELECT doc_id, replace(replace(replace(replace(replace(translate(text, '{FN.ACCENTED}', '{FN.UNACCENTED}'),
-  'ß', 'ss'), 'æ', 'ae'), 'Æ', 'AE'), 'œ', 'oe'), 'Œ', 'OE') AS folded FROM documents""")
+@register("fn_strip_accents", """
+SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(
+  translate(strip_accents(text), 'øØłŁđĐðÐħĦŧŦıſ', 'oOlLdDdDhHtTis'),
+  'ß', 'ss'), 'ẞ', 'SS'), 'æ', 'ae'), 'Æ', 'AE'), 'œ', 'oe'), 'Œ', 'OE'), 'þ', 'th'), 'Þ', 'Th'), 'ĳ', 'ij'), 'Ĳ', 'IJ') AS folded
+FROM documents""")
 def fn_strip_accents(spark, d):
     """accent folding of whole documents."""
     return load(spark, d, "documents").select("doc_id", FN.strip_accents("text").alias("folded"))

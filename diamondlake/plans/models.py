@@ -105,8 +105,7 @@ def _forecast(games, days):
     last = FC.latest(history, "team", "day").withColumnRenamed("day", "last_day")
     state = playing.join(last, "team").withColumn("ahead", F.greatest(F.datediff("day", "last_day"), F.lit(0)))
     state = cut_lineage(state.select("game_pk", "team", "target", "value", "ema", "ahead"))
-    furthest = state.agg(F.max("ahead")).first()[0] or 0
-    moved = FC.roll_forward(model, unit, state, furthest)
+    moved = FC.roll_forward(model, unit, state, shared_path(games.sparkSession, "forecast-model"))
     wide = FC.wide_form(moved, ["game_pk", "team"], FEATURES).join(moved.groupBy("game_pk", "team").agg(F.max("ahead").alias("ahead")), ["game_pk", "team"])
     # A team or a statistic without history stands at the mean of all teams (one number per statistic).
     mean = {int(r["target"]): r["mean"] for r in unit.collect()}

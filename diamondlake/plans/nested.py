@@ -124,3 +124,44 @@ def html_cells_typed(spark, d):
     cells = rows.select("page_id", "row_idx", N.html_cells(F.col("row_html"), CELL_PATTERN).alias("cells"))
     typed = N.cells_typed(cells, "cells", {"link": (0, "string"), "label": (1, "string"), "label_number": (1, "double")})
     return typed.filter(F.col("link").startswith("/"))
+
+
+TABLE_ROW, TABLE_CELL = r"<tr>(.*?)</tr>", r"<td>([^<]*)</td>"
+
+
+def game_tables(spark, d):
+    """One HTML table per game: a header, then a row of team code, player, quantity, percentage and
+    price in cents for each of its lines with return flag R (home) or A (away), in line order. A
+    table is bounded by its game's number of lines."""
+    nation = F.broadcast(load(spark, d, "nation").select("n_nationkey", F.upper(F.substring("n_name", 1, 3)).alias("code")))   # team dim: bounded
+    games = S.games_df(spark, d).select("game_pk", "home_team", "away_team")
+    games = games.join(nation.withColumnsRenamed({"n_nationkey": "home_team", "code": "home"}), "home_team", "left")
+    games = games.join(nation.withColumnsRenamed({"n_nationkey": "away_team", "code": "away"}), "away_team", "left")
+    li = load(spark, d, "lineitem").filter(F.col("l_returnflag").isin("R", "A"))
+    li = li.join(games, li.l_orderkey == games.game_pk)
+    cells = [F.coalesce(F.when(F.col("l_returnflag") == "R", F.col("home")).otherwise(F.col("away")), F.lit("")), F.col("l_partkey").cast("string"),
+             F.col("l_quantity").cast("long").cast("string"), F.concat(F.floor(F.col("l_discount") * 100 + 0.5).cast("string"), F.lit("%")),
+             F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("string")]
+    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td> "), c, F.lit("</td>")) for c in cells], F.lit("</tr>"))
+    per = li.select("game_pk", "home", F.struct(*S.LINE_ORDER, row.alias("row")).alias("line")).groupBy("game_pk", "home").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    body = F.array_join(F.transform("lines", lambda x: x["row"]), "")
+    return per.select("game_pk", "home", F.concat(F.lit("<table><tr><th>Team</th></tr>"), body, F.lit("</table>")).alias("html"))
+
+
+@register("html_team_cells", f"""
+WITH {S.GAMES_SQL.strip()}, named AS (
+  SELECT g.game_pk, upper(substr(h.n_name, 1, 3)) AS home, upper(substr(a.n_name, 1, 3)) AS away
+  FROM games g LEFT JOIN nation h ON h.n_nationkey = g.home_team LEFT JOIN nation a ON a.n_nationkey = g.away_team),
+r AS (SELECT game_pk, home, CASE WHEN l_returnflag = 'R' THEN home ELSE COALESCE(away, '') END AS team, l_partkey, l_quantity, l_discount, l_extendedprice,
+             ROW_NUMBER() OVER (PARTITION BY game_pk ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS row_idx
+      FROM lineitem JOIN named ON game_pk = l_orderkey WHERE l_returnflag IN ('R', 'A'))
+SELECT game_pk, CAST(row_idx AS INTEGER) AS row_idx, team, l_partkey AS person_id, FLOOR(l_quantity) AS quantity,
+       FLOOR(l_discount * 100 + 0.5) / 100 AS share, CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS cents
+FROM r WHERE team = home""")
+def html_team_cells(spark, d):
+    """The rows of a team found by its cell, with numeric and percentage cells as typed columns."""
+    from diamondlake.functions.scalars import percent_to_fraction
+    rows = N.html_rows(game_tables(spark, d), "html", TABLE_ROW, keep=["game_pk", "home"])
+    cells = rows.select("game_pk", "home", "row_idx", N.html_cells(F.col("row_html"), TABLE_CELL).alias("cells"))
+    typed = N.cells_typed(cells, "cells", {"team": (0, "string"), "person_id": (1, "long"), "quantity": (2, "double"), "percent": (3, "string"), "cents": (4, "long")})
+    return typed.where("team = home").select("game_pk", "row_idx", "team", "person_id", "quantity", percent_to_fraction("percent").alias("share"), "cents")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from diamondlake.functions import scalars as FN
-from diamondlake.operators import aggregates as A, keys as K, models as M, ordering as O, upsert as U, windows as WN
+from diamondlake.operators import aggregates as A, keys as K, ordering as O, upsert as U, windows as WN
 
 
 def got(df, *cols):
@@ -48,11 +48,18 @@ def test_accents_and_links(spark):
     assert tuple(df.select(FN.strip_accents("t"), FN.link_text("h")).first()) == ("Strasse Ore ae e", "Home\n")
 
 
-def test_forecast_keeps_teams_with_missing_values(spark):
-    data = [(t, i, float(i % 5) + t, float(i) / 10 + t) for t in (1, 2) for i in range(30)] + [(1, 30, None, 4.0), (3, 0, None, None)]
-    df = spark.createDataFrame(data, "t long, i long, x double, e double")
-    last = {r["t"]: r for r in M.forecast_features(df, "t", ["i"], ["x"], ["e"], horizon=1, num_trees=3).collect()}
-    assert set(last) == {1, 2, 3} and all(r["x"] is not None for r in last.values())
+def test_forecast_has_both_teams_of_every_game(spark):
+    from diamondlake.plans import models as PM
+    from diamondlake.plans import team_table as TT
+    from tests.conftest import SF_SMALL
+    games, _, days = PM._upcoming(spark, SF_SMALL)
+    unknown = spark.createDataFrame([(-1, 98, 99)], "game_pk long, home_team long, away_team long")      # teams without any history
+    day = games.agg(F.max("day").alias("day"))
+    games = games.unionByName(unknown.join(day).select(*games.columns))
+    got = PM._forecast(games, days).collect()
+    want = {(g["game_pk"], t) for g in games.collect() for t in (g["home_team"], g["away_team"])}
+    assert {(r["game_pk"], r["team"]) for r in got} == want
+    assert all(r[c] is not None for r in got for c in TT.TF.FEATURES)
 
 
 def test_every_scheduled_game_is_predicted(spark):

@@ -11,6 +11,7 @@ from diamondlake.operators import models as M
 from diamondlake.operators import stats as ST
 from diamondlake.operators import team_features as TF
 from diamondlake.plans import models as PM
+from diamondlake.sources.files import shared_path
 
 DAY = datetime.date(2024, 4, 1)
 COUNTERS = TF.HIT_COUNTERS + TF.PITCH_COUNTERS
@@ -81,12 +82,14 @@ def test_forecast_stops_each_row_at_its_own_day(spark):
     model = FC.fit(history, unit, num_trees=5, statistics=2)
     last = FC.latest(history, "team", "day").drop("day")
     games = last.crossJoin(spark.createDataFrame([(0,), (1,), (9,)], "ahead int"))
-    moved = {(r["team"], r["target"], r["ahead"]): r["value"] for r in FC.roll_forward(model, unit, games, 9).collect()}
+    path = shared_path(spark, "test-forecast")
+    moved = {(r["team"], r["target"], r["ahead"]): r["value"] for r in FC.roll_forward(model, unit, games, path).collect()}
     here = {(r["team"], r["target"]): r["value"] for r in last.collect()}
     assert len(moved) == 12 and all(moved[t, k, 0] == v for (t, k), v in here.items())
-    one = {(r["team"], r["target"]): r["value"] for r in FC.roll_forward(model, unit, last.withColumn("ahead", F.lit(1)), 1).collect()}
-    assert all(moved[t, k, 1] == v for (t, k), v in one.items())
-    wide = FC.wide_form(FC.roll_forward(model, unit, games, 9), ["team", "ahead"], ["a", "b"])
+    # a day ahead is what MLlib's own transform says
+    one = model.transform(FC._scaled(last, unit)).select("team", "target", (F.col("next") * F.col("sd") + F.col("mean")).alias("value")).collect()
+    assert all(abs(moved[r["team"], r["target"], 1] - r["value"]) < 1e-9 for r in one) and len(one) == 4
+    wide = FC.wide_form(FC.roll_forward(model, unit, games, path), ["team", "ahead"], ["a", "b"])
     assert wide.columns == ["team", "ahead", "a", "b"] and wide.count() == 6
 
 

@@ -520,3 +520,16 @@ def test_checkpoint_dir_is_required_on_a_cluster():
     from diamondlake import session
     assert session._one_machine("local") and session._one_machine("local[4]")
     assert not session._one_machine("local-cluster[2,1,1024]") and not session._one_machine("yarn")
+
+
+def test_strip_accents_folds_every_letter_with_a_decomposition(spark, duck):
+    from diamondlake.functions import scalars as FN
+    letters = [chr(c) for c in range(0xC0, 0x2000)]
+    df = spark.createDataFrame([(x,) for x in [*letters, "o\u0308", "a", None, "", "Ærø ŁÓDŹ ǽ ß"]], "x string")
+    got = {r["x"]: r["y"] for r in df.select("x", FN.strip_accents("x").alias("y")).collect()}
+    assert got["o\u0308"] == "o" and got[None] is None and got[""] == "" and got["Ærø ŁÓDŹ ǽ ß"] == "AEro LODZ ae ss"
+    plain = set(FN.PLAIN_LETTERS) | set(FN.TWO_LETTERS) | set(FN.MARKS) | set("ǢǣǼǽǾǿẛ")
+    import unicodedata
+    for x in letters:
+        if x not in plain and unicodedata.category(x)[0] == "L" and len(unicodedata.normalize("NFD", x)) > 1:
+            assert got[x] == duck.execute("SELECT strip_accents(?)", [x]).fetchone()[0], hex(ord(x))
