@@ -71,6 +71,23 @@ def test_html_role_names():
     assert "nice" not in text(f"<article>{'long story ' * 60}<div id=comments>{'nice ' * 600}</div></article>")
 
 
+def test_html_odd_declarations_and_unclosed_parts(spark):
+    def text(html):
+        return html_extraction.content(html_extraction.parse(html))
+    story = "<p>one story</p><p>that goes on</p>"
+    plain = "one story\nthat goes on"
+    for odd in ("<![foo[bar]]>", "<![if IE]>", "<![", "<!", "<!doctype x [", "<![CDATA[x]]>"):
+        assert "one story" in text(f"<body><article>{story}</article>{odd}") or odd in ("<![", "<!doctype x [")
+        assert isinstance(text(f"{odd}<article>{story}"), str)
+    assert text(f"<body><![endif]><article>{story}</article>") == plain
+    for part in ("aside", "nav", "menu", "header", "footer"):
+        assert text(f"<body><{part}>links<article>{story}</article></body>") == plain
+        assert text(f"<body><{part}>links</{part}><{part}>more<main>{story}</main></body>") == plain
+        assert "one story" not in text(f"<body><{part}><article>{story}</article></{part}><article><p>the page's own</p></article></body>")
+    df = spark.createDataFrame([(1, "http://a.org/", f"<![foo[bar]]><article>{story}</article>")], "page_id long, url string, html string")
+    assert html_extraction.extract(df).first()["text"] == plain
+
+
 def test_html_layouts_and_long_pages(spark):
     pages = [(k, "http://h.org/a", f"<div><p>Old line</p><p>story {k}</p><p>Old end</p></div>") for k in range(6)]
     pages += [(10 + k, "http://h.org/b", f"<table><tr><td>New line<td>tale {k}<td>New end</table>") for k in range(6)]
@@ -418,4 +435,4 @@ def test_pipeline_and_registry(spark):
     assert set(source.columns) < set(got.columns) and got.count() > 0
     assert got.select("doc_id").distinct().join(source, "doc_id").count() == got.select("doc_id").distinct().count()
     assert got.where(F.col("shard").isNull()).count() == 0
-    assert {k.split("_")[0] for k in registry.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in registry.QUERIES} == {f"op{n}" for n in range(1, 14)}
