@@ -68,5 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: The toxicity model, fingerprints, edit distances and balanced draws can't be written in SQL; the tests hold run() against brute force.
+#: The toxicity model, fingerprints, edit distances and balanced draws can't be written in SQL. The tests hold the operators against brute force, of run() only columns, known ids and shards.
 ORACLE_SQL = None
