@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 PLAIN_LETTERS, PLAIN_FORMS = "øØłŁđĐðÐħĦŧŦıſ", "oOlLdDdDhHtTis"
 TWO_LETTERS = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th", "ĳ": "ij", "Ĳ": "IJ"}
 
+#: Those that are looked for by themselves, as they are frequent.
+COMMON = "ßæœ"
+
 
 def _folded() -> dict[str, str]:
     """Every letter below U+2000 with a canonical decomposition and its base letter
@@ -72,11 +75,16 @@ def strip_accents(c) -> Column:
     Unicode decompositions, marks of decomposed text go, and letters that fold to
     two are replaced where a text has one. Texts without a letter beyond ASCII stay as they are."""
     text = _c(c)
-    one = two = F.translate(text, "".join(FOLDED) + MARKS, "".join(FOLDED.values()))
-    for letter, pair in TWO_LETTERS.items():
-        two = F.replace(two, F.lit(letter), F.lit(pair))
-    any_two = text.rlike(f"[{''.join(TWO_LETTERS)}ǢǣǼǽ]")
-    return F.when(any_two, two).when(text.rlike("[^\\x00-\\x7F]"), one).otherwise(text)
+    plain = some = F.translate(text, "".join(FOLDED) + MARKS, "".join(FOLDED.values()))
+    for letter in COMMON:
+        some = F.replace(some, F.lit(letter), F.lit(TWO_LETTERS[letter]))
+    rare = [x for x in TWO_LETTERS if x not in COMMON]
+    every = some
+    for letter in rare:
+        every = F.replace(every, F.lit(letter), F.lit(TWO_LETTERS[letter]))
+    # Each text takes the shortest chain of passes that folds all its letters.
+    return (F.when(text.rlike(f"[{''.join(rare)}ǢǼ]"), every).when(text.rlike(f"[{COMMON}ǣǽ]"), some)
+            .when(text.rlike("[^\\x00-\\x7F]"), plain).otherwise(text))
 
 
 def first_two_words(c) -> Column:
