@@ -18,7 +18,8 @@ COMMON = "ßæœ"
 
 def _folded() -> dict[str, str]:
     """Every letter below U+2000 with a canonical decomposition and its base letter
-    (Latin, Greek, Cyrillic); combining marks and nothing else for the marks themselves."""
+    (Latin, Greek, Cyrillic and others). Marks count if they have a combining class, so
+    the vowel signs of Indic scripts stay."""
     plain = dict(zip(PLAIN_LETTERS, PLAIN_FORMS, strict=True))
     out = {}
     for code in range(0xC0, 0x2000):

@@ -531,5 +531,7 @@ def test_strip_accents_folds_every_letter_with_a_decomposition(spark, duck):
     plain = set(FN.PLAIN_LETTERS) | set(FN.TWO_LETTERS) | set(FN.MARKS) | set("ǢǣǼǽǾǿẛ")
     import unicodedata
     for x in letters:
-        if x not in plain and unicodedata.category(x)[0] == "L" and len(unicodedata.normalize("NFD", x)) > 1:
+        parts = unicodedata.normalize("NFD", x)
+        # vowel signs of Indic scripts have no combining class: they aren't accents
+        if x not in plain and unicodedata.category(x)[0] == "L" and len(parts) > 1 and all(map(unicodedata.combining, parts[1:])):
             assert got[x] == duck.execute("SELECT strip_accents(?)", [x]).fetchone()[0], hex(ord(x))
