@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up
 from diamondlake.operators.nullsafe import join_null_safe
+from diamondlake.operators.scan import quantile_edges, select_quantiles
 
 NOT_NULL = object()  # category spec: "any non-NULL value" (num_pa in the leaderboards)
 
@@ -83,10 +84,10 @@ def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def describe_columns(df: DataFrame, cols: list[str], exact: bool = True, digits: int = 4) -> DataFrame:
     """count/mean/std/min/25%/50%/75%/max per column (pandas ``describe``).
 
-    Columns are unpivoted to (column_name, v) rows.  The moments are one
-    aggregation; exact quartiles come from ``exact_quantiles`` (rank scan +
-    pick of the order statistics, nothing per group held in memory);
-    ``exact=False`` uses ``percentile_approx`` in the same aggregation."""
+    Columns are unpivoted to (column_name, v) rows.  The first aggregation gives
+    the moments and a sketch's range of each quartile, the second counts the
+    values inside these ranges (``select_quantiles``), so quartiles are exact
+    without ranking the values; ``exact=False`` takes ``percentile_approx``."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
     ).select("s.*")
@@ -98,12 +99,10 @@ def describe_columns(df: DataFrame, cols: list[str], exact: bool = True, digits:
         return long.groupBy("column_name").agg(*moments, *[r(F.percentile_approx("v", p, 10000)).alias(k)
                                                            for k, p in probs.items()]).select(
             "column_name", "count", "mean", "std", "min", *probs, "max")
-    from diamondlake.operators.scan import exact_quantiles
-    q = exact_quantiles(long, "column_name", "v", list(probs.values()))
-    wide = q.groupBy("column_name").agg(*[r(F.max(F.when(F.col("p") == p, F.col("q")))).alias(k)
-                                          for k, p in probs.items()])
-    m = long.groupBy("column_name").agg(*moments)
-    return m.join(wide, "column_name", "left").select("column_name", "count", "mean", "std", "min", *probs, "max")
+    m = long.groupBy("column_name").agg(*moments, quantile_edges("v", list(probs.values())).alias("__edges"))
+    m = F.broadcast(m.withColumn("__n", F.col("count")))       # one row per described column
+    q = select_quantiles(long, m, "column_name", "v", list(probs.values()), ["count", "mean", "std", "min", "max"])
+    return q.select("column_name", "count", "mean", "std", "min", *[r(F.col("__q").getItem(i)).alias(k) for i, k in enumerate(probs)], "max")
 
 
 def _ratio(num: Column, den: Column, digits: int) -> Column:

@@ -1,4 +1,4 @@
-"""Skew-safe ordered scan for the exponential moving average.
+"""Skew-safe ordered scan for the exponential moving average (W6), and exact quantiles by selection.
 
 An EMA is a left-to-right recurrence per entity.  Running it per entity (a
 window or a grouped pandas function) puts a hot entity in one task.  This
@@ -24,9 +24,11 @@ missing positions repeat the last average.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -196,48 +198,57 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
     return j.select(*keep, *cols, *outs)
 
 
-def group_rank(df: DataFrame, group: list[str], order: list[str], rank_name: str = "__rk",
-               num_partitions: int | None = None) -> DataFrame:
-    """1-based row number per ``group`` in ``order`` without a per-group task and
-    without Python: after range partitioning and a sort inside each partition,
-    ``monotonically_increasing_id`` encodes (partition, position); partition
-    sizes (one row per partition) give each partition's global offset, and the
-    group's first global position (a map-side-combined MIN) is subtracted."""
-    keys = group + order
-    ordered = _range_partition(df, keys, num_partitions).sortWithinPartitions(*keys) \
-        .withColumn("__mid", F.monotonically_increasing_id())
-    ordered = cut_lineage(ordered)          # freeze the ids for the three readers below
-    pid = F.shiftright(F.col("__mid"), 33)
-    local = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = ordered.groupBy(pid.alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
-    from pyspark.sql import Window
-    offs = sizes.select("__p", F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))      # <= one row per partition
-    g = ordered.join(F.broadcast(offs), pid == F.col("__p")).withColumn("__g", F.col("__off") + local)
-    first = g.groupBy(*group).agg(F.min("__g").alias("__g0"))
-    out = join_null_safe(g, first, group).withColumn(rank_name, (F.col("__g") - F.col("__g0") + 1).cast("bigint"))
-    return out.drop("__mid", "__p", "__off", "__g", "__g0")
+#: Accuracy of the sketch that bounds a quantile's value range, the ranks added on both sides as
+#: a share of the group (four times the sketch's error), and the size up to which every value is counted.
+ACCURACY = 10_000
+MARGIN, SMALL = 4 / ACCURACY, 2 * ACCURACY
+
+
+def quantile_edges(value: str, probs: list[float]) -> Column:
+    """Aggregate: for each quantile two values that have it between them (lower, upper, lower, ...)."""
+    shares = [min(max(p + side * MARGIN, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    return F.percentile_approx(value, shares, ACCURACY)
+
+
+def select_quantiles(vals: DataFrame, edges: DataFrame, group: str, value: str, probs: list[float], carry: list[str] = ()) -> DataFrame:
+    """Exact quantiles by selection: ``edges`` has one row per group with its number of values ``__n`` and
+    ``quantile_edges`` ``__edges``, besides columns to ``carry`` along. Of the values only those between the edges of a quantile are
+    counted one by one (under a thousandth of a large group, besides ties); the others are
+    counted per gap. Running sums over these counts give the value at a rank. Returns one row
+    per group, the quantiles as an array ``__q`` in the order of ``probs`` (of NULLs for a group of NULL values alone)."""
+    v, n = F.col(value), F.col("__n")
+    ends = [F.col("__edges").getItem(i) for i in range(2 * len(probs))]
+    wanted = reduce(lambda a, b: a | b, [v.between(lo, hi) for lo, hi in zip(ends[::2], ends[1::2], strict=True)], n <= SMALL)
+    gap = reduce(lambda a, b: a + b, [(v > e).cast("int") for e in ends])
+    placed = join_null_safe(vals, edges.select(group, "__n", "__edges", *carry), [group])
+    cells = placed.select(group, "__n", *carry, gap.alias("__gap"), F.when(wanted, v).alias("__v"), v.isNotNull().cast("long").alias("__one"))
+    cells = cells.groupBy(group, "__n", *carry, "__gap", "__v").agg(F.sum("__one").alias("__c"))
+    # Inside a gap the values that aren't counted one by one are smaller than those that are: nulls first.
+    w = Window.partitionBy(group).orderBy("__gap", F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.withColumn("__upto", F.sum("__c").over(w)).withColumn("__before", F.col("__upto") - F.col("__c"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("__before") < rank) & (rank <= F.col("__upto")), F.col("__v")))
+    spots = [(n - 1) * F.lit(float(p)) for p in probs]
+    found = cells.groupBy(group, "__n", *carry).agg(*[c for i, h in enumerate(spots) for c in (
+        at(F.floor(h) + 1).alias(f"__lo{i}"), at(F.least(F.floor(h) + 2, n)).alias(f"__hi{i}"))])
+
+    def known(c: str) -> Column:
+        return F.when(F.col(c).isNull() & (n > 0), F.raise_error("a quantile lies outside its range").cast("double")).otherwise(F.col(c))
+    return found.select(group, *carry, F.array(*[known(f"__lo{i}") + (known(f"__hi{i}") - known(f"__lo{i}")) * (h - F.floor(h)) for i, h in enumerate(spots)]).alias("__q"))
 
 
 def exact_quantiles(long_df: DataFrame, group: str, value: str, probs: list[float],
                     num_partitions: int | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles (pandas / ``quantile_cont``) per
-    group without holding a group's values in one task: values are ranked by
-    ``group_rank`` (range partitions, JVM only), and only the two order
-    statistics around each requested position are picked by a join on
-    (group, rank); equal values make the rank among them arbitrary but not the
-    value at a rank.
+    """Exact linear-interpolation quantiles (pandas / ``quantile_cont``) per group in two passes over the
+    values, without a sort or a ranking of all of them: a sketch bounds each quantile's range, then
+    ``select_quantiles`` counts inside the ranges. NULL values don't count, NULL is a group; without
+    values a group has no row. ``num_partitions`` deals the values anew first.
 
     Returns (group, p, q)."""
     vals = long_df.select(group, value).filter(F.col(value).isNotNull())
-    n = vals.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    pos = n.select(group, "__n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    pos = pos.withColumn("__h", (F.col("__n") - 1) * F.col("p")).withColumn("__lo", F.floor("__h") + 1) \
-             .withColumn("__hi", F.least(F.col("__lo") + 1, F.col("__n"))).withColumn("__frac", F.col("__h") - F.floor("__h"))
-    ranked = group_rank(vals, [group], [value], "__rk", num_partitions)
-    need = pos.select(group, F.explode(F.array("__lo", "__hi")).alias("__rk")).distinct()
-    picked = ranked.join(F.broadcast(need), [group, "__rk"])   # groups x probs x 2 rows
-    lo = picked.select(group, F.col("__rk").alias("__lo"), F.col(value).alias("__vlo"))
-    hi = picked.select(group, F.col("__rk").alias("__hi"), F.col(value).alias("__vhi"))
-    j = pos.join(lo, [group, "__lo"]).join(hi, [group, "__hi"])
-    return j.select(group, "p", (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")).alias("q"))
+    vals = vals.repartition(num_partitions) if num_partitions else vals
+    edges = vals.groupBy(group).agg(F.count(F.lit(1)).alias("__n"), quantile_edges(value, probs).alias("__edges"))
+    found = select_quantiles(vals, edges, group, value, probs)
+    pairs = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.col("__q").getItem(i).alias("q")) for i, p in enumerate(probs)])
+    return found.select(group, F.explode(pairs).alias("__s")).select(group, "__s.p", "__s.q")

@@ -119,6 +119,25 @@ def linregress_many(spark, d):
     return ST.linregress_many(customer_stats(spark, d), "runs", PREDICTORS)
 
 
+# Student's tail as a ratio of two integrals of cos(t)^(n-3), by Simpson's rule over POINTS steps.
+POINTS = 20000
+
+
+def _tail_sql(low: str) -> str:
+    width = f"((PI() / 2 - {low}) / {POINTS})"
+    weight = f"CASE WHEN i IN (0, {POINTS}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"(SUM({weight} * POW(GREATEST(COS({low} + i * {width}), 0.0e0), CAST(n AS DOUBLE) - 3)) * ANY_VALUE({width}))"
+
+
+@register("linregress_p_values", _linregress_sql("runs", PREDICTORS) + f""",
+pv AS (SELECT predictor, {_tail_sql('ASIN(LEAST(ABS(r), 1.0e0))')} / {_tail_sql('0.0e0')} AS p_value
+       FROM lr, range(0, {POINTS + 1}) AS t(i) WHERE n > 3 GROUP BY predictor)
+SELECT t.*, {R('pv.p_value', 6)} AS p_value FROM ({LINREGRESS_SELECT}) t LEFT JOIN pv USING (predictor)""")
+def linregress_p_values(spark, d):
+    """A10 with the two-sided p-value of each slope."""
+    return ST.linregress_many(customer_stats(spark, d), "runs", PREDICTORS, p_digits=6)
+
+
 @register("q_stat_usefulness", _linregress_sql("runs", PREDICTORS) + f"""
 SELECT predictor, r, slope, intercept, ROW_NUMBER() OVER (ORDER BY r DESC, predictor) AS rank
 FROM ({LINREGRESS_SELECT}) t

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up, round_half_up_sql as R
+from diamondlake.operators import constraints as C
 from diamondlake.operators import quality as Q
 from diamondlake.operators import upsert as U
 from diamondlake.plans import standins as S
@@ -190,3 +191,61 @@ def dq_domain(spark, d):
         "c_name_varchar18": Q.varchar_overflow("c_name", 18),
         "c_acctbal_numeric6_2": Q.numeric_overflow("c_acctbal", 6, 2),
         "c_mktsegment_varchar8": Q.varchar_overflow("c_mktsegment", 8)})
+
+
+# The warehouse's tables as declared: keys, references, lengths, precisions and allowed values.
+SCHEMAS = {
+    "game": C.table(C.column("game_pk", "bigint", key=True), C.column("game_date", "date", null=False), C.column("game_year", "int", null=False),
+                    C.column("home_team", "bigint", null=False), C.column("away_team", "bigint", null=False),
+                    C.column("home_score", "bigint", null=False, numeric=(1, 0)), C.column("away_score", "bigint", null=False)),
+    "hitter": C.table(C.column("c_custkey", "bigint", key=True), C.column("c_name", "string", null=False, length=18), C.column("c_acctbal", "double", numeric=(5, 2)),
+                      C.column("c_mktsegment", "string", null=False, length=9, values=["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"])),
+    "pitch": C.table(C.column("l_orderkey", "bigint", key=True, references=("game", "game_pk")), C.column("l_linenumber", "int", key=True),
+                     C.column("l_partkey", "bigint", null=False, references=("hitter", "c_custkey")), C.column("l_quantity", "double", numeric=(3, 1)),
+                     C.column("l_discount", "double", numeric=(3, 3)), C.column("l_returnflag", "string", null=False, length=1, values=["R", "A"])),
+}
+
+
+def _declared_tables(spark, d):
+    return {"game": S.games_df(spark, d), "hitter": load(spark, d, "customer"), "pitch": load(spark, d, "lineitem")}
+
+
+def _count_sql(table: str, source: str, rules: dict[str, str]) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{table}' AS \"table\", '{rule}' AS rule, COUNT(*) FILTER (WHERE {bad}) AS violations FROM {source}" for rule, bad in rules.items())
+
+
+HITTER_RULES = {
+    "c_custkey not null": "c_custkey IS NULL", "c_name not null": "c_name IS NULL", "c_name length 18": "length(c_name) > 18", "c_acctbal numeric 5,2": "abs(c_acctbal) >= 999.995",
+    "c_mktsegment not null": "c_mktsegment IS NULL", "c_mktsegment length 9": "length(c_mktsegment) > 9",
+    "c_mktsegment in values": "c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY')"}
+PITCH_RULES = {
+    "l_orderkey not null": "l_orderkey IS NULL", "l_linenumber not null": "l_linenumber IS NULL", "l_partkey not null": "l_partkey IS NULL",
+    "l_quantity numeric 3,1": "abs(l_quantity) >= 99.95", "l_discount numeric 3,3": "abs(l_discount) >= 0.9995", "l_returnflag not null": "l_returnflag IS NULL",
+    "l_returnflag length 1": "length(l_returnflag) > 1", "l_returnflag in values": "l_returnflag NOT IN ('R', 'A')"}
+GAME_RULES = {
+    "game_pk not null": "game_pk IS NULL", "game_date not null": "game_date IS NULL", "game_year not null": "game_year IS NULL", "home_team not null": "home_team IS NULL",
+    "away_team not null": "away_team IS NULL",
+    "home_score not null": "home_score IS NULL", "home_score numeric 1,0": "home_score >= 10", "away_score not null": "away_score IS NULL"}
+
+
+@register("dq_declared", f"WITH {S.GAMES_SQL.strip()}\n" + "\nUNION ALL ".join([
+    _count_sql("game", "games", GAME_RULES), _count_sql("hitter", "customer", HITTER_RULES), _count_sql("pitch", "lineitem", PITCH_RULES),
+    "SELECT 'game', 'game_pk unique', COUNT(*) FROM (SELECT game_pk FROM games GROUP BY 1 HAVING COUNT(*) > 1)",
+    "SELECT 'hitter', 'c_custkey unique', COUNT(*) FROM (SELECT c_custkey FROM customer GROUP BY 1 HAVING COUNT(*) > 1)",
+    "SELECT 'pitch', 'l_orderkey+l_linenumber unique', COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)",
+    "SELECT 'pitch', 'l_orderkey references', COUNT(*) FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT game_pk FROM games)",
+    "SELECT 'pitch', 'l_partkey references', COUNT(*) FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT c_custkey FROM customer)"]))
+def dq_declared(spark, d):
+    """D1-D4 derived from the declared tables: every rule with its violations."""
+    return C.check(_declared_tables(spark, d), SCHEMAS)
+
+
+_BROKEN_SQL = ", ".join(f"CASE WHEN {bad} THEN '{rule}' END" for rule, bad in HITTER_RULES.items())
+
+
+@register("dq_quarantine", f"""
+SELECT * FROM (SELECT c_custkey, c_name, c_acctbal, c_mktsegment, concat_ws(', ', {_BROKEN_SQL}) AS broken FROM customer) t WHERE broken <> ''""")
+def dq_quarantine(spark, d):
+    """D3/D4 at load time: rows set aside, each with the rules that it breaks."""
+    rows = load(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return C.split(rows, SCHEMAS["hitter"])[1]

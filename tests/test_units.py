@@ -4,6 +4,7 @@ zero denominators, duplicate keys, collisions, unordered input)."""
 import datetime as dt
 import math
 import os
+import re
 
 import numpy as np
 import pandas as pd
@@ -347,6 +348,55 @@ def test_cumulative_sums_and_skew_safe_windows_match_windows(spark):
     assert a == b
 
 
+def test_exact_quantiles_of_large_groups(spark):
+    """Groups beyond the size up to which every value is counted: many values, a hot value, NULL as group."""
+    from diamondlake.operators import scan as SC
+    n = 3 * SC.SMALL
+    rows = spark.range(n).select(
+        F.explode(F.array(*[F.struct(F.lit(g).alias("g"), v.cast("double").alias("v")) for g, v in (
+            ("spread", F.pmod(F.xxhash64("id"), F.lit(10 ** 9)) / 7), ("tied", F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id") % 11)),
+            (None, -F.exp(F.col("id") / 10000.0)))])).alias("s")).select("s.*")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = {(r["g"], r["p"]): r["q"] for r in SC.exact_quantiles(rows, "g", "v", probs).collect()}
+    pdf = rows.toPandas()
+    for g in ("spread", "tied", None):
+        vals = pdf.loc[pdf["g"].isna() if g is None else pdf["g"] == g, "v"].to_numpy()
+        for p in probs:
+            want = float(np.quantile(vals, p))
+            assert abs(got[(g, p)] - want) <= 1e-9 * max(1.0, abs(want)), (g, p)
+
+
+def test_describe_takes_three_exchanges_and_no_checkpoint(spark):
+    from diamondlake.plans import catalog
+    df = catalog.queries()["describe_columns"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"\bExchange (?:hash|range|Single)", plan)) <= 3
+    assert "ExistingRDD" not in plan and "Python" not in plan
+    gone = A.describe_columns(spark.createDataFrame([(1, None), (2, None)], "a long, b double"), ["a", "b"])
+    assert {r["column_name"]: (r["count"], r["p50"]) for r in gone.collect()} == {"a": (2, 1.5), "b": (0, None)}
+
+
+def test_slope_p_value_matches_the_integral(spark):
+    import math
+
+    def tail(low, k):      # integral of cos(t)^k from low, over the part that isn't negligible
+        high = min(math.pi / 2, low + 60 / math.sqrt(max(k, 1)))
+        at, w = np.polynomial.legendre.leggauss(400)
+        t = low + (at + 1) / 2 * (high - low)
+        return float((w * np.exp(k * np.log(np.maximum(np.cos(t), 1e-300)))).sum()) * (high - low)
+    cases = [(r, n) for n in (3, 4, 5, 8, 30, 70, 200, 5000, 10 ** 6) for r in (0.0, 0.3, -0.5, -0.7, 0.99, 1e-3, 0.02, 2 / math.sqrt(n + 10), 6 / math.sqrt(n + 40))]
+    df = spark.createDataFrame([*cases, (1.0, 9), (0.5, 2), (None, 9)], "r double, n long")
+    got = {(x["r"], x["n"]): x["p"] for x in df.select("r", "n", ST.correlation_p_value(F.col("r"), F.col("n")).alias("p")).collect()}
+    for r, n in cases:
+        want = tail(math.asin(abs(r)), n - 3) / tail(0.0, n - 3) if n > 3 else 1 - 2 * math.asin(abs(r)) / math.pi
+        assert abs(got[(r, n)] - want) < 1e-9, (r, n)
+    assert got[(1.0, 9)] == 0 and got[(0.5, 2)] is None and got[(None, 9)] is None
+    xy = spark.createDataFrame([(float(i), float((i * 7919) % 101)) for i in range(200)], "x double, y double")
+    fit, r = ST.linregress_many(xy, "y", ["x"], digits=2, p_digits=9).first(), float(np.corrcoef([i for i in range(200)], [(i * 7919) % 101 for i in range(200)])[0, 1])
+    assert abs(fit["p_value"] - tail(math.asin(abs(r)), 197) / tail(0.0, 197)) < 1e-8
+
+
 def test_exact_quantiles_match_numpy(spark):
     import random
     from diamondlake.operators.scan import exact_quantiles
