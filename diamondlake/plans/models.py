@@ -9,6 +9,8 @@ from diamondlake.functions.scalars import round_half_up, round_half_up_sql as R
 from diamondlake.operators import forecast as FC
 from diamondlake.operators import models as M
 from diamondlake.operators import team_features as TF
+from diamondlake.operators import walk_forward as WF
+from diamondlake.operators import windows as WN
 from diamondlake.operators.ordering import split_hash
 from diamondlake.plans.catalog import register
 from diamondlake.plans import team_table as TT
@@ -146,6 +148,41 @@ def predict_games(spark, d):
                     FN.winner_tiebreak("home_team", "away_team", "home_score", "away_score", "home_runs", "away_runs").alias("team_winner"))
 
 
+def _backtest(spark, d, features):
+    rows = cut_lineage(TT.feature_table(spark, d).select("game_pk", "day", "is_home", "win", *features))
+    scored = WF.walk_forward(rows, "day", features, F.col("win") * 2.0 - 1.0)
+    return WF.backtest_games(scored, "game_pk", "day", "is_home", "win")
+
+
+@register("backtest_walk_forward")
+def backtest_walk_forward(spark, d):
+    """M7: every game predicted by the win model (36 features) of the days before it, with the accuracy so far
+    over the games that got a prediction."""
+    games = _backtest(spark, d, FEATURES).withColumnRenamed("day", "game_date")
+    told = games.where("correct IS NOT NULL")
+    seen = WN.running_accuracy(told, "game_date", "game_pk", "correct", skew_safe=True).select("game_pk", "games_so_far", "correct_so_far", "running_accuracy")
+    return games.join(seen, "game_pk", "left").select("game_pk", "game_date", round_half_up("home_score", 6).alias("home_score"), round_half_up("away_score", 6).alias("away_score"),
+                                                      "predicted", "home_won", "correct", F.col("games_so_far").cast("bigint").alias("games_so_far"), "running_accuracy")
+
+
+@register("backtest_walk_single", TT.TABLE_SQL + f""", r AS (SELECT game_pk, day, CAST(is_home AS BOOLEAN) AS home, win, obp, 2.0e0 * win - 1.0e0 AS y FROM ft),
+daily AS (SELECT day, COUNT(obp) AS n, COALESCE(SUM(obp), 0) AS x, COALESCE(SUM(obp * obp), 0) AS xx,
+                 COALESCE(SUM(y) FILTER (WHERE obp IS NOT NULL), 0) AS y, COALESCE(SUM(obp * y), 0) AS xy FROM r GROUP BY day),
+upto AS (SELECT day, SUM(n) OVER e AS n, SUM(x) OVER e AS x, SUM(xx) OVER e AS xx, SUM(y) OVER e AS y, SUM(xy) OVER e AS xy
+         FROM daily WINDOW e AS (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+m AS (SELECT day, y / n AS y0, x / n AS x0, (xy - x * y / n) / (xx - x * x / n + 1.0e0) AS w FROM upto WHERE n > 0),
+s AS (SELECT r.*, y0 + w * (obp - x0) AS score FROM r LEFT JOIN m ON m.day = r.day),
+g AS (SELECT game_pk, day, MAX(score) FILTER (WHERE home) AS home_score, MAX(score) FILTER (WHERE NOT home) AS away_score,
+             MAX(obp) FILTER (WHERE home) AS home_obp, MAX(obp) FILTER (WHERE NOT home) AS away_obp, MAX(win) FILTER (WHERE home) = 1 AS home_won
+      FROM s GROUP BY game_pk, day)
+SELECT game_pk, day, {R('home_score', 6)} AS home_score, {R('away_score', 6)} AS away_score,
+       CASE WHEN home_obp <> away_obp THEN home_score > away_score END AS predicted, home_won
+FROM g""")
+def backtest_walk_single(spark, d):
+    """M7 with one feature, where each day's ridge has a closed form."""
+    return _backtest(spark, d, ["obp"]).select("game_pk", "day", round_half_up("home_score", 6).alias("home_score"), round_half_up("away_score", 6).alias("away_score"), "predicted", "home_won")
+
+
 @register("model_roundtrip", CUSTOMER_STATS_SQL + f"""
 SELECT custkey, {R('regr_slope(runs, n_orders) OVER () * n_orders + regr_intercept(runs, n_orders) OVER ()', 2)} AS prediction
 FROM cs""")
