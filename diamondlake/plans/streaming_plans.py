@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from diamondlake.plans.catalog import register
 from diamondlake.plans.warehouse import UPSERT_SQL, _customer_snapshots
 from diamondlake.sources.files import shared_path
+from diamondlake.sources.tables import load
+from diamondlake.streaming.append_stream import stream_append_new
 from diamondlake.streaming.upsert_stream import init_snapshot, stream_upsert
 
 
@@ -28,3 +30,17 @@ def stream_upsert_q(spark, d):
     final = stream_upsert(spark, landing, batch.schema, base, ckpt, ["c_custkey"], ["c_name", "c_acctbal"],
                           source_order=["seq"])
     return spark.read.parquet(final)
+
+
+@register("stream_append_new", "SELECT * FROM events")
+def stream_append_new_q(spark, d):
+    """The feed lands in parts that overlap, and a part lands again after a restart; the stream appends
+    each event once."""
+    ev = load(spark, d, "events")
+    root = shared_path(spark, "stream-append")
+    landing, table, ckpt = (os.path.join(root, x) for x in ("landing", "table", "_checkpoint"))
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for parts in ([0, 1], [1, 2], [0]):      # three deliveries, each read by a stream of its own on the same checkpoint
+        ev.where(third.isin(parts)).write.mode("append").parquet(landing)
+        stream_append_new(spark, landing, ev.schema, table, ckpt, ["event_id"])
+    return spark.read.schema(ev.schema).parquet(table)
