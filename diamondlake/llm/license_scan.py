@@ -3,8 +3,8 @@
 Texts are reduced to their words (A-Z lower-cased) with single spaces between.
 A notice that may have k edits is split into k + 1 pieces: at least one stands
 unchanged in every match (pigeonhole). One automaton finds all pieces in one
-pass; around each hit the regex library verifies the notice with its edit bound
-and gives the span. Phrases with no edits allowed are the case k = 0, whose
+pass; around each hit, if enough of the notice's grams stand there (q-gram lemma),
+the regex library verifies the notice with its edit bound and gives the span. Phrases with no edits allowed are the case k = 0, whose
 single piece is the phrase, followed by an exact check of word borders."""
 
 from __future__ import annotations
@@ -51,6 +51,8 @@ NOTICES = {
 }
 #: One edit allowed for so many characters of a notice.
 CHARS_PER_EDIT = 14
+#: Length of the grams counted before a window is verified.
+GRAM = 3
 
 
 @dataclass(frozen=True)
@@ -63,6 +65,20 @@ class Notice:
     def pattern(self) -> regex.Pattern:
         return regex.compile(f"(?b)(?:{regex.escape(self.text)}){{e<={self.edits}}}")
 
+    @cached_property
+    def grams(self) -> list[str]:
+        return [self.text[i:i + GRAM] for i in range(len(self.text) - GRAM + 1)]
+
+    def possible(self, window: str) -> bool:
+        """Whether ``window`` may hold the notice: an edit takes away GRAM of its grams at most (q-gram lemma)."""
+        spare = GRAM * self.edits
+        for g in self.grams:
+            if g not in window:
+                spare -= 1
+                if spare < 0:
+                    return False
+        return True
+
     def pieces(self) -> list[tuple[int, str]]:
         """(start, piece) of edits + 1 pieces."""
         n = self.edits + 1
@@ -108,12 +124,16 @@ class Scanner:
                     lo = max(0, start - at - n.edits)
                     hi = min(len(line), start - at + len(n.text) + n.edits)
                     windows.add((k, lo, hi))
-        # Each seed hit is verified in its own window: of two neighbours, neither hides the other.
+        # Each seed hit is verified in its own window: of two neighbours, neither hides the other. Equal windows are verified once.
         spans = set()
+        verified: dict[tuple[int, str], tuple[int, int, int] | None] = {}
         for k, lo, hi in windows:
-            n = self.notices[k]
-            if m := n.pattern.search(line, lo, hi):
-                spans.add((m.start(), m.end(), n.label, sum(m.fuzzy_counts), n.edits, k))
+            n, window = self.notices[k], line[lo:hi]
+            if (k, window) not in verified:
+                m = n.pattern.search(window) if n.possible(window) else None
+                verified[k, window] = (m.start(), m.end(), sum(m.fuzzy_counts)) if m else None
+            if found := verified[k, window]:
+                spans.add((lo + found[0], lo + found[1], n.label, found[2], n.edits, k))
         # Of overlapping matches (two may share a border space), those with the fewest edits, of one notice the first.
         spans = sorted(spans, key=lambda m: (m[3], m[0], m[1], m[2], m[5]))
         best: list[tuple[int, int, str, int, int, int]] = []
