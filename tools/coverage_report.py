@@ -17,7 +17,8 @@ from diamondlake.plans.catalog import oracle_sql, queries  # noqa: E402
 #: Rows whose query covers a part of the purpose, with what it covers.
 PARTIAL: dict[str, str] = {}
 #: Further keys of a row.
-ALSO = {"S10": ["html_team_cells"], "M2": ["model_ridge_single"], "M4": ["model_ridge_single"]}
+ALSO = {"S10": ["html_team_cells"], "M2": ["model_ridge_single"], "M4": ["model_ridge_single"], "A10": ["linregress_p_values"], "D1": ["dq_declared"], "D3": ["dq_quarantine"],
+        "I3": ["stream_append_new"], "M7": ["backtest_walk_forward", "backtest_walk_single"]}
 
 
 def survey_rows():
