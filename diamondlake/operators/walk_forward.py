@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from diamondlake.functions.scalars import round_half_up
 from diamondlake.operators.models import complete
 
 
@@ -86,11 +87,13 @@ def walk_forward(df: DataFrame, day: str, features: list[str], label: Column, al
     return joined.withColumn(out, F.when(complete(features), score)).drop("__day", "__model")
 
 
-def backtest_games(scored: DataFrame, game: str, day: str, home: str, won: str, score: str = "score") -> DataFrame:
+def backtest_games(scored: DataFrame, game: str, day: str, home: str, won: str, score: str = "score", digits: int = 9) -> DataFrame:
     """One row per game from its two perspectives: both scores, whether home was predicted to win (NULL without
-    both scores or at a tie), whether it did, and whether the prediction was right."""
+    both scores or at a tie), whether it did, and whether the prediction was right. Scores equal to ``digits``
+    places are a tie: what is left between them is the rounding of sums, which another order of the rows changes."""
     at_home = F.col(home).cast("boolean")
     g = scored.groupBy(game, day).agg(F.max(F.when(at_home, F.col(score))).alias("home_score"), F.max(F.when(~at_home, F.col(score))).alias("away_score"),
                                       F.max(F.when(at_home, F.col(won).cast("boolean"))).alias("home_won"))
-    ahead = F.when(F.col("home_score") != F.col("away_score"), F.col("home_score") > F.col("away_score"))
+    home_score, away_score = round_half_up("home_score", digits), round_half_up("away_score", digits)
+    ahead = F.when(home_score != away_score, home_score > away_score)
     return g.withColumn("predicted", ahead).withColumn("correct", F.col("predicted") == F.col("home_won"))

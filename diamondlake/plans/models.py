@@ -173,10 +173,10 @@ upto AS (SELECT day, SUM(n) OVER e AS n, SUM(x) OVER e AS x, SUM(xx) OVER e AS x
 m AS (SELECT day, y / n AS y0, x / n AS x0, (xy - x * y / n) / (xx - x * x / n + 1.0e0) AS w FROM upto WHERE n > 0),
 s AS (SELECT r.*, y0 + w * (obp - x0) AS score FROM r LEFT JOIN m ON m.day = r.day),
 g AS (SELECT game_pk, day, MAX(score) FILTER (WHERE home) AS home_score, MAX(score) FILTER (WHERE NOT home) AS away_score,
-             MAX(obp) FILTER (WHERE home) AS home_obp, MAX(obp) FILTER (WHERE NOT home) AS away_obp, MAX(win) FILTER (WHERE home) = 1 AS home_won
+             MAX(win) FILTER (WHERE home) = 1 AS home_won
       FROM s GROUP BY game_pk, day)
 SELECT game_pk, day, {R('home_score', 6)} AS home_score, {R('away_score', 6)} AS away_score,
-       CASE WHEN home_obp <> away_obp THEN home_score > away_score END AS predicted, home_won
+       CASE WHEN {R('home_score', 9)} <> {R('away_score', 9)} THEN home_score > away_score END AS predicted, home_won
 FROM g""")
 def backtest_walk_single(spark, d):
     """M7 with one feature, where each day's ridge has a closed form."""

@@ -47,7 +47,8 @@ def test_scores_equal_a_refit_before_every_day(spark):
 def test_games_without_history_a_tie_and_an_empty_table(spark):
     kind = "game long, day date, home int, win int, score double"
     d = dt.date(2024, 4, 1)
-    games = WF.backtest_games(spark.createDataFrame([(1, d, 1, 1, 0.2), (1, d, 0, 0, 0.1), (2, d, 1, 0, 0.2), (2, d, 0, 1, 0.2), (3, d, 1, 1, None), (3, d, 0, 0, 0.4)], kind), "game", "day", "home", "win")
-    assert {r["game"]: (r["predicted"], r["home_won"], r["correct"]) for r in games.collect()} == {1: (True, True, True), 2: (None, False, None), 3: (None, True, None)}
+    games = WF.backtest_games(spark.createDataFrame([(1, d, 1, 1, 0.2), (1, d, 0, 0, 0.1), (2, d, 1, 0, 0.2), (2, d, 0, 1, 0.2), (3, d, 1, 1, None), (3, d, 0, 0, 0.4),
+                                                    (4, d, 1, 1, 0.1 + 0.2), (4, d, 0, 0, 0.3)], kind), "game", "day", "home", "win")
+    assert {r["game"]: (r["predicted"], r["home_won"], r["correct"]) for r in games.collect()} == {1: (True, True, True), 2: (None, False, None), 3: (None, True, None), 4: (None, True, None)}
     empty = spark.createDataFrame([], "i long, day date, a double, b double, c double, win double")
     assert WF.walk_forward(empty, "day", FEATURES, F.col("win")).count() == 0
