@@ -22,7 +22,7 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: list[str], update_
     the target's ``created_at`` is kept and ``updated_at`` is set (D5)."""
     if source_order:
         rest = [c for c in source.columns if c not in keys]
-        source = _keep_last(source, keys, source_order, rest)
+        source = keep_last(source, keys, source_order, rest)
     cols = [c for c in target.columns if c not in keys and c not in ("created_at", "updated_at")]
     update_cols = [c for c in (update_cols if update_cols is not None else cols) if c in source.columns]
     src_keys = source.select(*keys)
@@ -48,7 +48,8 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: list[str], update_
     return untouched.select(*merged.columns).unionByName(merged)
 
 
-def _keep_last(df: DataFrame, keys: list[str], order: list[str], rest: list[str]) -> DataFrame:
+def keep_last(df: DataFrame, keys: list[str], order: list[str], rest: list[str]) -> DataFrame:
+    """One row per key, the last by ``order``, with the columns ``rest``."""
     packed = F.struct(*[F.col(c) for c in rest])
     return df.groupBy(*keys).agg(F.max_by(packed, F.struct(*[F.col(c) for c in order])).alias("__r")).select(
         *keys, *[F.col(f"__r.{c}") for c in rest])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up, round_half_up_sql as R
 from diamondlake.operators import constraints as C
+from diamondlake.operators import pruned_merge as PM
 from diamondlake.operators import quality as Q
 from diamondlake.operators import upsert as U
 from diamondlake.plans import standins as S
@@ -106,6 +107,17 @@ def upsert_by_key(spark, d):
     return U.upsert_by_key(target, batch, ["c_custkey"], ["c_name", "c_acctbal"])
 
 
+@register("upsert_pruned", UPSERT_SQL)
+def upsert_pruned(spark, d):
+    """The same upsert into a table of files clustered by key, rewriting only files that hold a key of the batch."""
+    target, batch = _customer_snapshots(spark, d)
+    path = IO.shared_path(spark, "customer-table")
+    PM.create(target, path, ["c_custkey"])
+    batch = IO.cut_lineage_to(batch, IO.shared_path(spark, "customer-batch"))
+    PM.merge(spark, path, batch, ["c_custkey"], ["c_name", "c_acctbal"])
+    return PM.read(spark, path)
+
+
 @register("incremental_append", f"SELECT {', '.join(ORDER_COLS)} FROM orders")
 def incremental_append(spark, d):
     """Append only new keys; running the same batch twice changes nothing."""
