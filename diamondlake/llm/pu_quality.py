@@ -6,18 +6,19 @@ minimises the non-negative unbiased risk
 
     prior * E_pos[loss(+)] + max(0, E_all[loss(-)] - prior * E_pos[loss(-)])
 
-by Newton steps. Features are worked out once and written to the shared
-checkpoint folder; each step is one Spark aggregation over all documents, of which
-one row of sums reaches the driver. The class prior is the smoothed share of
-positives among training labels; a last link fits the logits to a bounded sample of
-training labels (``SAMPLE`` per class)."""
+by Newton steps that stay where the second term is not negative. Features are
+worked out once and written to the shared checkpoint folder; each step is one Spark
+aggregation over all documents, of which a fixed number of sums reaches the
+driver. The class prior is estimated from positives and unlabelled documents alone
+(``estimate_prior``); a last link, which moves no document past another, fits the
+logits to a bounded sample of training labels (``SAMPLE`` per class)."""
 
 from __future__ import annotations
 
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +28,12 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint, is_training
 
-#: Passes over the documents at most, ridge, and the largest change of a weight in one pass.
-STEPS, RIDGE, MAX_STEP = 12, 1e-3, 2.0
+#: Ridge; a pass must lower the risk by more than this, or the search goes on with shorter steps and ends at the shortest.
+RIDGE, TOL, ROUGH, SHORTEST = 1e-3, 1e-5, 1e-3, 1e-4
+#: Step lengths that a pass tries, and the parts of the bad part that a direction along the constraint keeps.
+FRACTIONS, KEPT = (1.0, 0.5, 0.25, 0.1), (0.5, 0.1)
+#: Score bins of the prior's estimate.
+BINS = 1000
 SAMPLE = 4000
 PRIOR_RANGE = (0.05, 0.95)
 THRESHOLD = 0.5
@@ -92,38 +97,24 @@ def with_features(docs: DataFrame, labels: DataFrame, label: str, id_col: str, t
     return checkpoint(rows.join(y, "id", "left"))
 
 
-def newton_step(w: np.ndarray, sums: Sums, n_all: float, n_pos: float, prior: float) -> tuple[float, np.ndarray]:
-    """Risk of the bad part, and the Newton step of the whole risk. With the
-    logistic loss, loss(+) - loss(-) is minus the logit: the risk is convex."""
-    bad_part = sums.bad_all / n_all - prior * sums.bad_pos / n_pos
-    ridge = np.r_[0, np.full(len(w) - 1, RIDGE)]
-    grad = sums.grad_all / n_all - prior * sums.x_pos / n_pos + ridge * w
-    step = np.linalg.solve(sums.hess_all / n_all + np.diag(ridge + 1e-6), grad)
-    return bad_part, step * min(1.0, MAX_STEP / max(np.abs(step).max(), 1e-12))
-
-
 def train(rows: DataFrame) -> Model:
-    """Model from ``with_features``. Without positives: every text scores the prior."""
+    """Model from ``with_features``. Without positives: every text scores the middle of the prior's range."""
     d = len(NAMES)
-    one = rows.agg(F.count("*").alias("n"), F.count("y").alias("labelled"), F.sum("y").alias("pos"),
+    one = rows.agg(F.count("*").alias("n"), F.sum("y").alias("pos"),
                    *(F.avg(F.get("x", F.lit(i))).alias(f"m{i}") for i in range(d)), *(F.stddev_pop(F.get("x", F.lit(i))).alias(f"s{i}") for i in range(d))).first()
     n, pos = one["n"], one["pos"] or 0
-    prior = min(max((pos + 1) / (one["labelled"] + 2), PRIOR_RANGE[0]), PRIOR_RANGE[1])
     mean = np.array([one[f"m{i}"] or 0.0 for i in range(d)])
     scale = np.array([max(one[f"s{i}"] or 0.0, 0.02) for i in range(d)])
-    w = np.zeros(d + 1)
-    w[0] = math.log(prior / (1 - prior))
     if not pos:
-        return Model(tuple(mean), tuple(scale), tuple(w), (0.0, 1.0), prior)
-    last = w
-    for _ in range(STEPS):
-        bad_part, step = newton_step(w, _sums(rows, w, mean, scale), n, pos, prior)
-        if bad_part < 0:  # non-negative risk: back towards the last weights that kept to it
-            w = (w + last) / 2
-            continue
-        last, w = w, w - step
-        if np.abs(step).max() < 1e-4:
-            break
+        return Model(tuple(mean), tuple(scale), (0.0,) * (d + 1), (0.0, 1.0), 0.5)
+
+    def at(ws: list[np.ndarray]) -> list[Sums]:
+        return _sums(rows, ws, mean, scale)
+
+    # A first model at an even prior ranks the documents; the prior is read off that ranking.
+    first = minimise(at, start(d + 1, 0.5), n, pos, 0.5, ROUGH)
+    prior = estimate_prior(*_histograms(rows, first, mean, scale))
+    w = minimise(at, start(d + 1, prior), n, pos, prior, TOL)
     model = Model(tuple(mean), tuple(scale), tuple(w), (0.0, 1.0), prior)
     return Model(model.mean, model.scale, model.weights, _link(rows, model), prior)
 
@@ -131,43 +122,128 @@ def train(rows: DataFrame) -> Model:
 @dataclass(frozen=True)
 class Sums:
     """Sums over documents at some weights: losses as bad of all and of the
-    positives, gradient of the former, features of the positives, curvature of the former."""
+    positives, their gradients, features of the positives, curvature of the first."""
 
     bad_all: float
     bad_pos: float
     grad_all: np.ndarray
+    grad_pos: np.ndarray
     x_pos: np.ndarray
     hess_all: np.ndarray
 
     @staticmethod
     def of(x: np.ndarray, positive: np.ndarray, w: np.ndarray) -> Sums:
-        z = np.clip(x @ w, -30, 30)
-        p, loss = 1 / (1 + np.exp(-z)), np.logaddexp(0, z)
-        return Sums(loss.sum(), loss[positive].sum(), x.T @ p, x[positive].sum(axis=0), (x * (p * (1 - p))[:, None]).T @ x)
+        z = x @ w
+        p, loss = 1 / (1 + np.exp(-np.clip(z, -30, 30))), np.logaddexp(0, z)
+        return Sums(loss.sum(), loss[positive].sum(), x.T @ p, x[positive].T @ p[positive], x[positive].sum(axis=0), (x * (p * (1 - p))[:, None]).T @ x)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([[self.bad_all, self.bad_pos], self.grad_all, self.x_pos, self.hess_all.ravel()])
+        return np.concatenate([[self.bad_all, self.bad_pos], self.grad_all, self.grad_pos, self.x_pos, self.hess_all.ravel()])
 
     @staticmethod
     def of_flat(v: np.ndarray, k: int) -> Sums:
-        return Sums(v[0], v[1], v[2:2 + k], v[2 + k:2 + 2 * k], v[2 + 2 * k:].reshape(k, k))
+        return Sums(v[0], v[1], v[2:2 + k], v[2 + k:2 + 2 * k], v[2 + 2 * k:2 + 3 * k], v[2 + 3 * k:].reshape(k, k))
+
+    def bad_part(self, n: float, pos: float, prior: float) -> float:
+        """Estimated risk of the bad class, which must not fall below zero."""
+        return self.bad_all / n - prior * self.bad_pos / pos
+
+    def risk(self, w: np.ndarray, n: float, pos: float, prior: float) -> float:
+        """Non-negative risk and ridge; with the logistic loss, loss(+) is loss(-) less the logit."""
+        good_part = prior * (self.bad_pos - self.x_pos @ w) / pos
+        return good_part + max(0.0, self.bad_part(n, pos, prior)) + RIDGE / 2 * float(w[1:] @ w[1:])
+
 
+def start(k: int, prior: float) -> np.ndarray:
+    """The constant model of a prior; its bad part is positive."""
+    return np.r_[math.log(prior / (1 - prior)), np.zeros(k - 1)]
 
-def _sums(rows: DataFrame, w: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> Sums:
-    k = len(w)
-    size = 2 + 2 * k + k * k
 
+def directions(w: np.ndarray, s: Sums, n: float, pos: float, prior: float) -> list[np.ndarray]:
+    """The Newton direction of the risk where the bad part is positive (there it
+    is convex), and, if that direction would end below zero, the nearest one
+    in the metric of the curvature that keeps a part of the bad part."""
+    ridge = np.r_[0, np.full(len(w) - 1, RIDGE)]
+    hess = s.hess_all / n + np.diag(ridge + 1e-6)
+    newton = -np.linalg.solve(hess, s.grad_all / n - prior * s.x_pos / pos + ridge * w)
+    bad, slope = s.bad_part(n, pos, prior), s.grad_all / n - prior * s.grad_pos / pos
+    out = [newton]
+    if bad + slope @ newton < 0:
+        lift = np.linalg.solve(hess, slope)
+        out += [newton + lift * (keep * bad - bad - slope @ newton) / max(slope @ lift, 1e-12) for keep in KEPT]
+    return out
+
+
+def minimise(at: Callable[[list[np.ndarray]], list[Sums]], w: np.ndarray, n: float, pos: float, prior: float, tol: float) -> np.ndarray:
+    """Weights of least non-negative risk among those whose bad part is not
+    negative, from the feasible ``w``. Each pass tries several lengths along
+    ``directions`` and moves only to feasible weights of a lower risk; it ends
+    when no length down to ``SHORTEST`` lowers the risk by more than ``tol``."""
+    (s,) = at([w])
+    risk, length = s.risk(w, n, pos, prior), 1.0
+    while length >= SHORTEST:
+        tried = [w + length * f * d for d in directions(w, s, n, pos, prior) for f in FRACTIONS]
+        sums = at(tried)
+        found = [(t.risk(v, n, pos, prior), i) for i, (v, t) in enumerate(zip(tried, sums, strict=True)) if t.bad_part(n, pos, prior) >= 0]
+        best, i = min(found, default=(risk, -1))
+        if best < risk - tol:
+            w, s, risk, length = tried[i], sums[i], best, 1.0
+        else:
+            length *= FRACTIONS[-1] / 2
+    return w
+
+
+def estimate_prior(every: np.ndarray, good: np.ndarray) -> float:
+    """Share of good documents, from counts of all documents and of trusted
+    positives by score (ascending bins). If the top of the ranking holds good
+    ones only, its share of all documents over its share of the positives is
+    the prior; of all tops, the one with the least upper bound is taken, the
+    bound allowing for what chance does to the two shares."""
+    n, m = every.sum(), good.sum()
+    q_all, q_good = every[::-1].cumsum() / n, good[::-1].cumsum() / m
+    chance = math.sqrt(math.log(40) / 2 / n) + math.sqrt(math.log(40) / 2 / m)
+    some = q_good > 0
+    best = int(np.argmin(np.where(some, (q_all + chance) / np.where(some, q_good, 1.0), np.inf)))
+    return float(min(max(q_all[best] / q_good[best], PRIOR_RANGE[0]), PRIOR_RANGE[1]))
+
+
+def _design(pdf: pd.DataFrame, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(pdf)), (np.stack(pdf["x"].to_numpy()) - mean) / scale])
+
+
+def _summed(rows: DataFrame, size: int, of: Callable[[pd.DataFrame], np.ndarray]) -> np.ndarray:
+    """Sum over all rows of a fixed number of values: a partial sum a task, one row a value to the driver."""
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(size)
         for pdf in batches:
             if len(pdf):
-                x = np.column_stack([np.ones(len(pdf)), (np.stack(pdf["x"].to_numpy()) - mean) / scale])
-                total += Sums.of(x, pdf["y"].to_numpy(float) == 1, w).flat()
+                total += of(pdf)
         yield pd.DataFrame({"i": range(size), "v": total})
 
-    parts = rows.select("x", "y").mapInPandas(part, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
-    found = dict(parts.collect())  # one number per entry, whatever the number of documents
-    return Sums.of_flat(np.array([found.get(i, 0.0) for i in range(size)]), k)
+    found = dict(rows.select("x", "y").mapInPandas(part, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect())
+    return np.array([found.get(i, 0.0) for i in range(size)])
+
+
+def _sums(rows: DataFrame, ws: list[np.ndarray], mean: np.ndarray, scale: np.ndarray) -> list[Sums]:
+    """Sums at each of some weights, in one pass."""
+    k = len(ws[0])
+
+    def of(pdf: pd.DataFrame) -> np.ndarray:
+        x, positive = _design(pdf, mean, scale), pdf["y"].to_numpy(float) == 1
+        return np.concatenate([Sums.of(x, positive, w).flat() for w in ws])
+
+    size = 2 + 3 * k + k * k
+    return [Sums.of_flat(v, k) for v in _summed(rows, size * len(ws), of).reshape(len(ws), size)]
+
+
+def _histograms(rows: DataFrame, w: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of all documents and of the positives by score, in ``BINS`` equal bins."""
+    def of(pdf: pd.DataFrame) -> np.ndarray:
+        bin_ = np.minimum(BINS / (1 + np.exp(-np.clip(_design(pdf, mean, scale) @ w, -30, 30))), BINS - 1).astype(int)
+        return np.concatenate([np.bincount(b, minlength=BINS) for b in (bin_, bin_[pdf["y"].to_numpy(float) == 1])])
+
+    every, good = _summed(rows, 2 * BINS, of).reshape(2, BINS)
+    return every, good
 
 
 def _link(rows: DataFrame, model: Model) -> tuple[float, float]:

@@ -251,17 +251,74 @@ def test_lexicon_takes_all_nodes(spark):
     assert lexicon.counts["tox*"] == (20, 2) and 0 < lexicon.weight(seen[-1]) < lexicon.weight("toxzzzz") < lexicon.weight(bad[0])
 
 
-def test_non_negative_risk_and_prior():
+def test_sums_of_the_risk():
     import numpy as np
     rng = np.random.default_rng(1)
     x, p = np.column_stack([np.ones(50), rng.normal(size=(50, 2))]), rng.random(50) < 0.4
     w = rng.normal(size=3)
     s = pu_quality.Sums.of(x, p, w)
     eps = 1e-6
-    grad = [(pu_quality.Sums.of(x, p, w + eps * e).bad_all - s.bad_all) / eps for e in np.eye(3)]
-    assert np.allclose(grad, s.grad_all, atol=1e-3)
+    moved = [pu_quality.Sums.of(x, p, w + eps * e) for e in np.eye(3)]
+    assert np.allclose([(m.bad_all - s.bad_all) / eps for m in moved], s.grad_all, atol=1e-3)
+    assert np.allclose([(m.bad_pos - s.bad_pos) / eps for m in moved], s.grad_pos, atol=1e-3)
     back = pu_quality.Sums.of_flat(s.flat(), 3)
     assert np.array_equal(back.hess_all, s.hess_all) and np.array_equal(back.x_pos, s.x_pos)
+    z = x @ w
+    plain = 0.3 * np.logaddexp(0, -z[p]).mean() + max(0, np.logaddexp(0, z).mean() - 0.3 * np.logaddexp(0, z[p]).mean())
+    assert np.isclose(s.risk(w, 50, p.sum(), 0.3), plain + pu_quality.RIDGE / 2 * (w[1:] @ w[1:]))
+
+
+@pytest.mark.parametrize(("apart", "prior"), [(0.5, 0.3), (3.0, 0.3), (3.0, 0.6), (3.0, 0.45), (8.0, 0.5)])
+def test_least_risk_is_feasible_and_lower_than_its_neighbours(apart, prior):
+    """Also where the prior is above the true share (0.4), so that the constraint binds."""
+    import numpy as np
+    rng = np.random.default_rng(7)
+    good = rng.random(4000) < 0.4
+    x = np.column_stack([np.ones(4000), rng.normal(size=(4000, 3)) + apart * good[:, None] * [1, 0.5, 0]])
+    known = good & (rng.random(4000) < 0.5)
+    at = lambda ws: [pu_quality.Sums.of(x, known, w) for w in ws]
+    n, pos = 4000, known.sum()
+    w = pu_quality.minimise(at, pu_quality.start(4, prior), n, pos, prior, 1e-7)
+    (s,) = at([w])
+    assert s.bad_part(n, pos, prior) >= 0
+    here = s.risk(w, n, pos, prior)
+    for _ in range(300):
+        v = w + rng.normal(size=4) * 10 ** rng.uniform(-3, 0)
+        (t,) = at([v])
+        if t.bad_part(n, pos, prior) >= 0:
+            assert t.risk(v, n, pos, prior) > here - 2e-3
+
+
+def test_prior_from_positives_and_unlabelled():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    for share in (0.15, 0.5, 0.8):
+        good = rng.random(20_000) < share
+        score = np.clip(rng.normal(0.35, 0.1, 20_000) + 0.3 * good, 0, 0.999)
+        known = good & (rng.random(20_000) < 0.3)
+        every, of_good = (np.bincount((score[m] * 1000).astype(int), minlength=1000) for m in (np.full(20_000, True), known))
+        assert abs(pu_quality.estimate_prior(every, of_good) - share) < 0.06
+
+
+def test_quality_model_of_the_tables_keeps_the_constraint(spark):
+    import numpy as np
+    sf = SF_SMALL.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = pu_quality.with_features(docs, labels, "quality", "doc_id", "text")
+    model = pu_quality.train(rows)
+    got = rows.toPandas()
+    x = np.column_stack([np.ones(len(got)), (np.stack(got.x.to_numpy()) - np.array(model.mean)) / np.array(model.scale)])
+    known, w = (got.y == 1).to_numpy(), np.array(model.weights)
+    s = pu_quality.Sums.of(x, known, w)
+    assert s.bad_part(len(got), known.sum(), model.prior) >= 0
+    labelled = pd.read_parquet(f"{sf}/labels.parquet")
+    assert abs(model.prior - labelled.quality.mean()) < 0.1
+    y = got.merge(labelled, left_on="id", right_on="doc_id")
+    y = y[(y.id.map(lambda i: __import__("zlib").crc32(str(i).encode())) % 3 == 1)]
+    alone = model.logits(np.stack(y.x.to_numpy())) >= 0            # without the link
+    linked = model.score(np.stack(y.x.to_numpy())) >= 0.5
+    print("held out: alone", (alone == (y.quality == 1)).mean(), "with link", (linked == (y.quality == 1)).mean(), "prior", model.prior, "bad part", s.bad_part(len(got), known.sum(), model.prior))
+    assert (alone == (y.quality == 1)).mean() >= 0.9 and (linked == (y.quality == 1)).mean() >= 0.95
 
 
 # 6 ---------------------------------------------------------------------------
