@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from diamondlake.session import cut_lineage, ensure_checkpoint_dir, ship_package
 from diamondlake.sources.tables import load
@@ -49,6 +50,17 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def id_or_least(df: DataFrame, name: str) -> Column:
+    """The id with a value of its own type in place of null: 0, or the empty string."""
+    return F.coalesce(F.col(name), F.lit("") if isinstance(df.schema[name].dataType, StringType) else F.lit(0))
+
+
+def id_key(df: DataFrame, name: str) -> Column:
+    """A whole number by id: the id itself if it is one, else its hash; 0 for null."""
+    col = F.col(name)
+    return F.coalesce(col if isinstance(df.schema[name].dataType, IntegralType) else F.when(col.isNotNull(), F.xxhash64(col)), F.lit(0)).cast("long")
+
+
 def word_count(text: Column) -> Column:
     """Number of words between separators; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")

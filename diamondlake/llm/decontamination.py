@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -41,6 +42,10 @@ MIN_CHARS = 24
 BLOCK_CHARS = 4 << 20
 #: Characters of a text that are scanned at once; scans overlap by more than a match can span.
 SCAN = 1 << 20
+#: Hits that are counted at once, whatever their number in a text.
+SLICE = 1 << 19
+#: Alignments that are remembered; beyond it they are forgotten and made again.
+ALIGNED = 1 << 16
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
@@ -48,7 +53,7 @@ _BITS = 22
 #: Letters and digits of scripts that put spaces between words.
 _WORD = re.compile(r"(?![\u0e00-\U0010ffff])[^\W_]")
 
-FOUND = "array<struct<item_id: bigint, start: bigint, end: bigint, edits: int, piece: bigint>>"
+FOUND = "array<struct<item_id: {}, start: bigint, end: bigint, edits: int, piece: bigint>>"
 
 
 def normal(text: str | None) -> str:
@@ -121,15 +126,16 @@ def band_distance(piece: np.ndarray, text: np.ndarray, low: int, high: int, most
 
 @dataclass
 class Index:
-    """q-gram index of a block of benchmark items, built where it is used."""
+    """q-gram index of a block of benchmark items, built where it is used.
+    Pieces that several items share are indexed and counted once."""
 
-    items: list[tuple[int | None, str]]
+    items: tuple[tuple[int | str | None, str], ...]
     q: int = Q
     rate: float = EDIT_RATE
 
     def __post_init__(self) -> None:
-        self.pieces: list[tuple[int, int, np.ndarray]] = []  # item, start, characters
-        self.part: list[bool] = []  # a short piece, which counts where no long one of its item is found
+        uses: list[tuple[int, int, np.ndarray]] = []  # item, start, characters
+        part: list[bool] = []  # a short piece, which counts where no long one of its item is found
         exact: dict[str, list[int]] = {}
         for n, (_, text) in enumerate(self.items):
             codes = _codes(whole := normal(text))
@@ -138,21 +144,31 @@ class Index:
                 continue
             long = [(n, s, codes[s:s + PIECE]) for s in starts(len(codes), PIECE, STRIDE)]
             short = [(n, s, codes[s:s + SHORT]) for s in starts(len(codes), SHORT, STEP)] if len(codes) > SHORT else []
-            self.pieces += long + short
-            self.part += [False] * len(long) + [True] * len(short)
+            uses += long + short
+            part += [False] * len(long) + [True] * len(short)
         exact.pop("", None)
+        self.aligned: dict[tuple[int, int, str], tuple[int, int, int] | None] = {}
         self.words = ahocorasick.Automaton() if exact else None
         for whole, users in exact.items():
             self.words.add_word(whole, (len(whole), users))
         if exact:
             self.words.make_automaton()
-        self.exact = [p[2].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass") for p in self.pieces]
-        sizes = np.array([len(p[2]) for p in self.pieces], dtype=np.int64)
+        known: dict[str, int] = {}
+        self.pieces: list[np.ndarray] = []  # distinct characters
+        self.uses: list[tuple[int, int, int, bool]] = []  # piece, item, start, part
+        for (item, start, codes), short in zip(uses, part, strict=True):
+            chars = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+            if (p := known.setdefault(chars, len(known))) == len(self.pieces):
+                self.pieces.append(codes)
+            self.uses.append((p, item, start, short))
+        self.exact = list(known)
+        self.used = np.array([u[0] for u in self.uses], dtype=np.int64)
+        sizes = np.array([len(p) for p in self.pieces], dtype=np.int64)
         # Fewer edits for short pieces, where the lemma's bound would vanish.
         self.edits = np.minimum((sizes * self.rate).astype(np.int64), (sizes - self.q) // self.q)
         self.need = sizes + 1 - self.q - self.edits * self.q
         self.half = int(self.edits.max()) + 1 if len(sizes) else 1
-        grams = [gram_hashes(p[2], self.q) for p in self.pieces]
+        grams = [gram_hashes(p, self.q) for p in self.pieces]
         keys = np.concatenate(grams) if grams else np.empty(0, dtype=np.uint64)
         piece = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         at = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, dtype=np.int64)
@@ -162,32 +178,47 @@ class Index:
         self.seen = np.zeros(1 << _BITS, dtype=bool)
         self.seen[(self.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(piece, diagonal) of each shared q-gram."""
+    def hits(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """Slices of (piece, diagonal) of each shared q-gram, in order of the text,
+        of ``SLICE`` hits or those of one position, and the least diagonal of the hits to come."""
         h = gram_hashes(codes, self.q)
         pos = np.nonzero(self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)])[0]
         if not len(pos) or not len(self.keys):
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+            return
         key = np.minimum(np.searchsorted(self.keys, h[pos]), len(self.keys) - 1)
         real = self.keys[key] == h[pos]
         pos, key = pos[real], key[real]
-        n = self.count[key]
-        row = np.repeat(self.first[key], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return self.piece[row], np.repeat(pos, n) - self.at[row]
-
-    def bands(self, codes: np.ndarray) -> list[tuple[int, int]]:
-        """(piece, first diagonal) of the bands that reach their piece's bound."""
-        piece, diagonal = self.hits(codes)
-        if len(piece) < (self.need.min() if len(self.need) else 1):
-            return []
-        bin_ = (diagonal + 2 * PIECE) // self.half  # diagonals start at -PIECE
-        span = int(bin_.max()) + 2
-        both = np.concatenate([piece * span + bin_, piece * span + bin_ - 1])  # a band is two bins
-        key, n = np.unique(both, return_counts=True)
-        good = n >= self.need[key // span]
-        return [(int(k // span), int(k % span) * self.half - 2 * PIECE) for k in key[good]]
-
-    def search(self, text: str | None) -> list[tuple[int | None, int, int, int, int]]:
+        total = np.cumsum(self.count[key])
+        i = 0
+        while i < len(pos):
+            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + SLICE, side="right")))
+            n = self.count[key[i:j]]
+            row = np.repeat(self.first[key[i:j]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield self.piece[row], np.repeat(pos[i:j], n) - self.at[row], int(pos[j]) - PIECE if j < len(pos) else len(codes) + PIECE
+            i = j
+
+    def bands(self, codes: np.ndarray) -> dict[int, list[int]]:
+        """First diagonals, in order, of the bands that reach their piece's
+        bound, by piece. A band is two neighbouring bins of diagonals. Only bins that
+        later hits may still reach are kept while the text goes by."""
+        span = (len(codes) + 4 * PIECE) // self.half + 4
+        key, n = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        judged, out = 0, {}  # bands below this bin are judged
+        for piece, diagonal, least in self.hits(codes):
+            new = piece * span + (diagonal + 2 * PIECE) // self.half + 1  # diagonals start at -PIECE
+            key, n = _counted(np.concatenate([key, new]), np.concatenate([n, np.ones(len(new), dtype=np.int64)]))
+            whole = (least + 2 * PIECE) // self.half + 1  # bins below this one are complete
+            band, total = _counted(np.concatenate([key, key - 1]), np.concatenate([n, n]))
+            bin_ = band % span
+            good = (total >= self.need[band // span]) & (bin_ >= judged) & (bin_ < whole - 1)
+            for k in band[good]:
+                out.setdefault(int(k // span), []).append((int(k % span) - 1) * self.half - 2 * PIECE)
+            judged = max(judged, whole - 1)
+            open_ = key % span >= judged
+            key, n = key[open_], n[open_]
+        return out
+
+    def search(self, text: str | None) -> list[tuple[int | str | None, int, int, int, int]]:
         """Leaks of a whole text, one for each item: (item id, start, end,
         edits, start in the item), in characters of the normal form; of a leaked
         part, one piece."""
@@ -195,21 +226,15 @@ class Index:
         whole = normal(text)
         overlap = PIECE + 4 * self.half
         for base in range(0, max(1, len(whole) - overlap), SCAN):
-            codes = _codes(whole[base:base + SCAN + overlap])
-            for p, low in self.bands(codes):
-                item, start, chars = self.pieces[p]
-                most, part = int(self.edits[p]), self.part[p]
-                if item in best and best[item] < (part, 1):  # as long, without edits, or longer
-                    continue
-                low, high = low - most, low + 2 * self.half - 1 + most
-                exact = whole.find(self.exact[p], max(0, base + low), max(0, base + high) + len(chars))
-                if exact >= 0:
-                    found = (0, exact, exact + len(chars))
-                elif found := band_distance(chars, codes, low, high, most):
-                    found = (found[0], base + found[1], base + found[2])
-                if found:
-                    hit = (part, *found, start)
-                    best[item] = min(best.get(item, hit), hit)
+            bands = self.bands(_codes(whole[base:base + SCAN + overlap]))
+            for u in np.nonzero(np.isin(self.used, list(bands)))[0] if bands else ():
+                p, item, start, part = self.uses[u]
+                for low in bands[p]:
+                    if item in best and best[item] < (part, 1):  # as long, without edits, or longer
+                        break
+                    if found := self._verified(p, base + low, whole):
+                        hit = (part, *found, start)
+                        best[item] = min(best.get(item, hit), hit)
         for end, (length, users) in self.words.iter(whole) if self.words else ():
             s, e = end + 1 - length, end + 1
             if not (s and _WORD.match(whole[s - 1]) and _WORD.match(whole[s]) or e < len(whole) and _WORD.match(whole[e - 1]) and _WORD.match(whole[e])):
@@ -217,22 +242,51 @@ class Index:
                     best.setdefault(item, (False, 0, s, e, 0))
         return [(self.items[i][0], s, e, k, at) for i, (_, k, s, e, at) in sorted(best.items())]
 
-
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
+    def _verified(self, p: int, low: int, whole: str) -> tuple[int, int, int] | None:
+        """(edits, start, end) of a piece in the region of a band, if it is
+        there. A region of the same characters is aligned once, wherever it stands."""
+        most, size = int(self.edits[p]), len(self.pieces[p])
+        low, high = low - most, low + 2 * self.half - 1 + most
+        at = max(0, low)
+        region = whole[at:max(0, high) + size]
+        if (key := (p, low - at, region)) not in self.aligned:
+            if len(self.aligned) >= ALIGNED:
+                self.aligned.clear()
+            exact = region.find(self.exact[p])
+            self.aligned[key] = (0, exact, exact + size) if exact >= 0 else band_distance(self.pieces[p], _codes(region), low - at, high - at, most)
+        found = self.aligned[key]
+        return found and (found[0], at + found[1], at + found[2])
+
+
+def _counted(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their counts."""
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.nonzero(np.r_[True, key[1:] != key[:-1]])[0] if len(key) else np.empty(0, dtype=np.int64)
+    return key[first], np.add.reduceat(n, first) if len(key) else n
+
+
+@lru_cache(maxsize=2)
+def index_of(items: tuple[tuple[int | str | None, str], ...], q: int, rate: float) -> Index:
+    """The index of a block, built once in each worker process."""
+    return Index(items, q, rate)
+
+
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[tuple[tuple[int | str | None, str], ...]]:
     """The benchmark's items in blocks of bounded size, each sent to the driver alone."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()
+    items = benchmark.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-total // (block_chars // 2)))
     for k in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
-        yield sorted(((r["id"], r["text"]) for r in part.toLocalIterator()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        yield tuple(sorted(((r["id"], r["text"]) for r in part.toLocalIterator()), key=lambda x: (x[0] is None, 0 if x[0] is None else x[0], x[1])))
 
 
-def leaks(text: Column, items: list[tuple[int | None, str]], q: int = Q, rate: float = EDIT_RATE) -> Column:
+def leaks(text: Column, items: tuple[tuple[int | str | None, str], ...], q: int = Q, rate: float = EDIT_RATE, id_type: str = "bigint") -> Column:
     """Array of the leaks of a text against a block of items; null counts as empty."""
-    @F.pandas_udf(FOUND)
+    @F.pandas_udf(FOUND.format(id_type))
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(items, q, rate)
+        index = index_of(items, q, rate)
         names = ("item_id", "start", "end", "edits", "piece")
         for s in batches:
             yield pd.Series([[dict(zip(names, x, strict=True)) for x in index.search(t)] for t in s], dtype=object)
@@ -242,12 +296,12 @@ def leaks(text: Column, items: list[tuple[int | None, str]], q: int = Q, rate: f
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per document row and benchmark item that leaked into it: the id,
     item_id, start, end, edits, piece (where the matching part starts in the
-    item). Documents without leaks, null or empty texts, empty tables: no
+    item). Ids are whole numbers or strings. Documents without leaks, null or empty texts, empty tables: no
     rows. Repeated documents have a row each; items that repeat under one id count
     once."""
-    out = None
+    out, id_type = None, benchmark.schema["item_id"].dataType.simpleString()
     for items in blocks(benchmark):
-        part = docs.select(F.col(id_col), F.explode(leaks(F.col(text_col), items, **options)).alias("leak"))
+        part = docs.select(F.col(id_col), F.explode(leaks(F.col(text_col), items, id_type=id_type, **options)).alias("leak"))
         part = part.select(id_col, "leak.item_id", "leak.start", "leak.end", "leak.edits", "leak.piece")
         out = part if out is None else out.unionByName(part)
     return out
@@ -255,8 +309,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows into which a benchmark item leaked, all columns kept."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    columns, id_type = [F.col(f"`{c}`") for c in docs.columns], benchmark.schema["item_id"].dataType.simpleString()
     for items in blocks(benchmark):
         (n,) = fresh(docs, "leaks")
-        docs = docs.withColumn(n, F.size(leaks(F.col(text_col), items, **options))).where(F.col(n) == 0).select(*columns)
+        docs = docs.withColumn(n, F.size(leaks(F.col(text_col), items, id_type=id_type, **options))).where(F.col(n) == 0).select(*columns)
     return docs

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, fresh, word_count
+from .common import checkpoint, fresh, id_key, word_count
 
 WEIGHTS, CAP = (1, 2, 3), 3
 #: Documents of one flight, on average.
@@ -127,8 +127,8 @@ def _balanced(units: DataFrame, block: int) -> DataFrame:
     return done.select("id0", "no_id", "th", "occ", (F.col("p") >= 0.5).cast("int").alias("drawn"))
 
 
-def _row_keys(id_col: str, text_col: str, source_col: str) -> list[Column]:
-    return [F.coalesce(F.col(id_col), F.lit(0)).cast("long").alias("id0"), F.col(id_col).isNull().alias("no_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(source_col), F.lit("\0"))).alias("th")]
+def _row_keys(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
+    return [id_key(docs, id_col).alias("id0"), F.col(id_col).isNull().alias("no_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(source_col), F.lit("\0"))).alias("th")]
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, block: int = BLOCK) -> DataFrame:
@@ -141,7 +141,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     weigh nothing; a source without words is not taken. An empty table gives no
     rows. Draws depend on ids and texts only, so reruns agree."""
     occ = F.row_number().over(Window.partitionBy("id0", "no_id", "th").orderBy(F.lit(0)))
-    rows = docs.select(F.col(id_col).alias("id"), *_row_keys(id_col, text_col, source_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    rows = docs.select(F.col(id_col).alias("id"), *_row_keys(docs, id_col, text_col, source_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     rows = checkpoint(rows.withColumn("occ", occ))
     sizes = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     pi = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -160,7 +160,7 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     names = dict(zip(("id0", "no_id", "th", "occ", "copies", "again"), fresh(docs, "id0", "no_id", "th", "occ", "copies", "again"), strict=True))
     taken = mix(docs, id_col, text_col, source_col, **options).where("copies > 0").select(*(F.col(k).alias(names[k]) for k in ("id0", "no_id", "th", "occ", "copies")))
     key = [names[k] for k in ("id0", "no_id", "th")]
-    keyed = docs.select("*", *(c.alias(n) for c, n in zip(_row_keys(id_col, text_col, source_col), key, strict=True)))
+    keyed = docs.select("*", *(c.alias(n) for c, n in zip(_row_keys(docs, id_col, text_col, source_col), key, strict=True)))
     keyed = keyed.withColumn(names["occ"], F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
     out = keyed.join(taken, [*key, names["occ"]]).withColumn(names["again"], F.explode(F.sequence(F.lit(1), F.col(names["copies"]))))
     return out.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, fresh
+from .common import checkpoint, fresh, id_or_least
 from .graph import components
 
 #: Fingerprints under one table key, above which the key's matches are found on a second level.
@@ -144,7 +144,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hash; of repeated rows with that id and text one stays. All columns are
     kept, whatever their names. Each text is shuffled once."""
     no_id, id0, th = fresh(docs, "no_id", "id", "text")
-    keys = [F.col(id_col).isNull().alias(no_id), F.coalesce(F.col(id_col), F.lit(0)).alias(id0), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias(th)]
+    keys = [F.col(id_col).isNull().alias(no_id), id_or_least(docs, id_col).alias(id0), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias(th)]
     near = near_duplicates(docs, id_col, text_col, shingle, max_bits, tuple(keys))
     kept = near.groupBy("family").agg(F.min(F.struct(no_id, id0, th)).alias("first")).select("first.*")
     found = docs.select("*", *keys).join(kept, [no_id, id0, th], "left_semi")

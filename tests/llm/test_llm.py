@@ -482,7 +482,71 @@ def test_leaks_of_parts_and_short_items():
     assert whole[:4] == (1, 8, 208, 0)
 
 
-# pipeline --------------------------------------------------------------------
+# pipeline
+
+
+def test_leaks_do_not_depend_on_the_slices(monkeypatch):
+    """Items with a common stem: few hits at once find what many at once find, and every item that a plain search finds."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(200)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    stem = say(14)
+    items = tuple((f"i{k}", f"{stem} {say(12)}") for k in range(40))
+    index = decontamination.Index(items)
+    texts = [f"{say(30)} {items[k][1]} {say(20)}" for k in range(4)] + [f"{stem} " * 8, say(200), items[5][1][60:]]
+    want = [index.search(t) for t in texts]
+    for few in (1, 50, 1000):
+        monkeypatch.setattr(decontamination, "SLICE", few)
+        assert [index.search(t) for t in texts] == want
+    for t, found in zip(texts, want, strict=True):
+        assert {i for i, text in items if text in t} <= {x[0] for x in found if x[3] == 0}
+    assert len(want[4]) == 40 and want[5] == []          # the stem holds whole short pieces of all items
+    assert len({i for i, *_ in want[6]}) >= 1
+
+
+def test_leaks_held_against_plain_edit_distance():
+    """Whole items with edits up to the budget are found, those far beyond it aren't."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+
+    def distance(piece, text):  # edits that turn the piece into some part of the text
+        row = [0] * (len(text) + 1)
+        for i, c in enumerate(piece, 1):
+            last, row = row, [i]
+            for j, d in enumerate(text, 1):
+                row.append(min(last[j - 1] + (c != d), last[j] + 1, row[-1] + 1))
+        return min(row)
+
+    items = tuple((k, say(rng.choice((5, 6, 7)))[:48].strip()) for k in range(12))    # one piece each
+    items = tuple(x for x in items if len(x[1]) >= decontamination.MIN_CHARS)
+    index = decontamination.Index(items)
+    for _ in range(60):
+        item = rng.choice(items)
+        x = list(item[1])
+        for _ in range(rng.randint(0, 8)):
+            at = rng.randrange(len(x))
+            x[at:at + 1] = rng.choice(([], ["z"], [x[at], "z"]))
+        text = decontamination.normal(f"{say(6)} {''.join(x)} {say(6)}")
+        want = set()
+        for p, (piece, _) in enumerate((i[1], 0) for i in items):
+            if distance(piece, text) <= int(index.edits[p]):
+                want.add(items[p][0])
+        got = index.search(text)
+        assert {g[0] for g in got} == want
+        assert all(g[3] == distance(dict(items)[g[0]], text) for g in got)
+
+
+def test_string_ids_in_the_stages(spark):
+    rows = [("b", "the same words stand here twice over and over again", "s"), ("a", "the same words stand here twice over and over again", "s"), (None, "quite another text about other things", "t"), ("c", None, None)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    assert {r["doc_id"] for r in simhash_dedup.deduplicate(df).collect()} == {"a", "c", None}
+    taken = mixing.apply_mix(df)
+    assert taken.columns == df.columns and sorted(map(str, taken.collect())) == sorted(map(str, mixing.apply_mix(df).collect()))
+    item = spark.createDataFrame([("q1", rows[0][1])], "item_id string, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(df, item).collect()) == [("a", "q1"), ("b", "q1")]
+    assert decontamination.decontaminate(df, item).count() == 2
+
 
 def test_pipeline_and_registry(spark):
     import corpus_pipeline
