@@ -1,14 +1,18 @@
 """Team-game feature table (Q10): 23 hitting features of the team at bat and 13
 pitching features of its opponent, all from days before the game.
 
-Plate appearances are first summed to integer counters per (team, day), per
-(player, day) and per day of the league, so everything after that works on
-day rows: a (team, season) has one row per playing day, and a running window
-over it is bounded by the calendar however many appearances a day holds. The
-trailing week is a partial sum: every day row is counted into the days after
-it, so neither an unpartitioned window nor a range join is needed. The five
-most active players of a team and week come from a row_number <= 5, which Spark
-prunes per partition before the shuffle.
+Plate appearances are first summed to integer counters per (team, day) and per
+day of the league, so everything after that works on day rows: a (team, season)
+has one row per playing day, and a running window over it is bounded by the
+calendar however many appearances a day holds. The trailing week of a team is a
+partial sum: every day row is counted into the days after it, so neither an
+unpartitioned window nor a range join is needed.
+
+Players aren't spread over the days of their weeks. A player's activity of the
+trailing week only changes when a day enters or leaves it, so a window over each
+player's days gives spans of days with one value. Of spans with the same first
+and last day only the best five can be among a day's five; that leaves a number
+of spans that the calendar bounds. Counters are summed for the chosen players alone.
 
 Rates are SQL text over counter names (see ``HITTING`` and ``PITCHING``); the
 league's counters have the prefix ``lg_``."""
@@ -19,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up
-from diamondlake.session import cut_lineage
+from diamondlake.session import cut_lineage, store
 
 HIT_COUNTERS = ["pa", "ab", "h", "d2", "d3", "hr", "bb", "so", "sf", "sb", "rbi"]
 PITCH_COUNTERS = ["outs", "p_so", "p_bb", "p_hr", "er"]
@@ -75,21 +79,51 @@ def _rates(df: DataFrame, rates: dict[str, str], names: list[str], suffix: str =
     return [round_half_up(F.expr(rates[c]), DIGITS).alias(c + suffix) for c in names]
 
 
-def _top_mean(players: DataFrame, rates: dict[str, str], names: list[str], active: str) -> DataFrame:
-    """Mean rates of the ``PLAYERS`` rows of each (team, day) with the most ``active``, ties by player."""
-    best = Window.partitionBy("team", "day").orderBy(F.desc(active), "player")
-    top = players.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= PLAYERS)
+def _best(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``PLAYERS`` rows of each of ``keys`` with the most ``active``, ties by player."""
+    best = Window.partitionBy(*keys).orderBy(F.desc("active"), "player")
+    return df.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= PLAYERS).drop("rn")
+
+
+def most_active(play: DataFrame, days: DataFrame, active: str, n: int = DAYS) -> DataFrame:
+    """(team, day, player): for each (team, day) of ``days`` the ``PLAYERS`` players with the most ``active`` (a whole
+    number) in the ``n`` days before, ties by player, from ``play`` (team, player, day, ``active``)."""
+    daily = play.where("team IS NOT NULL AND day IS NOT NULL").groupBy("team", "player", "day").agg(F.sum(active).alias("active"))
+    # A day counts from the next day on, for n days.
+    turns = [F.struct(F.date_add("day", at).alias("start"), F.lit(sign).alias("n"), (sign * F.col("active")).alias("active"), F.when(F.col("active").isNotNull(), sign).alias("known")) for at, sign in ((1, 1), (n + 1, -1))]
+    own = Window.partitionBy("team", "player").orderBy("start")
+    upto = own.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = daily.select("team", "player", F.explode(F.array(*turns)).alias("t")).select("team", "player", "t.*")
+    spans = spans.select("team", "player", "start", F.lead("start").over(own).alias("until"), F.sum("n").over(upto).alias("n"), F.sum("active").over(upto).alias("active"), F.sum("known").over(upto).alias("known"))
+    spans = spans.where("n > 0 AND until > start").select("team", "player", "start", "until", F.when(F.col("known") > 0, F.col("active")).alias("active"))
+    spans = _best(spans, ["team", "start", "until"])
+    each = spans.select("team", "player", "active", F.explode(F.sequence("start", F.date_sub("until", 1))).alias("day"))
+    return _best(each.join(days.distinct(), ["team", "day"]), ["team", "day"]).select("team", "day", "player")
+
+
+def _players_week(play: DataFrame, chosen: DataFrame, cols: list[str], n: int = DAYS) -> DataFrame:
+    """Sums of ``cols`` over the ``n`` days before the day of each row of ``chosen`` (team, day, player)."""
+    def block(day: Column) -> Column:
+        return F.floor(F.unix_date(day) / n)
+    blocks = F.array_distinct(F.array(block(F.date_sub("day", n)), block(F.date_sub("day", 1))))
+    wanted = chosen.select(F.col("team").alias("__team"), F.col("player").alias("__player"), F.col("day").alias("__day"), F.explode(blocks).alias("__block"))
+    same = (F.col("team") == F.col("__team")) & F.col("player").eqNullSafe(F.col("__player")) & (block(F.col("day")) == F.col("__block"))
+    within = F.datediff("__day", "day").between(1, n)
+    near = play.join(F.broadcast(wanted), same & within)      # twice PLAYERS rows per team and day
+    return near.groupBy("team", F.col("__day").alias("day"), "player").agg(*_sums(cols))
+
+
+def _mean(players: DataFrame, rates: dict[str, str], names: list[str]) -> DataFrame:
+    """Mean rates of the rows of each (team, day)."""
     micro = [F.floor(F.expr(rates[c]) * MICRO + F.lit(0.5)).cast("long").alias(c) for c in names]
     mean = [round_half_up(F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0)) / float(MICRO), DIGITS).alias(f"{c}_5") for c in names]
-    return top.select("team", "day", *micro).groupBy("team", "day").agg(*mean)
+    return players.select("team", "day", *micro).groupBy("team", "day").agg(*mean)
 
 
 def _side(appearances: DataFrame, team: str, player: str, cols: list[str], rates: dict[str, str], week: list[str], spine: DataFrame, active: str) -> DataFrame:
     """Per (team, day) of ``spine``: rates of the season to date, of the week, and of the week's most active players."""
     play = appearances.select(F.col(team).alias("team"), F.col(player).alias("player"), "season", "day", *cols)
-    # The one table of size; all that follows reads it several times.
-    player_day = cut_lineage(play.groupBy("team", "player", "season", "day").agg(*_sums(cols)))
-    team_day = player_day.groupBy("team", "season", "day").agg(*_sums(cols))
+    team_day = play.groupBy("team", "season", "day").agg(*_sums(cols))
     zero = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in cols]
     team_day = cut_lineage(spine.select("team", "season", "day").join(team_day, ["team", "season", "day"], "left").select("team", "season", "day", *zero))
     league = team_day.groupBy("season", "day").agg(*_sums(cols))
@@ -101,10 +135,9 @@ def _side(appearances: DataFrame, team: str, player: str, cols: list[str], rates
     lg_week = _after(league, [], cols).select("day", *[F.col(c).alias(f"lg_{c}") for c in cols])
     in_week = _after(team_day, ["team"], cols).join(lg_week, "day")
     weekly = in_week.select("team", "day", *_rates(in_week, rates, week, "_week"))
-    days = spine.select("team", "day")
-    players = _after(player_day, ["team", "player"], cols).join(days, ["team", "day"]).join(lg_week, "day")
-    five = _top_mean(players, rates, week, active)
-    return out.join(weekly, ["team", "day"], "left").join(five, ["team", "day"], "left")
+    chosen = cut_lineage(most_active(play, spine.select("team", "day"), active))
+    five = _mean(_players_week(play, chosen, cols).join(lg_week, "day"), rates, week)
+    return store(out.join(weekly, ["team", "day"], "left").join(five, ["team", "day"], "left"))
 
 
 def _spine(games: DataFrame) -> DataFrame:
@@ -124,15 +157,20 @@ def _pitching(spine: DataFrame, appearances: DataFrame) -> DataFrame:
     return _side(appearances, "defense_team", "pitcher", PITCH_COUNTERS, PITCHING, PITCH_WEEK, spine, "outs")
 
 
-def team_day_table(games: DataFrame, appearances: DataFrame) -> DataFrame:
+def team_days(games: DataFrame, appearances: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Each team's playing days, and the hitting and the pitching statistics before each; one row per team and day."""
+    spine = _spine(games)
+    return spine, _hitting(spine, appearances), _pitching(spine, appearances)
+
+
+def team_day_table(games: DataFrame, appearances: DataFrame, known: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """Each team's own 23 hitting and 13 pitching statistics before each of its playing
     days: team, season, day and ``FEATURES``. Inputs as in ``team_game_table``."""
-    spine = _spine(games)
-    both = _hitting(spine, appearances).join(_pitching(spine, appearances), ["team", "season", "day"])
-    return both.select("team", "season", "day", *FEATURES)
+    _, hitting, pitching = known or team_days(games, appearances)
+    return hitting.join(pitching, ["team", "season", "day"]).select("team", "season", "day", *FEATURES)
 
 
-def team_game_table(games: DataFrame, appearances: DataFrame) -> DataFrame:
+def team_game_table(games: DataFrame, appearances: DataFrame, known: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """One row per row of ``games`` (game_pk, day, season, offense_team,
     defense_team, is_home, runs_scored, runs_allowed): total_games and total_runs of
     the season before the day, the 23 hitting features of the offense, the 13
@@ -141,11 +179,12 @@ def team_game_table(games: DataFrame, appearances: DataFrame) -> DataFrame:
     ``appearances`` has a row per plate appearance: day, season, offense_team,
     defense_team, batter, pitcher and the counters. Days before a team's first of
     a season, and weeks without an appearance, give NULL; a game of an unknown
-    team keeps its row, with NULL features."""
-    spine = _spine(games)
-    hit = spine.join(_hitting(spine, appearances), ["team", "season", "day"])
+    team keeps its row, with NULL features. ``known`` has the ``team_days`` of both inputs, if they are at hand."""
+    spine, hitting, pitching = known or team_days(games, appearances)
+    hit = spine.join(hitting, ["team", "season", "day"])
     hit = hit.select(F.col("team").alias("offense_team"), "day", "total_games", "total_runs", *HIT_FEATURES)
-    pitch = _pitching(spine, appearances).select(F.col("team").alias("defense_team"), "day", *PITCH_FEATURES)
-    out = games.join(hit, ["offense_team", "day"], "left").join(pitch, ["defense_team", "day"], "left")
+    pitch = pitching.select(F.col("team").alias("defense_team"), "day", *PITCH_FEATURES)
+    # One row per team and day on the right, so the games stay where they are.
+    out = games.join(F.broadcast(hit), ["offense_team", "day"], "left").join(F.broadcast(pitch), ["defense_team", "day"], "left")
     return out.select("game_pk", "day", "season", "offense_team", "defense_team", "is_home", "total_games", "total_runs", *FEATURES,
                       F.col("runs_scored").cast("long").alias("runs_scored"), (F.col("runs_scored") > F.col("runs_allowed")).cast("int").alias("win"))

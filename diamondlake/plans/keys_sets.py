@@ -108,8 +108,8 @@ UNION ALL
 SELECT game_pk, game_date, away_team, home_team, away_score, home_score, FALSE FROM games"""
 
 
-def mirrored_games(spark, d):
-    g = S.games_df(spark, d)
+def mirrored_games(spark, d, games=None):
+    g = S.games_df(spark, d) if games is None else games
     return K.mirror_rows(g, ["game_pk", "game_date"], [
         {"offense_team": "home_team", "defense_team": "away_team", "runs_scored": "home_score",
          "runs_allowed": "away_score", "is_home": F.lit(True)},

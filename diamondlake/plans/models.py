@@ -14,7 +14,6 @@ from diamondlake.operators import windows as WN
 from diamondlake.operators.ordering import split_hash
 from diamondlake.plans.catalog import register
 from diamondlake.plans import team_table as TT
-from diamondlake.plans.standins import games_df
 from diamondlake.plans.joins_aggs import CUSTOMER_STATS_SQL, customer_stats
 from diamondlake.session import cut_lineage
 from diamondlake.sources.files import shared_path
@@ -91,11 +90,13 @@ TREES = 100
 
 def _upcoming(spark, d):
     """The last week's games as schedule, and the feature tables of the days before it."""
-    schedule = games_df(spark, d).select("game_pk", F.col("game_date").alias("day"), "home_team", "away_team")
+    all_games = TT.stored_games(spark, d)
+    schedule = all_games.select("game_pk", F.col("game_date").alias("day"), "home_team", "away_team")
     cutoff = schedule.agg(F.date_sub(F.max("day"), UPCOMING_DAYS)).scalar()
     games = schedule.filter((F.col("day") >= cutoff) & F.col("home_team").isNotNull() & F.col("away_team").isNotNull())
-    decided, seen = TT.decided_games(spark, d).filter(F.col("day") < cutoff), TT.appearances(spark, d).filter(F.col("day") < cutoff)
-    return cut_lineage(games), TF.team_game_table(decided, seen), TF.team_day_table(decided, seen)
+    decided, seen = TT.decided_games(spark, d, all_games).filter(F.col("day") < cutoff), TT.appearances(spark, d, all_games).filter(F.col("day") < cutoff)
+    known = TF.team_days(decided, seen)
+    return cut_lineage(games), TF.team_game_table(decided, seen, known), TF.team_day_table(decided, seen, known)
 
 
 def _forecast(games, days):

@@ -8,6 +8,7 @@ from diamondlake.functions.scalars import round_half_up_sql as R
 from diamondlake.operators import team_features as TF
 from diamondlake.plans.standins import games_df
 from diamondlake.plans.windows_sort import TEAM_GAMES_SQL, team_games
+from diamondlake.session import store
 from diamondlake.sources.tables import load
 
 # Fixed values (stand-in plate appearances): what a line's flags and amounts mean. A returned line is a
@@ -31,28 +32,40 @@ COUNTERS = {
     "er": "l_returnflag = 'R' AND (l_quantity > 44 OR l_tax > 0.04e0)",
 }
 COUNTER_COLS = [f"CAST(COALESCE({x}, FALSE) AS BIGINT) AS {c}" for c, x in COUNTERS.items()]
+#: The counters of a plate appearance as the bits of one number.
+FLAGS = " + ".join(f"CASE WHEN {x} THEN {1 << k} ELSE 0 END" for k, x in enumerate(COUNTERS.values()))
 
 
-def appearances(spark, d):
-    """Plate appearances of games with both teams known: the away team bats in the top of an inning."""
-    li = load(spark, d, "lineitem").selectExpr("l_orderkey", "l_partkey AS batter", "l_suppkey AS pitcher", "l_linestatus", *COUNTER_COLS)
-    g = games_df(spark, d).select("game_pk", F.col("game_date").alias("day"), F.col("game_year").alias("season"), "home_team", "away_team")
+def stored_games(spark, d):
+    """The games that the feature table reads several times, written once in the order of their days."""
+    g = games_df(spark, d).select("game_pk", "game_date", "game_year", "home_team", "away_team", "home_score", "away_score")
+    return store(g.repartitionByRange("game_date", "game_pk").sortWithinPartitions("game_date"))
+
+
+def appearances(spark, d, games):
+    """Plate appearances of ``games`` with both teams known: the away team bats in the top of an inning. Written
+    once, as both sides read them; the counters travel as one number."""
+    li = load(spark, d, "lineitem").selectExpr("l_orderkey", "l_partkey AS batter", "l_suppkey AS pitcher", "l_linestatus", f"{FLAGS} AS flags")
+    g = games.select("game_pk", F.col("game_date").alias("day"), F.col("game_year").alias("season"), "home_team", "away_team")
     g = g.where("home_team IS NOT NULL AND away_team IS NOT NULL")
     top = F.col("l_linestatus") == "O"
-    return li.join(g, li.l_orderkey == g.game_pk).select(
+    seen = store(li.join(g, li.l_orderkey == g.game_pk).select(
         "day", "season", F.when(top, F.col("away_team")).otherwise(F.col("home_team")).alias("offense_team"),
-        F.when(top, F.col("home_team")).otherwise(F.col("away_team")).alias("defense_team"), "batter", "pitcher", *COUNTERS)
+        F.when(top, F.col("home_team")).otherwise(F.col("away_team")).alias("defense_team"), "batter", "pitcher", "flags"))
+    counters = [F.shiftright("flags", k).bitwiseAND(1).cast("long").alias(c) for k, c in enumerate(COUNTERS)]
+    return seen.select("day", "season", "offense_team", "defense_team", "batter", "pitcher", *counters)
 
 
-def decided_games(spark, d):
-    """Team-game rows of games with both teams known and a decisive score (P10)."""
-    tg = team_games(spark, d).filter(F.col("runs_scored") != F.col("runs_allowed"))
+def decided_games(spark, d, games):
+    """Team-game rows of ``games`` with both teams known and a decisive score (P10)."""
+    tg = team_games(spark, d, games).filter(F.col("runs_scored") != F.col("runs_allowed"))
     tg = tg.filter(F.col("offense_team").isNotNull() & F.col("defense_team").isNotNull())
     return tg.select("game_pk", F.col("game_date").alias("day"), "season", "offense_team", "defense_team", "is_home", "runs_scored", "runs_allowed")
 
 
 def feature_table(spark, d):
-    return TF.team_game_table(decided_games(spark, d), appearances(spark, d))
+    games = stored_games(spark, d)
+    return TF.team_game_table(decided_games(spark, d, games), appearances(spark, d, games))
 
 
 def _side_sql(name: str, team: str, player: str, cols: list[str], rates: dict, week: list[str], active: str) -> str:

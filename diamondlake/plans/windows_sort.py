@@ -16,9 +16,9 @@ from diamondlake.sources.tables import load
 TEAM_ORDER = ["game_date", "game_pk", "is_home"]   # total order inside one team's schedule
 
 
-def team_games(spark, d):
+def team_games(spark, d, games=None):
     """One row per (team, game) with a known score."""
-    return (mirrored_games(spark, d).filter(F.col("runs_scored").isNotNull())
+    return (mirrored_games(spark, d, games).filter(F.col("runs_scored").isNotNull())
             .withColumn("win", (F.col("runs_scored") > F.col("runs_allowed")).cast("int"))
             .withColumn("season", F.year("game_date")).withColumn("one", F.lit(1)))
 

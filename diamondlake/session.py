@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -137,3 +138,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     loss, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint dir and read again. Like ``cut_lineage``, but for
+    tables of size: columns are compressed, readers take only those they need, and Spark knows the size."""
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), "diamondlake", f"stored-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
