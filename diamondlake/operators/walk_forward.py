@@ -42,9 +42,12 @@ def daily_sums(df: DataFrame, day: str, features: list[str], label: Column) -> D
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict = {}
         for pdf in batches:
-            for at, rows in pdf.groupby("day"):
-                x = np.column_stack([np.ones(len(rows)), rows.drop(columns="day").to_numpy(float)])
-                total[at] = total.get(at, 0.0) + (x.T @ x)[upper]
+            code, days = pd.factorize(pdf["day"])
+            order = np.argsort(code, kind="stable")
+            x = np.column_stack([np.ones(len(pdf)), pdf.drop(columns="day").to_numpy(float)])[order]
+            ends = np.cumsum(np.bincount(code, minlength=len(days)))
+            for at, low, high in zip(days, np.r_[0, ends], ends):
+                total[at] = total.get(at, 0.0) + (x[low:high].T @ x[low:high])[upper]
         for at, sums in total.items():
             yield pd.DataFrame({"day": [at], "sums": [sums]})
 
@@ -83,7 +86,7 @@ def walk_forward(df: DataFrame, day: str, features: list[str], label: Column, al
     models = models_by_day(df, day, features, label, alpha).withColumnsRenamed({"day": "__day", "model": "__model"})
     terms = [F.col("__model").getItem(i + 1) * F.col(c) for i, c in enumerate(features)]
     score = sum(terms[1:], terms[0]) + F.col("__model").getItem(0)
-    joined = df.join(models, F.col(day) == F.col("__day"), "left")
+    joined = df.join(F.broadcast(models), F.col(day) == F.col("__day"), "left")      # one row per day
     return joined.withColumn(out, F.when(complete(features), score)).drop("__day", "__model")
 
 

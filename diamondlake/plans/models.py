@@ -15,7 +15,7 @@ from diamondlake.operators.ordering import split_hash
 from diamondlake.plans.catalog import register
 from diamondlake.plans import team_table as TT
 from diamondlake.plans.joins_aggs import CUSTOMER_STATS_SQL, customer_stats
-from diamondlake.session import cut_lineage
+from diamondlake.session import cut_lineage, store
 from diamondlake.sources.files import shared_path
 from diamondlake.sources.tables import load
 
@@ -151,7 +151,7 @@ def predict_games(spark, d):
 
 
 def _backtest(spark, d, features):
-    rows = cut_lineage(TT.feature_table(spark, d).select("game_pk", "day", "is_home", "win", *features))
+    rows = TT.feature_table(spark, d).select("game_pk", "day", "is_home", "win", *features)
     scored = WF.walk_forward(rows, "day", features, F.col("win") * 2.0 - 1.0)
     return WF.backtest_games(scored, "game_pk", "day", "is_home", "win")
 
@@ -160,7 +160,7 @@ def _backtest(spark, d, features):
 def backtest_walk_forward(spark, d):
     """M7: every game predicted by the win model (36 features) of the days before it, with the accuracy so far
     over the games that got a prediction."""
-    games = _backtest(spark, d, FEATURES).withColumnRenamed("day", "game_date")
+    games = store(_backtest(spark, d, FEATURES).withColumnRenamed("day", "game_date"))
     told = games.where("correct IS NOT NULL")
     seen = WN.running_accuracy(told, "game_date", "game_pk", "correct", skew_safe=True).select("game_pk", "games_so_far", "correct_so_far", "running_accuracy")
     return games.join(seen, "game_pk", "left").select("game_pk", "game_date", round_half_up("home_score", 6).alias("home_score"), round_half_up("away_score", 6).alias("away_score"),
