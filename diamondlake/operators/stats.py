@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from diamondlake.functions.scalars import round_half_up
-from diamondlake.session import cut_lineage
 
 
 def unpivot(df: DataFrame, keep: list[str], cols: list[str], name: str = "feature",
@@ -102,7 +101,7 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
     the cross products, so the number of columns adds no pass and no expression;
     its result is one matrix. A constant column gives NULL."""
     known = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    rows = cut_lineage(VectorAssembler(inputCols=cols, outputCol="x").transform(known).select("x"))     # read for the means, then the products
+    rows = VectorAssembler(inputCols=cols, outputCol="x").transform(known).select("x")     # read for the means, then the products
     spark = df.sparkSession
     schema = "feature_a string, feature_b string, corr double"
     if len(rows.take(2)) < 2:
