@@ -6,14 +6,16 @@ operator is a two-pass parallel prefix scan instead:
 
 1. ``repartitionByRange`` on (entity, order...) cuts the globally sorted rows
    into balanced partitions, so a hot entity is spread over many partitions.
-   Each partition runs the recurrence locally (vectorised pandas, Arrow
-   batches) and expresses every output as an affine function of the unknown
-   state carried in from earlier partitions: ``y = r*y1 + s`` where ``y1`` is
-   the value after the segment's first observation.
-2. Only the first and last entity segment of each partition can continue
-   across a boundary, so at most two summary rows per partition are resolved
-   (grouped by entity, at most one row per partition each) into carry-in states,
-   which are broadcast (size bounded by the partition count) and applied with
+   Each partition is read in chunks of about ``CHUNK_ROWS`` rows, so a task's memory
+   doesn't grow with its rows. A chunk runs the recurrence locally (vectorised
+   pandas) and expresses every output as an affine function of the unknown
+   state carried in from earlier chunks: ``y = y0 + r*(y1 - x)`` where ``y0`` is
+   the average from the chunk's own rows, ``x`` the segment's first observation
+   and ``y1`` the average after it.
+2. Only the first and last entity segment of each chunk can continue
+   across a boundary, so at most two summary rows per chunk are resolved
+   (grouped by entity, at most one row per chunk each) into carry-in states,
+   which are broadcast (two per ``CHUNK_ROWS`` rows) and applied with
    column expressions.
 
 NULL inputs follow pandas ``ewm(adjust=False, ignore_na=False)``: a gap of g
@@ -24,6 +26,7 @@ missing positions repeat the last average.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -34,7 +37,10 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, Str
 
 from diamondlake.functions.scalars import round_half_up
 from diamondlake.operators.nullsafe import join_null_safe
-from diamondlake.session import cut_lineage
+from diamondlake.session import store
+
+#: Rows that a task of the scan holds at a time.
+CHUNK_ROWS = 20_000
 
 
 def _range_partition(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataFrame:
@@ -47,34 +53,45 @@ def _range_partition(df: DataFrame, keys: list[str], num_partitions: int | None)
 
 def _local_fields(c: str) -> list[StructField]:
     return [StructField(f"__y0_{c}", DoubleType()), StructField(f"__r_{c}", DoubleType()),
-            StructField(f"__s_{c}", DoubleType()), StructField(f"__pre_{c}", BooleanType()),
-            StructField(f"__xf_{c}", DoubleType()), StructField(f"__gf_{c}", LongType()),
+            StructField(f"__pre_{c}", BooleanType()),
             # summary-only fields
-            StructField(f"__has_{c}", BooleanType()), StructField(f"__rl_{c}", DoubleType()),
-            StructField(f"__sl_{c}", DoubleType()), StructField(f"__y0l_{c}", DoubleType()),
-            StructField(f"__kt_{c}", LongType())]
+            StructField(f"__xf_{c}", DoubleType()), StructField(f"__gf_{c}", LongType()),
+            StructField(f"__has_{c}", BooleanType()), StructField(f"__kt_{c}", LongType())]
+
+
+def _chunks(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """The batches in order, joined up to ``rows`` rows or just over."""
+    held, n = [], 0
+    for b in batches:
+        if len(b):
+            held.append(b)
+            n += len(b)
+        if n >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span: int = 28,
-             suffix: str = "_ema", digits: int | None = 4, num_partitions: int | None = None) -> DataFrame:
+             suffix: str = "_ema", digits: int | None = 4, num_partitions: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     alpha = 1.0 / (1.0 + (span - 1) / 2.0)     # pandas: com = (span - 1) / 2, alpha = 1 / (1 + com)
     a = 1.0 - alpha
     keep = [entity] + [c for c in order if c != entity]
     src = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols])
     ordered = (_range_partition(src, keep, num_partitions).sortWithinPartitions(*keep)
-               .withColumn("__pid", F.spark_partition_id()))
+               .withColumn("__pid", F.spark_partition_id().cast("long")))
     base_fields = [StructField(f.name, f.dataType, True) for f in ordered.schema.fields]  # summary rows leave them NULL
-    out_schema = StructType(base_fields + [StructField("__kind", StringType()), StructField("__nrows", LongType()),
-                                           StructField("__segpos", StringType())]
+    out_schema = StructType(base_fields + [StructField("__kind", StringType()), StructField("__nrows", LongType())]
                             + [f for c in cols for f in _local_fields(c)])
     names = [f.name for f in out_schema.fields]
 
     def local(batches):
-        # one range partition (its size is bounded by data / partitions, whatever the key skew)
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
+        for number, pdf in enumerate(_chunks(batches, chunk_rows)):
+            pdf["__pid"] = pdf["__pid"] * (1 << 32) + number      # chunks of all partitions in the order of their rows
+            yield from scanned(pdf)
+
+    def scanned(pdf):
         n = len(pdf)
         codes = pdf.groupby([entity], dropna=False, sort=False).ngroup().to_numpy()   # NULL keys: one group
         start = np.ones(n, dtype=bool)
@@ -87,9 +104,6 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
         out = pdf.copy()
         out["__kind"] = "row"
         out["__nrows"] = None
-        out["__segpos"] = np.where(seg == 0, "first", np.where(seg == nseg - 1, "last", "mid"))
-        if nseg == 1:
-            out["__segpos"] = "only"
         summ = {}
         for c in cols:
             x = pdf[c].to_numpy(dtype="float64")
@@ -112,21 +126,17 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
             gf = gf_row - seg_lo[seg]
             pre = cnt == 0
             r = np.where(pre, np.nan, r)
-            s = np.where(pre, np.nan, y0 - r * xf)
             out[f"__y0_{c}"] = y0
             out[f"__r_{c}"] = r
-            out[f"__s_{c}"] = s
             out[f"__pre_{c}"] = pre
-            out[f"__xf_{c}"] = xf
-            out[f"__gf_{c}"] = pd.array(np.where(np.isnan(gf), 0, gf).astype(np.int64))
-            for f in ("has", "rl", "sl", "y0l", "kt"):
+            for f in ("xf", "gf", "has", "kt"):
                 out[f"__{f}_{c}"] = None
             for k in {0, nseg - 1}:
                 lo, hi = seg_lo[k], seg_hi[k]
                 last = hi - 1
                 has = bool(obs[lo:hi].any())
                 kt = int((hi - 1) - np.flatnonzero(obs[lo:hi])[-1] - lo) if has else int(hi - lo)
-                summ.setdefault(k, {})[c] = dict(has=has, rl=r[last], sl=s[last], y0l=y0[last], kt=kt,
+                summ.setdefault(k, {})[c] = dict(has=has, r=r[last], y0=y0[last], kt=kt,
                                                  xf=xf[lo], gf=int(0 if np.isnan(gf[lo]) else gf[lo]))
         yield out[names]
         rows = []
@@ -134,12 +144,9 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
             lo, hi = seg_lo[k], seg_hi[k]
             row = {nm: None for nm in names}
             row.update({entity: pdf[entity].iloc[lo], "__pid": int(pdf["__pid"].iloc[lo]), "__kind": "sum",
-                        "__nrows": int(hi - lo),
-                        "__segpos": "only" if nseg == 1 else ("first" if k == 0 else "last")})
+                        "__nrows": int(hi - lo)})
             for c, v in per.items():
-                row.update({f"__has_{c}": v["has"], f"__rl_{c}": v["rl"], f"__sl_{c}": v["sl"],
-                            f"__y0l_{c}": v["y0l"], f"__kt_{c}": v["kt"], f"__xf_{c}": v["xf"],
-                            f"__gf_{c}": v["gf"]})
+                row.update({f"__{f}_{c}": x for f, x in v.items()})
             rows.append(row)
         sdf = pd.DataFrame(rows, columns=names)
         for f in out_schema.fields:
@@ -148,16 +155,16 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
         yield sdf
 
     local_df = ordered.mapInPandas(local, out_schema)
-    # materialise once: the row fix-up and the edge summaries must see the same partition ids
-    local_df = cut_lineage(local_df)
+    # materialise once: the row fix-up and the edge summaries must see the same chunks
+    local_df = store(local_df)
 
     summaries = local_df.filter(F.col("__kind") == "sum").select(
-        entity, "__pid", "__nrows", *[F.col(f"__{f}_{c}") for c in cols for f in ("has", "rl", "sl", "y0l", "kt", "xf", "gf")])
+        entity, "__pid", "__nrows", *[F.col(f"__{f}_{c}") for c in cols for f in ("has", "r", "y0", "kt", "xf", "gf")])
     carry_fields = [StructField(entity, ordered.schema[entity].dataType, True),
                     StructField("__pid", ordered.schema["__pid"].dataType, True)]
     for c in cols:
         carry_fields += [StructField(f"__din_{c}", BooleanType()), StructField(f"__yin_{c}", DoubleType()),
-                         StructField(f"__kin_{c}", LongType())]
+                         StructField(f"__shift_{c}", DoubleType())]
     carry_schema = StructType(carry_fields)
 
     def resolve(pdf):
@@ -165,35 +172,33 @@ def ema_scan(df: DataFrame, entity: str, order: list[str], cols: list[str], span
         res = {entity: pdf[entity].tolist(), "__pid": pdf["__pid"].tolist()}
         for c in cols:
             d, y, k = False, np.nan, 0
-            dl, yl, kl = [], [], []
-            for _, row in pdf.iterrows():   # at most one row per partition of this entity
-                dl.append(d); yl.append(y if d else np.nan); kl.append(k)
+            dl, yl, sl = [], [], []
+            for _, row in pdf.iterrows():   # at most one row per chunk of this entity
+                dl.append(d); yl.append(y if d else np.nan); sl.append(np.nan)
                 if not row[f"__has_{c}"]:
                     k = k + int(row["__nrows"]) if d else 0
                     continue
                 if d:
                     w = a ** (k + int(row[f"__gf_{c}"]) + 1)
-                    y1 = (w * y + alpha * row[f"__xf_{c}"]) / (w + alpha)
-                    y = row[f"__rl_{c}"] * y1 + row[f"__sl_{c}"]
+                    sl[-1] = w * (y - row[f"__xf_{c}"]) / (w + alpha)
+                    y = row[f"__y0_{c}"] + row[f"__r_{c}"] * sl[-1]
                 else:
-                    y = row[f"__y0l_{c}"]
+                    y = row[f"__y0_{c}"]
                 d, k = True, int(row[f"__kt_{c}"])
-            res[f"__din_{c}"], res[f"__yin_{c}"], res[f"__kin_{c}"] = dl, yl, kl
+            res[f"__din_{c}"], res[f"__yin_{c}"], res[f"__shift_{c}"] = dl, yl, sl
         return pd.DataFrame(res)
 
     carry = summaries.groupBy(entity).applyInPandas(resolve, carry_schema)
     rows = local_df.filter(F.col("__kind") == "row")
     carry = carry.withColumnRenamed(entity, "__ce").withColumnRenamed("__pid", "__cp")
     j = rows.join(F.broadcast(carry), rows[entity].eqNullSafe(carry["__ce"]) & (rows["__pid"] == carry["__cp"]),
-                  "left")   # <= 2 rows per partition; NULL entities are one group, as in a window
+                  "left")   # <= 2 rows per chunk; NULL entities are one group, as in a window
     outs = []
     for c in cols:
         din = F.coalesce(F.col(f"__din_{c}"), F.lit(False))
-        w = F.pow(F.lit(a), F.col(f"__kin_{c}") + F.col(f"__gf_{c}") + 1)
-        y1 = (w * F.col(f"__yin_{c}") + F.lit(alpha) * F.col(f"__xf_{c}")) / (w + F.lit(alpha))
         y = (F.when(F.col(f"__pre_{c}"), F.when(din, F.col(f"__yin_{c}")))
              .when(~din, F.col(f"__y0_{c}"))
-             .otherwise(F.col(f"__r_{c}") * y1 + F.col(f"__s_{c}")))
+             .otherwise(F.col(f"__y0_{c}") + F.col(f"__r_{c}") * F.col(f"__shift_{c}")))
         outs.append((round_half_up(y, digits) if digits is not None else y).alias(c + suffix))
     return j.select(*keep, *cols, *outs)
 
