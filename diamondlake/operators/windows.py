@@ -17,17 +17,20 @@ from pyspark.sql import functions as F
 from diamondlake.functions.scalars import round_half_up
 from diamondlake.operators.nullsafe import join_null_safe
 from diamondlake.operators.prefix import cumulative_sums, neighbours
+from diamondlake.session import store
 
 
 def partition_avg_max(df: DataFrame, key: str, value: str, avg_name: str, max_name: str,
                       digits: int | None = 4) -> DataFrame:
     """AVG and MAX of ``value`` over all rows with the same ``key``.
     Expressed as groupBy + join back instead of an unordered window, so a hot key
-    is combined map-side instead of landing in one task."""
+    is combined map-side instead of landing in one task. The values per key are
+    written first: Spark then knows their size and broadcasts few keys, so that
+    the rows aren't dealt out by them."""
     avg = F.avg(value)
     per_key = df.groupBy(key).agg((round_half_up(avg, digits) if digits is not None else avg).alias(avg_name),
                                   F.max(value).alias(max_name))
-    return join_null_safe(df, per_key, [key], "left")
+    return join_null_safe(df, store(per_key), [key], "left")
 
 
 def latest_row(df: DataFrame, key: str, order_cols: list[str], value_cols: list[str],
