@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import json
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
+from math import isqrt
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -38,7 +39,7 @@ FITS, LAYOUTS = 0.5, 4
 CHUNK = 500
 #: Elements nested deeper hang on their ancestor at this depth.
 MAX_DEPTH = 100
-#: Child lists are aligned exactly up to this many cells; longer ones are cut at equal texts first, and gaps that are still longer go in order of equal shapes.
+#: Child lists with up to this many cells are aligned in one table; of longer ones' table few rows are held at a time, with the same result.
 CELLS = 250_000
 TEXT = "#"
 
@@ -285,62 +286,91 @@ def match(a: Tree, b: Tree) -> list[tuple[int, int]]:
         return memo[i, j]
 
     def lists(i: int, j: int) -> tuple[float, list[tuple[int, int]]]:
-        total, pairs = 1.0, [(i, j)]
         x, y = a.children(i), b.children(j)
-        for u, v in [(x, y)] if len(x) * len(y) <= CELLS else gaps(x, y):
-            s, p = same(u[0], v[0]) if u and v and key(a, u[0]) == key(b, v[0]) and len(u) == len(v) == 1 else align(u, v)
-            total += s
-            pairs += p
-        return total, pairs
+        total, pairs = align(x, y) if len(x) * len(y) <= CELLS else trimmed(x, y)
+        return total + 1.0, [(i, j), *pairs]
 
     def key(t: Tree, u: int) -> tuple:
         return t.shape[u], *t.digest[u:u + t.size[u]]
 
-    def gaps(x: list[int], y: list[int]) -> list[tuple[list[int], list[int]]]:
-        """Both lists cut at equal subtrees: the common beginning and end, and
-        between them those that occur once in each list, as many as keep their order."""
-        kx, ky = [key(a, u) for u in x], [key(b, v) for v in y]
+    def trimmed(x: list[int], y: list[int]) -> tuple[float, list[tuple[int, int]]]:
+        """A long list's best match: equal subtrees at the beginning and the end belong to each other (no other
+        partner gives more), what is left between them is aligned."""
         low, n = 0, min(len(x), len(y))
-        while low < n and kx[low] == ky[low]:
+        while low < n and key(a, x[low]) == key(b, y[low]):
             low += 1
         tail = 0
-        while tail < n - low and kx[-1 - tail] == ky[-1 - tail]:
+        while tail < n - low and key(a, x[-1 - tail]) == key(b, y[-1 - tail]):
             tail += 1
-        cuts = [(k, k) for k in range(low)] + [(len(x) - k, len(y) - k) for k in range(tail, 0, -1)]
         ex, ey = len(x) - tail, len(y) - tail
-        many = Counter(kx[low:ex]), Counter(ky[low:ey])
-        where = {k: m for m, k in enumerate(ky[low:ey], low) if many[1][k] == 1}
-        once = [(r, where[k]) for r, k in enumerate(kx[low:ex], low) if many[0][k] == 1 and k in where]
-        # Longest rising run of their places in y.
-        tops: list[int] = []
-        last: list[int] = []
-        back: list[int] = []
-        for k, (_, c) in enumerate(once):
-            at = bisect_left(tops, c)
-            back.append(last[at - 1] if at else -1)
-            tops[at:at + 1], last[at:at + 1] = [c], [k]
-        k, run = last[-1] if last else -1, []
-        while k >= 0:
-            run.append(once[k])
-            k = back[k]
-        out, r, c = [], 0, 0
-        for m, w in sorted([*cuts, *run]):
-            out += [(x[r:m], y[c:w])] if r < m and c < w else []
-            out.append(([x[m]], [y[w]]))
-            r, c = m + 1, w + 1
-        return [*out, (x[r:], y[c:])]
+        u, v = x[low:ex], y[low:ey]
+        parts = [*map(same, x[:low], y[:low]), align(u, v) if len(u) * len(v) <= CELLS else align_long(u, v), *map(same, x[ex:], y[ey:])]
+        return sum(s for s, _ in parts), [p for _, pairs in parts for p in pairs]
+
+    def align_long(x: list[int], y: list[int]) -> tuple[float, list[tuple[int, int]]]:
+        """``align`` row by row. Only every few rows of the table are held; the way back makes those between anew."""
+        alike: dict[int, list[int]] = {}
+        for c, v in enumerate(y):
+            alike.setdefault(b.shape[v], []).append(c)
+        groups = {shape: (np.array(at), np.array([b.digest[y[c]:y[c] + b.size[y[c]]] for c in at])) for shape, at in alike.items()}
+        texts = [frozenset(b.digest[v:v + b.size[v]]) - {0} for v in y]
+        scores: dict[tuple, float] = {}
+        rows: dict[tuple, np.ndarray] = {}
+
+        def weights(u: int) -> np.ndarray:
+            """Scores of u with each of y. Trees of other shapes that share the same texts in the same places score alike."""
+            k = key(a, u)
+            if k in rows:
+                return rows[k]
+            out, mine = np.zeros(len(y)), a.digest[u:u + a.size[u]]
+            own = frozenset(mine) - {0}
+            for shape, (at, digests) in groups.items():
+                if a.label[u] != b.label[y[at[0]]]:
+                    continue
+                if shape == a.shape[u]:
+                    out[at] = a.size[u] + 0.5 * ((digests == np.array(mine)) & (digests != 0)).sum(axis=1)
+                    continue
+                for c in at:
+                    both = own & texts[c]
+                    v = y[c]
+                    kind = (a.shape[u], shape, *((tuple(d if d in both else 0 for d in mine), tuple(d if d in both else 0 for d in b.digest[v:v + b.size[v]])) if both else ()))
+                    if kind not in scores:
+                        if len(scores) > CELLS:
+                            scores.clear()
+                        scores[kind] = best(u, v)[0]
+                        memo.clear()
+                    out[c] = scores[kind]
+            if len(rows) > 64:
+                rows.clear()
+            rows[k] = out
+            return out
+
+        def following(row: np.ndarray, u: int) -> np.ndarray:
+            return np.r_[0.0, np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights(u)))]
+
+        step = isqrt(len(x)) + 1
+        row, held = np.zeros(len(y) + 1), []
+        for r, u in enumerate(x):
+            if r % step == 0:
+                held.append(row)
+            row = following(row, u)
+        pairs: list[tuple[int, int]] = []
+        total, c = float(row[-1]), len(y)
+        for low in range((len(held) - 1) * step, -1, -step):
+            block = [held.pop()]
+            for u in x[low:low + step]:
+                block.append(following(block[-1], u))
+            for r in range(len(block) - 1, 0, -1):
+                up, here = block[r - 1], block[r]
+                while c and here[c] != up[c]:
+                    c -= 1
+                    if here[c + 1] != here[c]:
+                        pairs += best(x[low + r - 1], y[c])[1]
+                        break
+        return total, pairs
 
     def align(x: list[int], y: list[int]) -> tuple[float, list[tuple[int, int]]]:
         pairs: list[tuple[int, int]] = []
-        if len(x) * len(y) > CELLS:
-            total, k = 0.0, 0
-            for u in x:
-                hit = next((m for m in range(k, min(k + 64, len(y))) if a.shape[u] == b.shape[y[m]]), None)
-                if hit is not None:
-                    s, p = same(u, y[hit])
-                    total, k = total + s, hit + 1
-                    pairs += p
-            return total, pairs
         m = [[0.0] * (len(y) + 1) for _ in range(len(x) + 1)]
         for r, u in enumerate(x, 1):
             for c, v in enumerate(y, 1):

@@ -578,3 +578,23 @@ def test_license_windows_are_verified_once_and_none_is_lost():
                 chars[at:at + rnd.randint(0, 1)] = rnd.choice(["", "x", " ", "qz"[rnd.randint(0, 1)]])
             window = "some" + "".join(chars) + "words"
             assert n.possible(window) or not n.pattern.search(window)
+
+
+def test_html_long_lists_are_aligned_exactly(monkeypatch):
+    rng = random.Random(5)
+
+    def page(n):
+        kinds = ["<p>{0}</p>", "<ul><li>{0}</li><li>z</li></ul>", "<div><p>{0}</p><p>{1}</p></div>", "<div><p>{0}</p></div>", "<ul><li>{0}</li></ul>"]
+        return html_extraction.parse("<body>" + "".join(rng.choice(kinds).format(rng.choice("abcdefgh"), rng.choice("abc")) for _ in range(n)) + "</body>")
+
+    def score(a, b, pairs):
+        return len(pairs) + 0.5 * sum(a.digest[i] == b.digest[j] != 0 for i, j in pairs)
+    for _ in range(150):
+        a, b = page(rng.randrange(14)), page(rng.randrange(14))
+        whole = html_extraction.match(a, b)
+        with monkeypatch.context() as m:
+            m.setattr(html_extraction, "CELLS", 0)
+            rows = html_extraction.match(a, b)
+        assert score(a, b, rows) == score(a, b, whole) and all(a.label[i] == b.label[j] for i, j in rows)
+        partners = [j for _, j in sorted(rows)]
+        assert partners == sorted(set(partners))
